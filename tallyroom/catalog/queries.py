@@ -24,7 +24,8 @@ from tallyroom.functions import (
     valid_time_or_default,
 )
 from tallyroom.plans import activity, marts, star
-from tallyroom.plans.clean import Cleaning, staging
+from tallyroom.plans.clean import staging
+from tallyroom.plans.layers import cleaning, raw_layer, staging_layer
 from tallyroom.session import tune
 from tallyroom.sources import adapters, conform_schema, materialise, union_aligned
 from tallyroom.sources.readers import align_for_union
@@ -37,26 +38,12 @@ ENTITIES = ("community", "live", "video")
 LOADED_BEFORE = {"community": "1998-01-01", "live": "2024-01-16", "video": "1998-01-01"}
 
 
-def _raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return adapters.RAW[entity](spark, sf_dir)
-
-
-def _cleaning(spark: SparkSession, sf_dir: str, profile: str) -> Cleaning:
-    entity = profile.removesuffix("_stream")
-    return Cleaning(_raw(spark, sf_dir, entity), R.PROFILES[profile])
-
-
-def _staged(spark: SparkSession, sf_dir: str, profile: str) -> DataFrame:
-    rules = R.PROFILES[profile]
-    return staging(_cleaning(spark, sf_dir, profile).clean, rules, unique=True)
-
-
 def _fact(spark: SparkSession, sf_dir: str, profile: str) -> DataFrame:
-    return star.build_fact_complete(_staged(spark, sf_dir, profile), star.STAR_FACTS[profile])
+    return star.build_fact_complete(staging_layer(spark, sf_dir, profile), star.STAR_FACTS[profile])
 
 
 def _dim(spark: SparkSession, sf_dir: str, profile: str, dim: star.Dim) -> DataFrame:
-    return star.build_dim(_staged(spark, sf_dir, profile), dim)
+    return star.build_dim(staging_layer(spark, sf_dir, profile), dim)
 
 
 def _loaded(df: DataFrame, entity: str) -> DataFrame:
@@ -67,26 +54,26 @@ def _loaded(df: DataFrame, entity: str) -> DataFrame:
 
 
 def _stage(profile: str, attribute: str) -> Query:
-    return lambda spark, sf_dir: getattr(_cleaning(spark, sf_dir, profile), attribute)
+    return lambda spark, sf_dir: getattr(cleaning(spark, sf_dir, profile), attribute)
 
 
 def _on_valid(profile: str, operator: Callable[[DataFrame, tuple[str, ...]], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cleaning = _cleaning(spark, sf_dir, profile)
-        return operator(cleaning.valid, cleaning.rules.keys)
+        stages = cleaning(spark, sf_dir, profile)
+        return operator(stages.valid, stages.rules.keys)
 
     return query
 
 
 def _conform(profile: str) -> Query:
     return lambda spark, sf_dir: staging(
-        _cleaning(spark, sf_dir, profile).clean, R.PROFILES[profile]
+        cleaning(spark, sf_dir, profile).clean, R.PROFILES[profile]
     )
 
 
 def _interaction_id(profile: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = _cleaning(spark, sf_dir, profile).non_null
+        raw = cleaning(spark, sf_dir, profile).non_null
         parts = star.STAR_FACTS[profile].id_parts
         row_id = interaction_id(*[F.col(c) for c in parts]).alias("InteractionID")
         return raw.select(row_id, *parts)
@@ -104,7 +91,7 @@ def _fact_lookup(entity: str) -> Query:
     """Fact rows against dimensions loaded earlier: unknown members drop the row."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = materialise(_staged(spark, sf_dir, entity), f"staging-{entity}")
+        staged = staging_layer(spark, sf_dir, entity)
         earlier = _loaded(staged, entity)
         dims = {
             d.table: materialise(star.build_dim(earlier, d), d.table.lower())
@@ -118,8 +105,8 @@ def _fact_lookup(entity: str) -> Query:
 def _entity_queries(entity: str) -> dict[str, Query]:
     critical = R.INGEST_CRITICAL[entity]
     return {
-        f"{entity}_null_profile": lambda s, d: op.null_profile(_raw(s, d, entity)),
-        f"{entity}_ingest_gate": lambda s, d: op.quality_gate(_raw(s, d, entity), critical),
+        f"{entity}_null_profile": lambda s, d: op.null_profile(raw_layer(s, d, entity)),
+        f"{entity}_ingest_gate": lambda s, d: op.quality_gate(raw_layer(s, d, entity), critical),
         f"{entity}_critical_nulls": _stage(entity, "critical_nulls"),
         f"{entity}_dropna": _stage(entity, "non_null"),
         f"{entity}_median": _stage(entity, "medians"),
@@ -154,7 +141,7 @@ def _values(entity: str, column: str, new: Callable) -> Query:
     """Old value, standard value and number of rows for one column."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        counted = _raw(spark, sf_dir, entity).groupBy(F.col(column).alias("OldValue"))
+        counted = raw_layer(spark, sf_dir, entity).groupBy(F.col(column).alias("OldValue"))
         return counted.agg(F.count(F.lit(1)).alias("TotalRows")).select(
             "OldValue", new(F.col("OldValue")).alias("NewValue"), "TotalRows"
         )
@@ -170,7 +157,7 @@ def _formats(entity: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules = R.PROFILES[entity]
         texts = sorted({*rules.trim, *rules.lower})
-        return op.format_text(_raw(spark, sf_dir, entity), rules).select(*rules.keys, *texts)
+        return op.format_text(raw_layer(spark, sf_dir, entity), rules).select(*rules.keys, *texts)
 
     return query
 
@@ -192,16 +179,16 @@ STANDARD_QUERIES: dict[str, Query] = {
     "fmt_community": _formats("community"),
     "fmt_live": _formats("live"),
     "fmt_video": _formats("video"),
-    "fmt_live_stream": lambda s, d: op.format_text(_raw(s, d, "live"), R.LIVE_STREAM).select(
+    "fmt_live_stream": lambda s, d: op.format_text(raw_layer(s, d, "live"), R.LIVE_STREAM).select(
         "EventID", "UserID", *R.LIVE_STREAM.trim
     ),
-    "fmt_video_stream": lambda s, d: op.format_text(_raw(s, d, "video"), R.VIDEO_STREAM).select(
+    "fmt_video_stream": lambda s, d: op.format_text(raw_layer(s, d, "video"), R.VIDEO_STREAM).select(
         "UserID", "VideoID", *R.VIDEO_STREAM.lower
     ),
-    "age_group": lambda s, d: _raw(s, d, "community").groupBy("Age").agg(
+    "age_group": lambda s, d: raw_layer(s, d, "community").groupBy("Age").agg(
         F.count(F.lit(1)).alias("TotalRows")
     ).select("Age", age_group(F.col("Age")).alias("AgeGroup"), "TotalRows"),
-    "time_spent_category": lambda s, d: _raw(s, d, "video").groupBy(
+    "time_spent_category": lambda s, d: raw_layer(s, d, "video").groupBy(
         time_spent_category(F.col("TotalTimeSpent")).alias("TimeSpentCategory")
     ).agg(
         F.count(F.lit(1)).alias("TotalRows"),
@@ -225,7 +212,7 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live interactions sent as JSON message bytes and decoded again."""
     message = S.message_schema(S.LIVE_DDL)
-    sent = _raw(spark, sf_dir, "live").select(
+    sent = raw_layer(spark, sf_dir, "live").select(
         F.to_json(F.struct(*message.names)).cast("binary").alias("value")
     )
     return decode_json(sent, "value", message)
@@ -240,13 +227,13 @@ def _as_file(df: DataFrame, narrow_ints: bool) -> DataFrame:
 
 def schema_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video rows in the CSV layout, brought back to the canonical schema by name."""
-    narrow = _as_file(_raw(spark, sf_dir, "video"), narrow_ints=True)
+    narrow = _as_file(raw_layer(spark, sf_dir, "video"), narrow_ints=True)
     return conform_schema(narrow, S.message_schema(S.VIDEO_DDL), S.VIDEO_FILE_NAMES)
 
 
 def ingest_align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older narrow CSV export without OS, and a newer JSON one, as one frame."""
-    video = _raw(spark, sf_dir, "video")
+    video = raw_layer(spark, sf_dir, "video")
     before = F.col(S.STAMP) < F.lit(LOADED_BEFORE["video"]).cast("timestamp")
     csv = _as_file(video.filter(before), narrow_ints=True).drop("OS")
     json = _as_file(video.filter(~before), narrow_ints=False)
@@ -258,7 +245,7 @@ def ingest_align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingest_anti(entity: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = _raw(spark, sf_dir, entity)
+        raw = raw_layer(spark, sf_dir, entity)
         return op.anti_ingest(raw, _loaded(raw, entity), R.PROFILES[entity].keys)
 
     return query
@@ -300,7 +287,7 @@ def _dim_incremental(entity: str, dim: star.Dim) -> Query:
     """Members of the whole staging frame that an earlier load did not have."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = _staged(spark, sf_dir, entity)
+        staged = staging_layer(spark, sf_dir, entity)
         existing = star.build_dim(_loaded(staged, entity), dim)
         return star.new_members(staged, dim, existing)
 
@@ -311,7 +298,7 @@ def _dim_refresh(entity: str, dim: star.Dim) -> Query:
     """A dimension of earlier rows, refreshed from the later rows."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = _staged(spark, sf_dir, entity)
+        staged = staging_layer(spark, sf_dir, entity)
         earlier = F.col(S.STAMP) < F.lit(LOADED_BEFORE[entity]).cast("timestamp")
         existing = star.build_dim(staged.filter(earlier), dim)
         return star.refreshed_members(staged.filter(~earlier), dim, existing)
@@ -320,7 +307,7 @@ def _dim_refresh(entity: str, dim: star.Dim) -> Query:
 
 
 def stream_staged_video(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir, "video_stream")
+    staged = staging_layer(spark, sf_dir, "video_stream")
     return staged.withColumn("EngagementScore", F.col("Engagement"))
 
 
@@ -331,7 +318,7 @@ def fact_video_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_live_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of the streamed live rows that an earlier load did not store."""
-    staged = _staged(spark, sf_dir, "live_stream")
+    staged = staging_layer(spark, sf_dir, "live_stream")
     stored = star.build_fact_complete(_loaded(staged, "live"), star.FACT_LIVE)
     return op.anti_append(star.build_fact_complete(staged, star.FACT_LIVE), stored)
 
@@ -366,7 +353,7 @@ def user_activity_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_engagement_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = {e: _staged(spark, sf_dir, e) for e in ENTITIES}
+    staged = {e: staging_layer(spark, sf_dir, e) for e in ENTITIES}
     facts = [star.build_fact_complete(staged[e], star.STAR_FACTS[e]) for e in ENTITIES]
     platforms = union_aligned([s.select("Platform") for s in staged.values()])
     return marts.engagement_overview(*facts, star.build_dim(platforms, star.DIM_PLATFORM))
@@ -374,7 +361,7 @@ def mart_engagement_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mart(entity: str, mart: Callable[..., DataFrame], *dims: star.Dim) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = _staged(spark, sf_dir, entity)
+        staged = staging_layer(spark, sf_dir, entity)
         fact = star.build_fact_complete(staged, star.STAR_FACTS[entity])
         return mart(fact, *[star.build_dim(staged, d) for d in dims])
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings: adaptive execution sizes shuffle partitions and splits
-# skewed join keys, also where the split costs one more exchange.
+# Runtime SQL settings.  Adaptive execution sizes shuffle partitions and splits
+# skewed join keys, also where the split costs one more exchange.  The JVM never
+# compiles a method beyond 8000 bytes of bytecode, which fused code for a table
+# of thirty columns can exceed; below the limit Spark splits it into operators.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -27,6 +30,7 @@ def local_session(cores: int | str = "*", name: str = "tallyroom", **conf: str)
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")

@@ -8,12 +8,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyroom.schemas import COMMUNITY_DDL, LIVE_DDL, STAMP, VIDEO_DDL, message_schema
 
 
+_FOOTERS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan a given table; its footer is read once, later scans declare the schema."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _FOOTERS:
+        _FOOTERS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_FOOTERS[path]).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core some rows of a file too small to be split.
+
+    A scan that already has a partition per core, as any large table does, is
+    left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def _shape(df: DataFrame, ddl: str, columns: dict[str, str]) -> DataFrame:
@@ -109,12 +127,12 @@ def shape_live(events: DataFrame) -> DataFrame:
 
 
 def live_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape_live(table(spark, sf_dir, "events"))
+    return shape_live(spread(table(spark, sf_dir, "events")))
 
 
 def community_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    joined = orders.join(customer, F.expr("o_custkey = c_custkey")).join(
+    joined = spread(orders).join(customer, F.expr("o_custkey = c_custkey")).join(
         nation, F.expr("c_nationkey = n_nationkey")
     )
     return _shape(joined, COMMUNITY_DDL, _COMMUNITY)
@@ -126,7 +144,7 @@ def video_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     people = customer.join(nation, F.expr("c_nationkey = n_nationkey"))
     joined = (
-        lineitem.join(orders, F.expr("l_orderkey = o_orderkey"))
+        spread(lineitem).join(orders, F.expr("l_orderkey = o_orderkey"))
         .join(people, F.expr("o_custkey = c_custkey"))
         .join(part, F.expr("l_partkey = p_partkey"))
         .withColumn("r", F.expr("l_orderkey * 7 + l_linenumber"))
