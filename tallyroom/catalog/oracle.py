@@ -648,6 +648,8 @@ FROM ({RAW['community']}) r GROUP BY 1, 2""",
         sql[f"{profile}_valid"] = _select(profile, "SELECT * FROM valid")
         sql[f"{profile}_clean"] = _select(profile, "SELECT * FROM clean")
         sql[f"conform_{profile}"] = _select(profile, "SELECT * FROM staged")
+        keys = ", ".join(KEYS[_entity(profile)])
+        sql[f"{profile}_ingest"] = _select(profile, f"SELECT DISTINCT {keys} FROM valid")
     sql["interaction_id_video_stream"] = _select(
         "video_stream",
         "SELECT md5(concat_ws('_', VideoID, UserID, IngestionTimestamp)) AS InteractionID, "

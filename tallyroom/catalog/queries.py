@@ -28,8 +28,10 @@ from tallyroom.plans.clean import staging
 from tallyroom.plans.layers import cleaning, raw_layer, staging_layer
 from tallyroom.session import tune
 from tallyroom.sources import adapters, conform_schema, materialise, union_aligned
-from tallyroom.sources.readers import align_for_union
+from tallyroom.sources.readers import align_for_union, read_staged_stream
+from tallyroom.sources.writers import fresh_path
 from tallyroom.streaming.decode import decode_json
+from tallyroom.streaming.jobs import run_entity_stream, staged_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 ENTITIES = ("community", "live", "video")
@@ -211,11 +213,8 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live interactions sent as JSON message bytes and decoded again."""
-    message = S.message_schema(S.LIVE_DDL)
-    sent = raw_layer(spark, sf_dir, "live").select(
-        F.to_json(F.struct(*message.names)).cast("binary").alias("value")
-    )
-    return decode_json(sent, "value", message)
+    sent = adapters.as_messages(raw_layer(spark, sf_dir, "live"), S.LIVE_DDL)
+    return decode_json(sent, "value", S.message_schema(S.LIVE_DDL))
 
 
 def _as_file(df: DataFrame, narrow_ints: bool) -> DataFrame:
@@ -265,7 +264,28 @@ INGEST_QUERIES: dict[str, Query] = {
 # --- stream profiles on the whole table -------------------------------------
 
 
+def _stream_ingest(profile: str) -> Query:
+    """Keys that a real streaming run leaves in staging.
+
+    The table is read as a message stream, decoded, stamped, cleaned,
+    deduplicated under the watermark and written with a checkpoint.  Only the
+    keys are returned, since which copy of a key arrives first is open.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rules = R.PROFILES[profile]
+        path = fresh_path(spark, f"streamed-{profile}")
+        checkpoint = fresh_path(spark, f"checkpoint-{profile}")
+        messages = adapters.MESSAGES[profile](spark, sf_dir)
+        run_entity_stream(messages, rules, path, checkpoint, trigger=None).awaitTermination()
+        return read_staged_stream(spark, path, staged_schema(rules)).select(*rules.keys)
+
+    return query
+
+
 STREAM_QUERIES: dict[str, Query] = {
+    "live_stream_ingest": _stream_ingest("live_stream"),
+    "video_stream_ingest": _stream_ingest("video_stream"),
     "live_stream_valid": _stage("live_stream", "valid"),
     "video_stream_valid": _stage("video_stream", "valid"),
     "live_stream_clean": _stage("live_stream", "clean"),

@@ -138,13 +138,13 @@ def community_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(joined, COMMUNITY_DDL, _COMMUNITY)
 
 
-def video_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem, orders, customer, nation, part = (
-        table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation", "part")
-    )
+def shape_video(
+    lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame
+) -> DataFrame:
+    """Video interactions; ``lineitem`` may be a stream, the others are tables."""
     people = customer.join(nation, F.expr("c_nationkey = n_nationkey"))
     joined = (
-        spread(lineitem).join(orders, F.expr("l_orderkey = o_orderkey"))
+        lineitem.join(orders, F.expr("l_orderkey = o_orderkey"))
         .join(people, F.expr("o_custkey = c_custkey"))
         .join(part, F.expr("l_partkey = p_partkey"))
         .withColumn("r", F.expr("l_orderkey * 7 + l_linenumber"))
@@ -152,4 +152,35 @@ def video_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(joined, VIDEO_DDL, _VIDEO)
 
 
+def video_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem, *others = (
+        table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation", "part")
+    )
+    return shape_video(spread(lineitem), *others)
+
+
+def live_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table read as a stream of JSON message bytes."""
+    return as_messages(shape_live(table_stream(spark, sf_dir, "events")), LIVE_DDL)
+
+
+def video_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items read as a stream, joined with tables, as JSON message bytes."""
+    others = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation", "part"))
+    return as_messages(shape_video(table_stream(spark, sf_dir, "lineitem"), *others), VIDEO_DDL)
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream; by glob, so it may be one file or a folder of files."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+
+
+def as_messages(rows: DataFrame, ddl: str) -> DataFrame:
+    """Rows as a message source delivers them: one JSON document in bytes."""
+    fields = F.struct(*message_schema(ddl).names)
+    return rows.select(F.to_json(fields).cast("binary").alias("value"))
+
+
 RAW = {"community": community_raw, "live": live_raw, "video": video_raw}
+MESSAGES = {"live_stream": live_messages, "video_stream": video_messages}

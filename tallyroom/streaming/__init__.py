@@ -1 +1,18 @@
 """Structured Streaming: decode, clean, deduplicate, sink, incremental star load."""
+
+from tallyroom.streaming.clean import (
+    clean_live_stream,
+    clean_stream,
+    clean_video_stream,
+    dedup_stream,
+    observe_nulls,
+)
+from tallyroom.streaming.decode import decode_json
+from tallyroom.streaming.jobs import load_micro_batch, load_streamed, run_entity_stream
+from tallyroom.streaming.sink import start_sink
+
+__all__ = [
+    "clean_live_stream", "clean_stream", "clean_video_stream", "decode_json",
+    "dedup_stream", "load_micro_batch", "load_streamed", "observe_nulls",
+    "run_entity_stream", "start_sink",
+]
