@@ -86,7 +86,9 @@ def audit_fill(
 ) -> DataFrame:
     """One row per filled cell: keys, field, old value (NULL), new value, reason.
 
-    All columns are looked at in one narrow pass over the unfilled frame.
+    All columns are looked at in one narrow pass over the unfilled frame.  A
+    cell that needs no fill is a NULL struct, which unfolds to a row without
+    ``Field`` inside the same fused stage and is dropped there.
     """
     new_values = {c: F.lit(v) for c, v in fills.items()}
     new_values.update(median_values(df, median_defaults or {}))
@@ -103,7 +105,7 @@ def audit_fill(
         for c, value in new_values.items()
     ]
     keys = list(keys)
-    return df.select(*keys, F.inline(F.array_compact(F.array(*cells))))
+    return df.select(*keys, F.inline(F.array(*cells))).filter(F.col("Field").isNotNull())
 
 
 def quality_gate(df: DataFrame, columns: Iterable[str]) -> DataFrame:

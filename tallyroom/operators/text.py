@@ -60,4 +60,4 @@ def audit_changes(
         for c in changes
     ]
     both = df.select(*keys, *changes, *[e.alias(f"{c}__new") for c, e in changes.items()])
-    return both.select(*keys, F.inline(F.array_compact(F.array(*cells))))
+    return both.select(*keys, F.inline(F.array(*cells))).filter(F.col("Field").isNotNull())

@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroom import operators as op
@@ -22,6 +21,7 @@ from tallyroom.sources import (
     read_entity,
     read_table,
     stamp,
+    stored_files,
     union_aligned,
     write_entity,
     write_if_any,
@@ -59,16 +59,6 @@ class Warehouse:
         write_table(df, self._name(table), mode, self.fmt, **self.options)
 
 
-def stored_files(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored Parquet folder, or None where nothing has been written yet."""
-    try:
-        return read_entity(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def ingest(
     files: list[DataFrame],
     raw_path: str,

@@ -12,21 +12,32 @@ from collections.abc import Callable
 from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tallyroom import rules as R
 from tallyroom.plans.clean import Cleaning, staging
-from tallyroom.sources import adapters, materialise
+from tallyroom.sources import adapters
+from tallyroom.sources.readers import stored_files
+from tallyroom.sources.writers import fresh_path, write_entity
 
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 _LOCK = RLock()
 
 
 def _stored(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The layer as a scan; written first if this application has not, or its files are gone."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
     with _LOCK:
-        if key not in _STORED:
-            _STORED[key] = materialise(build(), label)
-        return _STORED[key]
+        if key in _STORED:
+            path, schema = _STORED[key]
+            found = stored_files(spark, path, schema)
+            if found is not None:
+                return found
+        rows = build()
+        path = fresh_path(spark, label)
+        write_entity(rows, path)
+        _STORED[key] = (path, rows.schema)
+        return stored_files(spark, path, rows.schema)
 
 
 def raw_layer(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:

@@ -8,6 +8,7 @@ from tallyroom.sources.readers import (
     read_stream,
     read_table,
     stamp,
+    stored_files,
     union_aligned,
 )
 from tallyroom.sources.writers import (
@@ -19,6 +20,6 @@ from tallyroom.sources.writers import (
 
 __all__ = [
     "align_for_union", "conform_schema", "materialise", "read_entity",
-    "read_staged_stream", "read_stream", "read_table", "stamp",
+    "read_staged_stream", "read_stream", "read_table", "stamp", "stored_files",
     "union_aligned", "write_entity", "write_if_any", "write_table",
 ]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import signal
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,3 +41,22 @@ def start_sink(
     if trigger is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=trigger).start()
+
+
+def run_until_stopped(query: StreamingQuery) -> None:
+    """Wait for a query; on an interrupt or termination signal stop it cleanly.
+
+    A signal only raises a flag, which is looked at once a second, so the call
+    into the JVM is never cut off.  The batch in flight is not committed then,
+    and a restart from the checkpoint processes it again.
+    """
+    asked = threading.Event()
+    signals = (signal.SIGINT, signal.SIGTERM)
+    previous = [signal.signal(s, lambda *_: asked.set()) for s in signals]
+    try:
+        while not asked.is_set() and not query.awaitTermination(1):
+            pass
+    finally:
+        query.stop()
+        for number, handler in zip(signals, previous):
+            signal.signal(number, handler)
