@@ -48,6 +48,25 @@ def test_median_default(spark, values, expected):
     assert rows(filled) == Counter((expected,) if v is None else (v,) for v in values)
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 23])
+def test_median_is_exact_however_rows_are_spread(spark, partitions):
+    """A border case: half of the rows minus one lie below the median."""
+    wide = (F.hash("id") % 1_000_003).cast("bigint")
+    df = spark.range(60001).select(
+        F.when(F.col("id") < 30000, F.lit(4)).otherwise(F.lit(5)).cast("bigint").alias("a"),
+        wide.alias("b"),
+        F.when(F.col("id") % 2 == 0, wide).alias("c"),
+    )
+    values = df.collect()
+
+    def lower_median(column):
+        known = sorted(r[column] for r in values if r[column] is not None)
+        return known[(len(known) + 1) // 2 - 1]
+
+    found = op.medians(df.repartition(partitions), {"a": 1, "b": 1, "c": 1}).first()
+    assert found.asDict() == {c: lower_median(c) for c in "abc"}
+
+
 def test_fill_audit_reports_every_cell(spark):
     df = spark.createDataFrame([(1, None, None), (2, "x", 4)], "k int, s string, Age bigint")
     audit = op.audit_fill(df, ["k"], {"s": "Unknown"}, {"Age": 30})
