@@ -8,7 +8,13 @@ from tallyroom.operators.dedupe import (
     superseded,
     top_duplicates,
 )
-from tallyroom.operators.joins import anti_append, anti_ingest, lookup, missing_members
+from tallyroom.operators.joins import (
+    anti_append,
+    anti_ingest,
+    lookup,
+    missing_members,
+    within_range,
+)
 from tallyroom.operators.nulls import (
     add_typed_nulls,
     any_null,
@@ -32,5 +38,5 @@ __all__ = [
     "fill", "fill_median", "filter_valid", "format_text", "is_valid",
     "latest_by_key", "lookup", "medians", "missing_members", "null_profile",
     "quality_gate", "reject_reason", "rejects", "standardise", "superseded",
-    "top_duplicates",
+    "top_duplicates", "within_range",
 ]

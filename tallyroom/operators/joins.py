@@ -56,3 +56,18 @@ def anti_ingest(new: DataFrame, existing: DataFrame, keys: Iterable[str]) -> Dat
 def anti_append(fact: DataFrame, existing: DataFrame, key: str = "InteractionID") -> DataFrame:
     """Fact rows that are not stored yet, so that loading twice adds nothing."""
     return fact.join(existing.select(key), key, "left_anti")
+
+
+def within_range(
+    stored: DataFrame, column: str, batch: DataFrame, batch_column: str | None = None
+) -> DataFrame:
+    """Stored rows whose ``column`` lies in the range a batch covers, or is NULL.
+
+    A row id that contains the stamp can only repeat under the same stamp, so
+    an incremental load needs to compare with this range alone.  The ends are a
+    scalar subquery, which the scan of ``stored`` can use to skip files.
+    """
+    value = F.col(batch_column or column)
+    ends = batch.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("r"))
+    low, high = (ends.scalar().getField(end) for end in ("low", "high"))
+    return stored.filter(F.col(column).isNull() | F.col(column).between(low, high))

@@ -14,7 +14,7 @@ from tallyroom import operators as op
 from tallyroom import rules as R
 from tallyroom.plans import activity, marts, star
 from tallyroom.plans.clean import Cleaning
-from tallyroom.schemas import message_schema
+from tallyroom.schemas import STAMP, message_schema
 from tallyroom.sources import (
     align_for_union,
     materialise,
@@ -130,12 +130,13 @@ def load_star(
 
     spec = star.STAR_FACTS[profile]
     fact = star.build_fact(staged, spec, dims)
+    row_id, stamped = "InteractionID", STAMP
     if profile == "video_stream":
         fact = stamp(star.stream_video_layout(fact), "LOAD_TIMESTAMP")
-    key = "INTERACTIONID" if profile == "video_stream" else "InteractionID"
+        row_id, stamped = row_id.upper(), stamped.upper()
     stored = warehouse.stored(spec.table) if incremental else None
     if stored is not None:
-        fact = op.anti_append(fact, stored, key)
+        fact = op.anti_append(fact, op.within_range(stored, stamped, staged, STAMP), row_id)
     warehouse.write(fact, spec.table, "append" if incremental else "overwrite")
 
 

@@ -184,6 +184,15 @@ def test_anti_joins(spark):
     assert op.anti_append(facts, facts).isEmpty()
 
 
+def test_range_of_a_batch(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.sql("SELECT id AS t FROM range(100) UNION ALL SELECT NULL").write.parquet(path)
+    stored = spark.read.parquet(path)
+    batch = spark.createDataFrame([(40,), (42,)], "s bigint")
+    assert rows(op.within_range(stored, "t", batch, "s")) == Counter({(None,): 1, (40,): 1, (41,): 1, (42,): 1})
+    assert rows(op.within_range(stored, "t", batch.limit(0), "s")) == Counter({(None,): 1})
+
+
 # --- invariants on the given tables ---
 
 
