@@ -35,9 +35,11 @@ from pyspark.sql import functions as F
 from tallyroom.llm.common import map_batches, sampled, scores_frame, shard, values
 
 BITS = 18
-FIT_TOXIC = 3_000
-FIT_UNLABELLED = 20_000
-SHARD_TOXIC = 1_000
+FIT_TOXIC = 2_400
+FIT_UNLABELLED = 14_000
+SHARD_TOXIC = 1_200
+#: Tasks that turn the sampled texts into features.
+FIT_TASKS = 16
 ITERATIONS = 300
 RATE, L1, L2 = 0.5, 1e-3, 1e-4
 SELECT = 4.0
@@ -51,9 +53,8 @@ CACHE = 200_000
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
 
-def _ids(parts) -> np.ndarray:
-    h = np.fromiter(map(zlib.crc32, parts), np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+def _ids(parts: list[bytes]) -> list[int]:
+    return [(zlib.crc32(p) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - BITS) for p in parts]
 
 
 def _words(text: str | None) -> Counter[bytes]:
@@ -70,7 +71,7 @@ def features(text: str | None) -> np.ndarray:
         for part in _parts(word):
             counts[part] += n
     reached = [p + b"#" * i for p, n in counts.items() for i, at in enumerate(LEVELS) if n >= at]
-    return np.unique(_ids(reached)).astype(np.int32)
+    return np.unique(np.array(_ids(reached), np.int32))
 
 
 def _sigmoid(x):
@@ -123,9 +124,15 @@ def fit_nnpu(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return out
 
 
+def _featurise(batch: pa.RecordBatch) -> pa.RecordBatch:
+    ids = [features(t).tobytes() for t in values(batch, "text")]
+    at = batch.schema.get_field_index("text")
+    return batch.set_column(at, "ids", pa.array(ids, pa.binary()))
+
+
 def _fit_shard(rows: pd.DataFrame, prior: float) -> pd.DataFrame:
-    rows = rows.sort_values(["toxic", "doc_id", "text"])
-    made = [features(t) for t in rows["text"]]
+    rows = rows.sort_values(["toxic", "doc_id", "ids"])
+    made = [np.frombuffer(b, np.int32) for b in rows["ids"]]
     is_toxic = rows["toxic"].to_numpy() == 1
     toxic = [m for m, t in zip(made, is_toxic) if t and len(m)]
     if not toxic:
@@ -159,7 +166,9 @@ def fit(
     rows = texts.join(confirmed, "doc_id").withColumn("toxic", F.lit(1)).unionByName(
         sampled(texts, "doc_id", fit_unlabelled).withColumn("toxic", F.lit(0))
     )
-    made = rows.withColumn("shard", shard("doc_id", shards)).groupBy("shard").applyInPandas(
+    spread = rows.select("doc_id", "toxic", "text").repartition(FIT_TASKS, "doc_id")
+    ready = map_batches(spread, _featurise, "doc_id long, toxic int, ids binary")
+    made = ready.withColumn("shard", shard("doc_id", shards)).groupBy("shard").applyInPandas(
         lambda pdf: _fit_shard(pdf, prior), "weights binary"
     ).collect()  # one array of fixed size per shard, FIT_TOXIC / SHARD_TOXIC of them
     if not made:
@@ -171,39 +180,37 @@ class Scorer:
     """Scores texts by a model; remembers which beginnings of a word weigh anything."""
 
     def __init__(self, model: np.ndarray | None) -> None:
-        self.model = model
-        self.words: dict[bytes, tuple[bytes, ...]] = {}
-        self.parts: dict[bytes, tuple[int, ...]] = {}
-
-    def _levels(self, part: bytes) -> tuple[int, ...]:
-        """The feature of each level; empty if the model weighs none of them."""
-        if part not in self.parts:
-            ids = tuple(_ids([part + b"#" * i for i in range(len(LEVELS))]).tolist())
-            self.parts[part] = ids if any(self.model[i] for i in ids) else ()
-        return self.parts[part]
-
-    def _look_up(self, word: bytes) -> tuple[bytes, ...]:
-        if len(self.words) >= CACHE or len(self.parts) >= CACHE:
+        self.weights = {}
+        if model is not None:
+            used = np.flatnonzero(model[:-1])
+            self.weights = dict(zip(used.tolist(), model[used].astype(float).tolist()))
+            self.bias = float(model[-1])
+        self.words: dict[bytes, tuple[tuple[int, ...], ...]] = {}
+
+    def _look_up(self, word: bytes) -> tuple[tuple[int, ...], ...]:
+        """Of each beginning that weighs anything, the features of its levels."""
+        if len(self.words) >= CACHE:
             self.words.clear()
-            self.parts.clear()
-        self.words[word] = found = tuple(p for p in _parts(word) if self._levels(p))
-        return found
+        found = []
+        for part in _parts(word):
+            ids = tuple(_ids([part + b"#" * i for i in range(len(LEVELS))]))
+            if not self.weights.keys().isdisjoint(ids):
+                found.append(ids)
+        self.words[word] = kept = tuple(found)
+        return kept
 
     def __call__(self, text: str | None) -> float:
-        if self.model is None:
+        if not self.weights:
             return 0.0
-        counts: dict[bytes, int] = {}
+        counts: dict[tuple[int, ...], int] = {}
         for word, n in _words(text).items():
             known = self.words.get(word)
             if known is None:
                 known = self._look_up(word)
             for part in known:
                 counts[part] = counts.get(part, 0) + n
-        ids = {
-            i for p, n in counts.items() for i, at in zip(self._levels(p), LEVELS) if n >= at
-        }
-        total = float(self.model[-1]) + sum(float(self.model[i]) for i in sorted(ids))
-        return float(_sigmoid(total))
+        ids = {i for part, n in counts.items() for i, at in zip(part, LEVELS) if n >= at}
+        return float(_sigmoid(self.bias + sum(self.weights.get(i, 0.0) for i in sorted(ids))))
 
 
 def score(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
