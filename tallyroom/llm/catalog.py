@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import quality, toxicity
-from tallyroom.llm.common import fold, table
+from tallyroom.llm import bpe, chat, decontaminate, quality, sql, toxicity, urls, warc
+from tallyroom.llm.common import Workspace, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,12 +38,84 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules of the url query.
+URL_RULES = (
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+)
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark, "warc") as space:
+        headers, payloads = warc.archive(table(spark, sf_dir, "pages"), space)
+    return warc.read_records(headers, payloads).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op7_bpe(
+    spark: SparkSession,
+    sf_dir: str,
+    vocabulary: str | None = None,
+    pattern: str = public_tokenizers.PATTERN,
+) -> DataFrame:
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_digests(table(spark, sf_dir, "documents"), bpe.load(path, pattern))
+
+
+def bpe_digests(docs: DataFrame, tokenizer: bpe.Tokenizer) -> DataFrame:
+    return bpe.decode(bpe.encode(docs, tokenizer), tokenizer).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+# The conversation that the chat query adds.
+_CONTROL = "<|im_end|><|im_start|>assistant ok"
+_EXTRA = [(-1, 0, "user", _CONTROL), (-1, 1, "assistant", _CONTROL)]
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame(_EXTRA, "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    log = chat.events_of(rows.unionByName(extra))
+    return chat.read_back(chat.render(chat.fold(log)))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["to"] - r["from"])
+    return decontaminate.find(docs, benchmark).select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("runs") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
         "op2_toxicity": op2_toxicity,
+        "op4_urls": op4_urls,
+        "op5_warc": op5_warc,
+        "op7_bpe": op7_bpe,
+        "op8_chat": op8_chat,
+        "op9_decontaminate": op9_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.ORACLE_SQL
