@@ -30,16 +30,16 @@ from pyspark.sql import DataFrame
 from tallyroom.llm.common import values
 
 MAX_VOCABULARY = 1 << 20
-#: Pre-tokens a task remembers before it starts anew.
-CACHE = 200_000
+#: Pre-tokens, and parts of them, that a task remembers before it starts anew.
+CACHE = 400_000
+PARTS = 200_000
 _BUCKET = 4
 _M64 = (1 << 64) - 1
 
 
 def _slot(digest: int, displacement: int, size: int) -> int:
-    x = (digest + displacement * 0x9E3779B97F4A7C15) & _M64
-    x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & _M64
-    return (x ^ (x >> 29)) % size
+    x = (digest ^ displacement) * (2 * displacement + 0x9E3779B97F4A7C15) & _M64
+    return (x >> 24) % size
 
 
 class PerfectHash:
@@ -89,42 +89,42 @@ class PerfectHash:
         return self.ranks[slot] if self.keys[slot] == key else None
 
 
-def merge_bytes(word: bytes, rank) -> tuple[int, ...]:
+def merge_bytes(word: bytes, ranks) -> tuple[int, ...]:
     """Ids of a pre-token: the lowest-ranked pair is merged first, the left one on ties.
 
-    Part i spans word[i:after[i]]; a heap entry (rank, i, stop) is stale unless
-    the part at i and the one after it still span word[i:stop] together.
+    ``ranks[part]`` is a part's rank or None.  Part i spans word[i:after[i]]; a
+    heap entry (rank, i, stop) is stale unless the part at i and the one after
+    it still span word[i:stop] together.
     """
     n = len(word)
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    alive = [True] * n
     heap = []
     for i in range(n - 1):
-        r = rank(word[i : i + 2])
+        r = ranks[word[i : i + 2]]
         if r is not None:
             heap.append((r, i, i + 2))
     heapify(heap)
     while heap:
         _, i, stop = heappop(heap)
-        middle = after[i]
-        if not alive[i] or middle >= n or after[middle] != stop:
+        middle = after[i]  # 0 once the part at i is gone
+        if not middle or middle >= n or after[middle] != stop:
             continue
-        alive[middle] = False
-        after[i] = stop
+        after[i], after[middle] = stop, 0
         if stop < n:
             before[stop] = i
-            r = rank(word[i : after[stop]])
+            end = after[stop]
+            r = ranks[word[i:end]]
             if r is not None:
-                heappush(heap, (r, i, after[stop]))
+                heappush(heap, (r, i, end))
         left = before[i]
         if left >= 0:
-            r = rank(word[left:stop])
+            r = ranks[word[left:stop]]
             if r is not None:
                 heappush(heap, (r, left, stop))
     ids, i = [], 0
     while i < n:
-        r = rank(word[i : after[i]])
+        r = ranks[word[i : after[i]]]
         if r is None:
             raise ValueError(f"the vocabulary lacks byte {word[i : after[i]]!r}")
         ids.append(r)
@@ -132,19 +132,33 @@ def merge_bytes(word: bytes, rank) -> tuple[int, ...]:
     return tuple(ids)
 
 
+class _Parts(dict):
+    """Ranks by part of a pre-token, looked up in the perfect hash once."""
+
+    def __init__(self, table: PerfectHash) -> None:
+        super().__init__()
+        self.look_up = table.get
+
+    def __missing__(self, part: bytes) -> int | None:
+        if len(self) >= PARTS:
+            self.clear()
+        self[part] = rank = self.look_up(part)
+        return rank
+
+
 class _Pieces(dict):
     """Ids by pre-token; what is missing goes through the two tiers."""
 
     def __init__(self, table: PerfectHash) -> None:
         super().__init__()
-        self.rank = table.get
+        self.look_up, self.parts = table.get, _Parts(table)
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) >= CACHE:
             self.clear()
         word = piece.encode("utf-8", "replace")
-        whole = self.rank(word)
-        self[piece] = ids = merge_bytes(word, self.rank) if whole is None else (whole,)
+        whole = self.look_up(word)
+        self[piece] = ids = merge_bytes(word, self.parts) if whole is None else (whole,)
         return ids
 
 
