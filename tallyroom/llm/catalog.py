@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import bpe, chat, decontaminate, quality, sql, toxicity, urls, warc
+from tallyroom.llm import bpe, chat, decontaminate, hamming, quality, sql, toxicity, urls, warc
 from tallyroom.llm.common import Workspace, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NEIGHBOURS = 10
+
+
+def op10_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = F.col("vec_id") % 50 == 0
+    with Workspace(spark, "hamming") as space:
+        return hamming.search(table(spark, sf_dir, "embeddings"), asked, NEIGHBOURS, space)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -114,6 +123,7 @@ def queries() -> dict[str, Query]:
         "op7_bpe": op7_bpe,
         "op8_chat": op8_chat,
         "op9_decontaminate": op9_decontaminate,
+        "op10_hamming": op10_hamming,
     }
 
 

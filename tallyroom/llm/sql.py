@@ -60,8 +60,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)"""
 
+HAMMING = """
+WITH c AS (
+  SELECT vec_id, list_transform(range(1, 65), lambda i: coalesce(embedding[i] > 0 AND NOT isnan(embedding[i]), false)) AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), p AS (
+  SELECT q.vec_id AS query_id, n.vec_id AS neighbour_id,
+    CAST(len(list_filter(range(1, 65), lambda i: q.code[i] <> n.code[i])) AS BIGINT) AS distance
+  FROM c q JOIN c n ON q.vec_id <> n.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS INTEGER) AS rank,
+  neighbour_id, distance
+FROM p QUALIFY rank <= 10"""
+
 ORACLE_SQL = {
     "op5_warc": WARC,
     "op8_chat": CHAT,
     "op9_decontaminate": DECONTAMINATE,
+    "op10_hamming": HAMMING,
 }
