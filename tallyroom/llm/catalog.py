@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import bpe, chat, decontaminate, hamming, quality, sql, toxicity, urls, warc
+from tallyroom.llm import bpe, chat, decontaminate, hamming, lm, quality, sql, toxicity, urls, warc
 from tallyroom.llm.common import Workspace, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2
+    with Workspace(spark, "lm") as space:
+        return space.keep(lm.score(lm.fit(docs, held, space)))
+
+
 # The rules of the url query.
 URL_RULES = (
     ("block", "net/"),
@@ -118,6 +124,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
         "op2_toxicity": op2_toxicity,
+        "op3_lm": op3_lm,
         "op4_urls": op4_urls,
         "op5_warc": op5_warc,
         "op7_bpe": op7_bpe,
