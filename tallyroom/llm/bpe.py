@@ -16,9 +16,10 @@ decodes to no bytes; an unknown id fails.  Other columns are ignored.
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import islice
 from operator import itemgetter
 
 import numpy as np
@@ -30,11 +31,13 @@ from pyspark.sql import DataFrame
 from tallyroom.llm.common import values
 
 MAX_VOCABULARY = 1 << 20
-#: Pre-tokens, and parts of them, that a task remembers before it starts anew.
-CACHE = 400_000
+#: Pre-tokens that a worker remembers; when full, the later half is forgotten, since
+#: frequent ones come early.  Parts of them are forgotten altogether.
+CACHE = 700_000
 PARTS = 200_000
 _BUCKET = 4
 _M64 = (1 << 64) - 1
+_NEXT, _LAST = list(range(1, 65)), list(range(-1, 63))
 
 
 def _slot(digest: int, displacement: int, size: int) -> int:
@@ -89,47 +92,50 @@ class PerfectHash:
         return self.ranks[slot] if self.keys[slot] == key else None
 
 
-def merge_bytes(word: bytes, ranks) -> tuple[int, ...]:
+def merge_bytes(word: bytes, ranks, pairs, single) -> list[int]:
     """Ids of a pre-token: the lowest-ranked pair is merged first, the left one on ties.
 
-    ``ranks[part]`` is a part's rank or None.  Part i spans word[i:after[i]]; a
-    heap entry (rank, i, stop) is stale unless the part at i and the one after
-    it still span word[i:stop] together.
+    ``ranks[part]`` is a part's rank or None; ``pairs[a, b]`` and ``single[a]``
+    are those of two bytes and of one.  Part i spans word[i:after[i]].  A heap
+    entry packs (rank, i, stop) into one integer; it is stale unless the part at
+    i and the one after it still span word[i:stop] together.
     """
     n = len(word)
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        r = ranks[word[i : i + 2]]
-        if r is not None:
-            heap.append((r, i, i + 2))
+    after = _NEXT[:n] if n < len(_NEXT) else list(range(1, n + 1))
+    before = _LAST[:n] if n < len(_LAST) else list(range(-1, n - 1))
+    ids = list(map(single.__getitem__, word))
+    shift = n.bit_length()
+    mask, far = (1 << shift) - 1, 2 * shift
+    step = (1 << shift) + 1
+    heap = [
+        r << far | i * step + 2
+        for i, r in enumerate(map(pairs.__getitem__, zip(word, word[1:])))
+        if r is not None
+    ]
     heapify(heap)
     while heap:
-        _, i, stop = heappop(heap)
+        entry = heappop(heap)
+        i, stop = entry >> shift & mask, entry & mask
         middle = after[i]  # 0 once the part at i is gone
         if not middle or middle >= n or after[middle] != stop:
             continue
         after[i], after[middle] = stop, 0
+        ids[i], ids[middle] = entry >> far, -1
         if stop < n:
             before[stop] = i
             end = after[stop]
             r = ranks[word[i:end]]
             if r is not None:
-                heappush(heap, (r, i, end))
+                heappush(heap, r << far | i << shift | end)
         left = before[i]
         if left >= 0:
             r = ranks[word[left:stop]]
             if r is not None:
-                heappush(heap, (r, left, stop))
-    ids, i = [], 0
-    while i < n:
-        r = ranks[word[i : after[i]]]
-        if r is None:
-            raise ValueError(f"the vocabulary lacks byte {word[i : after[i]]!r}")
-        ids.append(r)
-        i = after[i]
-    return tuple(ids)
+                heappush(heap, r << far | left << shift | stop)
+    made = [x for x in ids if x != -1]
+    if None in made:
+        raise ValueError(f"the vocabulary lacks a byte of {word!r}")
+    return made
 
 
 class _Parts(dict):
@@ -147,19 +153,26 @@ class _Parts(dict):
 
 
 class _Pieces(dict):
-    """Ids by pre-token; what is missing goes through the two tiers."""
+    """Ids, as bytes of 32-bit integers, by pre-token; what is missing goes through both tiers."""
 
     def __init__(self, table: PerfectHash) -> None:
         super().__init__()
         self.look_up, self.parts = table.get, _Parts(table)
+        self.single = [table.get(bytes([a])) for a in range(256)]
+        self.pairs = {(a, b): table.get(bytes((a, b))) for a in range(256) for b in range(256)}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE:
-            self.clear()
+            for late in list(islice(self, CACHE // 2, None)):
+                del self[late]
         word = piece.encode("utf-8", "replace")
         whole = self.look_up(word)
-        self[piece] = ids = merge_bytes(word, self.parts) if whole is None else (whole,)
-        return ids
+        if whole is None:
+            ids = merge_bytes(word, self.parts, self.pairs, self.single)
+        else:
+            ids = [whole]
+        self[piece] = made = array("i", ids).tobytes()
+        return made
 
 
 class Tokenizer:
@@ -184,8 +197,9 @@ class Tokenizer:
         self.__dict__.update(state)
         self._ready()
 
-    def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text or ""))))
+    def encode(self, text: str | None) -> np.ndarray:
+        """The ids of a text, 32-bit integers."""
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text or ""))), np.int32)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -211,7 +225,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
         for batch in batches:
             ids = [sent.value.encode(t) for t in values(batch, "text")]
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+            flat = np.concatenate([np.empty(0, np.int32), *ids])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64()),

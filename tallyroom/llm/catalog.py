@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import bpe, chat, decontaminate, hamming, lm, quality, sql, toxicity, urls, warc
+from tallyroom.llm import bpe, chat, decontaminate, hamming, jaccard, lm, quality, sql, toxicity, urls, warc
 from tallyroom.llm.common import Workspace, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark, "jaccard") as space:
+        return space.keep(jaccard.classes(table(spark, sf_dir, "documents"), space))
+
+
 def op7_bpe(
     spark: SparkSession,
     sf_dir: str,
@@ -127,6 +132,7 @@ def queries() -> dict[str, Query]:
         "op3_lm": op3_lm,
         "op4_urls": op4_urls,
         "op5_warc": op5_warc,
+        "op6_jaccard": op6_jaccard,
         "op7_bpe": op7_bpe,
         "op8_chat": op8_chat,
         "op9_decontaminate": op9_decontaminate,
