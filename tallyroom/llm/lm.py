@@ -1,10 +1,11 @@
 """Hidden Markov language model: Baum-Welch over Spark partitions, exact scoring.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z lower-cased, and one
-end token.  A first pass turns the documents into blocks of about
-``BLOCK_CHARS`` characters with local word numbers, and stores them.  The words
-of all blocks are counted by a shuffle on the word, so the vocabulary may be of
-any size; no task and not the driver holds it.
+end token.  A first pass turns the documents
+into blocks of about ``BLOCK_CHARS`` characters with word numbers of their own,
+and stores them.  The (word, block) pairs are shuffled by word once, which counts
+the words, and their counts and classes go back to the blocks; so the vocabulary
+may be of any size, and no task and not the driver holds it.
 
 The model: hidden states with transitions; a state emits a word class; a class
 emits a word by its count plus one.  A word with at least ``1 / MAX_FREQUENT`` of
@@ -19,8 +20,7 @@ Each Baum-Welch round scans the blocks, runs the scaled forward-backward
 recursion over pieces of at most ``PIECE`` tokens of all training documents, and
 sums the expected counts of the tasks in two steps (streaming, by slice of
 classes).  Scores come from one scaled forward recursion over each whole
-document, from its first word to its end.  Counts of rare words reach a block by
-a join on the word; frequent ones come with the model.
+document, from its first word to its end.
 
 Defined results: NULL and empty texts are the end token alone; NULL ids are
 scored like others (and train, as fold 0); repeated rows count and are scored
@@ -29,24 +29,25 @@ once each; without training rows every token is unknown and scores 0.0.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyroom.llm.common import Workspace
 
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 6_000_000
 STATES = 8
 ROUNDS = 5
 PIECE = 256
-MAX_FREQUENT = 1 << 16
-SHARED_CLASSES = 1 << 15
+MAX_FREQUENT = 1 << 14
+SHARED_CLASSES = 1 << 13
 #: Bytes of a rare word that choose its class.
 STEM = 4
 #: Pseudo-counts: of the class distribution in each state, of transitions.
@@ -56,6 +57,14 @@ _SALTS = 16
 
 _END, _UNKNOWN = 0, 1
 
+def _pack(numbers: np.ndarray) -> bytes:
+    return zstandard.compress(numbers.astype(np.int32).tobytes(), 1)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.int32)
+
+
 _BLOCK_DDL = (
     "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, ids binary, "
     "vocab array<binary>, counts array<long>"
@@ -78,8 +87,8 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trains = np.repeat(~np.array(held), sizes)
         counts = np.bincount(flat[trains], minlength=len(vocab))
         row = [
-            [(task << 32) + number], [doc_ids], [held], [sizes], [flat.tobytes()],
-            [list(vocab)], [counts.tolist()],
+            [(task << 32) + number], [doc_ids], [held], [sizes], [_pack(flat)],
+            [list(vocab)], [counts],
         ]
         types = [
             pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()),
@@ -107,48 +116,22 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    frequent: dict[bytes, tuple[int, int]]  # word -> (class, count)
-    shared_weight: np.ndarray  # per shared class the sum of (count + 1) of its words
-    n_tokens: int
-    n_types: int
-    n_ends: int
     start: np.ndarray  # distribution of a document's first state
     again: np.ndarray  # distribution of the first state of a later piece
     step: np.ndarray
     emit: np.ndarray  # classes x states, float32
 
-    @property
-    def first_shared(self) -> int:
-        return 2 + len(self.frequent)
-
-    def class_of(self, word: bytes) -> int:
-        known = self.frequent.get(word)
-        if known is not None:
-            return known[0]
-        return self.first_shared + zlib.crc32(word[:STEM]) % SHARED_CLASSES
-
-
-def _new_model(
-    frequent: list[tuple[bytes, int]], shared: dict[int, tuple[int, int]],
-    n_tokens: int, n_types: int, n_ends: int, states: int,
-) -> tuple[Model, np.ndarray]:
-    """A model whose states differ by seeded noise, and the class counts."""
-    words = {bytes(w): (2 + i, c) for i, (w, c) in enumerate(sorted(frequent))}
-    weight, mass = np.ones(SHARED_CLASSES), np.zeros(SHARED_CLASSES)
-    for i, (counted, plus) in shared.items():
-        mass[i], weight[i] = counted, plus
-    counts = np.concatenate([[n_ends, 0], [c for _, c in words.values()], mass])
+
+def _first_model(counts: np.ndarray, unknown: float, states: int) -> Model:
+    """States that differ by seeded noise."""
     noise = np.exp(np.random.default_rng(0).normal(0, 1.0, (len(counts), states)))
     step = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
     flat = np.full(states, 1 / states)
-    model = Model(words, weight, n_tokens, n_types, n_ends, flat, flat, step, np.empty(0))
-    model.emit = _emission(model, counts, counts[:, None] * noise)
-    return model, counts
+    return Model(flat, flat, step, _emission(counts, unknown, counts[:, None] * noise))
 
 
-def _emission(model: Model, counts: np.ndarray, expected: np.ndarray) -> np.ndarray:
+def _emission(counts: np.ndarray, unknown: float, expected: np.ndarray) -> np.ndarray:
     """Class probabilities per state, smoothed by the corpus, beside the unknown class."""
-    unknown = 1 / (model.n_tokens + model.n_types + 1)
     corpus = (counts / max(1, counts.sum()))[:, None]
     sums = expected.sum(axis=0) + PRIOR_MASS
     emit = (expected + PRIOR_MASS * corpus) / sums * (1 - unknown)
@@ -222,20 +205,6 @@ def expectations(
     return emitted, moves, opened[opens].sum(axis=0), opened[~opens].sum(axis=0)
 
 
-def _classes(
-    model: Model, row: dict, of_word: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class sequence of all documents of a block, each with its end; starts and sizes."""
-    sizes = np.array(row["sizes"], np.int64) + 1
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    flat = np.full(int(sizes.sum()), _END if model.n_ends else _UNKNOWN, np.int64)
-    is_word = np.ones(len(flat), bool)
-    is_word[starts + sizes - 1] = False
-    ids = np.frombuffer(row["ids"], np.int32)
-    flat[is_word] = of_word[ids]
-    return flat, starts, sizes
-
-
 def _pieces(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sequences cut to at most PIECE tokens: starts, sizes, and which open a document."""
     n = -(-sizes // PIECE)
@@ -261,24 +230,22 @@ def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _round(blocks: DataFrame, model: Model, counts: np.ndarray) -> Model:
+def _round(coded: DataFrame, model: Model, counts: np.ndarray, unknown: float) -> Model:
     """One Baum-Welch round over all training documents."""
-    sent = blocks.sparkSession.sparkContext.broadcast(model)
+    sent = coded.sparkSession.sparkContext.broadcast(model)
     states = len(model.start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         emitted = np.zeros((len(own.emit), states))
         rest = np.zeros((states + 2, states))
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                of_word = np.array([own.class_of(w) for w in row["vocab"]], np.int64)
-                flat, starts, sizes = _classes(own, row, of_word)
-                trains = ~np.array(row["held"], bool)
-                if not trains.any():
-                    continue
-                e, moves, opened, later = expectations(own, flat, *_pieces(starts[trains], sizes[trains]))
+        for held, sizes, classes in _rows(batches):
+            trains = ~held
+            if trains.any():
+                starts = np.cumsum(sizes) - sizes
+                e, moves, opened, later = expectations(
+                    own, classes, *_pieces(starts[trains], sizes[trains])
+                )
                 emitted += e
                 rest += np.concatenate([moves, [opened], [later]])
         parts = [(-1, rest)]
@@ -293,7 +260,7 @@ def _round(blocks: DataFrame, model: Model, counts: np.ndarray) -> Model:
         )
 
     summed = (
-        blocks.select("held", "sizes", "ids", "vocab")
+        coded.select("held", "sizes", "classes")
         .mapInArrow(run, "part int, data binary, salt int")
         .repartition("part", "salt")
         .select("part", "data")
@@ -307,19 +274,27 @@ def _round(blocks: DataFrame, model: Model, counts: np.ndarray) -> Model:
     expected = np.concatenate([arrays[i] for i in sorted(arrays)])
     moves, opened, later = rest[:states] + PRIOR_STEP, rest[states] + 1, rest[states + 1] + 1
     return Model(
-        model.frequent, model.shared_weight, model.n_tokens, model.n_types, model.n_ends,
         opened / opened.sum(), later / later.sum(), moves / moves.sum(axis=1, keepdims=True),
-        _emission(model, counts, expected),
+        _emission(counts, unknown, expected),
     )
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for held, sizes, classes in zip(*(batch.column(i) for i in range(3))):
+            yield (
+                held.values.to_numpy(zero_copy_only=False),
+                sizes.values.to_numpy().astype(np.int64),
+                _unpack(classes.as_py()),
+            )
+
+
 @dataclass
 class Fitted:
-    """Stored blocks and word counts with the model that was trained on them."""
+    """The documents as class sequences, with the model that was trained on them."""
 
-    blocks: DataFrame
-    words: DataFrame  # word, c
-    least_frequent: int
+    coded: DataFrame
+    n_tokens: int
     model: Model
 
 
@@ -330,90 +305,139 @@ def fit(
     blocks = space.step(
         docs.select("doc_id", "text", held.alias("held")).mapInArrow(_block_rows, _BLOCK_DDL)
     )
+    trains = F.filter(F.arrays_zip("held", "sizes"), lambda d: ~d["held"])
+    size = blocks.select(
+        F.size(trains).cast("long").alias("ends"),
+        F.aggregate(trains, F.lit(0).cast("long"), lambda n, d: n + d["sizes"]).alias("words"),
+    ).agg(F.coalesce(F.sum("ends"), F.lit(0)).alias("ends"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
+    n_ends, n_tokens = int(size["ends"]), int(size["ends"]) + int(size["words"])
+    least = max(2, -(-n_tokens // MAX_FREQUENT))
+
+    # Every word of every block with its count over all blocks; one row a word is its first.
+    of_word = W.partitionBy("word")
     words = space.step(
-        blocks.select(F.explode(F.arrays_zip("vocab", "counts")).alias("w"))
-        .where("w.counts > 0")
-        .groupBy(F.col("w.vocab").alias("word"))
-        .agg(F.sum("w.counts").alias("c"))
+        blocks.select("block", F.posexplode(F.arrays_zip("vocab", "counts")).alias("place", "w"))
+        .select("block", "place", F.col("w.vocab").alias("word"), F.col("w.counts").alias("here"))
+        .withColumns(
+            {
+                "c": F.sum("here").over(of_word),
+                "first": F.row_number().over(of_word.orderBy("block", "place")) == 1,
+                "stem": (F.crc32(F.substring("word", 1, STEM)) % SHARED_CLASSES).cast("int"),
+            }
+        )
+        .select(
+            "block", "place", "c", "first", "stem",
+            F.when(F.col("c") >= least, F.col("word")).alias("word"),
+        )
     )
-    sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    ends = blocks.agg(
-        F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0)).alias("n")
-    ).first()
-    n_ends = int(ends["n"])
-    n_tokens, n_types = int(sums["n"]) + n_ends, int(sums["v"]) + (n_ends > 0)
-    least = max(2, -(-n_tokens // MAX_FREQUENT))
-    frequent = [(r["word"], r["c"]) for r in words.where(F.col("c") >= least).collect()]
-    shared = {
-        r["i"]: (r["c"], r["plus"])
-        for r in words.where(F.col("c") < least)
-        .groupBy((F.crc32(F.substring("word", 1, STEM)) % SHARED_CLASSES).alias("i"))
-        .agg(F.sum("c").alias("c"), F.sum(F.col("c") + 1).alias("plus"))
+    known = words.where("first AND c > 0")
+    n_types = known.count() + (n_ends > 0)
+    frequent = sorted((bytes(r["word"]), r["c"]) for r in known.where(F.col("c") >= least).collect())
+    shared = (
+        known.where(F.col("c") < least)
+        .groupBy("stem")
+        .agg(F.sum("c").alias("c"), F.count("*").alias("words"))
         .collect()  # SHARED_CLASSES rows at most
-    }
-    model, counts = _new_model(frequent, shared, n_tokens, n_types, n_ends, states)
-    if n_ends:
-        for _ in range(rounds):
-            model = _round(blocks, model, counts)
-    return Fitted(blocks, words, least, model)
-
-
-def _score_block(model: Model, row: dict) -> pa.RecordBatch:
-    frequent = [model.frequent.get(w, (_UNKNOWN, 0)) for w in row["vocab"]]
-    of_word = np.array([f[0] for f in frequent], np.int64)
-    c = np.array([f[1] for f in frequent], np.int64)
-    own = np.zeros(len(c))  # log10 of the word's probability in its class
-    for place, count in row["rare"]:
-        c[place], of_word[place] = count, model.class_of(row["vocab"][place])
-        own[place] = np.log10((count + 1) / model.shared_weight[of_word[place] - model.first_shared])
-    flat, starts, sizes = _classes(model, row, of_word)
-    chain = forward(model, flat, starts, sizes)
-    ids = np.frombuffer(row["ids"], np.int32)
-    doc = np.repeat(np.arange(len(sizes)), sizes - 1)
-    floor = model.n_tokens + model.n_types + 1
-    base = np.bincount(doc, np.log10((c + 1) / floor)[ids], len(sizes))
-    base += np.log10((model.n_ends + 1) / floor)
-    known = np.bincount(doc, (c > 0)[ids], len(sizes)).astype(np.int64) + (model.n_ends > 0)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(row["doc_ids"], pa.int64()),
-            pa.array(row["held"], pa.bool_()),
-            pa.array(sizes, pa.int64()),
-            pa.array(known, pa.int64()),
-            pa.array(np.full(len(sizes), model.n_tokens), pa.int64()),
-            pa.array(base, pa.float64()),
-            pa.array(chain + np.bincount(doc, own[ids], len(sizes)), pa.float64()),
-        ],
-        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     )
-
-
-def score(fitted: Fitted) -> DataFrame:
-    """Per document: held_out, token counts, base score and the model's log10 probability."""
-    frequent = F.col("c") >= fitted.least_frequent
-    places = fitted.blocks.select(
-        "block", F.posexplode("vocab").alias("place", "word")
-    ).join(  # at most MAX_FREQUENT words
-        F.broadcast(fitted.words.where(frequent).select("word")), "word", "left_anti"
+    mass, types = np.zeros(SHARED_CLASSES), np.zeros(SHARED_CLASSES)
+    for row in shared:
+        mass[row["stem"]], types[row["stem"]] = row["c"], row["words"]
+    counts = np.concatenate([[n_ends, 0], [c for _, c in frequent], mass])
+
+    # At most MAX_FREQUENT words have a class of their own.
+    own_class = docs.sparkSession.createDataFrame(
+        [(w, i + 2) for i, (w, _) in enumerate(frequent)], "word binary, class int"
     )
-    rare = (
-        places.join(fitted.words.where(~frequent), "word")
+    shared_class = F.when(F.col("c") > 0, F.col("stem") + (2 + len(frequent))).otherwise(_UNKNOWN)
+    by_block = (
+        words.join(F.broadcast(own_class), "word", "left")
+        .select("block", F.struct("place", F.coalesce("class", shared_class).alias("class"), "c").alias("w"))
         .groupBy("block")
-        .agg(F.collect_list(F.struct("place", "c")).alias("rare"))  # the words of a block
+        .agg(F.collect_list("w").alias("words"))  # the words of a block
     )
-    rows = fitted.blocks.select("block", "doc_ids", "held", "sizes", "ids", "vocab").join(
-        rare, "block", "left"
+    coded = space.step(
+        blocks.select("block", "doc_ids", "held", "sizes", "ids")
+        .join(by_block, "block", "left")
+        .select("doc_ids", "held", "sizes", "ids", "words")
+        .mapInArrow(_coder(n_tokens, n_types, n_ends, 2 + len(frequent), mass + types), _CODED_DDL)
     )
-    sent = rows.sparkSession.sparkContext.broadcast(fitted.model)
+    unknown = 1 / (n_tokens + n_types + 1)
+    model = _first_model(counts, unknown, states)
+    if n_ends:
+        for _ in range(rounds):
+            model = _round(coded, model, counts, unknown)
+    return Fitted(coded, n_tokens, model)
+
+
+_CODED_DDL = (
+    "held array<boolean>, sizes array<int>, classes binary, doc_ids array<long>, "
+    "known array<long>, base array<double>, within array<double>"
+)
+
+
+def _coder(n_tokens: int, n_types: int, n_ends: int, first_shared: int, weight: np.ndarray):
+    """Blocks as class sequences, each document with its end, and what the classes leave out.
+
+    ``weight`` is the sum of (count + 1) over the words of each shared class; ``within`` the
+    log10 probability of a document's words in their classes.
+    """
+    floor = n_tokens + n_types + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                row["rare"] = [(r["place"], r["c"]) for r in row["rare"] or ()]
-                yield _score_block(sent.value, row)
+            for doc_ids, held, sizes, ids, words in zip(*batch.columns):
+                sizes = sizes.values.to_numpy().astype(np.int64)
+                ids = _unpack(ids.as_py())
+                classes, c = np.zeros(0, np.int32), np.zeros(0, np.int64)
+                if words.is_valid:
+                    place, kind, count = (f.to_numpy() for f in words.values.flatten())
+                    classes, c = np.empty(len(place), np.int32), np.empty(len(place), np.int64)
+                    classes[place], c[place] = kind, count
+                within = np.zeros(len(c))
+                rare = classes >= first_shared
+                within[rare] = np.log10((c[rare] + 1) / weight[classes[rare] - first_shared])
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                flat = np.full(len(ids) + len(sizes), _END if n_ends else _UNKNOWN, np.int32)
+                is_word = np.ones(len(flat), bool)
+                is_word[np.cumsum(sizes + 1) - 1] = False
+                flat[is_word] = classes[ids]
+                base = np.bincount(doc, np.log10((c + 1) / floor)[ids], len(sizes))
+                known = np.bincount(doc, (c > 0)[ids], len(sizes)).astype(np.int64)
+                row = [
+                    [held.values], [sizes + 1], [_pack(flat)], [doc_ids.values], [known + (n_ends > 0)],
+                    [base + np.log10((n_ends + 1) / floor)], [np.bincount(doc, within[ids], len(sizes))],
+                ]
+                types = [
+                    pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()),
+                    pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64()),
+                ]
+                names = [part.split()[0] for part in _CODED_DDL.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
+
+    return run
 
-    return rows.mapInArrow(
+
+def score(fitted: Fitted) -> DataFrame:
+    """Per document: held_out, token counts, base score and the model's log10 probability."""
+    sent = fitted.coded.sparkSession.sparkContext.broadcast(fitted.model)
+    n_tokens = fitted.n_tokens
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = list(zip(*(batch.column(i) for i in range(3, 7))))
+            for i, (held, sizes, classes) in enumerate(_rows(iter([batch]))):
+                doc_ids, known, base, within = (x.values for x in rest[i])
+                chain = forward(sent.value, classes, np.cumsum(sizes) - sizes, sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        doc_ids, pa.array(held), pa.array(sizes), known,
+                        pa.array(np.full(len(sizes), n_tokens)), base,
+                        pa.array(chain + within.to_numpy()),
+                    ],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+
+    return fitted.coded.mapInArrow(
         run,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double",
