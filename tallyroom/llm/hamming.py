@@ -128,14 +128,18 @@ def search(
     for radius in range(max(w for _, w in segments) + 1):
         probes = _pieces(open_codes, segments, radius)
         xor = F.col("asked").bitwiseXOR(F.col("code"))
+        # Few stored codes make many probes: Spark must not take them for a small side.
         found = (
             probes.withColumnRenamed("code", "asked")
+            .hint("merge")
             .join(index, ["segment", "value"])
             .where(_first_least(xor, segments, radius))
             .select("asked", "code", F.bit_count(xor).cast("long").alias("distance"))
         )
         # With a distance, codes by their smallest id: k + 1 codes hold k + 1 nearest ids.
-        found = found.join(members.select("code", F.col("ids")[0].alias("least")), "code")
+        found = found.hint("merge").join(
+            members.select("code", F.col("ids")[0].alias("least")), "code"
+        )
         if best is not None:
             found = found.unionByName(best.join(open_codes.withColumnRenamed("code", "asked"), "asked", "left_semi"))
         best = space.step(
