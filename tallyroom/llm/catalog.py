@@ -72,14 +72,14 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
         return space.keep(jaccard.classes(table(spark, sf_dir, "documents"), space))
 
 
-def op7_bpe(
-    spark: SparkSession,
-    sf_dir: str,
-    vocabulary: str | None = None,
-    pattern: str = public_tokenizers.PATTERN,
-) -> DataFrame:
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe_digests(table(spark, sf_dir, "documents"), bpe.load(path, pattern))
+def default_tokenizer(
+    vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN
+) -> bpe.Tokenizer:
+    return bpe.load(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"), default_tokenizer(vocabulary))
 
 
 def bpe_digests(docs: DataFrame, tokenizer: bpe.Tokenizer) -> DataFrame:
@@ -125,6 +125,12 @@ def op10_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
         return hamming.search(table(spark, sf_dir, "embeddings"), asked, NEIGHBOURS, space)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # beside the package; it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -137,6 +143,7 @@ def queries() -> dict[str, Query]:
         "op8_chat": op8_chat,
         "op9_decontaminate": op9_decontaminate,
         "op10_hamming": op10_hamming,
+        "pipeline": pipeline,
     }
 
 

@@ -40,7 +40,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyroom.llm.common import Workspace
@@ -127,7 +128,7 @@ def _segments(s: np.ndarray) -> list[np.ndarray]:
         at = (s >> _U32) * np.uint64(2 * largest) >> _U32
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         sums = np.add.reduceat(_mix(s), first)
-        out.append(_mix(sums + _FACTORS[0] * at[first] + _FACTORS[1] * np.uint64(band + 1)))
+        out.append(_mix(sums + _FACTORS[0] * at[first] + np.uint64(0xB5297A4D3F84 * (band + 1))))
     return out
 
 
@@ -359,35 +360,57 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(out)
 
 
-def classes(docs: DataFrame, space: Workspace) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
+def _id() -> Column:
+    """The doc_id, or a large number that stands for the text."""
     spare = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(NO_ID)) + F.lit(NO_ID)
-    doc_id = F.col("doc_id").cast("long")
-    texts = docs.select(F.coalesce(doc_id, spare).alias("id"), doc_id.alias("doc_id"), "text")
+    return F.coalesce(F.col("doc_id").cast("long"), spare)
 
-    # One row per document, and which signatures are frequent.
-    profile = space.step(texts.mapInArrow(_profile, _PROFILE_DDL))
-    rows = profile.where("id IS NOT NULL").select("id", "doc_id", "n", "node", "shared")
-    heavy = _heavy(profile.where("sig IS NOT NULL").groupBy("sig").agg(F.sum("times").alias("times")), space)
-    owners = space.step(
-        rows.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.min("shared").alias("shared"))
-    )
-    reps = space.step(rows.where("n > 0").select("id", "node").distinct().join(owners, "node").select("id", "node", "rep", "n", "shared"))
 
-    # Signatures that several texts share.
-    sent = docs.sparkSession.sparkContext.broadcast(heavy)  # MAX_HEAVY entries at most
-    listed = texts.select("id", "text").mapInArrow(
-        lambda batches: _list_signatures(sent.value)(batches), "sig long, id long"
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(_id().alias("id"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def classes(docs: DataFrame, space: Workspace) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
+    rows, labels = _labelled(docs, space)
+    return rows.join(labels, "node", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id"))
+        .when(F.col("label") < NO_ID, F.col("label"))
+        .alias("component_id"),
     )
-    shared = space.step(
-        listed.repartition("sig")
-        .sortWithinPartitions("sig", "id")
-        .mapInArrow(_shared_rows, "sig long, id long, large boolean")
+
+
+def representatives(docs: DataFrame, space: Workspace) -> DataFrame:
+    """One whole row of ``docs``, all columns, of each class: one with its smallest doc_id.
+
+    Rows without words are no class and all stay.  Of rows that repeat the
+    smallest doc_id, the one with the smallest text stays.
+    """
+    rows, labels = _labelled(docs, space)
+    ids = space.step(
+        rows.join(labels, "node").groupBy("id").agg(F.min("label").alias("label"), F.count("*").alias("rows"))
     )
-    links = space.step(_candidates(shared, reps, space))
-    groups = components(links, space)
-    found = _verified(texts, groups, space)
-    return _labelled(rows, reps, found, space)
+    name = "id"
+    while name in docs.columns:
+        name += "_"
+    keyed = docs.withColumn(name, _id())
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+    def of(part: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        part = part.select(F.col("id").alias("other"))
+        return rows.join(part, (F.col(name) == F.col("other")) & worded, how)
+
+    kept = of(ids.where("id <> label"), "left_anti", keyed)
+    several = space.step(ids.where("id = label AND rows > 1"))
+    if not several.isEmpty():
+        rank = F.row_number().over(W.partitionBy(name).orderBy("text"))
+        one = of(several, "left_semi", kept).withColumn("rank_" + name, rank)
+        kept = of(several, "left_anti", kept).unionByName(
+            one.where(F.col("rank_" + name) == 1).drop("rank_" + name)
+        )
+    return kept.select(*docs.columns)
 
 
 def _heavy(counts: DataFrame, space: Workspace) -> np.ndarray:
@@ -473,7 +496,36 @@ def _verified(texts: DataFrame, groups: DataFrame, space: Workspace) -> DataFram
     return space.step(dealt.mapInArrow(_tiles, "u long, v long"))
 
 
-def _labelled(rows: DataFrame, reps: DataFrame, found: DataFrame, space: Workspace) -> DataFrame:
+def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Profile rows (id, doc_id, n, node, shared), and the smallest id of each node's class."""
+    texts = _texts(docs)
+
+    # One row per document, and which signatures are frequent.
+    profile = space.step(texts.mapInArrow(_profile, _PROFILE_DDL))
+    rows = profile.where("id IS NOT NULL").select("id", "doc_id", "n", "node", "shared")
+    counts = profile.where("sig IS NOT NULL").groupBy("sig").agg(F.sum("times").alias("times"))
+    heavy = _heavy(counts, space)
+    worded = rows.where("n > 0")
+    owners = space.step(
+        worded.groupBy("node").agg(F.min("id").alias("rep"), F.min("shared").alias("shared"))
+    )
+    reps = space.step(
+        worded.select("id", "node").distinct().join(owners, "node").select("id", "node", "rep", "shared")
+    )
+
+    # Signatures that several texts share.
+    sent = docs.sparkSession.sparkContext.broadcast(heavy)  # MAX_HEAVY entries at most
+    listed = texts.select("id", "text").mapInArrow(
+        lambda batches: _list_signatures(sent.value)(batches), "sig long, id long"
+    )
+    shared = space.step(
+        listed.repartition("sig")
+        .sortWithinPartitions("sig", "id")
+        .mapInArrow(_shared_rows, "sig long, id long, large boolean")
+    )
+    links = space.step(_candidates(shared, reps, space))
+    found = _verified(texts, components(links, space), space)
+
     # An id that occurs with several texts holds their classes together.
     several = reps.groupBy("id").count().where("count > 1").select("id")
     held = reps.join(several, "id").select(F.col("id").alias("u"), F.col("rep").alias("v"))
@@ -483,10 +535,4 @@ def _labelled(rows: DataFrame, reps: DataFrame, found: DataFrame, space: Workspa
         .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .select("node", F.coalesce("label", "rep").alias("label"))
     )
-    return rows.join(by_node, "node", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id"))
-        .when(F.col("label") < NO_ID, F.col("label"))
-        .alias("component_id"),
-    )
+    return rows, by_node
