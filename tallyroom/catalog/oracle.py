@@ -382,7 +382,8 @@ def _star(profile: str, source: str) -> dict[str, str]:
         "community": _dim(source, "CommunityID", "Community_S_ID", {"CommunityName": "CommunityName"}),
         "event": _dim(source, "EventID", "Event_S_ID", _EVENT),
         "video": _dim(source, "VideoID", "Video_S_ID", _VIDEO_ATTRIBUTES),
-        "video_stream": _dim(source, "VideoID", "Video_S_ID", {"VideoCategory": "VideoCategory"}),
+        "video_stream": f"""SELECT *, CAST(NULL AS BIGINT) AS VideoLength, CAST(NULL AS VARCHAR) AS TimeSpentCategory
+FROM ({_dim(source, 'VideoID', 'Video_S_ID', {'VideoCategory': 'VideoCategory'})}) s""",
     }
     users = {"community": _USER_COMMUNITY, "video": tuple(_USER_TYPES)}
     named["user"] = _dim_user(source, users.get(profile, ()))
@@ -569,9 +570,13 @@ FROM ({counts}) c WHERE Copies > 1""",
 # --- the other queries ------------------------------------------------------
 
 
-def _values(entity: str, column: str, new: str) -> str:
+def _both(entities: str, column: str) -> str:
+    return " UNION ALL ".join(f"SELECT {column} FROM ({RAW[e]}) {e}" for e in entities.split())
+
+
+def _values(entities: str, column: str, new: str) -> str:
     return f"""SELECT {column} AS OldValue, {new.format(column)} AS NewValue, count(*) AS TotalRows
-FROM ({RAW[entity]}) r GROUP BY 1, 2"""
+FROM ({_both(entities, column)}) r GROUP BY 1, 2"""
 
 
 def _format_sql(profile: str) -> str:
@@ -604,28 +609,142 @@ def _incremental(profile: str, key: str) -> str:
     )
 
 
+CHANGED = {
+    "community": ("CommunityEngagement", "UserID"),
+    "live": ("LiveEngagement", "EventID"),
+    "video": ("Engagement", "UserID"),
+}
+
+
+def _changed_sql(entity: str) -> str:
+    measure, key = CHANGED[entity]
+    same = " AND ".join(
+        f"e.{c} IS NOT DISTINCT FROM r.{c}" for c in COLUMNS[entity] if c != "IngestionTimestamp"
+    )
+    return f"""WITH raw AS ({RAW[entity]}), again AS (
+  SELECT * REPLACE (CASE WHEN {key} % 7 = 0 THEN {measure} + 1 ELSE {measure} END AS {measure}) FROM raw)
+SELECT * FROM again r WHERE NOT EXISTS (SELECT 1 FROM raw e WHERE {same} AND e.{_earlier(entity)})"""
+
+
+_ALL_PROFILES = ("community", "live", "video", "live_stream", "video_stream")
+
+
+def _staged_all(profiles: tuple[str, ...], column: str, query: str) -> str:
+    chains = ",\n".join(_chain(p, f"{p}_") for p in profiles)
+    union = " UNION ALL ".join(f"SELECT {column} FROM {p}_staged" for p in profiles)
+    return f"WITH {chains}, every AS ({union})\n{query}"
+
+
+def _merged_user(order: tuple[str, ...], refresh: bool) -> str:
+    """The user table after loads in this order."""
+    known = {"community": _USER_COMMUNITY, "video": tuple(_USER_TYPES), "live": ()}
+
+    def value(column: str) -> str:
+        sources = [p for p in order if column in known[p]]
+        if refresh:
+            sources = sources[::-1]
+        parts = ", ".join(f"{p}_user.{column}" for p in sources)
+        return f"coalesce({parts}) AS {column}" if len(sources) > 1 else f"{parts} AS {column}"
+
+    chains = ",\n".join(
+        f"{_chain(p, f'{p}_')},\n{p}_user AS ({_star(p, f'{p}_staged')['user']})" for p in order
+    )
+    ids = " UNION ".join(f"SELECT UserID FROM {p}_user" for p in order)
+    joins = " ".join(f"LEFT JOIN {p}_user ON {p}_user.UserID = i.UserID" for p in order)
+    columns = ", ".join(value(c) for c in _USER_TYPES)
+    return f"""{chains},
+merged AS (SELECT md5(i.UserID) AS User_S_ID, i.UserID, {columns} FROM ({ids}) i {joins})"""
+
+
+_STREAMED_VIDEO = """SELECT USERID_SURROGATE, PLATFORMID, TIMEID, ENGAGEMENTSCORE, CAST(0 AS FLOAT), CAST(0 AS BIGINT),
+  INGESTIONTIMESTAMP FROM s_fact"""
+
+
+def _with_streamed(query: str) -> str:
+    chains = ",\n".join(
+        _fact_chain(p, x) for p, x in (("community", "c_"), ("live", "l_"), ("video", "v_"), ("video_stream", "s_"))
+    )
+    return f"WITH {chains}\n{query}"
+
+
+def _load_sql() -> dict[str, str]:
+    video = _chain("video", "b_")
+    stream = _chain("video_stream", "s_")
+    return {
+        "ingest_changed_rows": _changed_sql("live"),
+        "ingest_changed_rows_community": _changed_sql("community"),
+        "ingest_changed_rows_video": _changed_sql("video"),
+        "dim_platform_all": _staged_all(
+            _ALL_PROFILES, "Platform", _dim_plain("every", "Platform", "PlatformID") + " WHERE Platform IS NOT NULL"
+        ),
+        "dim_device_type_all": _staged_all(
+            _ALL_PROFILES[1:], "DeviceType",
+            _dim_plain("every", "DeviceType", "DeviceTypeID") + " WHERE DeviceType IS NOT NULL",
+        ),
+        "dim_time_all": _staged_all(_ALL_PROFILES[1:], "WatchTime", _dim_time("every")),
+        "dim_user_merged": f"WITH {_merged_user(('live', 'community', 'video'), False)} SELECT * FROM merged",
+        "dim_user_refreshed": f"WITH {_merged_user(('video', 'community', 'live'), True)} SELECT * FROM merged",
+        "dim_video_merged": f"""WITH {video},
+{stream},
+b AS ({_star('video', 'b_staged')['video']}),
+s AS ({_star('video_stream', 's_staged')['video_stream']})
+SELECT coalesce(s.Video_S_ID, b.Video_S_ID) AS Video_S_ID, VideoID,
+  coalesce(s.VideoCategory, b.VideoCategory) AS VideoCategory, b.VideoLength, b.TimeSpentCategory
+FROM s FULL JOIN b USING (VideoID)""",
+        "fact_live_batch_after_stream": f"""WITH {_fact_chain('live', 'b_')},
+{_fact_chain('live_stream', 's_')}
+SELECT * FROM b_fact UNION ALL
+SELECT * FROM s_fact WHERE InteractionID NOT IN (SELECT InteractionID FROM b_fact)""",
+        "user_activity_late_rows": _all_facts(_activity(_unified())),
+        "activity_with_streamed_video": _with_streamed(
+            _activity(f"{_unified()}\nUNION ALL {_STREAMED_VIDEO}")
+        ),
+        "mart_engagement_streamed": _with_streamed("""SELECT Platform, coalesce(sum(v), 0.0) AS Engagement,
+  coalesce(sum(c), 0.0) AS CommunityEngagement, coalesce(sum(l), 0.0) AS LiveEngagement
+FROM (SELECT Platform, CAST(Engagement AS DOUBLE) AS v, NULL::DOUBLE AS c, NULL::DOUBLE AS l
+    FROM v_fact JOIN v_dim_platform USING (PlatformID)
+  UNION ALL SELECT Platform, CAST(ENGAGEMENTSCORE AS DOUBLE), NULL, NULL
+    FROM s_fact JOIN s_dim_platform ON s_fact.PLATFORMID = s_dim_platform.PlatformID
+  UNION ALL SELECT Platform, NULL, CAST(CommunityEngagement AS DOUBLE), NULL
+    FROM c_fact JOIN c_dim_platform USING (PlatformID)
+  UNION ALL SELECT Platform, NULL, NULL, CAST(LiveEngagement AS DOUBLE)
+    FROM l_fact JOIN l_dim_platform USING (PlatformID)) a GROUP BY Platform"""),
+        "mart_demographics_merged": f"""WITH {_fact_chain('video', 'f_')},
+{_merged_user(('live', 'community', 'video'), False)}
+SELECT AgeGroup, Gender, sum(CAST(Engagement AS DOUBLE)) AS Engagement,
+  avg(CAST(ProductivityLoss AS DOUBLE)) AS ProductivityLoss
+FROM f_fact JOIN merged ON UserID_Surrogate = User_S_ID GROUP BY 1, 2""",
+        "stream_stamp_census": _select(
+            "live_stream", "SELECT IngestionTimestamp, count(*) AS TotalRows FROM staged GROUP BY 1"
+        ),
+        "stream_stamp_census_video": _select(
+            "video_stream", "SELECT IngestionTimestamp, count(*) AS TotalRows FROM staged GROUP BY 1"
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     for entity in ("community", "live", "video"):
         sql |= _entity_sql(entity)
 
     sql |= {
-        "std_gender": _values("community", "Gender", _STD_GENDER),
-        "std_platform": _values("live", "Platform", _STD_PLATFORM),
-        "std_device": _values("video", "DeviceType", _STD_DEVICE),
+        "std_gender": _values("community video", "Gender", _STD_GENDER),
+        "std_platform": _values("community live video", "Platform", _STD_PLATFORM),
+        "std_device": _values("live video", "DeviceType", _STD_DEVICE),
         "std_event_type": _values("live", "EventType", _STD_EVENT),
         "std_os": _values("video", "OS", _STD_OS),
         "std_connection": _values("video", "ConnectionType", _STD_CONNECTION),
         "std_membership": _values("community", "MembershipStatus", _STD_MEMBERSHIP),
-        "std_watchtime": _values("live", "WatchTime", _STD_CLOCK),
-        "std_stream_device": _values("live", "DeviceType", _STD_STREAM_DEVICE),
+        "std_watchtime": _values("live video", "WatchTime", _STD_CLOCK),
+        "std_stream_device": _values("live video", "DeviceType", _STD_STREAM_DEVICE),
         "std_stream_event_type": _values("live", "EventType", _STD_STREAM_EVENT),
         "std_stream_connection": _values("video", "ConnectionType", _STD_STREAM_CONNECTION),
         "std_stream_category": _values("video", "VideoCategory", _STD_STREAM_CATEGORY),
         "std_stream_reason": _values("video", "WatchReason", _STD_STREAM_REASON),
-        "hour_of_watchtime": _values("video", "WatchTime", _HOUR),
+        "hour_of_watchtime": _values("live video", "WatchTime", _HOUR),
         "age_group": f"""SELECT Age, {_AGE_GROUP} AS AgeGroup, count(*) AS TotalRows
-FROM ({RAW['community']}) r GROUP BY 1, 2""",
+FROM ({_both('community video', 'Age')}) r GROUP BY 1, 2""",
         "time_spent_category": f"""SELECT {_SPENT} AS TimeSpentCategory, count(*) AS TotalRows,
   min(TotalTimeSpent) AS Least, max(TotalTimeSpent) AS Most FROM ({RAW['video']}) r GROUP BY 1""",
     }
@@ -730,4 +849,4 @@ FROM fact JOIN dim_time USING (TimeID) GROUP BY 1"""),
   sum(CAST(Engagement AS DOUBLE)) AS Engagement, avg(CAST(ProductivityLoss AS DOUBLE)) AS ProductivityLoss
 FROM fact JOIN dim_user ON UserID_Surrogate = User_S_ID GROUP BY 1, 2"""),
     }
-    return sql
+    return sql | _load_sql()

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tallyroom import operators as op
 from tallyroom import rules as R
 from tallyroom import schemas as S
+from tallyroom.catalog.loads import LOAD_QUERIES
 from tallyroom.functions import (
     age_group,
     apply_map,
@@ -139,11 +140,12 @@ def _entity_queries(entity: str) -> dict[str, Query]:
 # --- standardisation over whole tables --------------------------------------
 
 
-def _values(entity: str, column: str, new: Callable) -> Query:
-    """Old value, standard value and number of rows for one column."""
+def _values(entities: str, column: str, new: Callable) -> Query:
+    """Old value, standard value and number of rows for one column, over the given entities."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        counted = raw_layer(spark, sf_dir, entity).groupBy(F.col(column).alias("OldValue"))
+        raw = [raw_layer(spark, sf_dir, e).select(column) for e in entities.split()]
+        counted = union_aligned(raw).groupBy(F.col(column).alias("OldValue"))
         return counted.agg(F.count(F.lit(1)).alias("TotalRows")).select(
             "OldValue", new(F.col("OldValue")).alias("NewValue"), "TotalRows"
         )
@@ -151,8 +153,8 @@ def _values(entity: str, column: str, new: Callable) -> Query:
     return query
 
 
-def _vocabulary(entity: str, column: str, rule: R.ValueMap) -> Query:
-    return _values(entity, column, lambda value: apply_map(value, rule))
+def _vocabulary(entities: str, column: str, rule: R.ValueMap) -> Query:
+    return _values(entities, column, lambda value: apply_map(value, rule))
 
 
 def _formats(entity: str) -> Query:
@@ -165,15 +167,15 @@ def _formats(entity: str) -> Query:
 
 
 STANDARD_QUERIES: dict[str, Query] = {
-    "std_gender": _vocabulary("community", "Gender", R.GENDER),
-    "std_platform": _vocabulary("live", "Platform", R.PLATFORM),
-    "std_device": _vocabulary("video", "DeviceType", R.BATCH_DEVICE),
+    "std_gender": _vocabulary("community video", "Gender", R.GENDER),
+    "std_platform": _vocabulary("community live video", "Platform", R.PLATFORM),
+    "std_device": _vocabulary("live video", "DeviceType", R.BATCH_DEVICE),
     "std_event_type": _vocabulary("live", "EventType", R.BATCH_EVENT_TYPE),
     "std_os": _vocabulary("video", "OS", R.OS),
     "std_connection": _vocabulary("video", "ConnectionType", R.BATCH_CONNECTION),
     "std_membership": _vocabulary("community", "MembershipStatus", R.MEMBERSHIP),
-    "std_watchtime": _values("live", "WatchTime", valid_time_or_default),
-    "std_stream_device": _vocabulary("live", "DeviceType", R.STREAM_DEVICE),
+    "std_watchtime": _values("live video", "WatchTime", valid_time_or_default),
+    "std_stream_device": _vocabulary("live video", "DeviceType", R.STREAM_DEVICE),
     "std_stream_event_type": _vocabulary("live", "EventType", R.STREAM_EVENT_TYPE),
     "std_stream_connection": _vocabulary("video", "ConnectionType", R.STREAM_CONNECTION),
     "std_stream_category": _vocabulary("video", "VideoCategory", R.STREAM_VIDEO_CATEGORY),
@@ -187,9 +189,9 @@ STANDARD_QUERIES: dict[str, Query] = {
     "fmt_video_stream": lambda s, d: op.format_text(raw_layer(s, d, "video"), R.VIDEO_STREAM).select(
         "UserID", "VideoID", *R.VIDEO_STREAM.lower
     ),
-    "age_group": lambda s, d: raw_layer(s, d, "community").groupBy("Age").agg(
-        F.count(F.lit(1)).alias("TotalRows")
-    ).select("Age", age_group(F.col("Age")).alias("AgeGroup"), "TotalRows"),
+    "age_group": lambda s, d: union_aligned(
+        [raw_layer(s, d, e).select("Age") for e in ("community", "video")]
+    ).groupBy("Age").agg(F.count(F.lit(1)).alias("TotalRows")).select("Age", age_group(F.col("Age")).alias("AgeGroup"), "TotalRows"),
     "time_spent_category": lambda s, d: raw_layer(s, d, "video").groupBy(
         time_spent_category(F.col("TotalTimeSpent")).alias("TimeSpentCategory")
     ).agg(
@@ -197,7 +199,7 @@ STANDARD_QUERIES: dict[str, Query] = {
         F.min("TotalTimeSpent").alias("Least"),
         F.max("TotalTimeSpent").alias("Most"),
     ),
-    "hour_of_watchtime": _values("video", "WatchTime", hour_of),
+    "hour_of_watchtime": _values("live video", "WatchTime", hour_of),
 }
 
 
@@ -321,7 +323,7 @@ def _dim_refresh(entity: str, dim: star.Dim) -> Query:
         staged = staging_layer(spark, sf_dir, entity)
         earlier = F.col(S.STAMP) < F.lit(LOADED_BEFORE[entity]).cast("timestamp")
         existing = star.build_dim(staged.filter(earlier), dim)
-        return star.refreshed_members(staged.filter(~earlier), dim, existing)
+        return star.merged_members(staged.filter(~earlier), dim, existing, refresh=True)
 
     return query
 
@@ -432,5 +434,5 @@ def queries() -> dict[str, Query]:
     registered: dict[str, Query] = {}
     for entity in ENTITIES:
         registered |= _entity_queries(entity)
-    registered |= STANDARD_QUERIES | INGEST_QUERIES | STREAM_QUERIES | STAR_QUERIES
+    registered |= STANDARD_QUERIES | INGEST_QUERIES | STREAM_QUERIES | STAR_QUERIES | LOAD_QUERIES
     return {name: _tuned(query) for name, query in registered.items()}

@@ -5,11 +5,13 @@ from tallyroom.operators.dedupe import (
     duplicate_census,
     duplicate_keys,
     latest_by_key,
+    stamp_census,
     superseded,
     top_duplicates,
 )
 from tallyroom.operators.joins import (
     anti_append,
+    anti_content,
     anti_ingest,
     lookup,
     missing_members,
@@ -32,11 +34,11 @@ from tallyroom.operators.text import audit_changes, conform_text, format_text, s
 from tallyroom.operators.validity import filter_valid, is_valid, reject_reason, rejects
 
 __all__ = [
-    "add_typed_nulls", "anti_append", "anti_ingest", "any_null", "audit_changes",
+    "add_typed_nulls", "anti_append", "anti_content", "anti_ingest", "any_null", "audit_changes",
     "audit_fill", "coalesce_default", "conform_text", "critical_nulls",
     "dedup_exact", "drop_null_critical", "duplicate_census", "duplicate_keys",
     "fill", "fill_median", "filter_valid", "format_text", "is_valid",
     "latest_by_key", "lookup", "medians", "missing_members", "null_profile",
-    "quality_gate", "reject_reason", "rejects", "standardise", "superseded",
+    "quality_gate", "reject_reason", "rejects", "stamp_census", "standardise", "superseded",
     "top_duplicates", "within_range",
 ]

@@ -84,3 +84,8 @@ def top_duplicates(df: DataFrame, keys: Iterable[str], n: int = 10) -> DataFrame
     keys = list(keys)
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("Copies"))
     return counted.orderBy(F.col("Copies").desc(), *keys).limit(n)
+
+
+def stamp_census(df: DataFrame, stamp: str = STAMP) -> DataFrame:
+    """Rows of every distinct ingestion stamp."""
+    return df.groupBy(stamp).agg(F.count(F.lit(1)).alias("TotalRows"))

@@ -53,6 +53,23 @@ def anti_ingest(new: DataFrame, existing: DataFrame, keys: Iterable[str]) -> Dat
     return new.join(known, keys, "left_anti")
 
 
+def anti_content(new: DataFrame, existing: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Rows whose content was not ingested before: an exact repeat goes, a change stays.
+
+    Rows meet by a hash of ``columns`` and are equal if every column is, NULLs
+    included.  Stored contents are made distinct, so a content that is hot among
+    the new rows meets one row, and its side can be split by the skew rule.
+    """
+    columns = list(columns)
+    content = F.xxhash64(*columns).alias("_hash")
+    known = existing.select(content, F.struct(*columns).alias("_content")).distinct()
+    hashed = new.withColumn("_hash", F.xxhash64(*columns))
+    same = (hashed["_hash"] == known["_hash"]) & F.struct(
+        *[hashed[c] for c in columns]
+    ).eqNullSafe(known["_content"])
+    return hashed.join(known, same, "left_anti").drop("_hash")
+
+
 def anti_append(fact: DataFrame, existing: DataFrame, key: str = "InteractionID") -> DataFrame:
     """Fact rows that are not stored yet, so that loading twice adds nothing."""
     return fact.join(existing.select(key), key, "left_anti")

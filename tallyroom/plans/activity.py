@@ -59,3 +59,10 @@ def user_activity(unified: DataFrame) -> DataFrame:
     parts = [F.col(c) for c in GROUP]
     parts[2] = F.coalesce(parts[2], F.lit(""))
     return grouped.select(interaction_id(*parts).alias("InteractionID"), *grouped.columns)
+
+
+def replace_days(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored activity in which the days of ``fresh`` are replaced."""
+    days = fresh.select("ActivityDate").distinct()
+    kept = stored.join(days, "ActivityDate", "left_anti").select(*fresh.columns)
+    return kept.unionByName(fresh)

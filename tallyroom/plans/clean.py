@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom import operators as op
@@ -32,9 +32,15 @@ class Cleaning:
     def non_null(self) -> DataFrame:
         return op.drop_null_critical(self.raw, self.rules.critical)
 
+    @cached_property
+    def median_values(self) -> dict[str, Column]:
+        """Counted once for all stages and audits, over the rows before any fill."""
+        return op.nulls.median_values(self.non_null, self.rules.medians)
+
     @cached_property
     def filled(self) -> DataFrame:
-        return op.fill_median(op.fill(self.non_null, self.rules.fills), self.rules.medians)
+        filled = op.fill(self.non_null, self.rules.fills)
+        return op.fill_median(filled, self.rules.medians, self.median_values)
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -65,12 +71,13 @@ class Cleaning:
 
     @cached_property
     def medians(self) -> DataFrame:
-        return op.medians(self.non_null, self.rules.medians)
+        row = [v.alias(c) for c, v in self.median_values.items()]
+        return self.raw.sparkSession.range(1).select(*row)
 
     @cached_property
     def fill_audit(self) -> DataFrame:
         r = self.rules
-        return op.audit_fill(self.non_null, r.keys, r.fills, r.medians)
+        return op.audit_fill(self.non_null, r.keys, r.fills, r.medians, self.median_values)
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -98,7 +105,7 @@ class Cleaning:
         r = self.rules
         kept = ~op.any_null(r.critical)
         raw = self.raw.withColumn("_kept", kept)
-        values = op.nulls.median_values(self.non_null, r.medians)
+        values = self.median_values
         filled = op.fill(raw, r.fills)
         if values:
             filled = filled.withColumns({c: F.coalesce(F.col(c), v) for c, v in values.items()})

@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyroom import operators as op
 from tallyroom import rules as R
@@ -16,10 +17,12 @@ from tallyroom.plans import activity, marts, star
 from tallyroom.plans.clean import Cleaning
 from tallyroom.schemas import STAMP, message_schema
 from tallyroom.sources import (
+    Workspace,
     align_for_union,
-    materialise,
+    conform_schema,
     read_entity,
     read_table,
+    replace_partitions,
     stamp,
     stored_files,
     union_aligned,
@@ -58,6 +61,27 @@ class Warehouse:
     def write(self, df: DataFrame, table: str, mode: str) -> None:
         write_table(df, self._name(table), mode, self.fmt, **self.options)
 
+    def replace_days(self, df: DataFrame, table: str, day: str) -> None:
+        """Replace the days that the frame has rows for.
+
+        Behind a connector, and for a catalog table that is not partitioned by
+        day yet, the kept days are written again beside the new ones.
+        """
+        name = self._name(table)
+        if not self.exists(table):
+            write_table(df, name, "overwrite", self.fmt, (day,), **self.options)
+        elif self.fmt is None and any(
+            c.isPartition and c.name == day for c in self.spark.catalog.listColumns(name)
+        ):
+            replace_partitions(df, name)
+        else:
+            with Workspace(self.spark, table.lower()) as space:
+                fresh = space.step(df)
+                kept = self.read(table).join(fresh.select(day).distinct(), day, "left_anti")
+                whole = space.step(kept.select(*fresh.columns).unionByName(fresh))
+                partitions = () if self.fmt is not None else (day,)
+                write_table(whole, name, "overwrite", self.fmt, partitions, **self.options)
+
 
 def ingest(
     files: list[DataFrame],
@@ -67,18 +91,24 @@ def ingest(
 ) -> DataFrame:
     """Union source frames, stamp them, and append the rows not ingested before.
 
-    Returns the null profile of the stored raw layer.
+    A row is known if its whole content is stored; a row with new values for a
+    known business key is kept, and cleaning takes the newest.  Returns the null
+    profile of the stored raw layer, of no rows if nothing is stored.
     """
     schema = message_schema(rules.ddl)
-    union = union_aligned([align_for_union(f, schema, rename) for f in files])
-    fresh = stamp(union)
-    spark = fresh.sparkSession
+    union = conform_schema(union_aligned([align_for_union(f, schema, rename) for f in files]), schema)
+    spark = union.sparkSession
     existing = stored_files(spark, raw_path)
     if existing is not None:
-        fresh = op.anti_ingest(fresh, existing, rules.keys)
-    if not union.isEmpty():
-        write_entity(fresh, raw_path, "append")
-    return op.null_profile(read_entity(spark, raw_path))
+        union = op.anti_content(union, existing, schema.names)
+    write_if_any(stamp(union), lambda df: write_entity(df, raw_path, "append"))
+    stored = stored_files(spark, raw_path)
+    return op.null_profile(stamp(union).limit(0) if stored is None else stored)
+
+
+def ingest_gate(raw: DataFrame, entity: str) -> DataFrame:
+    """The critical-NULL report over a stored raw layer."""
+    return op.quality_gate(raw, R.INGEST_CRITICAL[entity])
 
 
 def clean_to_staging(
@@ -97,7 +127,10 @@ def clean_to_staging(
             "superseded": stages.superseded,
             "fill_audit": stages.fill_audit,
             "change_audit": stages.change_audit,
+            "funnel": stages.funnel,
         }
+        if rules.medians:
+            side["medians"] = stages.medians
         for name, frame in side.items():
             write_entity(frame, f"{audit_path}/{name}", "overwrite")
     return op.quality_gate(read_entity(raw.sparkSession, path), rules.critical)
@@ -109,60 +142,92 @@ def load_star(
     profile: str,
     incremental: bool = False,
     refresh: bool = False,
-) -> None:
-    """Load dimensions, then the fact, from one staging frame.
+) -> DataFrame:
+    """Load dimensions, then the fact, from one staging frame; returns the fact's gate.
 
-    Dimensions get the members they lack; ``refresh`` also brings attributes up
-    to date and never drops a member.  The fact is replaced, or with
-    ``incremental`` extended by rows not stored yet.
+    Dimensions get the members they lack, and attributes that this source knows
+    fill stored NULLs; ``refresh`` also brings them up to date.  Nothing stored is
+    lost.  The fact takes the place of stored rows with the same ids and leaves
+    the others, such as streamed ones; with ``incremental`` it is only extended
+    by ids not stored yet.  The gate also counts repeated ids of the batch.
     """
-    staged = materialise(staged, f"star-{profile}")
-    dims = {}
-    for dim in star.STAR_DIMS[profile]:
-        existing = warehouse.stored(dim.table)
-        if refresh and existing is not None:
-            renewed = materialise(star.refreshed_members(staged, dim, existing), dim.table.lower())
-            warehouse.write(renewed, dim.table, "overwrite")
-        else:
-            members = materialise(star.new_members(staged, dim, existing), dim.table.lower())
-            write_if_any(members, lambda df, t=dim.table: warehouse.write(df, t, "append"))
-        dims[dim.table] = warehouse.read(dim.table)
-
     spec = star.STAR_FACTS[profile]
-    fact = star.build_fact(staged, spec, dims)
-    row_id, stamped = "InteractionID", STAMP
-    if profile == "video_stream":
-        fact = stamp(star.stream_video_layout(fact), "LOAD_TIMESTAMP")
-        row_id, stamped = row_id.upper(), stamped.upper()
-    stored = warehouse.stored(spec.table) if incremental else None
-    if stored is not None:
-        fact = op.anti_append(fact, op.within_range(stored, stamped, staged, STAMP), row_id)
-    warehouse.write(fact, spec.table, "append" if incremental else "overwrite")
-
+    with Workspace(warehouse.spark, f"star-{profile}") as space:
+        staged = space.step(staged)
+        for dim in star.STAR_DIMS[profile]:
+            _load_dim(warehouse, space, staged, dim, refresh)
+
+        # Every member was just loaded from this frame, so the fact needs no lookup.
+        fact = star.build_fact_complete(staged, spec)
+        row_id, stamped = "InteractionID", STAMP
+        if profile == "video_stream":
+            fact = stamp(star.stream_video_layout(fact), "LOAD_TIMESTAMP")
+            row_id, stamped = row_id.upper(), stamped.upper()
+        fact = space.step(fact)
+        stored = warehouse.stored(spec.table)
+        if stored is None:
+            warehouse.write(fact, spec.table, "overwrite")
+        elif incremental:
+            known = op.within_range(stored, stamped, staged, STAMP)
+            fresh = space.step(op.anti_append(fact, known, row_id))
+            write_if_any(fresh, lambda df: warehouse.write(df, spec.table, "append"))
+        else:
+            others = op.anti_append(stored, fact, row_id).select(*fact.columns)
+            warehouse.write(space.step(others.unionByName(fact)), spec.table, "overwrite")
+        census = op.duplicate_census(fact, [row_id])
+        gate = op.quality_gate(fact, spec.critical)
+        row = {**gate.first().asDict(), **census.first().asDict()}
+    literals = [F.lit(value).alias(name) for name, value in row.items()]
+    return warehouse.spark.range(1).select(*literals)
 
-def load_activity(warehouse: Warehouse) -> DataFrame:
-    """Append activity of days not stored yet; returns its quality gate.
 
-    The row id is made of the group keys, so whole days have to be loaded.
+def _load_dim(
+    warehouse: Warehouse, space: Workspace, staged: DataFrame, dim: star.Dim, refresh: bool
+) -> None:
+    existing = warehouse.stored(dim.table)
+    if existing is None:
+        warehouse.write(star.build_dim(staged, dim), dim.table, "overwrite")
+    elif dim.known and (refresh or not star.fillable(staged, dim, existing).isEmpty()):
+        merged = space.step(star.merged_members(staged, dim, existing, refresh))
+        warehouse.write(merged, dim.table, "overwrite")
+    else:
+        members = space.step(star.new_members(staged, dim, existing))
+        write_if_any(members, lambda df: warehouse.write(df, dim.table, "append"))
+
+
+def load_activity(warehouse: Warehouse, since: str | None = None) -> DataFrame:
+    """Bring daily activity up to date; returns its quality gate.
+
+    The days from ``since`` on (all days without it) are computed again from the
+    facts and replace what is stored of them, so late rows count and a repeated
+    load changes nothing.  The stored table is partitioned by day; other days
+    are neither read nor written.
     """
-    facts = [
-        warehouse.read(star.STAR_FACTS[e].table) for e in ("community", "live", "video")
-    ]
+    facts = _activity_facts(warehouse)
+    if since is not None:
+        facts = [f.where(F.col(STAMP) >= F.lit(since).cast("timestamp")) for f in facts]
     rows = activity.user_activity(activity.unify_activity(*facts))
-    stored = warehouse.stored(FACT_USER_ACTIVITY)
-    if stored is not None:
-        rows = op.anti_append(rows, stored)
-    warehouse.write(stamp(stamp(rows), "LoadTimestamp"), FACT_USER_ACTIVITY, "append")
+    rows = stamp(stamp(rows), "LoadTimestamp")
+    warehouse.replace_days(rows, FACT_USER_ACTIVITY, "ActivityDate")
     critical = ("InteractionID", "UserID_Surrogate", "ActivityDate")
     return op.quality_gate(warehouse.read(FACT_USER_ACTIVITY), critical)
 
 
+def _activity_facts(warehouse: Warehouse) -> list[DataFrame]:
+    """Community, live and video facts; streamed video counts with the batch one."""
+    community, live, video = (
+        warehouse.read(star.STAR_FACTS[e].table) for e in ("community", "live", "video")
+    )
+    if warehouse.fmt is not None:
+        return [community, live, video]
+    streamed = warehouse.stored(star.FACT_VIDEO_STREAM.table)
+    return [community, live, star.all_video(video, streamed)]
+
+
 def load_marts(warehouse: Warehouse) -> None:
     """Replace the six summary tables."""
     read = warehouse.read
-    community, live, video = (
-        read(star.STAR_FACTS[e].table) for e in ("community", "live", "video")
-    )
+    community, live, video = _activity_facts(warehouse)
     tables = {
         "MART_ENGAGEMENT_OVERVIEW": marts.engagement_overview(
             community, live, video, read("DIM_PLATFORM")

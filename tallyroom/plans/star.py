@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,9 +69,8 @@ DIM_VIDEO = Dim(
     {"VideoCategory": "string", "VideoLength": "bigint", "TimeSpentCategory": "string"},
     ("VideoCategory", "VideoLength", "TimeSpentCategory"),
 )
-DIM_VIDEO_STREAM = Dim(
-    "DIM_VIDEO", "VideoID", "Video_S_ID", "bigint",
-    {"VideoCategory": "string"}, ("VideoCategory",),
+DIM_VIDEO_STREAM = Dim(  # the table's one layout; streams know the category alone
+    "DIM_VIDEO", "VideoID", "Video_S_ID", "bigint", DIM_VIDEO.attributes, ("VideoCategory",),
 )
 DIM_PLATFORM = Dim("DIM_PLATFORM", "Platform", "PlatformID")
 DIM_MEMBERSHIP_STATUS = Dim("DIM_MEMBERSHIP_STATUS", "MembershipStatus", "MembershipStatusID")
@@ -288,8 +287,63 @@ def new_members(staged: DataFrame, dim: Dim, existing: DataFrame | None) -> Data
     return built if existing is None else op.missing_members(built, existing, dim.key)
 
 
-def refreshed_members(staged: DataFrame, dim: Dim, existing: DataFrame) -> DataFrame:
-    """Stored dimension with newest attributes, no member dropped."""
+def merged_members(
+    staged: DataFrame, dim: Dim, existing: DataFrame, refresh: bool = False
+) -> DataFrame:
+    """Stored and new members in the stored layout; no member and no value is lost.
+
+    An attribute that this source knows fills a stored NULL; with ``refresh`` the
+    source's value replaces the stored one.  Attributes that it does not know
+    stay as stored.
+    """
+    built = build_dim(staged, dim)
+    joined = existing.alias("old").join(built.alias("new"), dim.key, "full_outer")
+    out = []
+    for name in existing.columns:
+        old = F.col(f"old.{name}") if name != dim.key else F.col(name)
+        if name == dim.key or name not in built.columns:
+            out.append(old)
+            continue
+        new = F.col(f"new.{name}")
+        known = name in dim.known or name == dim.surrogate
+        first, second = (new, old) if refresh and name in dim.known else (old, new)
+        out.append(F.coalesce(first, second).alias(name) if known else old.alias(name))
+    return joined.select(*out)
+
+
+def fillable(staged: DataFrame, dim: Dim, existing: DataFrame) -> DataFrame:
+    """Stored members with a NULL that this source can fill."""
+    known = [a for a in dim.known if a in existing.columns and a != "Hour"]
+    if not known:
+        return existing.limit(0)
+    gaps = existing.where(op.any_null(known)).select(dim.key, *[F.col(a).alias(f"_{a}") for a in known])
     built = build_dim(staged, dim)
-    kept = op.missing_members(existing.select(*built.columns), built, dim.key)
-    return built.unionByName(kept)
+    gains = reduce(or_, [F.col(f"_{a}").isNull() & F.col(a).isNotNull() for a in known])
+    return gaps.join(built, dim.key).where(gains)
+
+
+def streamed_video(fact: DataFrame) -> DataFrame:
+    """The stream-loaded video fact in the columns of the batch one.
+
+    Its engagement is the score; measures that a stream does not carry are NULL.
+    """
+    have = {c.upper(): c for c in fact.columns}
+    columns = {
+        "InteractionID": "string",
+        **{out: "string" for _, out in FACT_VIDEO.links},
+        **FACT_VIDEO.measures,
+    }
+
+    def column(name: str, kind: str):
+        source = "ENGAGEMENTSCORE" if name == "Engagement" else name.upper()
+        value = F.col(have[source]) if source in have else F.lit(None)
+        return value.cast(kind).alias(name)
+
+    return fact.select(*[column(n, k) for n, k in columns.items()])
+
+
+def all_video(batch: DataFrame, streamed: DataFrame | None) -> DataFrame:
+    """Batch and streamed video facts under the layout of the batch one."""
+    if streamed is None:
+        return batch
+    return batch.unionByName(streamed_video(streamed).select(*batch.columns))

@@ -14,6 +14,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Row ids, days and stamps as text are defined in UTC, whatever the caller's zone.
+    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -31,8 +33,9 @@ def local_session(cores: int | str = "*", name: str = "tallyroom", **conf: str)
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        # Small files are worth a task each on one machine.
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.driver.memory", "8g")
     )
     for key, value in {**RUNTIME, **conf}.items():

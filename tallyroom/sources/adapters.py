@@ -24,16 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_FOOTERS[path]).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core some rows of a file too small to be split.
-
-    A scan that already has a partition per core, as any large table does, is
-    left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def _shape(df: DataFrame, ddl: str, columns: dict[str, str]) -> DataFrame:
     names = [*message_schema(ddl).names, STAMP]
     return df.select(*[F.expr(columns[name]).alias(name) for name in names])
@@ -127,12 +117,12 @@ def shape_live(events: DataFrame) -> DataFrame:
 
 
 def live_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape_live(spread(table(spark, sf_dir, "events")))
+    return shape_live(table(spark, sf_dir, "events"))
 
 
 def community_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    joined = spread(orders).join(customer, F.expr("o_custkey = c_custkey")).join(
+    joined = orders.join(customer, F.expr("o_custkey = c_custkey")).join(
         nation, F.expr("c_nationkey = n_nationkey")
     )
     return _shape(joined, COMMUNITY_DDL, _COMMUNITY)
@@ -156,7 +146,7 @@ def video_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, *others = (
         table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation", "part")
     )
-    return shape_video(spread(lineitem), *others)
+    return shape_video(lineitem, *others)
 
 
 def live_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_entity(
@@ -33,20 +35,56 @@ def write_entity(
 
 
 def write_table(
-    df: DataFrame, name: str, mode: str, fmt: str | None = None, **options: str
+    df: DataFrame,
+    name: str,
+    mode: str,
+    fmt: str | None = None,
+    partition_by: tuple[str, ...] = (),
+    **options: str,
 ) -> None:
     """Append to or overwrite a warehouse table, matching columns by name.
 
     Without ``fmt`` the table lives in the session catalog; with it, the write
-    goes through that connector.
+    goes through that connector.  An append fails if the frame has a column that
+    the table lacks; a column that only the table has becomes a typed NULL.
     """
+    spark = df.sparkSession
     if fmt is not None:
-        df.write.format(fmt).options(**options).option("dbtable", name).mode(mode).save()
+        writer = df.write.format(fmt).options(**options).option("dbtable", name)
+        writer.mode(mode).save()
         return
-    catalog = df.sparkSession.catalog
-    if mode == "append" and catalog.tableExists(name):
-        df = df.select(*df.sparkSession.read.table(name).columns)
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    if mode == "append" and spark.catalog.tableExists(name):
+        df = align_to_table(df, spark.read.table(name), name)
+    df.write.mode(mode).format("parquet").partitionBy(*partition_by).saveAsTable(name)
+
+
+def align_to_table(df: DataFrame, table: DataFrame, name: str) -> DataFrame:
+    """The frame in the table's columns, by name and regardless of case."""
+    have = {c.lower(): c for c in df.columns}
+    foreign = [c for c in df.columns if c.lower() not in {t.lower() for t in table.columns}]
+    if foreign:
+        raise ValueError(f"{name} has no column {', '.join(foreign)}")
+    return df.select(
+        *[
+            F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+            if f.name.lower() in have
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in table.schema
+        ]
+    )
+
+
+def replace_partitions(df: DataFrame, name: str) -> None:
+    """Replace the partitions of a catalog table that the frame has rows for; keep the others."""
+    spark = df.sparkSession
+    aligned = align_to_table(df, spark.read.table(name), name)
+    setting = "spark.sql.sources.partitionOverwriteMode"  # inserts know no such option
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        aligned.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
@@ -61,20 +99,23 @@ def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
     return True
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    Only a session that names none (a local test) gets a temporary folder, and
-    only when its master is local.
+    Only a session on one machine that names none (a local test) gets a
+    temporary folder; elsewhere a missing setting is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tallyroom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _LOCAL.setdefault(
+            spark.sparkContext.applicationId, ""
+        ) or tempfile.mkdtemp(prefix="tallyroom-")
+        _LOCAL[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 
@@ -82,6 +123,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tallyroom/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own making, in whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that feeds several outputs once, and read it back.
 
@@ -92,3 +140,33 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """Tables that a job writes to the shared folder on its way to a result.
+
+    On leaving the block all are removed but those that ``keep`` has written.
+    """
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark = spark
+        self.base = fresh_path(spark, label)
+        self.made = 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *error) -> None:
+        remove_path(self.spark, f"{self.base}/steps")
+
+    def _write(self, df: DataFrame, folder: str) -> DataFrame:
+        self.made += 1
+        path = f"{self.base}/{folder}/{self.made}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def step(self, df: DataFrame) -> DataFrame:
+        return self._write(df, "steps")
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        return self._write(df, "kept")

@@ -57,7 +57,7 @@ def test_key_rules_reach_the_scan(spark, sf_dir, entity):
     for key in stages.rules.keys:
         assert f"IsNotNull({key})" in text and f"GreaterThanOrEqual({key},1)" in text
     for column in stages.rules.critical:
-        assert f"IsNotNull({column})" in plan(stages.medians)
+        assert f"IsNotNull({column})" in plan(stages.non_null)
 
 
 def test_profile_of_two_columns_reads_two_columns(spark, sf_dir):
@@ -71,9 +71,12 @@ def test_audits_and_rejects_do_not_shuffle(spark, sf_dir):
         assert "Exchange" not in plan(frame)
 
 
-def test_medians_run_ahead_as_one_subquery(spark, sf_dir):
-    text = plan(cleaning(spark, sf_dir, "video").filled)
-    assert "Subquery" in text and "Join" not in text
+def test_medians_reach_plans_as_constants(spark, sf_dir):
+    stages = cleaning(spark, sf_dir, "video")
+    for frame in (stages.filled, stages.fill_audit, stages.change_audit):
+        text = plan(frame)
+        assert "Subquery" not in text and "Join" not in text and "SinglePartition" not in text
+    assert plan(stages.filled).count("Scan parquet") <= 2  # the node and its details
 
 
 @pytest.mark.parametrize("profile", ["community", "live", "video"])
