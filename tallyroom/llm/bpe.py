@@ -16,6 +16,7 @@ decodes to no bytes; an unknown id fails.  Other columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -33,10 +34,16 @@ from tallyroom.llm.common import values
 MAX_VOCABULARY = 1 << 20
 #: Pre-tokens that a worker remembers; when full, the later half is forgotten, since
 #: frequent ones come early.  Parts of them are forgotten altogether.
-CACHE = 700_000
+CACHE = 600_000
 PARTS = 200_000
 _BUCKET = 4
 _M64 = (1 << 64) - 1
+# Fixed value: a pattern by which a blank between two visible characters always opens a
+# pre-token, so that a text can be taken apart at such blanks before it is matched.
+_BLANK_OPENS = {
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
+}
+_NEAR_BLANK = re.compile(r" \s|\s ")
 _NEXT, _LAST = list(range(1, 65)), list(range(-1, 63))
 
 
@@ -152,7 +159,18 @@ class _Parts(dict):
         return rank
 
 
-class _Pieces(dict):
+class _Kept(dict):
+    """What a worker remembers; when full, the later half is forgotten."""
+
+    def keep(self, key: str, value: bytes) -> bytes:
+        if len(self) >= CACHE:
+            for late in list(islice(self, CACHE // 2, None)):
+                del self[late]
+        self[key] = value
+        return value
+
+
+class _Pieces(_Kept):
     """Ids, as bytes of 32-bit integers, by pre-token; what is missing goes through both tiers."""
 
     def __init__(self, table: PerfectHash) -> None:
@@ -161,18 +179,31 @@ class _Pieces(dict):
         self.single = [table.get(bytes([a])) for a in range(256)]
         self.pairs = {(a, b): table.get(bytes((a, b))) for a in range(256) for b in range(256)}
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE:
-            for late in list(islice(self, CACHE // 2, None)):
-                del self[late]
+    def ids_of(self, piece: str) -> bytes:
         word = piece.encode("utf-8", "replace")
         whole = self.look_up(word)
         if whole is None:
-            ids = merge_bytes(word, self.parts, self.pairs, self.single)
-        else:
-            ids = [whole]
-        self[piece] = made = array("i", ids).tobytes()
-        return made
+            return array("i", merge_bytes(word, self.parts, self.pairs, self.single)).tobytes()
+        return array("i", [whole]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.keep(piece, self.ids_of(piece))
+
+
+class _Chunks(_Kept):
+    """Ids of a blank and the visible characters after it, by the latter."""
+
+    def __init__(self, pieces: _Pieces, split) -> None:
+        super().__init__()
+        self.pieces, self.split = pieces, split
+
+    def __missing__(self, chunk: str) -> bytes:
+        parts = self.split(f" {chunk}")
+        if len(parts) == 1:
+            return self.keep(chunk, self.pieces.ids_of(parts[0]))
+        first = parts[0]
+        ids = self[first[1:]] if first.startswith(" ") and first != " " else self.pieces[first]
+        return self.keep(chunk, ids + b"".join(map(self.pieces.__getitem__, parts[1:])))
 
 
 class Tokenizer:
@@ -188,6 +219,8 @@ class Tokenizer:
     def _ready(self) -> None:
         self.split = regex.compile(self.pattern).findall
         self.pieces = _Pieces(self.table)
+        self.chunks = _Chunks(self.pieces, self.split)
+        self.by_blank = self.pattern in _BLANK_OPENS
         self.bytes_of = dict(zip(self.table.ranks, self.table.keys))
 
     def __getstate__(self) -> dict:
@@ -199,7 +232,13 @@ class Tokenizer:
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text, 32-bit integers."""
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text or ""))), np.int32)
+        text = text or ""
+        if self.by_blank and not _NEAR_BLANK.search(text):
+            first, *rest = text.split(" ")
+            found = [*map(self.pieces.__getitem__, self.split(first)), *map(self.chunks.__getitem__, rest)]
+        else:
+            found = map(self.pieces.__getitem__, self.split(text))
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.sources.writers import shared_folder
+from tallyroom.sources.writers import Workspace
+
+__all__ = [
+    "Workspace", "ascii_lower", "fold", "map_batches", "sampled", "scores_frame", "shard", "table", "values",
+]
 
 #: Resolution of hash-threshold samples.
 _SLICES = 1 << 30
@@ -69,37 +72,3 @@ def scores_frame(ids: Iterable, name: str, scores) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=["doc_id", name]
     )
-
-
-class Workspace:
-    """Tables an operator writes to the shared folder on its way to a result.
-
-    A written table cuts the lineage, survives lost executors and is pruned by
-    column.  On leaving the block all tables are removed but those that
-    ``keep`` has written.
-    """
-
-    def __init__(self, spark: SparkSession, label: str) -> None:
-        self.spark = spark
-        self.base = f"{shared_folder(spark)}/tallyroom/llm/{label}-{uuid.uuid4().hex}"
-        self.made = 0
-
-    def __enter__(self) -> Workspace:
-        return self
-
-    def __exit__(self, *error) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/steps")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-    def _write(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def step(self, df: DataFrame) -> DataFrame:
-        self.made += 1
-        return self._write(df, f"{self.base}/steps/{self.made}")
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        self.made += 1
-        return self._write(df, f"{self.base}/kept/{self.made}")

@@ -132,22 +132,27 @@ def _segments(s: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def signatures(s: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, int]:
-    """What a set lists, and how many of them linked sets share at least."""
+def promise(n: int, segments: list[np.ndarray]) -> int:
+    """How many listed signatures a set of n shingles shares at least with any linked set."""
+    if n <= _WHOLE_MAX:
+        return 1
+    differ, spare = needed(n)
+    return max(1, min(spare, *(len(sig) - differ for sig in segments)))
+
+
+def signatures(s: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """What a set lists."""
     n = len(s)
-    listed, shared = [], 1
+    listed = []
     if n <= _WHOLE_MAX:
         listed.append(_whole(s))
     if n >= _SEGMENT_MIN:
         differ, spare = needed(n)
-        shared = spare
+        want = differ + spare
         for sig in _segments(s):
-            want = differ + spare
-            if len(sig) < want:
-                shared = min(shared, max(1, len(sig) - differ))
-                if len(sig) <= differ:
-                    listed.append(_mix(s + np.uint64(0x7)))
-            else:
+            if len(sig) <= differ:
+                listed.append(_mix(s + np.uint64(0x7)))
+            elif len(sig) > want:
                 dear = np.zeros(len(sig), bool)
                 if len(heavy):
                     dear = heavy[np.minimum(np.searchsorted(heavy, sig), len(heavy) - 1)] == sig
@@ -155,13 +160,10 @@ def signatures(s: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, int]:
                 if len(cheap) >= want:
                     sig = np.partition(cheap, want - 1)[:want]
                 else:
-                    rest = sig[dear]
-                    more = want - len(cheap)
+                    rest, more = sig[dear], want - len(cheap)
                     sig = np.concatenate([cheap, np.partition(rest, more - 1)[:more]])
             listed.append(sig)
-        if n <= _WHOLE_MAX:
-            shared = 1
-    return np.concatenate(listed), shared
+    return np.concatenate(listed)
 
 
 def _node(s: np.ndarray) -> int:
@@ -191,11 +193,10 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row_id, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
             s = shingles(text, words)
             node = _node(s)
-            shared = signatures(s, none)[1] if len(s) else 0
-            rows.append((row_id, doc_id, len(s), node, shared))
-            if node not in seen and len(s) >= _SEGMENT_MIN:
+            found = _segments(s) if len(s) >= _SEGMENT_MIN else []
+            rows.append((row_id, doc_id, len(s), node, promise(len(s), found)))
+            if found and node not in seen:
                 seen.add(node)
-                found = _segments(s)
                 held += found
                 size += sum(map(len, found))
         columns = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.nulls(0, pa.int64())] * 5
@@ -220,7 +221,7 @@ def _list_signatures(heavy: np.ndarray):
                     node = _node(s)
                     if len(s) and node not in seen:
                         seen.add(node)
-                        sigs.append(signatures(s, heavy)[0])
+                        sigs.append(signatures(s, heavy))
                         ids.append(row_id)
                         sizes.append(len(sigs[-1]))
                 yield pa.RecordBatch.from_arrays(

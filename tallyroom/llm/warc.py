@@ -34,7 +34,7 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Capture date of records whose table has none.
 DATE = "1970-01-01T00:00:00Z"
-_NO_ID = F.lit(-(1 << 63))
+_NO_ID = -(1 << 63)
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -107,12 +107,12 @@ def archive(pages: DataFrame, space: Workspace, min_bytes: int = 0) -> tuple[Dat
     )
     stored = (
         pages.select(
-            F.coalesce(F.col("page_id").cast("long"), _NO_ID).alias("id"),
+            F.coalesce(F.col("page_id").cast("long"), F.lit(_NO_ID)).alias("id"),
             _payload().alias("payload"),
         )
         .withColumn("address", _address(F.col("payload")))
         .join(
-            owners.select("address", F.coalesce("response_id", _NO_ID).alias("id")),
+            owners.select("address", F.coalesce("response_id", F.lit(_NO_ID)).alias("id")),
             ["id", "address"],
         )
         .groupBy("id", "address")

@@ -1,0 +1,130 @@
+"""The language model against direct counts and sums over all state paths."""
+
+from collections import Counter
+from itertools import product
+from math import log10
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyroom.llm import lm
+from tallyroom.llm.common import Workspace
+
+DOCS = [
+    (1, "The cat sat. the CAT sat"), (2, "a dog\tran\x0bfar"), (3, None), (4, ""), (5, "le chat dort"),
+    (6, "le chat court le chien"), (7, "the dog sat unseen"), (7, "the dog sat unseen"), (None, "the cat"),
+    (8, "the " * 700 + "cat"), (9, "le chat unseen2 \u00c9t\u00c9"),
+]
+HELD = {7, 9}
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    docs = spark.createDataFrame([(*d, 1, 2.0) for d in DOCS], "doc_id long, text string, block int, score double")
+    with Workspace(spark, "test-lm") as space:
+        fitted = lm.fit(docs.repartition(2), F.coalesce(F.col("doc_id").isin(*HELD), F.lit(False)), space, 3, 2)
+        return fitted, space.keep(lm.score(fitted)).collect()
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), None]
+
+
+def test_counts_and_base(scored):
+    _, rows = scored
+    train = Counter(t for i, text in DOCS if i not in HELD for t in tokens(text))
+    n, v = sum(train.values()), len(train)
+    expected = Counter()
+    for i, text in DOCS:
+        base = sum(log10((train[t] + 1) / (n + v + 1)) for t in tokens(text))
+        known = sum(train[t] > 0 for t in tokens(text))
+        expected[i, i in HELD, len(tokens(text)), known, n, round(base, 6)] += 1
+    found = Counter(
+        (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6))
+        for r in rows
+    )
+    assert found == expected
+
+
+def test_equal_texts_have_equal_scores(scored):
+    _, rows = scored
+    assert len({r["score"] for r in rows if r["doc_id"] == 7}) == 1
+    assert all(r["score"] < 0 for r in rows)
+
+
+def test_distributions_sum_to_one(scored):
+    model = scored[0].model
+    assert np.allclose(model.emit.sum(axis=0), 1, atol=1e-5)
+    assert np.allclose(model.step.sum(axis=1), 1)
+    assert np.isclose(model.start.sum(), 1)
+
+
+def small_model(states=2, classes=4):
+    rng = np.random.default_rng(1)
+    some = lambda *shape: rng.dirichlet(np.ones(shape[-1]), shape[0])
+    return lm.Model(some(1, states)[0], some(1, states)[0], some(states, states), some(states, classes).T.astype(np.float32))
+
+
+def paths(model, sequence, start):
+    out = {}
+    for path in product(range(len(start)), repeat=len(sequence)):
+        p = start[path[0]] * model.emit[sequence[0], path[0]]
+        for (a, b), c in zip(zip(path, path[1:]), sequence[1:]):
+            p *= model.step[a, b] * model.emit[c, b]
+        out[path] = float(p)
+    return out
+
+
+def test_forward_is_the_sum_over_paths():
+    model = small_model()
+    sequences = [[0, 1, 2, 3, 1], [2], [3, 3, 0]]
+    flat = np.array([c for s in sequences for c in s])
+    sizes = np.array([len(s) for s in sequences])
+    made = lm.forward(model, flat, np.cumsum(sizes) - sizes, sizes)
+    direct = [log10(sum(paths(model, s, model.start).values())) for s in sequences]
+    assert np.allclose(made, direct, atol=1e-4)
+
+
+def test_expectations_are_path_averages():
+    model = small_model()
+    sequences, opens = [[0, 1, 2, 1], [3, 0]], [True, False]
+    flat = np.array([c for s in sequences for c in s])
+    sizes = np.array([len(s) for s in sequences])
+    emitted, moves, opened, later = lm.expectations(
+        model, flat, np.cumsum(sizes) - sizes, sizes, np.array(opens)
+    )
+    e, m, firsts = np.zeros((4, 2)), np.zeros((2, 2)), [np.zeros(2), np.zeros(2)]
+    for s, first in zip(sequences, opens):
+        p = paths(model, s, model.start if first else model.again)
+        total = sum(p.values())
+        for path, weight in p.items():
+            firsts[0 if first else 1][path[0]] += weight / total
+            for c, k in zip(s, path):
+                e[c, k] += weight / total
+            for a, b in zip(path, path[1:]):
+                m[a, b] += weight / total
+    assert np.allclose(emitted, e, atol=1e-4) and np.allclose(moves, m, atol=1e-4)
+    assert np.allclose(opened, firsts[0], atol=1e-4) and np.allclose(later, firsts[1], atol=1e-4)
+
+
+def test_pieces_cover_sequences():
+    starts, sizes, opens = lm._pieces(np.array([0, 700]), np.array([700, 3]))
+    assert starts.tolist() == [0, 256, 512, 700] and sizes.tolist() == [256, 256, 188, 3]
+    assert opens.tolist() == [True, False, False, True]
+
+
+def test_beats_the_base_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    with Workspace(spark, "test-lm") as space:
+        rows = space.keep(lm.score(lm.fit(docs, F.col("doc_id") % 7 == 2, space))).toPandas()
+    held = rows[rows.held_out]
+    assert held.score.sum() > 0.95 * held.base_score.sum()
+    assert (held.score > held.base_score).mean() > 0.9
+
+
+def test_all_rows_held_out(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    with Workspace(spark, "test-lm") as space:
+        row = lm.score(lm.fit(docs, F.lit(True), space)).first()
+    assert (row["n_known"], row["train_tokens"], row["base_score"], row["score"]) == (0, 0, 0.0, 0.0)
