@@ -1,8 +1,8 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
 A vector's code has one bit per dimension: is the value above zero.  Codes are
-cut into m segments of about log2(number of codes) bits, so a segment value has
-about one code.  Round r looks up, for every segment of every open query code,
+cut into m segments somewhat narrower than log2(number of codes) bits, so a segment
+value has a few codes.  Round r looks up, for every segment of every open query code,
 the values that differ in exactly r bits; a candidate's whole distance is taken
 at once.  Two codes within distance d agree up to d // m bits in some segment, so
 after round r all codes within m * (r + 1) - 1 are verified, and a query whose
@@ -32,6 +32,10 @@ from pyspark.sql import functions as F
 
 from tallyroom.llm.common import Workspace
 
+#: By so many bits a segment is narrower than log2 of the number of codes: a probe then
+#: meets about six codes, and the probes are fewer by more than that.
+SPARE_BITS = 2.5
+
 
 def codes_of(rows: DataFrame, vector: str, bits: int) -> DataFrame:
     """id and code; one row per id."""
@@ -49,8 +53,9 @@ def codes_of(rows: DataFrame, vector: str, bits: int) -> DataFrame:
 
 
 def segments_for(bits: int, n_codes: int) -> list[tuple[int, int]]:
-    """(offset, width) of segments about log2(n_codes) bits wide, at most 24."""
-    m = max(1, round(bits / max(4.0, math.log2(max(2, n_codes)))), -(-bits // 24))
+    """(offset, width) of segments somewhat narrower than log2(n_codes) bits, at most 24."""
+    width = min(24.0, max(4.0, math.log2(max(2, n_codes)) - SPARE_BITS))
+    m = max(1, round(bits / width))
     edges = [i * bits // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 

@@ -24,7 +24,7 @@ document, from its first word to its end.
 
 Defined results: NULL and empty texts are the end token alone; NULL ids are
 scored like others (and train, as fold 0); repeated rows count and are scored
-once each; without training rows every token is unknown and scores 0.0.
+once each; without training rows every token is unknown and scores zero but for rounding.
 """
 
 from __future__ import annotations
