@@ -17,7 +17,13 @@ from tallyroom.plans import jobs
 from tallyroom.plans.clean import staging
 from tallyroom.session import tune
 from tallyroom.sources import conform_schema, read_entity, read_stream
-from tallyroom.streaming import load_streamed, run_entity_stream, run_until_stopped
+from tallyroom.streaming import (
+    load_micro_batch,
+    load_streamed,
+    run_entity_stream,
+    run_until_stopped,
+)
+from tallyroom.streaming.jobs import staged_schema
 
 FILE_NAMES = {
     "community": S.COMMUNITY_FILE_NAMES,
@@ -58,13 +64,13 @@ def _clean(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return jobs.clean_to_staging(raw, rules, args.staging, args.audit)
 
 
-def _star(spark: SparkSession, args: argparse.Namespace) -> None:
+def _star(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     staged = staging(read_entity(spark, args.staging), R.PROFILES[args.entity])
-    jobs.load_star(_warehouse(spark, args), staged, args.entity, refresh=args.refresh)
+    return jobs.load_star(_warehouse(spark, args), staged, args.entity, refresh=args.refresh)
 
 
 def _activity(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    return jobs.load_activity(_warehouse(spark, args))
+    return jobs.load_activity(_warehouse(spark, args), args.since)
 
 
 def _marts(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -80,6 +86,19 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     run_until_stopped(query)
 
 
+def _stream_load(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Staged stream files into the star, micro-batch by micro-batch."""
+    rules = R.PROFILES[args.profile]
+    staged = spark.readStream.schema(staged_schema(rules)).parquet(args.staging)
+    writer = staged.writeStream.foreachBatch(load_micro_batch(_warehouse(spark, args), rules))
+    writer = writer.option("checkpointLocation", args.checkpoint)
+    if args.once:
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=args.trigger)
+    run_until_stopped(writer.start())
+
+
 def _stream_star(spark: SparkSession, args: argparse.Namespace) -> None:
     rules = R.PROFILES[args.profile]
     load_streamed(spark, args.staging, _warehouse(spark, args), rules, args.since)
@@ -120,8 +139,10 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--refresh", action="store_true")
     add_warehouse(sub)
 
-    for name, run in (("activity", _activity), ("marts", _marts)):
-        add_warehouse(add(name, run))
+    sub = add("activity", _activity)
+    sub.add_argument("--since", help="first day to compute again; all days if absent")
+    add_warehouse(sub)
+    add_warehouse(add("marts", _marts))
 
     sub = add("stream", _stream)
     sub.add_argument("profile", choices=STREAM)
@@ -132,6 +153,14 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--trigger", default="10 seconds")
     sub.add_argument("--once", action="store_true", help="drain what is available and stop")
 
+    sub = add("stream-load", _stream_load)
+    sub.add_argument("profile", choices=STREAM)
+    sub.add_argument("--staging", required=True)
+    sub.add_argument("--checkpoint", required=True)
+    sub.add_argument("--trigger", default="10 seconds")
+    sub.add_argument("--once", action="store_true", help="load what is staged and stop")
+    add_warehouse(sub)
+
     sub = add("stream-star", _stream_star)
     sub.add_argument("profile", choices=STREAM)
     sub.add_argument("--staging", required=True)

@@ -14,6 +14,10 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Stream state lives on disk, not in the heap, however many keys it holds.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Row ids, days and stamps as text are defined in UTC, whatever the caller's zone.
     "spark.sql.session.timeZone": "UTC",
 }

@@ -160,10 +160,15 @@ def video_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_messages(shape_video(table_stream(spark, sf_dir, "lineitem"), *others), VIDEO_DDL)
 
 
+#: Files of a table that one micro-batch takes.
+FILES_PER_BATCH = 32
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a stream; by glob, so it may be one file or a folder of files."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return reader.parquet(f"{sf_dir}/{{{name}}}.parquet")
 
 
 def as_messages(rows: DataFrame, ddl: str) -> DataFrame:

@@ -77,6 +77,13 @@ def test_stream_commands(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS cli_stream")
     main(["stream-star", "live_stream", "--staging", out, "--schema", "cli_stream"], spark)
     assert spark.read.table("cli_stream.FACT_LIVE_STREAMING_INTERACTIONS").count() == 2
+    spark.sql("CREATE DATABASE IF NOT EXISTS cli_micro")
+    for _ in range(2):
+        main([
+            "stream-load", "live_stream", "--staging", out, "--schema", "cli_micro",
+            "--checkpoint", str(tmp_path / "loaded"), "--once",
+        ], spark)
+        assert spark.read.table("cli_micro.FACT_LIVE_STREAMING_INTERACTIONS").count() == 2
 
 
 @pytest.mark.parametrize("number", [signal.SIGTERM, signal.SIGINT])
