@@ -34,7 +34,7 @@ from tallyroom.llm.common import values
 MAX_VOCABULARY = 1 << 20
 #: Pre-tokens that a worker remembers; when full, the later half is forgotten, since
 #: frequent ones come early.  Parts of them are forgotten altogether.
-CACHE = 600_000
+CACHE = 400_000
 PARTS = 200_000
 _BUCKET = 4
 _M64 = (1 << 64) - 1
@@ -43,7 +43,21 @@ _M64 = (1 << 64) - 1
 _BLANK_OPENS = {
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
 }
+_MARKS = set(".,;:!?)]}\"")
 _NEAR_BLANK = re.compile(r" \s|\s ")
+_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_WIDE_SPACES = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
+def _blanks_stand_alone(text: str) -> bool:
+    """Whether every blank has visible characters on both sides, or an end of the text."""
+    if "  " in text or " \n" in text or "\n " in text:
+        return False
+    if any(c in text for c in _SPACES) or not text.isascii() and any(c in text for c in _WIDE_SPACES):
+        return not _NEAR_BLANK.search(text)
+    return True
+
+
 _NEXT, _LAST = list(range(1, 65)), list(range(-1, 63))
 
 
@@ -102,7 +116,7 @@ class PerfectHash:
 def merge_bytes(word: bytes, ranks, pairs, single) -> list[int]:
     """Ids of a pre-token: the lowest-ranked pair is merged first, the left one on ties.
 
-    ``ranks[part]`` is a part's rank or None; ``pairs[a, b]`` and ``single[a]``
+    ``ranks[part]`` is a part's rank or -1; ``pairs[a][b]`` and ``single[a]``
     are those of two bytes and of one.  Part i spans word[i:after[i]].  A heap
     entry packs (rank, i, stop) into one integer; it is stale unless the part at
     i and the one after it still span word[i:stop] together.
@@ -110,14 +124,13 @@ def merge_bytes(word: bytes, ranks, pairs, single) -> list[int]:
     n = len(word)
     after = _NEXT[:n] if n < len(_NEXT) else list(range(1, n + 1))
     before = _LAST[:n] if n < len(_LAST) else list(range(-1, n - 1))
-    ids = list(map(single.__getitem__, word))
+    ids = [single[b] for b in word]
     shift = n.bit_length()
-    mask, far = (1 << shift) - 1, 2 * shift
-    step = (1 << shift) + 1
+    mask, far, step = (1 << shift) - 1, 2 * shift, (1 << shift) + 1
     heap = [
         r << far | i * step + 2
-        for i, r in enumerate(map(pairs.__getitem__, zip(word, word[1:])))
-        if r is not None
+        for i, (a, b) in enumerate(zip(word, word[1:]))
+        if (r := pairs[a][b]) >= 0
     ]
     heapify(heap)
     while heap:
@@ -132,17 +145,14 @@ def merge_bytes(word: bytes, ranks, pairs, single) -> list[int]:
             before[stop] = i
             end = after[stop]
             r = ranks[word[i:end]]
-            if r is not None:
+            if r >= 0:
                 heappush(heap, r << far | i << shift | end)
         left = before[i]
         if left >= 0:
             r = ranks[word[left:stop]]
-            if r is not None:
+            if r >= 0:
                 heappush(heap, r << far | left << shift | stop)
-    made = [x for x in ids if x != -1]
-    if None in made:
-        raise ValueError(f"the vocabulary lacks a byte of {word!r}")
-    return made
+    return [x for x in ids if x >= 0]
 
 
 class _Parts(dict):
@@ -152,10 +162,11 @@ class _Parts(dict):
         super().__init__()
         self.look_up = table.get
 
-    def __missing__(self, part: bytes) -> int | None:
+    def __missing__(self, part: bytes) -> int:
         if len(self) >= PARTS:
             self.clear()
-        self[part] = rank = self.look_up(part)
+        rank = self.look_up(part)
+        self[part] = rank = -1 if rank is None else rank
         return rank
 
 
@@ -176,13 +187,16 @@ class _Pieces(_Kept):
     def __init__(self, table: PerfectHash) -> None:
         super().__init__()
         self.look_up, self.parts = table.get, _Parts(table)
-        self.single = [table.get(bytes([a])) for a in range(256)]
-        self.pairs = {(a, b): table.get(bytes((a, b))) for a in range(256) for b in range(256)}
+        self.single = [self.parts[bytes([a])] for a in range(256)]
+        self.gaps = {a for a in range(256) if self.single[a] < 0}
+        self.pairs = [[self.parts[bytes((a, b))] for b in range(256)] for a in range(256)]
 
     def ids_of(self, piece: str) -> bytes:
         word = piece.encode("utf-8", "replace")
         whole = self.look_up(word)
         if whole is None:
+            if self.gaps and not self.gaps.isdisjoint(word):
+                raise ValueError(f"the vocabulary lacks a byte of {word!r}")
             return array("i", merge_bytes(word, self.parts, self.pairs, self.single)).tobytes()
         return array("i", [whole]).tobytes()
 
@@ -191,19 +205,23 @@ class _Pieces(_Kept):
 
 
 class _Chunks(_Kept):
-    """Ids of a blank and the visible characters after it, by the latter."""
+    """Ids of a blank and the visible characters after it, by the latter.
+
+    Letters after the blank are one pre-token, and a mark after them is another.
+    """
 
     def __init__(self, pieces: _Pieces, split) -> None:
         super().__init__()
         self.pieces, self.split = pieces, split
 
     def __missing__(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self.keep(chunk, self.pieces.ids_of(f" {chunk}"))
+        letters, last = chunk[:-1], chunk[-1:]
+        if last in _MARKS and letters.isalpha():
+            return self.keep(chunk, self[letters] + self.pieces[last])
         parts = self.split(f" {chunk}")
-        if len(parts) == 1:
-            return self.keep(chunk, self.pieces.ids_of(parts[0]))
-        first = parts[0]
-        ids = self[first[1:]] if first.startswith(" ") and first != " " else self.pieces[first]
-        return self.keep(chunk, ids + b"".join(map(self.pieces.__getitem__, parts[1:])))
+        return self.keep(chunk, b"".join(map(self.pieces.__getitem__, parts)))
 
 
 class Tokenizer:
@@ -221,7 +239,8 @@ class Tokenizer:
         self.pieces = _Pieces(self.table)
         self.chunks = _Chunks(self.pieces, self.split)
         self.by_blank = self.pattern in _BLANK_OPENS
-        self.bytes_of = dict(zip(self.table.ranks, self.table.keys))
+        self.bytes_of = np.full(max(self.table.ranks, default=-1) + 1, None, object)
+        self.bytes_of[self.table.ranks] = self.table.keys
 
     def __getstate__(self) -> dict:
         return {"table": self.table, "pattern": self.pattern}
@@ -233,7 +252,7 @@ class Tokenizer:
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a text, 32-bit integers."""
         text = text or ""
-        if self.by_blank and not _NEAR_BLANK.search(text):
+        if self.by_blank and _blanks_stand_alone(text):
             first, *rest = text.split(" ")
             found = [*map(self.pieces.__getitem__, self.split(first)), *map(self.chunks.__getitem__, rest)]
         else:
@@ -241,7 +260,10 @@ class Tokenizer:
         return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and ids.min() < 0:
+            raise IndexError("ids are not negative")
+        return b"".join(self.bytes_of[ids].tolist())
 
 
 @lru_cache(maxsize=4)
@@ -256,24 +278,38 @@ def load(path: str, pattern: str) -> Tokenizer:
     return Tokenizer(ranks, pattern)
 
 
+def _id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    flat = np.concatenate([np.empty(0, np.int32), *ids])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """doc_id and ids (array of int) of every row's whole text."""
+    return _encoded(docs, tokenizer, False)
+
+
+def round_trip(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+    """doc_id, ids, and the bytes decoded from the ids, without sending the ids to and fro."""
+    return _encoded(docs, tokenizer, True)
+
+
+def _encoded(docs: DataFrame, tokenizer: Tokenizer, decoded: bool) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches):
+        own = sent.value
         for batch in batches:
-            ids = [sent.value.encode(t) for t in values(batch, "text")]
-            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.concatenate([np.empty(0, np.int32), *ids])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                ],
-                names=["doc_id", "ids"],
-            )
+            ids = [own.encode(t) for t in values(batch, "text")]
+            columns = [
+                batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64()), _id_lists(ids)
+            ]
+            if decoded:
+                columns.append(pa.array(map(own.decode, ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + ", decoded binary" * decoded
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
@@ -283,7 +319,9 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     def run(batches):
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids"))
-            decoded = [sent.value.decode(x.values.tolist()) if x.is_valid and len(x) else b"" for x in lists]
+            decoded = [
+                sent.value.decode(x.values.to_numpy()) if x.is_valid and len(x) else b"" for x in lists
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*itemgetter(0, 1)(batch.columns), pa.array(decoded, pa.binary())],
                 names=["doc_id", "ids", "decoded"],

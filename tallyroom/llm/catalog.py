@@ -83,7 +83,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
 
 
 def bpe_digests(docs: DataFrame, tokenizer: bpe.Tokenizer) -> DataFrame:
-    return bpe.decode(bpe.encode(docs, tokenizer), tokenizer).select(
+    return bpe.round_trip(docs, tokenizer).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -79,22 +79,29 @@ def _sigmoid(x):
 
 
 def _flat(rows: list[np.ndarray], column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    sizes = [len(r) for r in rows]
-    ids = column[np.concatenate([*rows, np.empty(0, np.int32)])]
-    at = np.repeat(np.arange(len(rows)), sizes)
-    return ids[ids >= 0], at[ids >= 0]
+    """Columns of the rows' features that have one, and the row of each."""
+    kept = [found[found >= 0] for found in (column[r] for r in rows)]
+    at = np.repeat(np.arange(len(rows)), [len(k) for k in kept])
+    return np.concatenate([*kept, np.empty(0, column.dtype)]), at
+
+
+def _frequencies(rows: list[np.ndarray], size: int) -> np.ndarray:
+    """In how many rows each feature is; a row has a feature once."""
+    total = np.zeros(size, np.int64)
+    for row in rows:
+        total[row] += 1
+    return total
 
 
 def fit_nnpu(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> np.ndarray:
     """Weights for ``2**BITS`` features and the bias, by full-batch descent on the nnPU risk."""
     size, n_p, n_u = 1 << BITS, len(toxic), max(len(unlabelled), 1)
-    df_p = np.bincount(np.concatenate(toxic), minlength=size)
-    df_u = np.bincount(np.concatenate([*unlabelled, np.empty(0, np.int32)]), minlength=size)
+    df_p, df_u = _frequencies(toxic, size), _frequencies(unlabelled, size)
     in_p, in_u = (df_p + 0.5) / (n_p + 1), (df_u + 0.5) / (n_u + 1)
     both = (df_p + df_u + 1) / (n_p + n_u + 2)
     surplus = (in_p - in_u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
     used = np.flatnonzero((surplus >= SELECT) & (df_p >= 2))
-    column = np.full(size, -1)
+    column = np.full(size, -1, np.int32)
     column[used] = np.arange(len(used))
     ip, rp = _flat(toxic, column)
     iu, ru = _flat(unlabelled, column)
