@@ -31,6 +31,7 @@ from tallyroom.session import tune
 from tallyroom.sources import adapters, conform_schema, materialise, union_aligned
 from tallyroom.sources.readers import align_for_union, read_staged_stream
 from tallyroom.sources.writers import fresh_path
+from tallyroom.streaming.clean import clean_stream
 from tallyroom.streaming.decode import decode_json
 from tallyroom.streaming.jobs import run_entity_stream, staged_schema
 
@@ -267,11 +268,13 @@ INGEST_QUERIES: dict[str, Query] = {
 
 
 def _stream_ingest(profile: str) -> Query:
-    """Keys that a real streaming run leaves in staging.
+    """Keys of the rows that a real streaming run leaves in staging, if the rows are right.
 
     The table is read as a message stream, decoded, stamped, cleaned,
-    deduplicated under the watermark and written with a checkpoint.  Only the
-    keys are returned, since which copy of a key arrives first is open.
+    deduplicated under the watermark and written with a checkpoint.  Which copy
+    of a key arrives first is open, so each staged row is held, in all columns
+    but the stamp, against the cleaned rows of the table; a row that is none of
+    them loses its key here.
     """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +283,11 @@ def _stream_ingest(profile: str) -> Query:
         checkpoint = fresh_path(spark, f"checkpoint-{profile}")
         messages = adapters.MESSAGES[profile](spark, sf_dir)
         run_entity_stream(messages, rules, path, checkpoint, trigger=None).awaitTermination()
-        return read_staged_stream(spark, path, staged_schema(rules)).select(*rules.keys)
+        staged = read_staged_stream(spark, path, staged_schema(rules))
+        cleaned = clean_stream(raw_layer(spark, sf_dir, profile.removesuffix("_stream")), rules)
+        columns = [c for c in staged_schema(rules).names if c != S.STAMP]
+        wrong = op.anti_content(staged, cleaned, columns).select(*rules.keys)
+        return staged.select(*rules.keys).exceptAll(wrong)
 
     return query
 
