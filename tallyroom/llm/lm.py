@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tallyroom.llm.common import Workspace
 
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 4_000_000
 STATES = 8
 ROUNDS = 5
 PIECE = 256
@@ -173,35 +173,36 @@ def expectations(
     starts, sizes, opens = starts[by], sizes[by], opens[by]
     running = np.searchsorted(-sizes, -np.arange(int(sizes[0])), "left").tolist()
     step = model.step.astype(np.float32)
-    first = np.where(opens[:, None], model.start, model.again).astype(np.float32)
-    seen, alphas, scales = [], [], []
-    state = first
+    # By time: the classes seen, and the state probabilities, first of the past, then of all.
+    edge = np.concatenate([[0], np.cumsum(running)])
+    classes = np.empty(edge[-1], flat.dtype)
+    gamma = np.empty((edge[-1], states), np.float32)
+    scales = np.empty(edge[-1], np.float32)
+    state = np.where(opens[:, None], model.start, model.again).astype(np.float32)
     for t, n in enumerate(running):
-        classes = flat[starts[:n] + t]
-        state = (state[:n] @ step if t else state[:n]) * model.emit[classes]
-        scale = state.sum(axis=1)
-        state = state / scale[:, None]
-        seen.append(classes)
-        alphas.append(state)
-        scales.append(scale)
+        now = slice(edge[t], edge[t + 1])
+        classes[now] = flat[starts[:n] + t]
+        state = (state[:n] @ step if t else state[:n]) * model.emit[classes[now]]
+        scales[now] = state.sum(axis=1)
+        state = state / scales[now][:, None]
+        gamma[now] = state
     moves = np.zeros((states, states))
-    gammas: list[np.ndarray] = [np.empty(0)] * len(running)
     beta = np.empty((0, states), np.float32)
     for t in range(len(running) - 1, -1, -1):
-        n, m = running[t], len(beta)
-        here = np.ones((n, states), np.float32)
+        now, m = gamma[edge[t] : edge[t + 1]], len(beta)
+        here = np.ones((running[t], states), np.float32)
         if m:
-            ahead = beta * model.emit[seen[t + 1]] / scales[t + 1][:, None]
+            after = slice(edge[t + 1], edge[t + 2])
+            ahead = beta * model.emit[classes[after]] / scales[after][:, None]
             here[:m] = ahead @ step.T
-            moves += alphas[t][:m].T @ ahead
-        gammas[t] = alphas[t] * here
+            moves += now[:m].T @ ahead
+        now *= here
         beta = here
     moves *= model.step
-    classes, gamma = np.concatenate(seen), np.concatenate(gammas)
     emitted = np.stack(
         [np.bincount(classes, gamma[:, k], len(model.emit)) for k in range(states)], axis=1
     )
-    opened = gammas[0]
+    opened = gamma[: edge[1]]
     return emitted, moves, opened[opens].sum(axis=0), opened[~opens].sum(axis=0)
 
 
