@@ -29,7 +29,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from tallyroom.llm.common import values
+from tallyroom.llm.common import map_parts, values
 
 MAX_VOCABULARY = 1 << 20
 #: Pre-tokens that a worker remembers; when full, the later half is forgotten, since
@@ -309,7 +309,7 @@ def _encoded(docs: DataFrame, tokenizer: Tokenizer, decoded: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
     schema = "doc_id long, ids array<int>" + ", decoded binary" * decoded
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_parts(docs.select("doc_id", "text"), run, schema)
 
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
@@ -327,6 +327,6 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
                 names=["doc_id", "ids", "decoded"],
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, ids array<int>, decoded binary"
+    return map_parts(
+        encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded binary"
     )

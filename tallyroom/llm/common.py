@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyroom.sources.writers import Workspace
 
 __all__ = [
-    "Workspace", "ascii_lower", "fold", "map_batches", "sampled", "scores_frame", "shard", "table", "values",
+    "Workspace", "ascii_lower", "fold", "map_batches", "map_parts", "parts_of", "sampled", "scores_frame", "shard", "table", "values",
 ]
 
 #: Resolution of hash-threshold samples.
@@ -54,18 +54,37 @@ def values(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema
+#: Bytes of a batch that a task turns into Python objects at a time, about.
+PART_BYTES = 4 << 20
+
+
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in smaller ones."""
+    for batch in batches:
+        step = max(1, batch.num_rows * PART_BYTES // max(PART_BYTES, batch.nbytes))
+        for begin in range(0, batch.num_rows, step):
+            yield batch.slice(begin, step)
+
+
+def map_parts(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """One output batch per input batch, inside the tasks."""
+    """``run`` over the rows of each task in small batches; memory goes back when it ends."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = work(batch)
-            if made is not None and made.num_rows:
-                yield made
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(parts_of(batches))
+        finally:
+            pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
+
+
+def map_batches(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema
+) -> DataFrame:
+    """One output batch per small input batch, inside the tasks."""
+    return map_parts(df, lambda batches: map(work, batches), schema)
 
 
 def scores_frame(ids: Iterable, name: str, scores) -> pa.RecordBatch:

@@ -31,8 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from tallyroom.llm.common import map_parts
+
 WINDOW = 10
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 18
 SAMPLE = 8
 SLICE_WORDS = 2_000_000
 
@@ -335,7 +337,8 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         names=["doc_id", "text", "n_words", "runs", "items"],
                     )
 
-        found = found.mapInArrow(run, StructType([*docs.select("doc_id", "text").schema, *_FOUND]))
+        schema = StructType([*docs.select("doc_id", "text").schema, *_FOUND])
+        found = map_parts(found, run, schema)
     return found
 
 
@@ -380,5 +383,5 @@ def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                             part = part.set_column(size, part.schema.field(size), pa.array(sizes, part.schema.field(size).type))
                     yield part.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_parts(docs, run, docs.schema)
     return docs

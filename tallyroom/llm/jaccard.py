@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyroom.llm.common import Workspace
+from tallyroom.llm.common import Workspace, map_parts
 from tallyroom.llm.components import components
 
 WORDS = 5
@@ -213,24 +213,22 @@ def _list_signatures(heavy: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Words(), set()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                sigs, ids, sizes = [np.empty(0, np.uint64)], [], []
-                part = batch.slice(begin, 512)
-                for row_id, text in zip(*(c.to_pylist() for c in part.columns)):
-                    s = shingles(text, words)
-                    node = _node(s)
-                    if len(s) and node not in seen:
-                        seen.add(node)
-                        sigs.append(signatures(s, heavy))
-                        ids.append(row_id)
-                        sizes.append(len(sigs[-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(sigs).view(np.int64)),
-                        pa.array(np.repeat(np.array(ids, np.int64), sizes), pa.int64()),
-                    ],
-                    names=["sig", "id"],
-                )
+            sigs, ids, sizes = [np.empty(0, np.uint64)], [], []
+            for row_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                s = shingles(text, words)
+                node = _node(s)
+                if len(s) and node not in seen:
+                    seen.add(node)
+                    sigs.append(signatures(s, heavy))
+                    ids.append(row_id)
+                    sizes.append(len(sigs[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(sigs).view(np.int64)),
+                    pa.array(np.repeat(np.array(ids, np.int64), sizes), pa.int64()),
+                ],
+                names=["sig", "id"],
+            )
 
     return run
 
@@ -494,7 +492,7 @@ def _verified(texts: DataFrame, groups: DataFrame, space: Workspace) -> DataFram
         .repartition("label", "low", "high")
         .sortWithinPartitions("label", "low", "high", "id", "text")
     )
-    return space.step(dealt.mapInArrow(_tiles, "u long, v long"))
+    return space.step(map_parts(dealt, _tiles, "u long, v long"))
 
 
 def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -502,7 +500,7 @@ def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
     texts = _texts(docs)
 
     # One row per document, and which signatures are frequent.
-    profile = space.step(texts.mapInArrow(_profile, _PROFILE_DDL))
+    profile = space.step(map_parts(texts, _profile, _PROFILE_DDL))
     rows = profile.where("id IS NOT NULL").select("id", "doc_id", "n", "node", "shared")
     counts = profile.where("sig IS NOT NULL").groupBy("sig").agg(F.sum("times").alias("times"))
     heavy = _heavy(counts, space)
@@ -516,8 +514,10 @@ def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
 
     # Signatures that several texts share.
     sent = docs.sparkSession.sparkContext.broadcast(heavy)  # MAX_HEAVY entries at most
-    listed = texts.select("id", "text").mapInArrow(
-        lambda batches: _list_signatures(sent.value)(batches), "sig long, id long"
+    listed = map_parts(
+        texts.select("id", "text"),
+        lambda batches: _list_signatures(sent.value)(batches),
+        "sig long, id long",
     )
     shared = space.step(
         listed.repartition("sig")

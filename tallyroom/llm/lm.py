@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyroom.llm.common import Workspace
+from tallyroom.llm.common import Workspace, map_parts
 
 BLOCK_CHARS = 4_000_000
 STATES = 8
@@ -304,7 +304,7 @@ def fit(
 ) -> Fitted:
     """Counts and trains on the rows of ``docs`` (doc_id, text) for which ``held`` is false."""
     blocks = space.step(
-        docs.select("doc_id", "text", held.alias("held")).mapInArrow(_block_rows, _BLOCK_DDL)
+        map_parts(docs.select("doc_id", "text", held.alias("held")), _block_rows, _BLOCK_DDL)
     )
     trains = F.filter(F.arrays_zip("held", "sizes"), lambda d: ~d["held"])
     size = blocks.select(

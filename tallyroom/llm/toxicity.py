@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.common import map_batches, sampled, scores_frame, shard, values
+from tallyroom.llm.common import map_batches, map_parts, sampled, scores_frame, shard, values
 
 BITS = 18
 FIT_TOXIC = 2_400
@@ -230,7 +230,7 @@ def score(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
             scores = [scorer(t) for t in values(batch, "text")]
             yield scores_frame(values(batch, "doc_id"), "score", scores)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return map_parts(docs.select("doc_id", "text"), run, "doc_id long, score double")
 
 
 def keep_clean(
@@ -245,4 +245,4 @@ def keep_clean(
             clean = [scorer(t) < threshold for t in values(batch, "text")]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_parts(docs, work, docs.schema)
