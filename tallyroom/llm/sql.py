@@ -60,6 +60,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)"""
 
+JACCARD = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    coalesce(regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT r, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS shingle
+  FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r
+), pairs AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS o FROM s a JOIN s b USING (shingle) WHERE a.r < b.r GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * o >= 75 * (x.n + y.n - o)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT r, r AS m FROM n UNION SELECT reach.r, edges.b FROM reach JOIN edges ON reach.m = edges.a
+), label AS (
+  SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.m GROUP BY reach.r
+)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, CASE WHEN n.n IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN label USING (r)"""
+
 HAMMING = """
 WITH c AS (
   SELECT vec_id, list_transform(range(1, 65), lambda i: coalesce(embedding[i] > 0 AND NOT isnan(embedding[i]), false)) AS code
@@ -76,6 +99,7 @@ FROM p QUALIFY rank <= 10"""
 ORACLE_SQL = {
     "op5_warc": WARC,
     "op8_chat": CHAT,
+    "op6_jaccard": JACCARD,
     "op9_decontaminate": DECONTAMINATE,
     "op10_hamming": HAMMING,
 }
