@@ -113,7 +113,6 @@ def test_batch_load_keeps_streamed_facts(spark):
 
 def test_activity_counts_late_rows_and_streamed_video(spark):
     wh = warehouse(spark, "late")
-    spark.sql("DROP VIEW IF EXISTS none")
     community = spark.createDataFrame(
         [(1, "a", 7, "youtube", 20, "male", 4, "admin", 30, dt.datetime(2024, 1, 1), "18-24")],
         S.entity_schema(S.COMMUNITY_DDL).add("AgeGroup", "string"),
