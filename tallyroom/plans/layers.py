@@ -20,13 +20,29 @@ from tallyroom.sources import adapters
 from tallyroom.sources.readers import stored_files
 from tallyroom.sources.writers import fresh_path, write_entity
 
-_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_STORED: dict[tuple, tuple[str, StructType]] = {}
 _LOCK = RLock()
+# The given tables that raw layers are shaped from.
+_INPUTS = ("nation", "customer", "part", "orders", "lineitem", "events")
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> int:
+    """A digest of the input files' names, sizes and times: a changed table makes new layers."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in _INPUTS:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        store = path.getFileSystem(conf)
+        if store.exists(path):
+            for file in store.listStatus(path):
+                found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return hash(tuple(sorted(found)))
 
 
 def _stored(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The layer as a scan; written first if this application has not, or its files are gone."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
+    """The layer as a scan; written first if this application has not from these very input
+    files, or if its own files are gone."""
+    key = (spark.sparkContext.applicationId, sf_dir, _listing(spark, sf_dir), label)
     with _LOCK:
         if key in _STORED:
             path, schema = _STORED[key]

@@ -13,6 +13,7 @@ from tallyroom import schemas as S
 from tallyroom import sources as io
 from tallyroom.functions import interaction_id
 from tallyroom.plans import jobs, star
+from tallyroom.plans.layers import raw_layer
 from tallyroom.session import tune
 from tallyroom.sources import read_entity, writers
 
@@ -207,3 +208,13 @@ def test_median_of_any_long_range(spark):
 def test_stamp_census(spark):
     rows = live_rows(spark, [(1, 1, 1, 1), (2, 1, 1, 1), (3, 1, 1, 2)])
     assert sorted(r.TotalRows for r in op.stamp_census(rows).collect()) == [1, 2]
+
+
+def test_layers_follow_their_input(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for name in ("nation", "customer", "part", "orders", "lineitem"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    events.limit(10).write.parquet(f"{tmp_path}/events.parquet")
+    assert raw_layer(spark, str(tmp_path), "live").count() == 10
+    events.limit(30).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+    assert raw_layer(spark, str(tmp_path), "live").count() == 30
