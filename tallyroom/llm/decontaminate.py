@@ -352,6 +352,13 @@ def cut(text: str, runs: Iterable[tuple[int, int]]) -> str:
     return "".join([*out, text[last:]])
 
 
+def _with(part: pa.RecordBatch, name: str, column: list) -> pa.RecordBatch:
+    """The batch with another column of the same name and type."""
+    at = part.schema.get_field_index(name)
+    field = part.schema.field(at)
+    return part.set_column(at, field, pa.array(column, field.type))
+
+
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with hit words cut out of ``text`` and n_chars, if there, brought up to date.
 
@@ -376,11 +383,11 @@ def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         new.append(old)
                         keep.append(not changed[-1] or bool(words_of(old)))
                     if any(changed):
-                        part = part.set_column(column, part.schema.field(column), pa.array(new, part.schema.field(column).type))
-                        size = part.schema.get_field_index("n_chars")
-                        if size >= 0:
-                            sizes = [len(t) if c else n for t, c, n in zip(new, changed, part.column(size).to_pylist())]
-                            part = part.set_column(size, part.schema.field(size), pa.array(sizes, part.schema.field(size).type))
+                        part = _with(part, "text", new)
+                        if "n_chars" in part.schema.names:
+                            old_sizes = part.column(part.schema.get_field_index("n_chars")).to_pylist()
+                            sizes = [len(t) if c else n for t, c, n in zip(new, changed, old_sizes)]
+                            part = _with(part, "n_chars", sizes)
                     yield part.filter(pa.array(keep, pa.bool_()))
 
         docs = map_parts(docs, run, docs.schema)

@@ -310,7 +310,7 @@ def fit(
     size = blocks.select(
         F.size(trains).cast("long").alias("ends"),
         F.aggregate(trains, F.lit(0).cast("long"), lambda n, d: n + d["sizes"]).alias("words"),
-    ).agg(F.coalesce(F.sum("ends"), F.lit(0)).alias("ends"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
+    ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ends", "words")]).first()
     n_ends, n_tokens = int(size["ends"]), int(size["ends"]) + int(size["words"])
     least = max(2, -(-n_tokens // MAX_FREQUENT))
 
