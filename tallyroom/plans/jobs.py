@@ -68,6 +68,7 @@ class Warehouse:
         day yet, the kept days are written again beside the new ones.
         """
         name = self._name(table)
+        df = df.hint("rebalance", day)  # few files a day, and a large day in several tasks
         if not self.exists(table):
             write_table(df, name, "overwrite", self.fmt, (day,), **self.options)
         elif self.fmt is None and any(
