@@ -7,20 +7,26 @@ and stores them.  The (word, block) pairs are shuffled by word once, which count
 the words, and their counts and classes go back to the blocks; so the vocabulary
 may be of any size, and no task and not the driver holds it.
 
-The model: hidden states with transitions; a state emits a word class; a class
-emits a word by its count plus one.  A word with at least ``1 / MAX_FREQUENT`` of
-all training tokens is a class by itself (at most MAX_FREQUENT words can be);
-the others share classes by a hash of their first bytes.  So the trained arrays
-have a fixed size and can be sent to all tasks, while every word keeps a
-probability of its own.  A class for unknown words has the base model's
-probability of an unknown word in each state, and the probabilities of all words
-and the unknown one sum to one in every state.
+The model: hidden states with transitions; every word seen in training has expected
+counts of its own in each state.  Those of a word with at least ``1 / MAX_FREQUENT``
+of all training tokens (at most MAX_FREQUENT words can be) are in arrays that are
+sent to all tasks.  Those of the others, of whatever number, are rows of a table.
+For smoothing alone these words share classes by a hash of their first bytes: with
+E the expected counts in state k, C the count, n and t the tokens and types of the class,
+
+    P(word | k) = P(class | k) * (n / (n + t) * E(word) / E(class) + t / (n + t) * (C + 1) / (n + t))
+
+A class for unknown words has the base model's probability of an unknown word in
+each state, and the probabilities of all words and the unknown one sum to one in
+every state.
 
 Each Baum-Welch round scans the blocks, runs the scaled forward-backward
 recursion over pieces of at most ``PIECE`` tokens of all training documents, and
-sums the expected counts of the tasks in two steps (streaming, by slice of
-classes).  Scores come from one scaled forward recursion over each whole
-document, from its first word to its end.
+sums the expected counts: those of the classes in two steps (by slice of
+classes), those of the rarer words by a shuffle of a block's rows to buckets of
+about ``BUCKET_ROWS`` (word, block) pairs, from where the sums go back to the
+blocks.  Scores come from one scaled forward recursion over each whole document,
+from its first word to its end.
 
 Defined results: NULL and empty texts are the end token alone; NULL ids are
 scored like others (and train, as fold 0); repeated rows count and are scored
@@ -29,7 +35,9 @@ once each; without training rows every token is unknown and scores zero but for
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,17 +60,22 @@ SHARED_CLASSES = 1 << 13
 STEM = 4
 #: Pseudo-counts: of the class distribution in each state, of transitions.
 PRIOR_MASS, PRIOR_STEP = 50.0, 1.0
+#: (word, block) pairs that a bucket of rarer words has, about; and buckets at least.
+BUCKET_ROWS = 1 << 20
+MIN_BUCKETS = 64
 _SLICE = 8192
 _SALTS = 16
 
 _END, _UNKNOWN = 0, 1
+#: Mark of a row with words' counts, among those of classes.
+_WORDS = -2
 
-def _pack(numbers: np.ndarray) -> bytes:
-    return zstandard.compress(numbers.astype(np.int32).tobytes(), 1)
+def _pack(numbers: np.ndarray, kind: type = np.int32) -> bytes:
+    return zstandard.compress(numbers.astype(kind).tobytes(), 1)
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), np.int32)
+def _unpack(data: bytes, kind: type = np.int32) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind)
 
 
 _BLOCK_DDL = (
@@ -120,6 +133,8 @@ class Model:
     again: np.ndarray  # distribution of the first state of a later piece
     step: np.ndarray
     emit: np.ndarray  # classes x states, float32
+    sums: np.ndarray | None = None  # expected counts of the classes, of the round that made the words'
+    spare: np.ndarray | None = None  # of each class, the share of its smoothing: t / (n + t)
 
 
 def _first_model(counts: np.ndarray, unknown: float, states: int) -> Model:
@@ -231,8 +246,125 @@ def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _round(coded: DataFrame, model: Model, counts: np.ndarray, unknown: float) -> Model:
-    """One Baum-Welch round over all training documents."""
+@dataclass
+class Block:
+    """A block's documents as sequences of places in its own list of words, the end last."""
+
+    number: int
+    held: np.ndarray
+    sizes: np.ndarray
+    flat: np.ndarray
+    kinds: np.ndarray  # classes of the words, then that of the end
+    within: np.ndarray  # of each, its share of its class by counts
+    rare: np.ndarray  # places of the words that share classes, by bucket
+    buckets: np.ndarray  # of each of those
+    keys: np.ndarray  # of each of those, the same in all blocks
+    counts: np.ndarray | None  # of each of those, expected in each state over all blocks
+
+    def model(self, model: Model) -> Model:
+        """The model with a row for each place."""
+        emit = model.emit[self.kinds]
+        share = self.within[self.rare][:, None]
+        if self.counts is not None:
+            kinds = self.kinds[self.rare]
+            sums, spare = model.sums[kinds], model.spare[kinds][:, None]
+            own = self.counts / np.maximum(sums, _LEAST)
+            share = np.where(sums > _LEAST, (1 - spare) * own + spare * share, share)
+        emit[self.rare] *= share.astype(np.float32)
+        return Model(model.start, model.again, model.step, emit)
+
+
+#: Expected counts of a class below this say nothing about its words.
+_LEAST = 1e-25
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[Block]:
+    """The blocks of rows (block, held, sizes, flat, kinds, within, rare, buckets, keys, states ...)."""
+    for batch in batches:
+        for number, held, sizes, flat, kinds, within, rare, buckets, keys, sums in zip(
+            *(batch.column(i) for i in range(10))
+        ):
+            counts = None
+            if sums.is_valid:
+                parts = [np.frombuffer(d.as_buffer(), np.float32) for d in sums.values.field("data")]
+                counts = np.concatenate(parts).reshape(-1, states)
+            yield Block(
+                number.as_py(),
+                held.values.to_numpy(zero_copy_only=False),
+                sizes.values.to_numpy().astype(np.int64),
+                _unpack(flat.as_py()),
+                _unpack(kinds.as_py()),
+                _unpack(within.as_py(), np.float64),
+                _unpack(rare.as_py()),
+                _unpack(buckets.as_py()),
+                _unpack(keys.as_py(), np.int64),
+                counts,
+            )
+
+
+def _with_states(coded: DataFrame, states: DataFrame | None) -> DataFrame:
+    """Blocks with the words' expected counts, by bucket; NULL without any."""
+    head, rest = coded.columns[:9], coded.columns[9:]
+    if states is None:
+        return coded.select(*head, F.lit(None).cast(_STATES_TYPE).alias("states"), *rest)
+    by_block = states.groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "data"))).alias("states")  # the words of a block
+    )
+    return coded.join(by_block, "block", "left").select(*head, "states", *rest)
+
+
+_STATES_TYPE = "array<struct<bucket: int, data: binary>>"
+
+
+def _sum_words(states: int):
+    """Sums the rows of each key and gives every block its own back; sums the class rows by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, keys, data = [], [], []
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, array, block, bucket, key in zip(*(batch.column(i) for i in range(5))):
+                if part.as_py() == _WORDS:
+                    places.append((_WORDS, block.as_py(), bucket.as_py()))
+                    keys.append(_unpack(key.as_py(), np.int64))
+                    data.append(np.frombuffer(array.as_py(), np.float32))
+                else:
+                    more = np.frombuffer(array.as_py(), np.float64)
+                    sums[part.as_py()] = sums[part.as_py()] + more if part.as_py() in sums else more
+        made = [(part, -1, -1, array.tobytes()) for part, array in sums.items()]
+        if made:
+            yield rows(made)
+        if not places:
+            return
+        edge = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+        known, which = np.unique(np.concatenate(keys), return_inverse=True)
+        flat = np.concatenate(data).reshape(-1, states)
+        del keys, data
+        total = np.stack(
+            [np.bincount(which, flat[:, k], len(known)) for k in range(states)], axis=1
+        ).astype(np.float32)
+        for i in range(0, len(places), 64):
+            yield rows(
+                [
+                    (*p, total[which[edge[j] : edge[j + 1]]].tobytes())
+                    for j, p in enumerate(places[i : i + 64], i)
+                ]
+            )
+
+    def rows(made: list[tuple]) -> pa.RecordBatch:
+        types = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(v, t) for v, t in zip(zip(*made), types)], names=["part", "block", "bucket", "data"]
+        )
+
+    return run
+
+
+def _round(
+    coded: DataFrame, model: Model, states_of: DataFrame | None, counts: np.ndarray, unknown: float,
+    buckets: int, space: Workspace,
+) -> tuple[Model, DataFrame]:
+    """One Baum-Welch round over all training documents: the model and the rarer words' counts."""
     sent = coded.sparkSession.sparkContext.broadcast(model)
     states = len(model.start)
 
@@ -240,32 +372,52 @@ def _round(coded: DataFrame, model: Model, counts: np.ndarray, unknown: float) -
         own = sent.value
         emitted = np.zeros((len(own.emit), states))
         rest = np.zeros((states + 2, states))
-        for held, sizes, classes in _rows(batches):
-            trains = ~held
+
+        def rows(made: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*made)) or [()] * 5
+            types = [pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(columns, types)],
+                names=["part", "data", "block", "bucket", "keys"],
+            )
+
+        for block in _blocks(batches, states):
+            here = np.zeros((len(block.kinds), states))
+            trains = ~block.held
             if trains.any():
-                starts = np.cumsum(sizes) - sizes
-                e, moves, opened, later = expectations(
-                    own, classes, *_pieces(starts[trains], sizes[trains])
+                starts = np.cumsum(block.sizes) - block.sizes
+                here, moves, opened, later = expectations(
+                    block.model(own), block.flat, *_pieces(starts[trains], block.sizes[trains])
                 )
-                emitted += e
+                for k in range(states):
+                    emitted[:, k] += np.bincount(block.kinds, here[:, k], len(emitted))
                 rest += np.concatenate([moves, [opened], [later]])
-        parts = [(-1, rest)]
-        parts += [(i, emitted[i * _SLICE : (i + 1) * _SLICE]) for i in range(-(-len(emitted) // _SLICE))]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([p for p, _ in parts], pa.int32()),
-                pa.array([a.tobytes() for _, a in parts], pa.binary()),
-                pa.array([TaskContext.get().partitionId() % _SALTS] * len(parts), pa.int32()),
-            ],
-            names=["part", "data", "salt"],
-        )
-
+            # Blocks without training rows ask for the counts of their words, too.
+            words = here[block.rare].astype(np.float32)
+            edge = np.flatnonzero(np.diff(block.buckets, prepend=-1, append=-1))
+            yield rows(
+                [
+                    (_WORDS, words[a:b].tobytes(), block.number, int(block.buckets[a]), _pack(block.keys[a:b], np.int64))
+                    for a, b in zip(edge, edge[1:])
+                ]
+            )
+        parts = [(-1, rest.tobytes())]
+        parts += [
+            (i, emitted[i * _SLICE : (i + 1) * _SLICE].tobytes()) for i in range(-(-len(emitted) // _SLICE))
+        ]
+        # The classes go to buckets under zero, by part and salt.
+        salt = TaskContext.get().partitionId() % _SALTS
+        yield rows([(i, data, -1, -1 - (i + 1) * _SALTS - salt, b"") for i, data in parts])
+
+    made = space.step(
+        _with_states(coded, states_of)
+        .mapInArrow(run, "part int, data binary, block long, bucket int, keys binary")
+        .repartition(buckets, "bucket")
+        .mapInArrow(_sum_words(states), "part int, block long, bucket int, data binary")
+    )
     summed = (
-        coded.select("held", "sizes", "classes")
-        .mapInArrow(run, "part int, data binary, salt int")
-        .repartition("part", "salt")
+        made.where(F.col("part") != _WORDS)
         .select("part", "data")
-        .mapInArrow(_sum_rows, "part int, data binary")
         .repartition("part")
         .mapInArrow(_sum_rows, "part int, data binary")
         .collect()  # the model's size
@@ -273,144 +425,170 @@ def _round(coded: DataFrame, model: Model, counts: np.ndarray, unknown: float) -
     arrays = {r["part"]: np.frombuffer(r["data"], np.float64).reshape(-1, states) for r in summed}
     rest = arrays.pop(-1)
     expected = np.concatenate([arrays[i] for i in sorted(arrays)])
+    of_words = made.where(F.col("part") == _WORDS).select("block", "bucket", "data")
     moves, opened, later = rest[:states] + PRIOR_STEP, rest[states] + 1, rest[states + 1] + 1
     return Model(
         opened / opened.sum(), later / later.sum(), moves / moves.sum(axis=1, keepdims=True),
-        _emission(counts, unknown, expected),
-    )
+        _emission(counts, unknown, expected), expected, model.spare,
+    ), of_words
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for held, sizes, classes in zip(*(batch.column(i) for i in range(3))):
-            yield (
-                held.values.to_numpy(zero_copy_only=False),
-                sizes.values.to_numpy().astype(np.int64),
-                _unpack(classes.as_py()),
-            )
+def _release(space: Workspace) -> None:
+    """Lets Spark remove the shuffle files of what is done; it does so when the driver collects garbage."""
+    gc.collect()
+    space.spark.sparkContext._jvm.System.gc()
 
 
 @dataclass
 class Fitted:
-    """The documents as class sequences, with the model that was trained on them."""
+    """The documents as word sequences, with the model that was trained on them."""
 
     coded: DataFrame
     n_tokens: int
     model: Model
+    states: DataFrame | None  # of the rarer words of a block, expected counts in each state
 
 
 def fit(
     docs: DataFrame, held: Column, space: Workspace, states: int = STATES, rounds: int = ROUNDS
 ) -> Fitted:
     """Counts and trains on the rows of ``docs`` (doc_id, text) for which ``held`` is false."""
-    blocks = space.step(
-        map_parts(docs.select("doc_id", "text", held.alias("held")), _block_rows, _BLOCK_DDL)
-    )
-    trains = F.filter(F.arrays_zip("held", "sizes"), lambda d: ~d["held"])
-    size = blocks.select(
-        F.size(trains).cast("long").alias("ends"),
-        F.aggregate(trains, F.lit(0).cast("long"), lambda n, d: n + d["sizes"]).alias("words"),
-    ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ends", "words")]).first()
-    n_ends, n_tokens = int(size["ends"]), int(size["ends"]) + int(size["words"])
-    least = max(2, -(-n_tokens // MAX_FREQUENT))
-
-    # Every word of every block with its count over all blocks; one row a word is its first.
-    of_word = W.partitionBy("word")
-    words = space.step(
-        blocks.select("block", F.posexplode(F.arrays_zip("vocab", "counts")).alias("place", "w"))
-        .select("block", "place", F.col("w.vocab").alias("word"), F.col("w.counts").alias("here"))
-        .withColumns(
-            {
-                "c": F.sum("here").over(of_word),
-                "first": F.row_number().over(of_word.orderBy("block", "place")) == 1,
-                "stem": (F.crc32(F.substring("word", 1, STEM)) % SHARED_CLASSES).cast("int"),
-            }
+    # The blocks' words and their counts go when the coded blocks are stored.
+    with Workspace(space.spark, "lm-words") as early:
+        blocks = early.step(
+            map_parts(docs.select("doc_id", "text", held.alias("held")), _block_rows, _BLOCK_DDL)
         )
-        .select(
-            "block", "place", "c", "first", "stem",
-            F.when(F.col("c") >= least, F.col("word")).alias("word"),
+        trains = F.filter(F.arrays_zip("held", "sizes"), lambda d: ~d["held"])
+        size = blocks.select(
+            F.size(trains).cast("long").alias("ends"),
+            F.aggregate(trains, F.lit(0).cast("long"), lambda n, d: n + d["sizes"]).alias("words"),
+        ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ends", "words")]).first()
+        n_ends, n_tokens = int(size["ends"]), int(size["ends"]) + int(size["words"])
+        least = max(2, -(-n_tokens // MAX_FREQUENT))
+
+        # Every word of every block with its count over all blocks; one row a word is its first,
+        # whose number is the word's key.
+        of_word = W.partitionBy("word")
+        words = early.step(
+            blocks.select("block", F.posexplode(F.arrays_zip("vocab", "counts")).alias("place", "w"))
+            .select(
+                "block", "place", F.col("w.vocab").alias("word"), F.col("w.counts").alias("here"),
+                F.monotonically_increasing_id().alias("row"),
+            )
+            .withColumns(
+                {
+                    "c": F.sum("here").over(of_word),
+                    "key": F.min("row").over(of_word),
+                    "stem": (F.crc32(F.substring("word", 1, STEM)) % SHARED_CLASSES).cast("int"),
+                }
+            )
+            .select(
+                "block", "place", "c", "key", (F.col("row") == F.col("key")).alias("first"), "stem",
+                F.when(F.col("c") >= least, F.col("word")).alias("word"),
+            )
         )
-    )
-    known = words.where("first AND c > 0")
-    n_types = known.count() + (n_ends > 0)
-    frequent = sorted((bytes(r["word"]), r["c"]) for r in known.where(F.col("c") >= least).collect())
-    shared = (
-        known.where(F.col("c") < least)
-        .groupBy("stem")
-        .agg(F.sum("c").alias("c"), F.count("*").alias("words"))
-        .collect()  # SHARED_CLASSES rows at most
-    )
-    mass, types = np.zeros(SHARED_CLASSES), np.zeros(SHARED_CLASSES)
-    for row in shared:
-        mass[row["stem"]], types[row["stem"]] = row["c"], row["words"]
-    counts = np.concatenate([[n_ends, 0], [c for _, c in frequent], mass])
-
-    # At most MAX_FREQUENT words have a class of their own.
-    own_class = docs.sparkSession.createDataFrame(
-        [(w, i + 2) for i, (w, _) in enumerate(frequent)], "word binary, class int"
-    )
-    shared_class = F.when(F.col("c") > 0, F.col("stem") + (2 + len(frequent))).otherwise(_UNKNOWN)
-    by_block = (
-        words.join(F.broadcast(own_class), "word", "left")
-        .select("block", F.struct("place", F.coalesce("class", shared_class).alias("class"), "c").alias("w"))
-        .groupBy("block")
-        .agg(F.collect_list("w").alias("words"))  # the words of a block
-    )
-    coded = space.step(
-        blocks.select("block", "doc_ids", "held", "sizes", "ids")
-        .join(by_block, "block", "left")
-        .select("doc_ids", "held", "sizes", "ids", "words")
-        .mapInArrow(_coder(n_tokens, n_types, n_ends, 2 + len(frequent), mass + types), _CODED_DDL)
-    )
-    unknown = 1 / (n_tokens + n_types + 1)
+        known = words.where("first AND c > 0")
+        n_types = known.count() + (n_ends > 0)
+        rarer = (F.col("c") > 0) & (F.col("c") < least)
+        buckets = max(MIN_BUCKETS, -(-words.where(rarer).count() // BUCKET_ROWS))
+        frequent = sorted((bytes(r["word"]), r["c"]) for r in known.where(F.col("c") >= least).collect())
+        shared = (
+            known.where(F.col("c") < least)
+            .groupBy("stem")
+            .agg(F.sum("c").alias("c"), F.count("*").alias("words"))
+            .collect()  # SHARED_CLASSES rows at most
+        )
+        mass, types = np.zeros(SHARED_CLASSES), np.zeros(SHARED_CLASSES)
+        for row in shared:
+            mass[row["stem"]], types[row["stem"]] = row["c"], row["words"]
+        counts = np.concatenate([[n_ends, 0], [c for _, c in frequent], mass])
+
+        # At most MAX_FREQUENT words have a class of their own.
+        own_class = docs.sparkSession.createDataFrame(
+            [(w, i + 2) for i, (w, _) in enumerate(frequent)], "word binary, class int"
+        )
+        shared_class = F.when(F.col("c") > 0, F.col("stem") + (2 + len(frequent))).otherwise(_UNKNOWN)
+        by_block = (
+            words.join(F.broadcast(own_class), "word", "left")
+            .select(
+                "block",
+                F.struct(
+                    "place", F.coalesce("class", shared_class).alias("class"), "c", "key",
+                    F.when(rarer, F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(-1).cast("int").alias("bucket"),
+                ).alias("w"),
+            )
+            .groupBy("block")
+            .agg(F.collect_list("w").alias("words"))  # the words of a block
+        )
+        coded = space.step(
+            blocks.select("block", "doc_ids", "held", "sizes", "ids")
+            .join(by_block, "block", "left")
+            .select("block", "doc_ids", "held", "sizes", "ids", "words")
+            .mapInArrow(_coder(n_tokens, n_types, n_ends, 2 + len(frequent), mass + types), _CODED_DDL)
+        )
+        unknown = 1 / (n_tokens + n_types + 1)
+    _release(space)
     model = _first_model(counts, unknown, states)
+    model.spare = np.concatenate([np.zeros(2 + len(frequent)), types / np.maximum(1, mass + types)])
+    of_words = None
     if n_ends:
-        for _ in range(rounds):
-            model = _round(coded, model, counts, unknown)
-    return Fitted(coded, n_tokens, model)
+        # What a round stores goes when the next one is done, but for the last one's counts.
+        with ExitStack() as before:
+            for i in range(rounds):
+                with ExitStack() as own:
+                    last = i + 1 == rounds
+                    work = space if last else own.enter_context(Workspace(space.spark, "lm-round"))
+                    model, of_words = _round(coded, model, of_words, counts, unknown, buckets, work)
+                    before.close()
+                    before.push(own.pop_all())
+                _release(space)
+    return Fitted(coded, n_tokens, model, of_words)
 
 
 _CODED_DDL = (
-    "held array<boolean>, sizes array<int>, classes binary, doc_ids array<long>, "
-    "known array<long>, base array<double>, within array<double>"
+    "block long, held array<boolean>, sizes array<int>, flat binary, kinds binary, within binary, "
+    "rare binary, buckets binary, keys binary, doc_ids array<long>, known array<long>, base array<double>"
 )
 
 
 def _coder(n_tokens: int, n_types: int, n_ends: int, first_shared: int, weight: np.ndarray):
-    """Blocks as class sequences, each document with its end, and what the classes leave out.
+    """Blocks as sequences of places, each document with its end, with what is known of the words.
 
-    ``weight`` is the sum of (count + 1) over the words of each shared class; ``within`` the
-    log10 probability of a document's words in their classes.
+    ``weight`` is the sum of (count + 1) over the words of each shared class.
     """
     floor = n_tokens + n_types + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_ids, held, sizes, ids, words in zip(*batch.columns):
+            for block, doc_ids, held, sizes, ids, words in zip(*batch.columns):
                 sizes = sizes.values.to_numpy().astype(np.int64)
                 ids = _unpack(ids.as_py())
-                classes, c = np.zeros(0, np.int32), np.zeros(0, np.int64)
+                place = kinds = c = keys = bucket = np.zeros(0, np.int64)
                 if words.is_valid:
-                    place, kind, count = (f.to_numpy() for f in words.values.flatten())
-                    classes, c = np.empty(len(place), np.int32), np.empty(len(place), np.int64)
-                    classes[place], c[place] = kind, count
-                within = np.zeros(len(c))
-                rare = classes >= first_shared
-                within[rare] = np.log10((c[rare] + 1) / weight[classes[rare] - first_shared])
+                    columns = [f.to_numpy() for f in words.values.flatten()]
+                    by = np.argsort(columns[0])
+                    place, kinds, c, keys, bucket = (f[by] for f in columns)
+                within = np.ones(len(c) + 1)
+                rare = np.flatnonzero(bucket >= 0)
+                within[rare] = (c[rare] + 1) / weight[kinds[rare] - first_shared]
+                rare = rare[np.lexsort((keys[rare], bucket[rare]))]
                 doc = np.repeat(np.arange(len(sizes)), sizes)
-                flat = np.full(len(ids) + len(sizes), _END if n_ends else _UNKNOWN, np.int32)
+                flat = np.full(len(ids) + len(sizes), len(c), np.int32)
                 is_word = np.ones(len(flat), bool)
                 is_word[np.cumsum(sizes + 1) - 1] = False
-                flat[is_word] = classes[ids]
+                flat[is_word] = ids
+                kinds = np.append(kinds, _END if n_ends else _UNKNOWN)
                 base = np.bincount(doc, np.log10((c + 1) / floor)[ids], len(sizes))
                 known = np.bincount(doc, (c > 0)[ids], len(sizes)).astype(np.int64)
                 row = [
-                    [held.values], [sizes + 1], [_pack(flat)], [doc_ids.values], [known + (n_ends > 0)],
-                    [base + np.log10((n_ends + 1) / floor)], [np.bincount(doc, within[ids], len(sizes))],
+                    [block.as_py()], [held.values], [sizes + 1], [_pack(flat)], [_pack(kinds)],
+                    [_pack(within, np.float64)], [_pack(rare)], [_pack(bucket[rare])],
+                    [_pack(keys[rare], np.int64)], [doc_ids.values], [known + (n_ends > 0)],
+                    [base + np.log10((n_ends + 1) / floor)],
                 ]
                 types = [
-                    pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()),
-                    pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64()),
+                    pa.int64(), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 6,
+                    pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()),
                 ]
                 names = [part.split()[0] for part in _CODED_DDL.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
@@ -425,20 +603,20 @@ def score(fitted: Fitted) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rest = list(zip(*(batch.column(i) for i in range(3, 7))))
-            for i, (held, sizes, classes) in enumerate(_rows(iter([batch]))):
-                doc_ids, known, base, within = (x.values for x in rest[i])
-                chain = forward(sent.value, classes, np.cumsum(sizes) - sizes, sizes)
+            rest = list(zip(*(batch.column(i) for i in range(10, 13))))
+            for i, block in enumerate(_blocks(iter([batch]), len(sent.value.start))):
+                doc_ids, known, base = (x.values for x in rest[i])
+                sizes = block.sizes
+                chain = forward(block.model(sent.value), block.flat, np.cumsum(sizes) - sizes, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        doc_ids, pa.array(held), pa.array(sizes), known,
-                        pa.array(np.full(len(sizes), n_tokens)), base,
-                        pa.array(chain + within.to_numpy()),
+                        doc_ids, pa.array(block.held), pa.array(sizes), known,
+                        pa.array(np.full(len(sizes), n_tokens)), base, pa.array(chain),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return fitted.coded.mapInArrow(
+    return _with_states(fitted.coded, fitted.states).mapInArrow(
         run,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double",

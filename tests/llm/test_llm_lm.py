@@ -129,3 +129,25 @@ def test_all_rows_held_out(spark):
         row = lm.score(lm.fit(docs, F.lit(True), space)).first()
     assert (row["n_known"], row["train_tokens"], row["base_score"]) == (0, 0, 0.0)
     assert abs(row["score"]) < 1e-6
+
+
+def test_rarer_words_have_states_of_their_own(spark, monkeypatch):
+    # Both words share a class and a count; only their neighbours tell them apart.
+    monkeypatch.setattr(lm, "MAX_FREQUENT", 4)
+    lines = [(i, "left left stemx " * 20 if i % 2 else "right right stemy " * 20) for i in range(40)]
+    lines += [(100, "left left stemx left left stemx"), (101, "left left stemy left left stemy")]
+    docs = spark.createDataFrame(lines, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(lm, "BLOCK_CHARS", 2000)
+    many = [(200 + i, f"stemx{i} stemy{i}") for i in range(50)]  # makes a class of more words
+    docs = docs.unionByName(spark.createDataFrame(many, "doc_id long, text string"))
+    with Workspace(spark, "test-lm") as space:
+        fitted = lm.fit(docs, F.col("doc_id").isin(100, 101), space, 3, 8)
+        rows = {r["doc_id"]: r for r in lm.score(fitted).collect()}
+        assert rows[100]["base_score"] == rows[101]["base_score"]
+        assert rows[100]["score"] > rows[101]["score"] + 2
+        # Over all states, a word's expected counts are its count.
+        found = {}
+        for block in lm._blocks(lm._with_states(fitted.coded, fitted.states).toArrow().to_batches(), 3):
+            if block.counts is not None:
+                found.update(zip(block.keys.tolist(), block.counts.sum(axis=1).round(2).tolist()))
+        assert sorted(found.values()) == [1.0] * 100 + [400.0] * 2
