@@ -23,15 +23,15 @@ is hit.  A document larger than a shard is a shard by itself.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from tallyroom.llm.common import map_parts
+from tallyroom.llm.common import Workspace, map_parts
 
 WINDOW = 10
 SHARD_WORDS = 1 << 18
@@ -305,11 +305,18 @@ def _merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, text, n_words, runs of hit words [from, to), and items whose phrases occur."""
-    found = docs.select("doc_id", "text")
-    for number, phrases in enumerate(_slices(benchmark)):
-        sent = docs.sparkSession.sparkContext.broadcast(phrases)
+def _searched(
+    rows: DataFrame, slices: Sequence[Phrases], store: Callable[[DataFrame], DataFrame], prefix: str = ""
+) -> DataFrame:
+    """``rows`` (of any columns, one of them text) with n_words, runs and items of all slices.
+
+    ``store`` is applied between slices; ``prefix`` keeps the new columns' names apart.
+    """
+    width = len(rows.columns)
+    schema = StructType([*rows.schema, *(StructField(prefix + f.name, f.dataType) for f in _FOUND)])
+    found = rows
+    for number, phrases in enumerate(slices):
+        sent = rows.sparkSession.sparkContext.broadcast(phrases)
 
         def run(batches, sent=sent, number=number):
             for parts, texts in _shards(batches, "text"):
@@ -317,31 +324,37 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 at = 0
                 for part in parts:
                     counts, runs, items = [], [], []
-                    old = part.to_pylist() if number else [{}] * part.num_rows
-                    for row in old:
+                    old = [([], [])] * part.num_rows
+                    if number:
+                        old = zip(*(part.column(width + i).to_pylist() for i in (1, 2)))
+                    for old_runs, old_items in old:
                         new_runs, new_items = next(hits)
                         if number:
-                            new_runs = _merged([*new_runs, *((r["from"], r["to"]) for r in row["runs"])])
-                            new_items = sorted({*new_items, *row["items"]})
+                            new_runs = _merged([*new_runs, *((r["from"], r["to"]) for r in old_runs)])
+                            new_items = sorted({*new_items, *old_items})
                         counts.append(len(texts[at]))
                         runs.append([{"from": b, "to": e} for b, e in new_runs])
                         items.append(new_items)
                         at += 1
                     yield pa.RecordBatch.from_arrays(
                         [
-                            *part.columns[:2],
+                            *part.columns[:width],
                             pa.array(counts, pa.int64()),
                             pa.array(runs, _RUN),
                             pa.array(items, pa.list_(pa.string())),
                         ],
-                        names=["doc_id", "text", "n_words", "runs", "items"],
+                        names=schema.names,
                     )
 
-        schema = StructType([*docs.select("doc_id", "text").schema, *_FOUND])
-        found = map_parts(found, run, schema)
+        found = map_parts(store(found) if number else found, run, schema)
     return found
 
 
+def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, text, n_words, runs of hit words [from, to), and items whose phrases occur."""
+    return _searched(docs.select("doc_id", "text"), _slices(benchmark), lambda rows: rows)
+
+
 def cut(text: str, runs: Iterable[tuple[int, int]]) -> str:
     """The text without its hit words; what stood between two hit words of a run goes too."""
     places = [m.span() for m in _WORD.finditer(text.translate(_LOWER))]
@@ -359,36 +372,77 @@ def _with(part: pa.RecordBatch, name: str, column: list) -> pa.RecordBatch:
     return part.set_column(at, field, pa.array(column, field.type))
 
 
+def _updated(part: pa.RecordBatch, new: list, changed: list[bool]) -> pa.RecordBatch:
+    """The batch with new texts, and n_chars, if there, of the changed ones brought up to date."""
+    part = _with(part, "text", new)
+    if "n_chars" in part.schema.names:
+        old_sizes = part.column(part.schema.get_field_index("n_chars")).to_pylist()
+        part = _with(part, "n_chars", [len(t) if c else n for t, c, n in zip(new, changed, old_sizes)])
+    return part
+
+
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with hit words cut out of ``text`` and n_chars, if there, brought up to date.
 
     Cutting can join words that then form a phrase again, so a hit document is
     searched until it is clean.  A document of which no word is left is dropped.
+    With several slices a text is cut once all of them have searched it, and the hit
+    documents are searched again by all, so the result is that of a single slice.
     """
-    for phrases in _slices(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(phrases)
-
-        def run(batches, sent=sent):
-            for parts, texts in _shards(batches, "text"):
-                hits = sent.value.hits(texts)
-                for part in parts:
-                    column = part.schema.get_field_index("text")
-                    keep, new, changed = [], [], []
-                    for old in part.column(column).to_pylist():
-                        runs, _ = next(hits)
-                        changed.append(bool(runs))
-                        while runs:
-                            old = cut(old, runs)
-                            runs, _ = next(sent.value.hits([words_of(old)]))
-                        new.append(old)
-                        keep.append(not changed[-1] or bool(words_of(old)))
-                    if any(changed):
-                        part = _with(part, "text", new)
-                        if "n_chars" in part.schema.names:
-                            old_sizes = part.column(part.schema.get_field_index("n_chars")).to_pylist()
-                            sizes = [len(t) if c else n for t, c, n in zip(new, changed, old_sizes)]
-                            part = _with(part, "n_chars", sizes)
-                    yield part.filter(pa.array(keep, pa.bool_()))
-
-        docs = map_parts(docs, run, docs.schema)
-    return docs
+    slices = _slices(benchmark)
+    if len(slices) > 1:
+        return _remove_by_passes(docs, slices)
+    sent = docs.sparkSession.sparkContext.broadcast(slices[0])
+
+    def run(batches):
+        for parts, texts in _shards(batches, "text"):
+            hits = sent.value.hits(texts)
+            for part in parts:
+                column = part.schema.get_field_index("text")
+                keep, new, changed = [], [], []
+                for old in part.column(column).to_pylist():
+                    runs, _ = next(hits)
+                    changed.append(bool(runs))
+                    while runs:
+                        old = cut(old, runs)
+                        runs, _ = next(sent.value.hits([words_of(old)]))
+                    new.append(old)
+                    keep.append(not changed[-1] or bool(words_of(old)))
+                if any(changed):
+                    part = _updated(part, new, changed)
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return map_parts(docs, run, docs.schema)
+
+
+def _remove_by_passes(docs: DataFrame, slices: Sequence[Phrases]) -> DataFrame:
+    columns = docs.columns
+    mark = "_".join(["hit", *columns])  # no column's name
+    schema = StructType([*docs.schema, StructField(mark, BooleanType())])
+
+    def run(batches):
+        for part in batches:
+            runs = [[(r["from"], r["to"]) for r in row] for row in part.column(len(columns) + 1).to_pylist()]
+            hit = [bool(r) for r in runs]
+            part = part.select(list(range(len(columns))))
+            keep = [True] * part.num_rows
+            if any(hit):
+                old = part.column(part.schema.get_field_index("text")).to_pylist()
+                new = [cut(t, r) if r else t for t, r in zip(old, runs)]
+                part = _updated(part, new, hit)
+                keep = [not h or bool(words_of(t)) for h, t in zip(hit, new)]
+            part = part.append_column(mark, pa.array(hit, pa.bool_()))
+            yield part.filter(pa.array(keep, pa.bool_()))
+
+    with Workspace(docs.sparkSession, "decontaminate") as space:
+        done, left = [], docs
+        while True:
+            passed = space.step(map_parts(_searched(left, slices, space.step, mark), run, schema))
+            done.append(passed.where(~F.col(mark)).select(*columns))
+            left = passed.where(F.col(mark)).select(*columns)
+            if left.isEmpty():
+                break
+        clean = done[0]
+        for more in done[1:]:
+            clean = clean.unionAll(more)
+        return space.keep(clean)

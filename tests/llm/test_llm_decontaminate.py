@@ -111,3 +111,23 @@ def test_n_chars_follows(spark):
     rows = {r["doc_id"]: r for r in dc.remove(docs, items).collect()}
     assert rows[1]["text"] == "Keep, ! keep." and rows[1]["n_chars"] == 13
     assert rows[2]["n_chars"] == 99
+
+
+def test_removal_is_the_same_by_slices(spark, frames, monkeypatch):
+    w = [f"w{i}" for i in range(1, 13)]
+    # Overlapping windows of two items, and phrases that come up when others are cut.
+    items = [(i, " ".join(x)) for i, x in enumerate([w[:10], w[2:], ["p", "q"], ["r", "s"], ["t", "u", "v"]])]
+    text = "Keep " + " ".join(w) + " p r s q this, t r p q s u v end"
+    docs = [(1, text, 1), (2, "p r s q", 2), (3, "clean", 99), (4, None, 4), (5, text, 5)]
+    docs += [(10 + i, f"a {x} b {y} c", 0) for i, (x, y) in enumerate((items[j][1], items[k][1]) for j in range(5) for k in range(5))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, n_chars long")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    key = lambda r: (str(r[0]), r[1:])
+    other = sorted(map(tuple, dc.remove(*frames).collect()), key=key)
+    whole = sorted(map(tuple, dc.remove(docs, items).collect()))
+    assert whole[0] == (1, "Keep   this,  end", 17)
+    monkeypatch.setattr(dc, "SLICE_WORDS", 12)
+    assert len(dc._slices(items)) > 2
+    assert sorted(map(tuple, dc.remove(docs, items).collect())) == whole
+    monkeypatch.setattr(dc, "SLICE_WORDS", 40)
+    assert sorted(map(tuple, dc.remove(*frames).collect()), key=key) == other
