@@ -4,14 +4,15 @@ Every url is judged by the longest rule that fits its host and path.  Urls that
 a rule decides are examples: allowed ones train the model of accepted urls,
 blocked ones that of rejected urls.  Both are variable-order Markov models over
 the bytes of the url and an end mark, contexts of 0 to ``ORDER`` bytes, smoothed
-by Witten-Bell interpolation with the next shorter context.  Contexts are kept
-by frequency: a (context, byte) pair that makes up at least ``1 / MAX_PAIRS`` of
-all examples' positions of its order, and comes twice.  So there are at most
-``MAX_PAIRS`` pairs per order whatever the number of urls, which bounds what is
-collected and sent to the tasks.
+by Witten-Bell interpolation with the next shorter context.  All counts are kept.
+Up to ``MAX_PAIRS`` (context, byte) pairs an order are sent to the tasks.  More stay a
+table: the distinct pairs that the urls ask for are joined with their counts in all
+orders, and their log ratios, order by order from the shortest, go back to the urls
+by another join.  Pairs that make up at least ``1 / MAX_PAIRS`` of what is asked (at
+most MAX_PAIRS) are sent to the tasks, so no key of that join has a larger share.
 
 The score of a url is the difference of its log-likelihoods divided by its
-length.  The threshold is calibrated on examples held out of the counts (a hash
+length; log ratios are summed in whole units of ``1 / UNIT``, in any order.  The threshold is calibrated on examples held out of the counts (a hash
 of the url): the one with the best mean of both classes' accuracies, read from a
 histogram of fixed size.
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.common import ascii_lower
+from tallyroom.llm.common import Workspace, ascii_lower
 
 ORDER = 5
 MAX_PAIRS = 1 << 15
@@ -40,6 +41,7 @@ HELD_FOLDS = 5
 BINS, SPAN = 800, 8.0
 #: Entries of a task's caches before they start anew.
 CACHE = 300_000
+UNIT = 1 << 32
 MAX_RULES = 1_000
 _END = 256
 
@@ -98,6 +100,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _keys(data: bytes) -> Iterator[tuple[bytes, int]]:
+    """The longest context and the next byte of each place."""
+    for i in range(len(data) + 1):
+        yield data[max(0, i - ORDER) : i], data[i] if i < len(data) else _END
+
+
 class Model:
     """Both smoothed models; a score is their log ratio per symbol."""
 
@@ -131,43 +139,144 @@ class Model:
 
     def score(self, url: str | None) -> float:
         data = (url or "").encode("utf-8", "replace")
-        total = sum(
-            self.log_ratio(data[max(0, i - ORDER) : i], data[i] if i < len(data) else _END)
-            for i in range(len(data) + 1)
-        )
-        return total / (len(data) + 1)
+        total = sum(round(self.log_ratio(*key) * UNIT) for key in _keys(data))
+        return total / UNIT / (len(data) + 1)
 
 
-def _with_score(rows: DataFrame, model: Model) -> DataFrame:
-    """Adds ``score`` to rows (page_id, url, host, path, rule, verdict); NULL where a rule decided."""
+def _scores_by_model(rows: DataFrame, model: Model) -> DataFrame:
+    """row and score of rows (row, url)."""
     sent = rows.sparkSession.sparkContext.broadcast(model.pairs)
-    schema = "page_id long, url string, host string, path string, rule string, verdict string, score double"
 
     def run(batches):
         own = Model([(c, n, a, r) for (c, n), (a, r) in sent.value.items()])
         for batch in batches:
-            urls, decided = batch.column(1).to_pylist(), batch.column(5).to_pylist()
-            scores = [None if d else own.score(u) for u, d in zip(urls, decided)]
+            scores = [own.score(u) for u in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"]
+                [batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"]
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.select("row", "url").mapInArrow(run, "row long, score double")
+
+
+_KEY_DDL = "context binary, next int, times long"
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the urls ask for, counted in the task."""
+    counts: Counter = Counter()
+
+    def flush() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays(
+            [
+                pa.array([c for c, _ in counts], pa.binary()),
+                pa.array([n for _, n in counts], pa.int32()),
+                pa.array(list(counts.values()), pa.int64()),
+            ],
+            names=["context", "next", "times"],
+        )
+        counts.clear()
+        return made
+
+    for batch in batches:
+        for url in batch.column(0).to_pylist():
+            counts.update(_keys((url or "").encode("utf-8", "replace")))
+            if len(counts) > CACHE:
+                yield flush()
+    yield flush()
+
+
+def _ratios(asked: DataFrame, counted: DataFrame, space: Workspace) -> DataFrame:
+    """``asked`` (context, next, times) with the log ratio of each in units."""
+    sums = counted.groupBy("context").agg(
+        *[F.sum(c).alias(f"{c}_sum") for c in ("accepted", "rejected")],
+        *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_types") for c in ("accepted", "rejected")],
+    )
+    size = F.length("context")
+    suffixes = F.transform(F.sequence(F.lit(0), size), lambda k: F.substring(F.col("context"), size - k + 1, k))
+    needed = asked.select("next", F.explode(suffixes).alias("context")).distinct()
+    known = space.step(needed.join(counted, ["context", "next"], "left").join(sums, "context", "left"))
+    shorter = None
+    levels = []
+    for order in range(ORDER + 1):
+        own = known.where(size == order)
+        if shorter is None:
+            own = own.withColumns({"p": F.lit(1 / (_END + 1)), "q": F.lit(1 / (_END + 1))})
+        else:
+            of = shorter.select(F.col("context").alias("rest"), "next", "p", "q")
+            own = own.withColumn("rest", F.substring(F.col("context"), F.lit(2), F.lit(order))).join(of, ["rest", "next"])
+        shorter = space.step(
+            own.select("context", "next", *[_mixed(*x).alias(x[1]) for x in (("accepted", "p"), ("rejected", "q"))])
+        )
+        levels.append(shorter)
+    all_levels = levels[0]
+    for level in levels[1:]:
+        all_levels = all_levels.unionAll(level)
+    units = F.round((F.log("p") - F.log("q")) * UNIT).cast("long")
+    return space.step(asked.join(all_levels, ["context", "next"]).select("context", "next", "times", units.alias("units")))
+
+
+def _mixed(kind: str, p: str) -> Column:
+    """Witten-Bell: a context's counts with the probability by the shorter one."""
+    n, total, types = F.coalesce(kind, F.lit(0)), F.col(f"{kind}_sum"), F.col(f"{kind}_types")
+    return F.when(total > 0, (n + types * F.col(p)) / (total + types)).otherwise(F.col(p))
+
 
+def _scores(rows: DataFrame, counted: DataFrame, space: Workspace) -> DataFrame:
+    """row and score of rows (row, url), by joins with the counts."""
+    asked = space.step(
+        rows.select("url").mapInArrow(_ask, _KEY_DDL).groupBy("context", "next").agg(F.sum("times").alias("times"))
+    )
+    total = asked.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
+    ratios = _ratios(asked, counted, space)
+    often = -(-int(total) // MAX_PAIRS)
+    cached = ratios.where(F.col("times") >= often).collect()  # MAX_PAIRS at most
+    sent = rows.sparkSession.sparkContext.broadcast({(bytes(r["context"]), r["next"]): r["units"] for r in cached})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 1024):
+                made: list[tuple] = []
+                part = batch.slice(begin, 1024)
+                for row, url in zip(*(c.to_pylist() for c in part.columns)):
+                    counts = Counter(_keys((url or "").encode("utf-8", "replace")))
+                    units = sum(known[k] * n for k, n in counts.items() if k in known)
+                    made.append((row, None, None, units, sum(counts.values())))
+                    made += [(row, *k, n, 0) for k, n in counts.items() if k not in known]
+                types = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, t) for v, t in zip(zip(*made), types)],
+                    names=["row", "context", "next", "n", "places"],
+                )
 
-def _threshold(held: DataFrame, model: Model) -> float:
-    """The lowest bin edge with the best mean accuracy of both classes; 0 without examples."""
-    blank = held.withColumn("kind", F.col("verdict")).select(
-        "page_id", "url", "host", F.col("kind").alias("path"), "rule",
-        F.lit(None).cast("string").alias("verdict"),
+    taken = space.step(
+        rows.select("row", "url").mapInArrow(run, "row long, context binary, next int, n long, places long")
     )
+    rest = (
+        taken.where("context IS NOT NULL")
+        .join(ratios.where(F.col("times") < often), ["context", "next"])
+        .select("row", (F.col("n") * F.col("units")).alias("units"), F.lit(0).cast("long").alias("places"))
+    )
+    return (
+        taken.where("context IS NULL")
+        .select("row", F.col("n").alias("units"), "places")
+        .unionAll(rest)
+        .groupBy("row")
+        .agg((F.sum("units") / F.lit(float(UNIT)) / F.sum("places")).alias("score"))
+    )
+
+
+def _threshold(held: DataFrame) -> float:
+    """The lowest bin edge with the best mean accuracy of both classes; 0 without examples.
+
+    ``held`` has the verdict and the score of examples.
+    """
     place = F.floor((F.col("score") + SPAN) / (2 * SPAN) * BINS)
     bins = (
-        _with_score(blank, model)
-        .groupBy(F.least(F.greatest(place, F.lit(0)), F.lit(BINS - 1)).alias("bin"))
+        held.groupBy(F.least(F.greatest(place, F.lit(0)), F.lit(BINS - 1)).alias("bin"))
         .agg(
-            F.sum((F.col("path") == "allow").cast("long")).alias("accepted"),
-            F.sum((F.col("path") == "block").cast("long")).alias("rejected"),
+            F.sum((F.col("verdict") == "allow").cast("long")).alias("accepted"),
+            F.sum((F.col("verdict") == "block").cast("long")).alias("rejected"),
         )
         .collect()  # BINS rows at most
     )
@@ -195,27 +304,39 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
     text, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": text, "verdict": verdict})
-    examples = rows.where("verdict IS NOT NULL")
-    held = F.xxhash64(F.lit("held"), "url") % HELD_FOLDS == 0
-    counted = (
-        examples.where(~held)
-        .select("url", "verdict")
-        .mapInArrow(_count, "context binary, next int, accepted long, rejected long")
-        .groupBy("context", "next")
-        .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
-    )
-    sizes = examples.where(~held).agg(
-        F.sum(F.octet_length("url") + 1).alias("n"),
+    with Workspace(pages.sparkSession, "urls") as space:
+        return space.keep(_judged(rows, space))
+
+
+def _judged(rows: DataFrame, space: Workspace) -> DataFrame:
+    columns = rows.columns
+    held = F.coalesce(F.xxhash64(F.lit("held"), "url") % HELD_FOLDS == 0, F.lit(False))
+    rows = space.step(rows.withColumns({"row": F.monotonically_increasing_id(), "held": held}))
+    examples = rows.where("verdict IS NOT NULL AND NOT held")
+    sizes = examples.agg(
         F.sum((F.col("verdict") == "allow").cast("long")).alias("a"),
         F.sum((F.col("verdict") != "allow").cast("long")).alias("r"),
     ).first()
     if not sizes["a"] or not sizes["r"]:
-        return rows.withColumn("score", F.lit(None).cast("double")).withColumn(
+        return rows.select(*columns, F.lit(None).cast("double").alias("score")).withColumn(
             "verdict", F.coalesce("verdict", F.lit("allow"))
         )
-    least = max(2, -(-int(sizes["n"]) // MAX_PAIRS))
-    pairs = counted.where(F.col("accepted") + F.col("rejected") >= least).collect()
-    model = Model([(p["context"], p["next"], p["accepted"], p["rejected"]) for p in pairs])
-    threshold = _threshold(examples.where(held), model)
+    counted = space.step(
+        examples.select("url", "verdict")
+        .mapInArrow(_count, "context binary, next int, accepted long, rejected long")
+        .groupBy("context", "next")
+        .agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+    )
+    asked = rows.where("verdict IS NULL OR held")
+    if counted.count() <= MAX_PAIRS * (ORDER + 1):
+        pairs = counted.collect()  # MAX_PAIRS an order
+        scores = _scores_by_model(
+            asked, Model([(p["context"], p["next"], p["accepted"], p["rejected"]) for p in pairs])
+        )
+    else:
+        scores = _scores(asked, counted, space)
+    scored = space.step(rows.join(space.step(scores), "row", "left"))
+    threshold = _threshold(scored.where("verdict IS NOT NULL AND held"))
     by_score = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return _with_score(rows, model).withColumn("verdict", F.coalesce("verdict", by_score))
+    score = F.when(F.col("verdict").isNull(), F.col("score")).alias("score")
+    return scored.select(*columns, score).withColumn("verdict", F.coalesce("verdict", by_score))

@@ -79,3 +79,17 @@ def test_models_are_distributions():
 def test_too_many_rules(spark):
     with pytest.raises(ValueError):
         urls.judge(pages(spark, []), [("allow", f"h{i}/") for i in range(urls.MAX_RULES + 1)])
+
+
+def test_all_counts_score_also_as_a_table(spark, monkeypatch):
+    found = [f"http://s{i}.net/spam/{i}" for i in range(300)] + [f"http://s{i % 7}.org/fr/{i}" for i in range(3000)]
+    found += [f"http://q{i % 9}.com/{'spam' if i % 2 else 'fr'}/{i}" for i in range(200)] + [*URLS, *URLS]
+    frame = pages(spark, found).repartition(3)
+    key = lambda r: r["page_id"]
+    whole = sorted(urls.judge(frame, URL_RULES).collect(), key=key)
+    monkeypatch.setattr(urls, "MAX_PAIRS", 64)
+    table = sorted(urls.judge(frame, URL_RULES).collect(), key=key)
+    assert [(r["page_id"], r["rule"], r["verdict"]) for r in table] == [(r["page_id"], r["rule"], r["verdict"]) for r in whole]
+    for a, b in zip(table, whole):
+        assert (a["score"] is None) == (b["score"] is None)
+        assert a["score"] is None or math.isclose(a["score"], b["score"], abs_tol=1e-8)
