@@ -29,6 +29,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not score as toxic; learns from all labels of the documents at hand."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    labels = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
     return toxicity.keep_clean(docs, toxicity.fit(docs, labels))
 
 

@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from tallyroom.llm.common import map_batches, map_parts, sampled, scores_frame, shard, values
 
 BITS = 18
-FIT_TOXIC = 2_400
-FIT_UNLABELLED = 14_000
-SHARD_TOXIC = 1_200
+FIT_TOXIC = 3_000
+FIT_UNLABELLED = 20_000
+SHARD_TOXIC = 1_000
 #: Tasks that turn the sampled texts into features.
 FIT_TASKS = 16
 ITERATIONS = 300

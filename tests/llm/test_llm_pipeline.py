@@ -72,3 +72,14 @@ def test_bpe_stage(steps):
 def test_run_is_all_stages(spark, steps):
     made = sorted(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect()))
     assert made == sorted(map(tuple, steps[5].collect()))
+
+
+def test_the_toxicity_stage_learns_from_labels_of_its_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels: seen.append(labels))
+    docs = table(spark, SF_DIR, "documents").where("doc_id % 3 = 0")
+    kept = corpus_pipeline.toxicity_filter(spark, docs, SF_DIR).count()
+    labels = table(spark, SF_DIR, "labels")
+    expected = {r["doc_id"] for r in labels.collect() if r["doc_id"] % 3 == 0}
+    assert kept == docs.count() and 0 < len(expected) < labels.count()
+    assert {r["doc_id"] for r in seen[0].collect()} == expected
