@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import bpe, chat, decontaminate, hamming, jaccard, lm, quality, sql, toxicity, urls, warc
+from tallyroom.llm import bpe, chat, decontaminate, fim, hamming, jaccard, lm, quality, sql, toxicity, urls, warc
 from tallyroom.llm.common import Workspace, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +125,19 @@ def op10_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
         return hamming.search(table(spark, sf_dir, "embeddings"), asked, NEIGHBOURS, space)
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(), 256).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package; it imports this module
 
@@ -143,6 +156,7 @@ def queries() -> dict[str, Query]:
         "op8_chat": op8_chat,
         "op9_decontaminate": op9_decontaminate,
         "op10_hamming": op10_hamming,
+        "op11_fim": op11_fim,
         "pipeline": pipeline,
     }
 

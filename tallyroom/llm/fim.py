@@ -54,10 +54,9 @@ class Format:
 
     def __post_init__(self) -> None:
         marks = (self.prefix, self.suffix, self.middle)
-        for a, b in product(marks, marks):
-            shared = range(1, min(len(a), len(b)) + (a is not b))
-            if not a or any(a.endswith(b[:n]) for n in shared):
-                raise ValueError("a sentinel begins as another, or the same one, ends")
+        for (i, a), (j, b) in product(enumerate(marks), repeat=2):
+            if not a or i != j and b in a or any(a.endswith(b[:n]) for n in range(1, len(b)) if n < len(a)):
+                raise ValueError("a sentinel overlaps another or itself")
 
 
 class RankIndex:

@@ -96,10 +96,31 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance
   neighbour_id, distance
 FROM p QUALIFY rank <= 10"""
 
+FIM = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT *, list_transform([0, 1, 2, 3], lambda i: CAST('0x' || substr(h, CAST(1 + 8 * i AS BIGINT), 8) AS BIGINT)) AS u FROM d
+), c AS (
+  SELECT *, least(u[1] % (n + 1), u[2] % (n + 1)) AS a, greatest(u[1] % (n + 1), u[2] % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR u[3] % 100 >= 90 THEN 'plain'
+      WHEN u[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT *, '<P>' || substring(text, 1, a) AS p, '<M>' || substring(text, a + 1, b - a) AS m, '<S>' || substring(text, b + 1) AS s FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN p || s || m ELSE s || p || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p"""
+
 ORACLE_SQL = {
     "op5_warc": WARC,
     "op8_chat": CHAT,
     "op6_jaccard": JACCARD,
     "op9_decontaminate": DECONTAMINATE,
     "op10_hamming": HAMMING,
+    "op11_fim": FIM,
 }
