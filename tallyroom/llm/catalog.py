@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import bpe, chat, decontaminate, fim, hamming, jaccard, lm, quality, sql, toxicity, urls, warc
+from tallyroom.llm import bpe, chat, decontaminate, fim, hamming, jaccard, lm, ppm, quality, sql, toxicity, urls, warc
 from tallyroom.llm.common import Workspace, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +138,14 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ppm.fit(docs.where(fold("doc_id", 4) != 2))
+    return ppm.predict(docs, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package; it imports this module
 
@@ -157,6 +165,7 @@ def queries() -> dict[str, Query]:
         "op9_decontaminate": op9_decontaminate,
         "op10_hamming": op10_hamming,
         "op11_fim": op11_fim,
+        "op12_language": op12_language,
         "pipeline": pipeline,
     }
 
