@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroom.llm import bpe, chat, decontaminate, fim, hamming, jaccard, lm, ppm, quality, sql, toxicity, urls, warc
+from tallyroom.llm import bpe, chat, decontaminate, fim, hamming, jaccard, lm, ppm, quality, sql, toxicity, trie, urls, warc
 from tallyroom.llm.common import Workspace, fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,12 @@ def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = trie.sequences(table(spark, sf_dir, "conversations"))
+    with Workspace(spark, "trie") as space:
+        return space.keep(trie.nodes(trie.rebuilt(space.step(own)), space))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package; it imports this module
 
@@ -166,6 +172,7 @@ def queries() -> dict[str, Query]:
         "op10_hamming": op10_hamming,
         "op11_fim": op11_fim,
         "op12_language": op12_language,
+        "op13_trie": op13_trie,
         "pipeline": pipeline,
     }
 

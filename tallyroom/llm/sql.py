@@ -116,6 +116,41 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
   sha256(text) AS restored_sha256
 FROM p"""
 
+# crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(string_split({}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+TRIE = f"""
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, length(coalesce(text, '')) AS size,
+    substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS code
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'code': code, 'size': size}} ORDER BY turn NULLS FIRST, code, size) AS l,
+    {_CRC32.format('CAST(conv_id AS VARCHAR)')} % 6 AS h FROM t GROUP BY conv_id
+), r AS (
+  SELECT o.conv_id, list_concat(coalesce(s.l[1 : o.h], []), o.l[o.h + 1 :]) AS l
+  FROM own o LEFT JOIN own s ON s.conv_id = o.conv_id - o.conv_id % 100
+), p AS (
+  SELECT conv_id, coalesce(list_aggregate(list_transform(l, lambda x: x.code), 'string_agg', ''), '') AS path, l FROM r
+), n AS (
+  SELECT substr(path, 1, 32 * d) AS k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(l[d].size) AS size,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(l) = d) AS ends
+  FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM p) GROUP BY ALL
+), kids AS (
+  SELECT substr(k, 1, 32 * (d - 1)) AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+), sums AS (
+  SELECT substr(k, 1, 32 * e) AS k, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT n.k, unnest(range(0, d + 1)) AS e, CAST(kids.k IS NULL AS INT) AS leaf,
+    CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * size END AS saved FROM n LEFT JOIN kids ON kids.k = n.k) GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN sums ON sums.k = n.k LEFT JOIN kids ON kids.k = n.k
+LEFT JOIN n up ON n.d > 0 AND up.k = substr(n.k, 1, 32 * (n.d - 1))"""
+
 ORACLE_SQL = {
     "op5_warc": WARC,
     "op8_chat": CHAT,
@@ -123,4 +158,5 @@ ORACLE_SQL = {
     "op9_decontaminate": DECONTAMINATE,
     "op10_hamming": HAMMING,
     "op11_fim": FIM,
+    "op13_trie": TRIE,
 }
