@@ -1,36 +1,36 @@
 """Hidden Markov language model: Baum-Welch over Spark partitions, exact scoring.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z lower-cased, and one
-end token.  A first pass turns the documents
-into blocks of about ``BLOCK_CHARS`` characters with word numbers of their own,
-and stores them.  The (word, block) pairs are shuffled by word once, which counts
-the words, and their counts and classes go back to the blocks; so the vocabulary
-may be of any size, and no task and not the driver holds it.
+end token.  A first pass turns the documents into blocks of about ``BLOCK_CHARS``
+characters with word numbers of their own, and stores them.  A block's words are dealt
+to buckets by a hash of the word, packed, one row a (block, bucket); a bucket counts its
+words and gives every block the counts and the words' ranks in the bucket back.  So the
+vocabulary may be of any size, and no task and not the driver holds it.
 
 The model: hidden states with transitions; every word seen in training has expected
-counts of its own in each state.  Those of a word with at least ``1 / MAX_FREQUENT``
-of all training tokens (at most MAX_FREQUENT words can be) are in arrays that are
-sent to all tasks.  Those of the others, of whatever number, are rows of a table.
-For smoothing alone these words share classes by a hash of their first bytes: with
-E the expected counts in state k, C the count, n and t the tokens and types of the class,
+counts of its own in each state, whatever its frequency.  Words share classes by a hash
+of their first bytes, which start the training and smooth it.  With E the expected counts
+in state k, C a word's count, n and t the tokens and types of its class,
 
     P(word | k) = P(class | k) * (n / (n + t) * E(word) / E(class) + t / (n + t) * (C + 1) / (n + t))
 
-A class for unknown words has the base model's probability of an unknown word in
-each state, and the probabilities of all words and the unknown one sum to one in
-every state.
+The end token and unknown words have classes of their own; that of unknown words has the
+base model's probability of one in each state.  The probabilities of all words, the end
+and the unknown one sum to one in every state.
 
-Each Baum-Welch round scans the blocks, runs the scaled forward-backward
-recursion over pieces of at most ``PIECE`` tokens of all training documents, and
-sums the expected counts: those of the classes in two steps (by slice of
-classes), those of the rarer words by a shuffle of a block's rows to buckets of
-about ``BUCKET_ROWS`` (word, block) pairs, from where the sums go back to the
-blocks.  Scores come from one scaled forward recursion over each whole document,
-from its first word to its end.
+A Baum-Welch round scans the blocks, runs the scaled forward-backward recursion over all
+training documents, and sends each bucket the expected counts of its words, in whole
+multiples of ``1 / UNIT`` and packed; the bucket adds them up by rank while they stream
+by and gives every block the sums of its words back.  Sums of classes take two steps.
+The recursion runs over pieces of ``PIECE`` tokens side by side.  A piece reads ``WARM``
+tokens on both sides of it as well, whose states are not counted, so every token and
+every transition counts once, and with its surroundings on both sides.  Scores come from
+one scaled forward recursion over each whole document, from its first word to its end.
 
 Defined results: NULL and empty texts are the end token alone; NULL ids are
 scored like others (and train, as fold 0); repeated rows count and are scored
-once each; without training rows every token is unknown and scores zero but for rounding.
+once each; without training rows every token is unknown and scores zero but for rounding;
+other columns of any name are not read and do not come back.
 """
 
 from __future__ import annotations
@@ -39,13 +39,13 @@ import gc
 from collections.abc import Iterator
 from contextlib import ExitStack
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyroom.llm.common import Workspace, map_parts
@@ -53,34 +53,52 @@ from tallyroom.llm.common import Workspace, map_parts
 BLOCK_CHARS = 4_000_000
 STATES = 8
 ROUNDS = 5
-PIECE = 256
-MAX_FREQUENT = 1 << 14
-SHARED_CLASSES = 1 << 13
-#: Bytes of a rare word that choose its class.
+PIECE, WARM = 256, 32
+CLASSES = 1 << 13
+#: Bytes of a word that choose its class.
 STEM = 4
 #: Pseudo-counts: of the class distribution in each state, of transitions.
 PRIOR_MASS, PRIOR_STEP = 50.0, 1.0
-#: (word, block) pairs that a bucket of rarer words has, about; and buckets at least.
-BUCKET_ROWS = 1 << 20
+#: Expected counts are whole multiples of a part of one.
+UNIT = 1 << 10
+#: (word, block) pairs that a bucket has, about; and buckets at least.
+BUCKET_ROWS = 1 << 21
 MIN_BUCKETS = 64
-_SLICE = 8192
+_SLICE = 4096
 _SALTS = 16
 
-_END, _UNKNOWN = 0, 1
-#: Mark of a row with words' counts, among those of classes.
-_WORDS = -2
+#: Classes of the end and of unknown words; those of words follow.
+_END, _UNKNOWN, _FIRST = 0, 1, 2
+#: Kinds of rows: the words of a block in a bucket; sums of classes are their slice, or this.
+_WORDS, _REST = -2, -1
+
 
 def _pack(numbers: np.ndarray, kind: type = np.int32) -> bytes:
-    return zstandard.compress(numbers.astype(kind).tobytes(), 1)
+    """Numbers byte by byte in planes, most of which are even."""
+    planes = np.ascontiguousarray(numbers, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
+    return zstandard.compress(planes.T.tobytes(), 1)
 
 
 def _unpack(data: bytes, kind: type = np.int32) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), kind)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _rows(made: list[tuple], ddl: str) -> pa.RecordBatch:
+    fields = [part.split() for part in ddl.split(", ")]
+    columns = list(zip(*made)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields)], names=[name for name, _ in fields]
+    )
 
 
+_TYPES = {
+    "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+    "array<boolean>": pa.list_(pa.bool_()), "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()),
+}
 _BLOCK_DDL = (
     "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, ids binary, "
-    "vocab array<binary>, counts array<long>"
+    "n_words long, vocab binary, counts binary"
 )
 
 
@@ -99,16 +117,10 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate([np.array(x, np.int32) for x in ids])
         trains = np.repeat(~np.array(held), sizes)
         counts = np.bincount(flat[trains], minlength=len(vocab))
-        row = [
-            [(task << 32) + number], [doc_ids], [held], [sizes], [_pack(flat)],
-            [list(vocab)], [counts],
-        ]
-        types = [
-            pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()),
-            pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()),
-        ]
-        names = ["block", "doc_ids", "held", "sizes", "ids", "vocab", "counts"]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
+        # No word has a blank.
+        listed = zstandard.compress(b" ".join(vocab), 1)
+        row = ((task << 32) + number, doc_ids, held, sizes, _pack(flat), len(vocab), listed, _pack(counts))
+        return _rows([row], _BLOCK_DDL)
 
     for batch in batches:
         for doc_id, text, is_held in zip(*(batch.column(i) for i in range(3))):
@@ -127,24 +139,109 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _listed(vocab: bytes) -> list[bytes]:
+    return zstandard.decompress(vocab).split()
+
+
+_DEALT_DDL = "bucket int, block long, places binary, words binary, counts binary"
+
+
+def _deal(buckets: int):
+    """The words of each block by bucket, with their places and counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, vocab, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                words, counts = _listed(vocab), _unpack(counts)
+                to = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(buckets)
+                by = np.argsort(to, kind="stable")
+                edge = np.flatnonzero(np.diff(to[by].astype(np.int64), prepend=-1, append=-1))
+                yield _rows(
+                    [
+                        (
+                            int(to[by[a]]), block, _pack(by[a:b]),
+                            zstandard.compress(b" ".join([words[i] for i in by[a:b]]), 1), _pack(counts[by[a:b]]),
+                        )
+                        for a, b in zip(edge, edge[1:])
+                    ],
+                    _DEALT_DDL,
+                )
+
+    return run
+
+
+_COUNTED_DDL = "block long, bucket int, places binary, ranks binary, c binary, classes binary, tokens array<long>, types array<long>"
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts the words of each bucket over all blocks; what each block asked for, and sums by class."""
+    known: dict[int, dict[bytes, int]] = {}
+    totals: dict[int, np.ndarray] = {}
+    asked = []
+    for batch in batches:
+        for bucket, block, places, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            index = known.setdefault(bucket, {})
+            add = index.setdefault
+            at = np.array([add(w, len(index)) for w in _listed(words)])
+            sums = totals.get(bucket, np.zeros(0, np.int64))
+            if len(sums) < len(index):
+                sums = np.concatenate([sums, np.zeros(len(index) + len(sums) // 2, np.int64)])
+            sums[at] += _unpack(counts)
+            totals[bucket] = sums
+            asked.append((bucket, block, places, _pack(at)))
+    tokens, types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    ranks, classes = {}, {}
+    for bucket, index in known.items():
+        # Ranks in the order of the words, so a task that runs again gives the same ones.
+        words = sorted(index)
+        ranks[bucket] = np.empty(len(words), np.int32)
+        ranks[bucket][[index[w] for w in words]] = np.arange(len(words))
+        classes[bucket] = np.fromiter((crc32(w[:STEM]) % CLASSES for w in index), np.int32, len(words))
+        c = totals[bucket] = totals[bucket][: len(words)]
+        tokens += np.bincount(classes[bucket], c, CLASSES).astype(np.int64)
+        types += np.bincount(classes[bucket][c > 0], minlength=CLASSES)
+        index.clear()
+    known.clear()
+    for i in range(0, len(asked), 64):
+        made = []
+        for bucket, block, places, at in asked[i : i + 64]:
+            at = _unpack(at)
+            c = totals[bucket][at]
+            kinds = np.where(c > 0, classes[bucket][at] + _FIRST, _UNKNOWN)
+            made.append((block, bucket, places, _pack(ranks[bucket][at]), _pack(c, np.int64), _pack(kinds), None, None))
+        yield _rows(made, _COUNTED_DDL)
+    if types.any():
+        yield _rows([(None, None, None, None, None, None, tokens.tolist(), types.tolist())], _COUNTED_DDL)
+
+
 @dataclass
 class Model:
     start: np.ndarray  # distribution of a document's first state
-    again: np.ndarray  # distribution of the first state of a later piece
+    again: np.ndarray  # distribution of the state where a later piece begins to read
     step: np.ndarray
     emit: np.ndarray  # classes x states, float32
     sums: np.ndarray | None = None  # expected counts of the classes, of the round that made the words'
-    spare: np.ndarray | None = None  # of each class, the share of its smoothing: t / (n + t)
+    tokens: np.ndarray | None = None  # of each class
+    types: np.ndarray | None = None
 
 
 def _first_model(counts: np.ndarray, unknown: float, states: int) -> Model:
-    """States that differ by seeded noise."""
+    """States that differ by seeded noise; words add their own in the first round."""
     noise = np.exp(np.random.default_rng(0).normal(0, 1.0, (len(counts), states)))
     step = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
     flat = np.full(states, 1 / states)
     return Model(flat, flat, step, _emission(counts, unknown, counts[:, None] * noise))
 
 
+def _noise(buckets: np.ndarray, ranks: np.ndarray, states: int) -> np.ndarray:
+    """Factors from 1/e to e for each word and state, mixed from the word's bucket and rank."""
+    words = (np.asarray(buckets, np.uint64) << np.uint64(32)) + np.asarray(ranks, np.uint64)
+    mixed = words[:, None] * np.uint64(states) + np.arange(states, dtype=np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return np.exp((mixed >> np.uint64(11)) / 2.0**52 - 1)
+
+
 def _emission(counts: np.ndarray, unknown: float, expected: np.ndarray) -> np.ndarray:
     """Class probabilities per state, smoothed by the corpus, beside the unknown class."""
     corpus = (counts / max(1, counts.sum()))[:, None]
@@ -176,17 +273,41 @@ def forward(model: Model, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarra
     return out
 
 
+@dataclass
+class Pieces:
+    """Stretches of sequences that are read from ``start`` on; the tokens [begin, end) of them count."""
+
+    start: np.ndarray
+    size: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+
+    @classmethod
+    def of(cls, starts: np.ndarray, sizes: np.ndarray, piece: int = PIECE, warm: int = WARM) -> Pieces:
+        n = -(-sizes // piece)
+        index = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        first, last = np.repeat(starts, n), np.repeat(starts + sizes, n)
+        low = first + index * piece
+        high = np.minimum(low + piece, last)
+        start = np.maximum(first, low - warm)
+        return cls(start, np.minimum(high + warm, last) - start, low - start, high - start)
+
+    def longest_first(self) -> Pieces:
+        by = np.argsort(-self.size, kind="stable")
+        return Pieces(self.start[by], self.size[by], self.begin[by], self.end[by])
+
+
 def expectations(
-    model: Model, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, opens: np.ndarray
+    model: Model, flat: np.ndarray, pieces: Pieces
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Expected emissions (classes x states), transitions, first states of documents and of pieces.
+    """Expected emissions (classes x states), transitions, first states of documents and of later pieces.
 
-    Pieces are sequences with ``sizes`` of at least 1; ``opens`` marks those that open a document.
+    A piece that counts from its first token on opens a document.
     """
     states = len(model.start)
-    by = np.argsort(-sizes, kind="stable")
-    starts, sizes, opens = starts[by], sizes[by], opens[by]
-    running = np.searchsorted(-sizes, -np.arange(int(sizes[0])), "left").tolist()
+    pieces = pieces.longest_first()
+    opens = pieces.begin == 0
+    running = np.searchsorted(-pieces.size, -np.arange(int(pieces.size[0])), "left").tolist()
     step = model.step.astype(np.float32)
     # By time: the classes seen, and the state probabilities, first of the past, then of all.
     edge = np.concatenate([[0], np.cumsum(running)])
@@ -196,13 +317,15 @@ def expectations(
     state = np.where(opens[:, None], model.start, model.again).astype(np.float32)
     for t, n in enumerate(running):
         now = slice(edge[t], edge[t + 1])
-        classes[now] = flat[starts[:n] + t]
+        classes[now] = flat[pieces.start[:n] + t]
         state = (state[:n] @ step if t else state[:n]) * model.emit[classes[now]]
         scales[now] = state.sum(axis=1)
         state = state / scales[now][:, None]
         gamma[now] = state
-    moves = np.zeros((states, states))
+    moves, later = np.zeros((states, states)), np.zeros(states)
     beta = np.empty((0, states), np.float32)
+    counted = np.zeros(0, bool)
+    inside = np.empty(edge[-1], bool)
     for t in range(len(running) - 1, -1, -1):
         now, m = gamma[edge[t] : edge[t + 1]], len(beta)
         here = np.ones((running[t], states), np.float32)
@@ -210,40 +333,32 @@ def expectations(
             after = slice(edge[t + 1], edge[t + 2])
             ahead = beta * model.emit[classes[after]] / scales[after][:, None]
             here[:m] = ahead @ step.T
-            moves += now[:m].T @ ahead
+            # A transition counts with the token that it leads to.
+            moves += now[:m].T @ np.where(counted[:, None], ahead, 0)
         now *= here
         beta = here
+        begin, end = pieces.begin[: running[t]], pieces.end[: running[t]]
+        counted = (begin <= t) & (t < end)
+        inside[edge[t] : edge[t + 1]] = counted
+        if t:
+            later += now[begin == t].sum(axis=0)
     moves *= model.step
+    gamma *= inside[:, None]
     emitted = np.stack(
         [np.bincount(classes, gamma[:, k], len(model.emit)) for k in range(states)], axis=1
     )
-    opened = gamma[: edge[1]]
-    return emitted, moves, opened[opens].sum(axis=0), opened[~opens].sum(axis=0)
-
-
-def _pieces(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sequences cut to at most PIECE tokens: starts, sizes, and which open a document."""
-    n = -(-sizes // PIECE)
-    index = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    cut = np.repeat(starts, n) + index * PIECE
-    return cut, np.minimum(PIECE, np.repeat(starts + sizes, n) - cut), index == 0
+    return emitted, moves, gamma[: edge[1]][opens].sum(axis=0), later
 
 
 def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums arrays by slice while they stream by."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-            array = np.frombuffer(data.as_buffer(), np.float64)
-            if part in sums:
-                sums[part] += array
-            else:
-                sums[part] = array.copy()
+        for part, data in zip(*(c.to_pylist() for c in batch.columns)):
+            array = np.frombuffer(data, np.int64)
+            sums[part] = sums[part] + array if part in sums else array
     if sums:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([a.tobytes() for a in sums.values()], pa.binary())],
-            names=["part", "data"],
-        )
+        yield _rows([(part, array.tobytes()) for part, array in sums.items()], "part int, data binary")
 
 
 @dataclass
@@ -255,49 +370,48 @@ class Block:
     sizes: np.ndarray
     flat: np.ndarray
     kinds: np.ndarray  # classes of the words, then that of the end
-    within: np.ndarray  # of each, its share of its class by counts
-    rare: np.ndarray  # places of the words that share classes, by bucket
+    c: np.ndarray  # counts of the words
+    known: np.ndarray  # places of the words seen in training, by bucket and rank
     buckets: np.ndarray  # of each of those
-    keys: np.ndarray  # of each of those, the same in all blocks
-    counts: np.ndarray | None  # of each of those, expected in each state over all blocks
+    ranks: np.ndarray  # of each of those, in its bucket the same for all blocks
+    counts: np.ndarray | None  # of each of those, units expected in each state over all blocks
 
     def model(self, model: Model) -> Model:
-        """The model with a row for each place."""
+        """The model with a row for each place; the first round's words differ by noise."""
         emit = model.emit[self.kinds]
-        share = self.within[self.rare][:, None]
+        kinds, c = self.kinds[self.known], self.c[self.known]
+        n, t = model.tokens[kinds], model.types[kinds]
+        share = ((c + 1) / (n + t))[:, None]
         if self.counts is not None:
-            kinds = self.kinds[self.rare]
-            sums, spare = model.sums[kinds], model.spare[kinds][:, None]
-            own = self.counts / np.maximum(sums, _LEAST)
-            share = np.where(sums > _LEAST, (1 - spare) * own + spare * share, share)
-        emit[self.rare] *= share.astype(np.float32)
+            sums, spare = model.sums[kinds], (t / (n + t))[:, None]
+            own = self.counts / np.maximum(sums, 1)
+            share = np.where(sums > 0, (1 - spare) * own + spare * share, share)
+        elif model.sums is None:
+            share = share * _noise(self.buckets, self.ranks, len(model.start))
+        emit[self.known] *= share.astype(np.float32)
         return Model(model.start, model.again, model.step, emit)
 
 
-#: Expected counts of a class below this say nothing about its words.
-_LEAST = 1e-25
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[Block]:
-    """The blocks of rows (block, held, sizes, flat, kinds, within, rare, buckets, keys, states ...)."""
+    """The blocks of rows (block, held, sizes, flat, kinds, c, known, buckets, ranks, states ...)."""
     for batch in batches:
-        for number, held, sizes, flat, kinds, within, rare, buckets, keys, sums in zip(
+        for number, held, sizes, flat, kinds, c, known, buckets, ranks, sums in zip(
             *(batch.column(i) for i in range(10))
         ):
             counts = None
             if sums.is_valid:
-                parts = [np.frombuffer(d.as_buffer(), np.float32) for d in sums.values.field("data")]
-                counts = np.concatenate(parts).reshape(-1, states)
+                parts = [_unpack(d.as_py(), np.int64) for d in sums.values.field("data")]
+                counts = np.concatenate([p.reshape(states, -1).T for p in parts])
             yield Block(
                 number.as_py(),
                 held.values.to_numpy(zero_copy_only=False),
                 sizes.values.to_numpy().astype(np.int64),
                 _unpack(flat.as_py()),
                 _unpack(kinds.as_py()),
-                _unpack(within.as_py(), np.float64),
-                _unpack(rare.as_py()),
+                _unpack(c.as_py(), np.int64),
+                _unpack(known.as_py()),
                 _unpack(buckets.as_py()),
-                _unpack(keys.as_py(), np.int64),
+                np.cumsum(_unpack(ranks.as_py())),
                 counts,
             )
 
@@ -316,104 +430,98 @@ def _with_states(coded: DataFrame, states: DataFrame | None) -> DataFrame:
 _STATES_TYPE = "array<struct<bucket: int, data: binary>>"
 
 
+_SENT_DDL = "part int, data binary, block long, bucket int, ranks binary"
+_SUMMED_DDL = "part int, block long, bucket int, data binary"
+
+
 def _sum_words(states: int):
-    """Sums the rows of each key and gives every block its own back; sums the class rows by part."""
+    """Sums the rows of each bucket by rank and gives every block its own back; sums the class rows by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, keys, data = [], [], []
+        asked: list[tuple[int, int, bytes]] = []
+        totals: dict[int, np.ndarray] = {}
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part, array, block, bucket, key in zip(*(batch.column(i) for i in range(5))):
-                if part.as_py() == _WORDS:
-                    places.append((_WORDS, block.as_py(), bucket.as_py()))
-                    keys.append(_unpack(key.as_py(), np.int64))
-                    data.append(np.frombuffer(array.as_py(), np.float32))
-                else:
-                    more = np.frombuffer(array.as_py(), np.float64)
-                    sums[part.as_py()] = sums[part.as_py()] + more if part.as_py() in sums else more
-        made = [(part, -1, -1, array.tobytes()) for part, array in sums.items()]
-        if made:
-            yield rows(made)
-        if not places:
-            return
-        edge = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        known, which = np.unique(np.concatenate(keys), return_inverse=True)
-        flat = np.concatenate(data).reshape(-1, states)
-        del keys, data
-        total = np.stack(
-            [np.bincount(which, flat[:, k], len(known)) for k in range(states)], axis=1
-        ).astype(np.float32)
-        for i in range(0, len(places), 64):
-            yield rows(
+            for part, data, block, bucket, ranks in zip(*(batch.column(i) for i in range(5))):
+                part, data, bucket = part.as_py(), data.as_py(), bucket.as_py()
+                if part != _WORDS:
+                    array = np.frombuffer(data, np.int64)
+                    sums[part] = sums[part] + array if part in sums else array
+                    continue
+                at = np.cumsum(_unpack(ranks.as_py()))
+                total = totals.get(bucket, np.zeros((0, states), np.int64))
+                if len(total) <= at[-1]:
+                    total = np.concatenate([total, np.zeros((int(at[-1]) + 1 - len(total) + len(total) // 2, states), np.int64)])
+                total[at] += _unpack(data, np.int64).reshape(states, -1).T
+                totals[bucket] = total
+                asked.append((block.as_py(), bucket, ranks.as_py()))
+        if sums:
+            yield _rows([(part, None, None, array.tobytes()) for part, array in sums.items()], _SUMMED_DDL)
+        for i in range(0, len(asked), 64):
+            yield _rows(
                 [
-                    (*p, total[which[edge[j] : edge[j + 1]]].tobytes())
-                    for j, p in enumerate(places[i : i + 64], i)
-                ]
+                    (_WORDS, block, bucket, _pack(totals[bucket][np.cumsum(_unpack(ranks))].T, np.int64))
+                    for block, bucket, ranks in asked[i : i + 64]
+                ],
+                _SUMMED_DDL,
             )
 
-    def rows(made: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(zip(*made), types)], names=["part", "block", "bucket", "data"]
-        )
-
     return run
 
 
+def _whole(numbers: np.ndarray) -> np.ndarray:
+    return np.rint(numbers * UNIT).astype(np.int64)
+
+
 def _round(
     coded: DataFrame, model: Model, states_of: DataFrame | None, counts: np.ndarray, unknown: float,
     buckets: int, space: Workspace,
 ) -> tuple[Model, DataFrame]:
-    """One Baum-Welch round over all training documents: the model and the rarer words' counts."""
+    """One Baum-Welch round over all training documents: the model and the words' counts."""
     sent = coded.sparkSession.sparkContext.broadcast(model)
     states = len(model.start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        emitted = np.zeros((len(own.emit), states))
-        rest = np.zeros((states + 2, states))
-
-        def rows(made: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*made)) or [()] * 5
-            types = [pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(columns, types)],
-                names=["part", "data", "block", "bucket", "keys"],
-            )
-
+        emitted = np.zeros((len(own.emit), states), np.int64)
+        rest = np.zeros((states + 2, states), np.int64)
         for block in _blocks(batches, states):
-            here = np.zeros((len(block.kinds), states))
+            here = np.zeros((len(block.kinds), states), np.int64)
             trains = ~block.held
             if trains.any():
                 starts = np.cumsum(block.sizes) - block.sizes
-                here, moves, opened, later = expectations(
-                    block.model(own), block.flat, *_pieces(starts[trains], block.sizes[trains])
-                )
+                here, moves, opened, later = map(_whole, expectations(
+                    block.model(own), block.flat, Pieces.of(starts[trains], block.sizes[trains])
+                ))
                 for k in range(states):
-                    emitted[:, k] += np.bincount(block.kinds, here[:, k], len(emitted))
+                    emitted[:, k] += np.bincount(block.kinds, here[:, k], len(emitted)).astype(np.int64)
                 rest += np.concatenate([moves, [opened], [later]])
             # Blocks without training rows ask for the counts of their words, too.
-            words = here[block.rare].astype(np.float32)
+            words = here[block.known]
             edge = np.flatnonzero(np.diff(block.buckets, prepend=-1, append=-1))
-            yield rows(
+            yield _rows(
                 [
-                    (_WORDS, words[a:b].tobytes(), block.number, int(block.buckets[a]), _pack(block.keys[a:b], np.int64))
+                    (
+                        _WORDS, _pack(words[a:b].T, np.int64), block.number, int(block.buckets[a]),
+                        _pack(np.diff(block.ranks[a:b], prepend=0)),
+                    )
                     for a, b in zip(edge, edge[1:])
-                ]
+                ],
+                _SENT_DDL,
             )
-        parts = [(-1, rest.tobytes())]
+        parts = [(_REST, rest.tobytes())]
         parts += [
             (i, emitted[i * _SLICE : (i + 1) * _SLICE].tobytes()) for i in range(-(-len(emitted) // _SLICE))
         ]
         # The classes go to buckets under zero, by part and salt.
         salt = TaskContext.get().partitionId() % _SALTS
-        yield rows([(i, data, -1, -1 - (i + 1) * _SALTS - salt, b"") for i, data in parts])
+        yield _rows([(i, data, None, -1 - (i + 1) * _SALTS - salt, None) for i, data in parts], _SENT_DDL)
 
     made = space.step(
         _with_states(coded, states_of)
-        .mapInArrow(run, "part int, data binary, block long, bucket int, keys binary")
+        .mapInArrow(run, _SENT_DDL)
         .repartition(buckets, "bucket")
-        .mapInArrow(_sum_words(states), "part int, block long, bucket int, data binary")
+        .mapInArrow(_sum_words(states), _SUMMED_DDL)
     )
     summed = (
         made.where(F.col("part") != _WORDS)
@@ -422,14 +530,14 @@ def _round(
         .mapInArrow(_sum_rows, "part int, data binary")
         .collect()  # the model's size
     )
-    arrays = {r["part"]: np.frombuffer(r["data"], np.float64).reshape(-1, states) for r in summed}
-    rest = arrays.pop(-1)
+    arrays = {r["part"]: np.frombuffer(r["data"], np.int64).reshape(-1, states) for r in summed}
+    rest = arrays.pop(_REST) / UNIT
     expected = np.concatenate([arrays[i] for i in sorted(arrays)])
     of_words = made.where(F.col("part") == _WORDS).select("block", "bucket", "data")
     moves, opened, later = rest[:states] + PRIOR_STEP, rest[states] + 1, rest[states + 1] + 1
     return Model(
         opened / opened.sum(), later / later.sum(), moves / moves.sum(axis=1, keepdims=True),
-        _emission(counts, unknown, expected), expected, model.spare,
+        _emission(counts, unknown, expected / UNIT), expected, model.tokens, model.types,
     ), of_words
 
 
@@ -446,7 +554,7 @@ class Fitted:
     coded: DataFrame
     n_tokens: int
     model: Model
-    states: DataFrame | None  # of the rarer words of a block, expected counts in each state
+    states: DataFrame | None  # of the words of a block, expected counts in each state
 
 
 def fit(
@@ -456,80 +564,52 @@ def fit(
     # The blocks' words and their counts go when the coded blocks are stored.
     with Workspace(space.spark, "lm-words") as early:
         blocks = early.step(
-            map_parts(docs.select("doc_id", "text", held.alias("held")), _block_rows, _BLOCK_DDL)
+            map_parts(
+                docs.select(F.col("doc_id").cast("long"), "text", held.alias("held")), _block_rows, _BLOCK_DDL
+            )
         )
         trains = F.filter(F.arrays_zip("held", "sizes"), lambda d: ~d["held"])
         size = blocks.select(
             F.size(trains).cast("long").alias("ends"),
             F.aggregate(trains, F.lit(0).cast("long"), lambda n, d: n + d["sizes"]).alias("words"),
-        ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ends", "words")]).first()
+            "n_words",
+        ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ends", "words", "n_words")]).first()
         n_ends, n_tokens = int(size["ends"]), int(size["ends"]) + int(size["words"])
-        least = max(2, -(-n_tokens // MAX_FREQUENT))
-
-        # Every word of every block with its count over all blocks; one row a word is its first,
-        # whose number is the word's key.
-        of_word = W.partitionBy("word")
-        words = early.step(
-            blocks.select("block", F.posexplode(F.arrays_zip("vocab", "counts")).alias("place", "w"))
-            .select(
-                "block", "place", F.col("w.vocab").alias("word"), F.col("w.counts").alias("here"),
-                F.monotonically_increasing_id().alias("row"),
-            )
-            .withColumns(
-                {
-                    "c": F.sum("here").over(of_word),
-                    "key": F.min("row").over(of_word),
-                    "stem": (F.crc32(F.substring("word", 1, STEM)) % SHARED_CLASSES).cast("int"),
-                }
-            )
-            .select(
-                "block", "place", "c", "key", (F.col("row") == F.col("key")).alias("first"), "stem",
-                F.when(F.col("c") >= least, F.col("word")).alias("word"),
-            )
+        buckets = max(MIN_BUCKETS, -(-int(size["n_words"]) // BUCKET_ROWS))
+        counted = early.step(
+            blocks.select("block", "vocab", "counts")
+            .mapInArrow(_deal(buckets), _DEALT_DDL)
+            .repartition(buckets, "bucket")
+            .mapInArrow(_count, _COUNTED_DDL)
         )
-        known = words.where("first AND c > 0")
-        n_types = known.count() + (n_ends > 0)
-        rarer = (F.col("c") > 0) & (F.col("c") < least)
-        buckets = max(MIN_BUCKETS, -(-words.where(rarer).count() // BUCKET_ROWS))
-        frequent = sorted((bytes(r["word"]), r["c"]) for r in known.where(F.col("c") >= least).collect())
-        shared = (
-            known.where(F.col("c") < least)
-            .groupBy("stem")
-            .agg(F.sum("c").alias("c"), F.count("*").alias("words"))
-            .collect()  # SHARED_CLASSES rows at most
+        _release(space)
+        by_class = (
+            counted.where(F.col("types").isNotNull())
+            .select(F.posexplode(F.arrays_zip("tokens", "types")).alias("class", "n"))
+            .groupBy("class")
+            .agg(F.sum("n.tokens").alias("tokens"), F.sum("n.types").alias("types"))
+            .collect()  # CLASSES rows at most
         )
-        mass, types = np.zeros(SHARED_CLASSES), np.zeros(SHARED_CLASSES)
-        for row in shared:
-            mass[row["stem"]], types[row["stem"]] = row["c"], row["words"]
-        counts = np.concatenate([[n_ends, 0], [c for _, c in frequent], mass])
-
-        # At most MAX_FREQUENT words have a class of their own.
-        own_class = docs.sparkSession.createDataFrame(
-            [(w, i + 2) for i, (w, _) in enumerate(frequent)], "word binary, class int"
-        )
-        shared_class = F.when(F.col("c") > 0, F.col("stem") + (2 + len(frequent))).otherwise(_UNKNOWN)
+        tokens, types = np.zeros(_FIRST + CLASSES, np.int64), np.zeros(_FIRST + CLASSES, np.int64)
+        tokens[_END], types[_END] = n_ends, n_ends > 0
+        for row in by_class:
+            tokens[_FIRST + row["class"]], types[_FIRST + row["class"]] = row["tokens"], row["types"]
+        n_types = int(types.sum())
         by_block = (
-            words.join(F.broadcast(own_class), "word", "left")
-            .select(
-                "block",
-                F.struct(
-                    "place", F.coalesce("class", shared_class).alias("class"), "c", "key",
-                    F.when(rarer, F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(-1).cast("int").alias("bucket"),
-                ).alias("w"),
-            )
+            counted.where(F.col("types").isNull())
             .groupBy("block")
-            .agg(F.collect_list("w").alias("words"))  # the words of a block
-        )
+            .agg(F.sort_array(F.collect_list(F.struct("bucket", "places", "ranks", "c", "classes"))).alias("words"))
+        )  # the words of a block, packed
         coded = space.step(
             blocks.select("block", "doc_ids", "held", "sizes", "ids")
             .join(by_block, "block", "left")
             .select("block", "doc_ids", "held", "sizes", "ids", "words")
-            .mapInArrow(_coder(n_tokens, n_types, n_ends, 2 + len(frequent), mass + types), _CODED_DDL)
+            .mapInArrow(_coder(n_tokens, n_types, n_ends), _CODED_DDL)
         )
-        unknown = 1 / (n_tokens + n_types + 1)
     _release(space)
-    model = _first_model(counts, unknown, states)
-    model.spare = np.concatenate([np.zeros(2 + len(frequent)), types / np.maximum(1, mass + types)])
+    unknown = 1 / (n_tokens + n_types + 1)
+    model = _first_model(tokens, unknown, states)
+    model.tokens, model.types = tokens, types
     of_words = None
     if n_ends:
         # What a round stores goes when the next one is done, but for the last one's counts.
@@ -538,7 +618,7 @@ def fit(
                 with ExitStack() as own:
                     last = i + 1 == rounds
                     work = space if last else own.enter_context(Workspace(space.spark, "lm-round"))
-                    model, of_words = _round(coded, model, of_words, counts, unknown, buckets, work)
+                    model, of_words = _round(coded, model, of_words, tokens, unknown, buckets, work)
                     before.close()
                     before.push(own.pop_all())
                 _release(space)
@@ -546,16 +626,13 @@ def fit(
 
 
 _CODED_DDL = (
-    "block long, held array<boolean>, sizes array<int>, flat binary, kinds binary, within binary, "
-    "rare binary, buckets binary, keys binary, doc_ids array<long>, known array<long>, base array<double>"
+    "block long, held array<boolean>, sizes array<int>, flat binary, kinds binary, c binary, "
+    "known binary, buckets binary, ranks binary, doc_ids array<long>, n_known array<long>, base array<double>"
 )
 
 
-def _coder(n_tokens: int, n_types: int, n_ends: int, first_shared: int, weight: np.ndarray):
-    """Blocks as sequences of places, each document with its end, with what is known of the words.
-
-    ``weight`` is the sum of (count + 1) over the words of each shared class.
-    """
+def _coder(n_tokens: int, n_types: int, n_ends: int):
+    """Blocks as sequences of places, each document with its end, with what is known of the words."""
     floor = n_tokens + n_types + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -563,35 +640,34 @@ def _coder(n_tokens: int, n_types: int, n_ends: int, first_shared: int, weight:
             for block, doc_ids, held, sizes, ids, words in zip(*batch.columns):
                 sizes = sizes.values.to_numpy().astype(np.int64)
                 ids = _unpack(ids.as_py())
-                place = kinds = c = keys = bucket = np.zeros(0, np.int64)
-                if words.is_valid:
-                    columns = [f.to_numpy() for f in words.values.flatten()]
-                    by = np.argsort(columns[0])
-                    place, kinds, c, keys, bucket = (f[by] for f in columns)
-                within = np.ones(len(c) + 1)
-                rare = np.flatnonzero(bucket >= 0)
-                within[rare] = (c[rare] + 1) / weight[kinds[rare] - first_shared]
-                rare = rare[np.lexsort((keys[rare], bucket[rare]))]
+                parts = words.as_py() or []
+                place, ranks, kinds = (
+                    np.concatenate([_unpack(p[f]) for p in parts] or [np.zeros(0, np.int32)])
+                    for f in ("places", "ranks", "classes")
+                )
+                c = np.concatenate([_unpack(p["c"], np.int64) for p in parts] or [np.zeros(0, np.int64)])
+                bucket = np.repeat([p["bucket"] for p in parts], [len(_unpack(p["places"])) for p in parts]).astype(np.int64)
+                seen = np.flatnonzero(c > 0)
+                seen = seen[np.lexsort((ranks[seen], bucket[seen]))]
+                # Ranks as steps; in a new bucket the step starts the ranks again.
+                steps = np.diff(ranks[seen].astype(np.int64), prepend=0)
+                of_place = np.empty(len(c), np.int64)
+                of_place[place] = np.arange(len(c))
+                kinds_at, c_at = kinds[of_place], c[of_place]
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 flat = np.full(len(ids) + len(sizes), len(c), np.int32)
                 is_word = np.ones(len(flat), bool)
                 is_word[np.cumsum(sizes + 1) - 1] = False
                 flat[is_word] = ids
-                kinds = np.append(kinds, _END if n_ends else _UNKNOWN)
-                base = np.bincount(doc, np.log10((c + 1) / floor)[ids], len(sizes))
-                known = np.bincount(doc, (c > 0)[ids], len(sizes)).astype(np.int64)
-                row = [
-                    [block.as_py()], [held.values], [sizes + 1], [_pack(flat)], [_pack(kinds)],
-                    [_pack(within, np.float64)], [_pack(rare)], [_pack(bucket[rare])],
-                    [_pack(keys[rare], np.int64)], [doc_ids.values], [known + (n_ends > 0)],
-                    [base + np.log10((n_ends + 1) / floor)],
-                ]
-                types = [
-                    pa.int64(), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 6,
-                    pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()),
-                ]
-                names = [part.split()[0] for part in _CODED_DDL.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
+                base = np.bincount(doc, np.log10((c_at + 1) / floor)[ids], len(sizes))
+                n_known = np.bincount(doc, (c_at > 0)[ids], len(sizes)).astype(np.int64)
+                row = (
+                    block.as_py(), held.as_py(), sizes + 1, _pack(flat),
+                    _pack(np.append(kinds_at, _END if n_ends else _UNKNOWN)), _pack(c_at, np.int64),
+                    _pack(place[seen]), _pack(bucket[seen]), _pack(steps), doc_ids.as_py(),
+                    n_known + (n_ends > 0), base + np.log10((n_ends + 1) / floor),
+                )
+                yield _rows([row], _CODED_DDL)
 
     return run
 

@@ -86,32 +86,142 @@ def test_forward_is_the_sum_over_paths():
     assert np.allclose(made, direct, atol=1e-4)
 
 
+def whole(*sizes, begins=None):
+    sizes = np.array(sizes)
+    begin = np.zeros(len(sizes), np.int64) if begins is None else np.array(begins)
+    return lm.Pieces(np.cumsum(sizes) - sizes, sizes, begin, sizes)
+
+
 def test_expectations_are_path_averages():
     model = small_model()
-    sequences, opens = [[0, 1, 2, 1], [3, 0]], [True, False]
+    # The second one is read from its first token on and counts from its second one on.
+    sequences, begins = [[0, 1, 2, 1], [3, 0, 1]], [0, 1]
     flat = np.array([c for s in sequences for c in s])
-    sizes = np.array([len(s) for s in sequences])
-    emitted, moves, opened, later = lm.expectations(
-        model, flat, np.cumsum(sizes) - sizes, sizes, np.array(opens)
-    )
+    emitted, moves, opened, later = lm.expectations(model, flat, whole(4, 3, begins=begins))
     e, m, firsts = np.zeros((4, 2)), np.zeros((2, 2)), [np.zeros(2), np.zeros(2)]
-    for s, first in zip(sequences, opens):
-        p = paths(model, s, model.start if first else model.again)
+    for s, begin in zip(sequences, begins):
+        p = paths(model, s, model.again if begin else model.start)
         total = sum(p.values())
         for path, weight in p.items():
-            firsts[0 if first else 1][path[0]] += weight / total
-            for c, k in zip(s, path):
-                e[c, k] += weight / total
-            for a, b in zip(path, path[1:]):
-                m[a, b] += weight / total
+            firsts[begin][path[begin]] += weight / total
+            for t in range(begin, len(s)):
+                e[s[t], path[t]] += weight / total
+                if t:
+                    m[path[t - 1], path[t]] += weight / total
     assert np.allclose(emitted, e, atol=1e-4) and np.allclose(moves, m, atol=1e-4)
     assert np.allclose(opened, firsts[0], atol=1e-4) and np.allclose(later, firsts[1], atol=1e-4)
 
 
-def test_pieces_cover_sequences():
-    starts, sizes, opens = lm._pieces(np.array([0, 700]), np.array([700, 3]))
-    assert starts.tolist() == [0, 256, 512, 700] and sizes.tolist() == [256, 256, 188, 3]
-    assert opens.tolist() == [True, False, False, True]
+def test_pieces_count_every_token_once():
+    starts, sizes = np.array([0, 700, 703]), np.array([700, 3, 1100])
+    pieces = lm.Pieces.of(starts, sizes, 256, 32)
+    counted = np.concatenate(
+        [np.arange(s + b, s + e) for s, b, e in zip(pieces.start, pieces.begin, pieces.end)]
+    )
+    assert sorted(counted.tolist()) == list(range(1803))
+    assert (pieces.size <= 256 + 64).all() and ((pieces.begin == 0) | (pieces.begin == 32)).all()
+    assert sorted(pieces.start[pieces.begin == 0].tolist()) == starts.tolist()
+
+
+def test_cutting_into_pieces_changes_next_to_nothing():
+    model = small_model(4, 30)
+    flat = np.random.default_rng(2).integers(0, 30, 5000)
+    at, size = np.array([0]), np.array([5000])
+    emitted, moves, opened, _ = lm.expectations(model, flat, whole(5000))
+    cut = lm.expectations(model, flat, lm.Pieces.of(at, size))
+    assert np.allclose(cut[0], emitted, atol=2e-3) and np.allclose(cut[1], moves, atol=2e-3)
+    assert np.allclose(cut[2], opened, atol=1e-4)
+    assert abs(cut[1].sum() - 4999) < 0.01  # no transition is lost
+
+
+def direct_scores(rows, held, states, rounds):
+    """Training and scoring with plain arrays, one document at a time and without blocks."""
+    from zlib import crc32
+
+    docs = [(i, tokens(t)) for i, t in rows]
+    train = [t for i, t in docs if i not in held]
+    count = Counter(w for t in train for w in t)
+    n, v = sum(count.values()), len(count)
+    kind = {w: 2 + crc32(w[: lm.STEM]) % lm.CLASSES for w in count if w is not None} | {None: 0}
+    size = np.zeros(2 + lm.CLASSES, np.int64)
+    types = np.zeros(2 + lm.CLASSES, np.int64)
+    for w, c in count.items():
+        size[kind[w]] += c
+        types[kind[w]] += 1
+    unknown = 1 / (n + v + 1)
+    model = lm._first_model(size, unknown, states)
+    start, step, emit = (x.astype(np.float64) for x in (model.start, model.step, model.emit))
+    expected = None
+
+    by_bucket = {}
+    for w in sorted({w for _, t in docs for w in t if w is not None}):
+        by_bucket.setdefault(crc32(w) % lm.MIN_BUCKETS, []).append(w)
+    noise = {
+        w: lm._noise(np.array([b]), np.array([r]), states)[0] for b, ws in by_bucket.items() for r, w in enumerate(ws)
+    }
+
+    def probability(w):
+        if w not in count:
+            return emit[1]
+        k = kind[w]
+        if w is None:
+            return emit[k]
+        share = np.full(states, (count[w] + 1) / (size[k] + types[k]))
+        if expected is None:
+            share = share * noise[w]
+        if expected is not None:
+            of_class = sum(expected[x] for x in count if kind[x] == k)
+            spare = types[k] / (size[k] + types[k])
+            own = expected[w] / np.where(of_class > 0, of_class, 1)
+            share = np.where(of_class > 0, (1 - spare) * own + spare * share, share)
+        return emit[k] * share
+
+    def alphas(text):
+        out, total, state = [], 0.0, None
+        table = np.array([probability(w) for w in text])
+        for t, p in enumerate(table):
+            state = (start if t == 0 else state @ step) * p
+            total += log10(state.sum())
+            state = state / state.sum()
+            out.append(state)
+        return table, out, total
+
+    for _ in range(rounds):
+        sums, moves, opened = {w: np.zeros(states) for w in count}, np.zeros((states, states)), np.zeros(states)
+        for text in train:
+            table, alpha, _ = alphas(text)
+            beta = np.ones(states)
+            for t in range(len(text) - 1, -1, -1):
+                gamma = alpha[t] * beta
+                sums[text[t]] += gamma / gamma.sum()
+                if t == 0:
+                    opened += gamma / gamma.sum()
+                else:
+                    pair = alpha[t - 1][:, None] * step * (table[t] * beta)[None, :]
+                    moves += pair / pair.sum()
+                    beta = step @ (table[t] * beta)
+                    beta /= beta.sum()
+        total = np.zeros((2 + lm.CLASSES, states))
+        for w, e in sums.items():
+            total[kind[w]] += e
+        expected = sums
+        emit = lm._emission(size, unknown, total).astype(np.float64)
+        moves, opened = moves + lm.PRIOR_STEP, opened + 1
+        start, step = opened / opened.sum(), moves / moves.sum(axis=1, keepdims=True)
+    return [alphas(t)[2] for _, t in docs]
+
+
+def test_scores_are_those_of_a_direct_computation(spark):
+    rows = [(i, t) for i, t in DOCS if i not in (8, None)] + [(20, "le chat dort " * 9), (21, "the dog ran " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    with Workspace(spark, "test-lm") as space:
+        fitted = lm.fit(docs, F.col("doc_id").isin(*HELD), space, 3, 4)
+        found = Counter((r["doc_id"], round(r["score"], 1)) for r in lm.score(fitted).collect())
+    expected = direct_scores(rows, HELD, 3, 4)
+    made = sorted((r[0], e) for r, e in zip(rows, expected))
+    mine = sorted(found.elements())
+    assert [i for i, _ in made] == [i for i, _ in mine]
+    assert np.allclose([s for _, s in made], [s for _, s in mine], rtol=0.01, atol=0.06)
 
 
 def test_beats_the_base_on_held_out_text(spark):
@@ -131,13 +241,11 @@ def test_all_rows_held_out(spark):
     assert abs(row["score"]) < 1e-6
 
 
-def test_rarer_words_have_states_of_their_own(spark, monkeypatch):
+def test_words_have_states_of_their_own(spark):
     # Both words share a class and a count; only their neighbours tell them apart.
-    monkeypatch.setattr(lm, "MAX_FREQUENT", 4)
     lines = [(i, "left left stemx " * 20 if i % 2 else "right right stemy " * 20) for i in range(40)]
     lines += [(100, "left left stemx left left stemx"), (101, "left left stemy left left stemy")]
     docs = spark.createDataFrame(lines, "doc_id long, text string").repartition(3)
-    monkeypatch.setattr(lm, "BLOCK_CHARS", 2000)
     many = [(200 + i, f"stemx{i} stemy{i}") for i in range(50)]  # makes a class of more words
     docs = docs.unionByName(spark.createDataFrame(many, "doc_id long, text string"))
     with Workspace(spark, "test-lm") as space:
@@ -149,5 +257,13 @@ def test_rarer_words_have_states_of_their_own(spark, monkeypatch):
         found = {}
         for block in lm._blocks(lm._with_states(fitted.coded, fitted.states).toArrow().to_batches(), 3):
             if block.counts is not None:
-                found.update(zip(block.keys.tolist(), block.counts.sum(axis=1).round(2).tolist()))
-        assert sorted(found.values()) == [1.0] * 100 + [400.0] * 2
+                sums = (block.counts.sum(axis=1) / lm.UNIT).round(1).tolist()
+                found.update(zip(zip(block.buckets.tolist(), block.ranks.tolist()), sums))
+        assert sorted(found.values()) == [1.0] * 100 + [400.0] * 2 + [800.0] * 2
+
+
+def test_packed_numbers():
+    for kind in (np.int32, np.int64):
+        numbers = np.array([0, 1, -1, 2**31 - 1, -(2**31)])
+        assert lm._unpack(lm._pack(numbers, kind), kind).tolist() == numbers.tolist()
+        assert len(lm._unpack(lm._pack(numbers[:0], kind), kind)) == 0
