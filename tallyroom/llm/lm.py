@@ -43,6 +43,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,7 @@ from tallyroom.llm.common import Workspace, map_parts
 BLOCK_CHARS = 4_000_000
 STATES = 8
 ROUNDS = 5
-PIECE, WARM = 256, 32
+PIECE, WARM = 512, 32
 CLASSES = 1 << 13
 #: Bytes of a word that choose its class.
 STEM = 4
@@ -62,8 +63,8 @@ PRIOR_MASS, PRIOR_STEP = 50.0, 1.0
 #: Expected counts are whole multiples of a part of one.
 UNIT = 1 << 10
 #: (word, block) pairs that a bucket has, about; and buckets at least.
-BUCKET_ROWS = 1 << 21
-MIN_BUCKETS = 64
+BUCKET_ROWS = 1 << 19
+MIN_BUCKETS = 8
 _SLICE = 4096
 _SALTS = 16
 
@@ -73,15 +74,20 @@ _END, _UNKNOWN, _FIRST = 0, 1, 2
 _WORDS, _REST = -2, -1
 
 
-def _pack(numbers: np.ndarray, kind: type = np.int32) -> bytes:
-    """Numbers byte by byte in planes, most of which are even."""
+_KINDS = (np.int8, np.int16, np.int32, np.int64)
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the narrowest kind that holds them, byte by byte in planes."""
+    low, high = (int(numbers.min()), int(numbers.max())) if numbers.size else (0, 0)
+    kind = next(k for k in _KINDS if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
     planes = np.ascontiguousarray(numbers, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
-    return zstandard.compress(planes.T.tobytes(), 1)
+    return bytes([np.dtype(kind).itemsize]) + zstandard.compress(planes.T.tobytes(), 1)
 
 
-def _unpack(data: bytes, kind: type = np.int32) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(_KINDS[data[0].bit_length() - 1]).ravel().astype(np.int64)
 
 
 def _rows(made: list[tuple], ddl: str) -> pa.RecordBatch:
@@ -102,39 +108,45 @@ _BLOCK_DDL = (
 )
 
 
-def words_of(text: str | None) -> list[bytes]:
-    # bytes.lower and bytes.split know A-Z and the six blanks 0x20, 0x09-0x0D only.
-    return (text or "").encode("utf-8", "replace").lower().split()
+def words_of(texts: pa.StringArray) -> tuple[np.ndarray, pa.StringArray]:
+    """The number of words of each text, and all words, A-Z lower-cased."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # blanks are 0x20 and 0x09-0x0D
+    words = lists.flatten()
+    there = pc.not_equal(pc.binary_length(words), 0)  # blanks at the ends leave empty ones
+    ends = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return np.diff(ends[offsets - offsets[0]]), words.filter(there)
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task, number = TaskContext.get().partitionId(), 0
-    doc_ids, held, sizes, ids = [], [], [], []
-    vocab: dict[bytes, int] = {}
+    doc_ids, held, sizes, words = [], [], [], []
     chars = 0
 
     def flush() -> pa.RecordBatch:
-        flat = np.concatenate([np.array(x, np.int32) for x in ids])
-        trains = np.repeat(~np.array(held), sizes)
+        coded = pa.concat_arrays(words).dictionary_encode()
+        flat, vocab = coded.indices.to_numpy(), coded.dictionary
+        trains = np.repeat(~np.concatenate(held), np.concatenate(sizes))
         counts = np.bincount(flat[trains], minlength=len(vocab))
         # No word has a blank.
-        listed = zstandard.compress(b" ".join(vocab), 1)
-        row = ((task << 32) + number, doc_ids, held, sizes, _pack(flat), len(vocab), listed, _pack(counts))
+        listed = zstandard.compress(b" ".join(vocab.cast(pa.binary()).to_pylist()), 1)
+        row = (
+            (task << 32) + number, [i for d in doc_ids for i in d], np.concatenate(held), np.concatenate(sizes),
+            _pack(flat), len(vocab), listed, _pack(counts),
+        )
         return _rows([row], _BLOCK_DDL)
 
     for batch in batches:
-        for doc_id, text, is_held in zip(*(batch.column(i) for i in range(3))):
-            words = words_of(text.as_py())
-            add = vocab.setdefault
-            ids.append([add(w, len(vocab)) for w in words])
-            doc_ids.append(doc_id.as_py())
-            held.append(is_held.as_py())
-            sizes.append(len(words))
-            chars += sum(map(len, words)) + len(words) + 64
-            if chars >= BLOCK_CHARS:
-                yield flush()
-                number += 1
-                doc_ids, held, sizes, ids, vocab, chars = [], [], [], [], {}, 0
+        n, found = words_of(batch.column(1).cast(pa.string()).fill_null(""))
+        doc_ids.append(batch.column(0).to_pylist())
+        held.append(batch.column(2).to_numpy(zero_copy_only=False))
+        sizes.append(n)
+        words.append(found)
+        chars += batch.nbytes
+        if chars >= BLOCK_CHARS:
+            yield flush()
+            number += 1
+            doc_ids, held, sizes, words, chars = [], [], [], [], 0
     if doc_ids:
         yield flush()
 
@@ -208,7 +220,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = _unpack(at)
             c = totals[bucket][at]
             kinds = np.where(c > 0, classes[bucket][at] + _FIRST, _UNKNOWN)
-            made.append((block, bucket, places, _pack(ranks[bucket][at]), _pack(c, np.int64), _pack(kinds), None, None))
+            made.append((block, bucket, places, _pack(ranks[bucket][at]), _pack(c), _pack(kinds), None, None))
         yield _rows(made, _COUNTED_DDL)
     if types.any():
         yield _rows([(None, None, None, None, None, None, tokens.tolist(), types.tolist())], _COUNTED_DDL)
@@ -259,15 +271,15 @@ def forward(model: Model, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarra
     by = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[by], sizes[by]
     running = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), "left")
-    step = model.step.astype(np.float32)
+    step, one = model.step.astype(np.float32), np.ones(len(model.start), np.float32)
     total = np.zeros(len(sizes))
     state = np.broadcast_to(model.start.astype(np.float32), (len(sizes), len(model.start)))
     for t, n in enumerate(running.tolist()):
         state = state[:n] @ step if t else state[:n]
-        state = state * model.emit[flat[starts[:n] + t]]
-        scale = state.sum(axis=1)
-        state = state / scale[:, None]
-        total[:n] += np.log10(scale.astype(np.float64))
+        state = state * model.emit.take(flat.take(starts[:n] + t), axis=0)
+        scale = state @ one
+        state *= (1 / scale)[:, None]
+        total[:n] += np.log10(scale, dtype=np.float64)
     out = np.empty(len(sizes))
     out[by] = total
     return out
@@ -308,7 +320,7 @@ def expectations(
     pieces = pieces.longest_first()
     opens = pieces.begin == 0
     running = np.searchsorted(-pieces.size, -np.arange(int(pieces.size[0])), "left").tolist()
-    step = model.step.astype(np.float32)
+    step, one = model.step.astype(np.float32), np.ones(states, np.float32)
     # By time: the classes seen, and the state probabilities, first of the past, then of all.
     edge = np.concatenate([[0], np.cumsum(running)])
     classes = np.empty(edge[-1], flat.dtype)
@@ -317,37 +329,41 @@ def expectations(
     state = np.where(opens[:, None], model.start, model.again).astype(np.float32)
     for t, n in enumerate(running):
         now = slice(edge[t], edge[t + 1])
-        classes[now] = flat[pieces.start[:n] + t]
-        state = (state[:n] @ step if t else state[:n]) * model.emit[classes[now]]
-        scales[now] = state.sum(axis=1)
-        state = state / scales[now][:, None]
+        classes[now] = flat.take(pieces.start[:n] + t)
+        state = state[:n] @ step if t else state[:n]
+        state = state * model.emit.take(classes[now], axis=0)
+        scales[now] = 1 / (state @ one)
+        state *= scales[now][:, None]
         gamma[now] = state
     moves, later = np.zeros((states, states)), np.zeros(states)
     beta = np.empty((0, states), np.float32)
-    counted = np.zeros(0, bool)
-    inside = np.empty(edge[-1], bool)
+    outside = np.empty(0, np.int64)
     for t in range(len(running) - 1, -1, -1):
-        now, m = gamma[edge[t] : edge[t + 1]], len(beta)
-        here = np.ones((running[t], states), np.float32)
+        n, m = running[t], len(beta)
+        now = gamma[edge[t] : edge[t] + n]
         if m:
-            after = slice(edge[t + 1], edge[t + 2])
-            ahead = beta * model.emit[classes[after]] / scales[after][:, None]
-            here[:m] = ahead @ step.T
+            after = slice(edge[t + 1], edge[t + 1] + m)
+            beta *= model.emit.take(classes[after], axis=0)
+            beta *= scales[after][:, None]
             # A transition counts with the token that it leads to.
-            moves += now[:m].T @ np.where(counted[:, None], ahead, 0)
-        now *= here
-        beta = here
-        begin, end = pieces.begin[: running[t]], pieces.end[: running[t]]
-        counted = (begin <= t) & (t < end)
-        inside[edge[t] : edge[t + 1]] = counted
+            moves += now[:m].T @ beta
+            moves -= now[outside].T @ beta[outside]
+            gamma[after][outside] = 0
+            here = np.ones((n, states), np.float32)
+            np.matmul(beta, step.T, out=here[:m])
+            now *= here
+            beta = here
+        else:
+            beta = np.ones((n, states), np.float32)
+        outside = np.flatnonzero((pieces.begin[:n] > t) | (pieces.end[:n] <= t))
         if t:
-            later += now[begin == t].sum(axis=0)
+            later += now[pieces.begin[:n] == t].sum(axis=0)
+    opened = gamma[: edge[1]][opens].sum(axis=0)
+    gamma[outside] = 0
     moves *= model.step
-    gamma *= inside[:, None]
-    emitted = np.stack(
-        [np.bincount(classes, gamma[:, k], len(model.emit)) for k in range(states)], axis=1
-    )
-    return emitted, moves, gamma[: edge[1]][opens].sum(axis=0), later
+    columns = np.ascontiguousarray(gamma.T)
+    emitted = np.stack([np.bincount(classes, c, len(model.emit)) for c in columns], axis=1)
+    return emitted, moves, opened, later
 
 
 def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,10 +397,11 @@ class Block:
         emit = model.emit[self.kinds]
         kinds, c = self.kinds[self.known], self.c[self.known]
         n, t = model.tokens[kinds], model.types[kinds]
-        share = ((c + 1) / (n + t))[:, None]
+        share = ((c + 1) / (n + t)).astype(np.float32)[:, None]
         if self.counts is not None:
-            sums, spare = model.sums[kinds], (t / (n + t))[:, None]
-            own = self.counts / np.maximum(sums, 1)
+            # A class that is never in a state says nothing of its words there.
+            sums, spare = model.sums[kinds], (t / (n + t)).astype(np.float32)[:, None]
+            own = self.counts.astype(np.float32) / np.maximum(sums, 1).astype(np.float32)
             share = np.where(sums > 0, (1 - spare) * own + spare * share, share)
         elif model.sums is None:
             share = share * _noise(self.buckets, self.ranks, len(model.start))
@@ -400,7 +417,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[Block]:
         ):
             counts = None
             if sums.is_valid:
-                parts = [_unpack(d.as_py(), np.int64) for d in sums.values.field("data")]
+                parts = [_unpack(d.as_py()) for d in sums.values.field("data")]
                 counts = np.concatenate([p.reshape(states, -1).T for p in parts])
             yield Block(
                 number.as_py(),
@@ -408,7 +425,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[Block]:
                 sizes.values.to_numpy().astype(np.int64),
                 _unpack(flat.as_py()),
                 _unpack(kinds.as_py()),
-                _unpack(c.as_py(), np.int64),
+                _unpack(c.as_py()),
                 _unpack(known.as_py()),
                 _unpack(buckets.as_py()),
                 np.cumsum(_unpack(ranks.as_py())),
@@ -452,7 +469,7 @@ def _sum_words(states: int):
                 total = totals.get(bucket, np.zeros((0, states), np.int64))
                 if len(total) <= at[-1]:
                     total = np.concatenate([total, np.zeros((int(at[-1]) + 1 - len(total) + len(total) // 2, states), np.int64)])
-                total[at] += _unpack(data, np.int64).reshape(states, -1).T
+                total[at] += _unpack(data).reshape(states, -1).T
                 totals[bucket] = total
                 asked.append((block.as_py(), bucket, ranks.as_py()))
         if sums:
@@ -460,7 +477,7 @@ def _sum_words(states: int):
         for i in range(0, len(asked), 64):
             yield _rows(
                 [
-                    (_WORDS, block, bucket, _pack(totals[bucket][np.cumsum(_unpack(ranks))].T, np.int64))
+                    (_WORDS, block, bucket, _pack(totals[bucket][np.cumsum(_unpack(ranks))].T))
                     for block, bucket, ranks in asked[i : i + 64]
                 ],
                 _SUMMED_DDL,
@@ -502,7 +519,7 @@ def _round(
             yield _rows(
                 [
                     (
-                        _WORDS, _pack(words[a:b].T, np.int64), block.number, int(block.buckets[a]),
+                        _WORDS, _pack(words[a:b].T), block.number, int(block.buckets[a]),
                         _pack(np.diff(block.ranks[a:b], prepend=0)),
                     )
                     for a, b in zip(edge, edge[1:])
@@ -645,7 +662,7 @@ def _coder(n_tokens: int, n_types: int, n_ends: int):
                     np.concatenate([_unpack(p[f]) for p in parts] or [np.zeros(0, np.int32)])
                     for f in ("places", "ranks", "classes")
                 )
-                c = np.concatenate([_unpack(p["c"], np.int64) for p in parts] or [np.zeros(0, np.int64)])
+                c = np.concatenate([_unpack(p["c"]) for p in parts] or [np.zeros(0, np.int64)])
                 bucket = np.repeat([p["bucket"] for p in parts], [len(_unpack(p["places"])) for p in parts]).astype(np.int64)
                 seen = np.flatnonzero(c > 0)
                 seen = seen[np.lexsort((ranks[seen], bucket[seen]))]
@@ -663,7 +680,7 @@ def _coder(n_tokens: int, n_types: int, n_ends: int):
                 n_known = np.bincount(doc, (c_at > 0)[ids], len(sizes)).astype(np.int64)
                 row = (
                     block.as_py(), held.as_py(), sizes + 1, _pack(flat),
-                    _pack(np.append(kinds_at, _END if n_ends else _UNKNOWN)), _pack(c_at, np.int64),
+                    _pack(np.append(kinds_at, _END if n_ends else _UNKNOWN)), _pack(c_at),
                     _pack(place[seen]), _pack(bucket[seen]), _pack(steps), doc_ids.as_py(),
                     n_known + (n_ends > 0), base + np.log10((n_ends + 1) / floor),
                 )

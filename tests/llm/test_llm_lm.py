@@ -263,7 +263,17 @@ def test_words_have_states_of_their_own(spark):
 
 
 def test_packed_numbers():
-    for kind in (np.int32, np.int64):
-        numbers = np.array([0, 1, -1, 2**31 - 1, -(2**31)])
-        assert lm._unpack(lm._pack(numbers, kind), kind).tolist() == numbers.tolist()
-        assert len(lm._unpack(lm._pack(numbers[:0], kind), kind)) == 0
+    for most in (0, 1, 100, 2**15, 2**31 - 1, 2**40):
+        numbers = np.array([[0, 1, -1], [most, -most, 3]])
+        assert lm._unpack(lm._pack(numbers)).tolist() == numbers.ravel().tolist()
+    assert len(lm._unpack(lm._pack(np.zeros(0, np.int64)))) == 0
+
+
+def test_words():
+    import pyarrow as pa
+
+    texts = ["", "  A b\tÉ\x0b\x0c ", "a\x85b \u00a0x", "\n", "one"]
+    n, words = lm.words_of(pa.array(["cut off", *texts])[1:])
+    expected = [t.encode().lower().split() for t in texts]
+    assert n.tolist() == [len(e) for e in expected]
+    assert [w.encode() for w in words.to_pylist()] == [w for e in expected for w in e]
