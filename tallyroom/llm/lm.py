@@ -39,6 +39,7 @@ import gc
 from collections.abc import Iterator
 from contextlib import ExitStack
 from dataclasses import dataclass
+from uuid import uuid4
 from zlib import crc32
 
 import numpy as np
@@ -65,6 +66,8 @@ UNIT = 1 << 10
 #: (word, block) pairs that a bucket has, about; and buckets at least.
 BUCKET_ROWS = 1 << 19
 MIN_BUCKETS = 8
+#: Blocks that a part of the stored blocks has, about; and parts at most.
+PART_BLOCKS, MAX_PARTS = 4, 50_000
 _SLICE = 4096
 _SALTS = 16
 
@@ -87,7 +90,7 @@ def _pack(numbers: np.ndarray) -> bytes:
 
 def _unpack(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
-    return np.ascontiguousarray(planes.T).view(_KINDS[data[0].bit_length() - 1]).ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.T).view(_KINDS[data[0].bit_length() - 1]).ravel()
 
 
 def _rows(made: list[tuple], ddl: str) -> pa.RecordBatch:
@@ -401,7 +404,7 @@ class Block:
         if self.counts is not None:
             # A class that is never in a state says nothing of its words there.
             sums, spare = model.sums[kinds], (t / (n + t)).astype(np.float32)[:, None]
-            own = self.counts.astype(np.float32) / np.maximum(sums, 1).astype(np.float32)
+            own = self.counts / np.maximum(sums, 1).astype(np.float32)
             share = np.where(sums > 0, (1 - spare) * own + spare * share, share)
         elif model.sums is None:
             share = share * _noise(self.buckets, self.ranks, len(model.start))
@@ -415,10 +418,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[Block]:
         for number, held, sizes, flat, kinds, c, known, buckets, ranks, sums in zip(
             *(batch.column(i) for i in range(10))
         ):
-            counts = None
+            known, counts = _unpack(known.as_py()), None
             if sums.is_valid:
-                parts = [_unpack(d.as_py()) for d in sums.values.field("data")]
-                counts = np.concatenate([p.reshape(states, -1).T for p in parts])
+                counts, at = np.empty((len(known), states), np.float32), 0
+                for part in sums.values.field("data"):
+                    part = _unpack(part.as_py()).reshape(states, -1).T
+                    counts[at : at + len(part)] = part
+                    at += len(part)
             yield Block(
                 number.as_py(),
                 held.values.to_numpy(zero_copy_only=False),
@@ -426,19 +432,19 @@ def _blocks(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[Block]:
                 _unpack(flat.as_py()),
                 _unpack(kinds.as_py()),
                 _unpack(c.as_py()),
-                _unpack(known.as_py()),
-                _unpack(buckets.as_py()),
-                np.cumsum(_unpack(ranks.as_py())),
+                known,
+                _unpack(buckets.as_py()).astype(np.int64),
+                np.cumsum(_unpack(ranks.as_py()), dtype=np.int64),
                 counts,
             )
 
 
-def _with_states(coded: DataFrame, states: DataFrame | None) -> DataFrame:
+def _with_states(coded: DataFrame, states: DataFrame | None, parts: int) -> DataFrame:
     """Blocks with the words' expected counts, by bucket; NULL without any."""
     head, rest = coded.columns[:9], coded.columns[9:]
     if states is None:
         return coded.select(*head, F.lit(None).cast(_STATES_TYPE).alias("states"), *rest)
-    by_block = states.groupBy("block").agg(
+    by_block = states.repartition(parts, "block").groupBy("block").agg(
         F.sort_array(F.collect_list(F.struct("bucket", "data"))).alias("states")  # the words of a block
     )
     return coded.join(by_block, "block", "left").select(*head, "states", *rest)
@@ -465,7 +471,7 @@ def _sum_words(states: int):
                     array = np.frombuffer(data, np.int64)
                     sums[part] = sums[part] + array if part in sums else array
                     continue
-                at = np.cumsum(_unpack(ranks.as_py()))
+                at = np.cumsum(_unpack(ranks.as_py()), dtype=np.int64)
                 total = totals.get(bucket, np.zeros((0, states), np.int64))
                 if len(total) <= at[-1]:
                     total = np.concatenate([total, np.zeros((int(at[-1]) + 1 - len(total) + len(total) // 2, states), np.int64)])
@@ -477,7 +483,7 @@ def _sum_words(states: int):
         for i in range(0, len(asked), 64):
             yield _rows(
                 [
-                    (_WORDS, block, bucket, _pack(totals[bucket][np.cumsum(_unpack(ranks))].T))
+                    (_WORDS, block, bucket, _pack(totals[bucket][np.cumsum(_unpack(ranks), dtype=np.int64)].T))
                     for block, bucket, ranks in asked[i : i + 64]
                 ],
                 _SUMMED_DDL,
@@ -492,7 +498,7 @@ def _whole(numbers: np.ndarray) -> np.ndarray:
 
 def _round(
     coded: DataFrame, model: Model, states_of: DataFrame | None, counts: np.ndarray, unknown: float,
-    buckets: int, space: Workspace,
+    parts: int, buckets: int, space: Workspace,
 ) -> tuple[Model, DataFrame]:
     """One Baum-Welch round over all training documents: the model and the words' counts."""
     sent = coded.sparkSession.sparkContext.broadcast(model)
@@ -535,7 +541,7 @@ def _round(
         yield _rows([(i, data, None, -1 - (i + 1) * _SALTS - salt, None) for i, data in parts], _SENT_DDL)
 
     made = space.step(
-        _with_states(coded, states_of)
+        _with_states(coded, states_of, parts)
         .mapInArrow(run, _SENT_DDL)
         .repartition(buckets, "bucket")
         .mapInArrow(_sum_words(states), _SUMMED_DDL)
@@ -558,6 +564,19 @@ def _round(
     ), of_words
 
 
+def _bucketed(df: DataFrame, parts: int, space: Workspace) -> DataFrame:
+    """A stored step that joins by block without an exchange of its own.
+
+    The table is external and forgotten at once; its files go with the workspace.
+    """
+    name, path = f"tallyroom_{uuid4().hex}", f"{space.base}/steps/bucketed"
+    writer = df.write.format("parquet").option("compression", "uncompressed").option("path", path)
+    writer.bucketBy(parts, "block").sortBy("block").saveAsTable(name)
+    table = df.sparkSession.read.table(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")
+    return table
+
+
 def _release(space: Workspace) -> None:
     """Lets Spark remove the shuffle files of what is done; it does so when the driver collects garbage."""
     gc.collect()
@@ -572,6 +591,7 @@ class Fitted:
     n_tokens: int
     model: Model
     states: DataFrame | None  # of the words of a block, expected counts in each state
+    parts: int  # that the blocks are stored in
 
 
 def fit(
@@ -590,8 +610,10 @@ def fit(
             F.size(trains).cast("long").alias("ends"),
             F.aggregate(trains, F.lit(0).cast("long"), lambda n, d: n + d["sizes"]).alias("words"),
             "n_words",
-        ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ends", "words", "n_words")]).first()
+            F.lit(1).alias("blocks"),
+        ).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ends", "words", "n_words", "blocks")]).first()
         n_ends, n_tokens = int(size["ends"]), int(size["ends"]) + int(size["words"])
+        parts = min(MAX_PARTS, 1 + int(size["blocks"]) // PART_BLOCKS)
         buckets = max(MIN_BUCKETS, -(-int(size["n_words"]) // BUCKET_ROWS))
         counted = early.step(
             blocks.select("block", "vocab", "counts")
@@ -614,14 +636,18 @@ def fit(
         n_types = int(types.sum())
         by_block = (
             counted.where(F.col("types").isNull())
+            .repartition(parts, "block")
             .groupBy("block")
             .agg(F.sort_array(F.collect_list(F.struct("bucket", "places", "ranks", "c", "classes"))).alias("words"))
         )  # the words of a block, packed
-        coded = space.step(
+        coded = _bucketed(
             blocks.select("block", "doc_ids", "held", "sizes", "ids")
+            .repartition(parts, "block")
             .join(by_block, "block", "left")
             .select("block", "doc_ids", "held", "sizes", "ids", "words")
-            .mapInArrow(_coder(n_tokens, n_types, n_ends), _CODED_DDL)
+            .mapInArrow(_coder(n_tokens, n_types, n_ends), _CODED_DDL),
+            parts,
+            space,
         )
     _release(space)
     unknown = 1 / (n_tokens + n_types + 1)
@@ -635,11 +661,11 @@ def fit(
                 with ExitStack() as own:
                     last = i + 1 == rounds
                     work = space if last else own.enter_context(Workspace(space.spark, "lm-round"))
-                    model, of_words = _round(coded, model, of_words, tokens, unknown, buckets, work)
+                    model, of_words = _round(coded, model, of_words, tokens, unknown, parts, buckets, work)
                     before.close()
                     before.push(own.pop_all())
                 _release(space)
-    return Fitted(coded, n_tokens, model, of_words)
+    return Fitted(coded, n_tokens, model, of_words, parts)
 
 
 _CODED_DDL = (
@@ -668,9 +694,13 @@ def _coder(n_tokens: int, n_types: int, n_ends: int):
                 seen = seen[np.lexsort((ranks[seen], bucket[seen]))]
                 # Ranks as steps; in a new bucket the step starts the ranks again.
                 steps = np.diff(ranks[seen].astype(np.int64), prepend=0)
-                of_place = np.empty(len(c), np.int64)
-                of_place[place] = np.arange(len(c))
-                kinds_at, c_at = kinds[of_place], c[of_place]
+                # Places anew, the most frequent words first, so numbers are small.
+                by = np.argsort(-c, kind="stable")
+                fresh = np.empty(len(c), np.int64)
+                fresh[place[by]] = np.arange(len(c))
+                of_old = np.empty(len(c), np.int64)
+                of_old[by] = np.arange(len(c))
+                ids, kinds_at, c_at = fresh[ids], kinds[by], c[by]
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 flat = np.full(len(ids) + len(sizes), len(c), np.int32)
                 is_word = np.ones(len(flat), bool)
@@ -681,7 +711,7 @@ def _coder(n_tokens: int, n_types: int, n_ends: int):
                 row = (
                     block.as_py(), held.as_py(), sizes + 1, _pack(flat),
                     _pack(np.append(kinds_at, _END if n_ends else _UNKNOWN)), _pack(c_at),
-                    _pack(place[seen]), _pack(bucket[seen]), _pack(steps), doc_ids.as_py(),
+                    _pack(of_old[seen]), _pack(bucket[seen]), _pack(steps), doc_ids.as_py(),
                     n_known + (n_ends > 0), base + np.log10((n_ends + 1) / floor),
                 )
                 yield _rows([row], _CODED_DDL)
@@ -709,7 +739,7 @@ def score(fitted: Fitted) -> DataFrame:
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return _with_states(fitted.coded, fitted.states).mapInArrow(
+    return _with_states(fitted.coded, fitted.states, fitted.parts).mapInArrow(
         run,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double",

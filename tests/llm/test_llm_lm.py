@@ -255,13 +255,24 @@ def test_words_have_states_of_their_own(spark):
         assert rows[100]["score"] > rows[101]["score"] + 2
         # Over all states, a word's expected counts are its count.
         found = {}
-        for block in lm._blocks(lm._with_states(fitted.coded, fitted.states).toArrow().to_batches(), 3):
+        for block in lm._blocks(lm._with_states(fitted.coded, fitted.states, fitted.parts).toArrow().to_batches(), 3):
             if block.counts is not None:
                 sums = (block.counts.sum(axis=1) / lm.UNIT).round(1).tolist()
                 found.update(zip(zip(block.buckets.tolist(), block.ranks.tolist()), sums))
         assert sorted(found.values()) == [1.0] * 100 + [400.0] * 2 + [800.0] * 2
 
 
+def test_stored_blocks_do_not_cross_an_exchange(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    with Workspace(spark, "test-lm") as space:
+        fitted = lm.fit(docs, F.lit(False), space, 3, 2)
+        plan = lm.score(fitted)._jdf.queryExecution().executedPlan().toString()
+        left = plan[plan.index("SortMergeJoin") if "SortMergeJoin" in plan else 0 :].split("\n")
+        scan = next(i for i, line in enumerate(left) if "flat#" in line and "Scan parquet" in line)
+        assert not any("Exchange" in line for line in left[:scan])
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tallyroom_")]
+
+
 def test_packed_numbers():
     for most in (0, 1, 100, 2**15, 2**31 - 1, 2**40):
         numbers = np.array([[0, 1, -1], [most, -most, 3]])
