@@ -7,6 +7,7 @@ configuration (``spark-defaults.conf`` or ``--conf``); nothing is logged here.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +110,9 @@ def parser() -> argparse.ArgumentParser:
         key, value = text.split("=", 1)
         return key, value
 
+    def day(text: str) -> str:
+        return dt.date.fromisoformat(text[:10]).isoformat()
+
     root = argparse.ArgumentParser(prog="tallyroom")
     job = root.add_subparsers(dest="job", required=True)
 
@@ -140,7 +144,9 @@ def parser() -> argparse.ArgumentParser:
     add_warehouse(sub)
 
     sub = add("activity", _activity)
-    sub.add_argument("--since", help="first day to compute again; all days if absent")
+    sub.add_argument(
+        "--since", type=day, help="first day to compute again; the days of new loads if absent"
+    )
     add_warehouse(sub)
     add_warehouse(add("marts", _marts))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.functions import activity_date, interaction_id
-from tallyroom.schemas import STAMP
+from tallyroom.schemas import NO_STAMP, STAMP
 from tallyroom.sources import union_aligned
 
 UNKNOWN = "UNKNOWN"
@@ -23,7 +23,7 @@ def _unified(
         F.coalesce(F.col(engagement), F.lit(0)).cast("float").alias("Engagement"),
         time_spent.cast("float").alias("TotalTimeSpent"),
         sessions.cast("bigint").alias("NumberOfSessions"),
-        F.coalesce(F.col(STAMP), F.current_timestamp()).alias(STAMP),
+        F.coalesce(F.col(STAMP), F.lit(NO_STAMP).cast("timestamp")).alias(STAMP),
     )
 
 

@@ -19,8 +19,10 @@ def _sums(fact: DataFrame, by: list[str], *measures: str) -> DataFrame:
 
 
 def _attributes(df: DataFrame, dim: DataFrame, key: str, surrogate: str, *columns: str) -> DataFrame:
-    named = dim.select(F.col(surrogate).alias(key), *columns)
-    return df.join(named, key)
+    """Sums with their member's attributes; a member that is stored twice does not double them."""
+    kept = F.max(F.struct(*columns)).alias("_kept")
+    named = dim.select(F.col(surrogate).alias(key), *columns).groupBy(key).agg(kept)
+    return df.join(named, key).select("*", "_kept.*").drop("_kept")
 
 
 def _mean(measure: str) -> Column:

@@ -7,13 +7,13 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom import operators as op
 from tallyroom.functions import hour_of, interaction_id, surrogate, time_spent_category
 from tallyroom.rules import MIDNIGHT
-from tallyroom.schemas import STAMP
+from tallyroom.schemas import NO_STAMP, STAMP
 
 # Tables of the star, their columns and types.
 USER_ATTRIBUTES = {
@@ -199,6 +199,15 @@ STAR_FACTS = {
 }
 
 
+#: Partition of stored facts: the day of the stamp.
+STAMP_DAY = "StampDay"
+
+
+def stamp_day(stamped: Column) -> Column:
+    """The day of a row's stamp; rows without one share a fixed day."""
+    return F.coalesce(F.to_date(stamped), F.lit(NO_STAMP).cast("date"))
+
+
 def natural_key(dim: Dim):
     key = F.col(dim.key)
     return F.coalesce(key, F.lit(dim.default)) if dim.default is not None else key

@@ -49,6 +49,8 @@ VIDEO_FILE_NAMES = {
 }
 
 STAMP = "IngestionTimestamp"
+#: Rows without a stamp count for this time, so they stay in one day however often they are loaded.
+NO_STAMP = "1970-01-01 00:00:00"
 
 
 _TYPES = {"BIGINT": T.LongType(), "STRING": T.StringType(), "BOOLEAN": T.BooleanType()}

@@ -9,20 +9,21 @@ from tallyroom.sources.readers import (
     read_table,
     stamp,
     stored_files,
+    table_exists,
     union_aligned,
 )
+from tallyroom.sources.versions import Versions
 from tallyroom.sources.writers import (
     Workspace,
     materialise,
     remove_path,
-    replace_partitions,
     write_entity,
     write_if_any,
     write_table,
 )
 
 __all__ = [
-    "Workspace", "align_for_union", "conform_schema", "materialise", "read_entity",
-    "read_staged_stream", "read_stream", "read_table", "remove_path", "replace_partitions",
-    "stamp", "stored_files", "union_aligned", "write_entity", "write_if_any", "write_table",
+    "Versions", "Workspace", "align_for_union", "conform_schema", "materialise", "read_entity",
+    "read_staged_stream", "read_stream", "read_table", "remove_path",
+    "stamp", "stored_files", "table_exists", "union_aligned", "write_entity", "write_if_any", "write_table",
 ]

@@ -83,6 +83,43 @@ def read_table(
     return table.select(*wanted) if wanted else table
 
 
+def table_exists(spark: SparkSession, name: str, fmt: str | None = None, **options: str) -> bool:
+    """Whether a warehouse table can be read; behind a connector its schema is asked for.
+
+    A connector tells a missing table by an error of its own, so any error whose
+    text says so counts as missing, and others are raised.
+    """
+    if fmt is None:
+        return spark.catalog.tableExists(name)
+    try:
+        read_table(spark, name, (), fmt, **options).schema  # noqa: B018
+    except Exception as error:
+        if any(said in str(error).lower() for said in _MISSING):
+            return False
+        raise
+    return True
+
+
+# How connectors say that a table is missing.
+_MISSING = ("not exist", "not found", "no such table", "unknown table", "invalid object name")
+
+
+def align_to_table(df: DataFrame, table: DataFrame, name: str) -> DataFrame:
+    """The frame in the table's columns, by name and regardless of case."""
+    have = {c.lower(): c for c in df.columns}
+    foreign = [c for c in df.columns if c.lower() not in {t.lower() for t in table.columns}]
+    if foreign:
+        raise ValueError(f"{name} has no column {', '.join(foreign)}")
+    return df.select(
+        *[
+            F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+            if f.name.lower() in have
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in table.schema
+        ]
+    )
+
+
 def read_staged_stream(
     spark: SparkSession,
     path: str,

@@ -8,7 +8,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from tallyroom.sources.readers import align_to_table, read_table, table_exists
+from tallyroom.sources.versions import Versions
 
 
 def write_entity(
@@ -34,64 +36,34 @@ def write_entity(
     writer.parquet(path)
 
 
-def write_table(
-    df: DataFrame,
-    name: str,
-    mode: str,
-    fmt: str | None = None,
-    partition_by: tuple[str, ...] = (),
-    **options: str,
-) -> None:
+def write_table(df: DataFrame, name: str, mode: str, fmt: str | None = None, **options: str) -> None:
     """Append to or overwrite a warehouse table, matching columns by name.
 
-    Without ``fmt`` the table lives in the session catalog; with it, the write
-    goes through that connector.  An append fails if the frame has a column that
-    the table lacks; a column that only the table has becomes a typed NULL.
+    Without ``fmt`` the table lives in the session catalog, where an overwrite is
+    all or nothing; with it, the write goes through that connector, which may
+    place columns by position, so they are brought in the table's order.  A write
+    to a stored table fails if the frame has a column that the table lacks; a
+    column that only the table has becomes a typed NULL.  An overwrite in the
+    catalog may change the layout.
     """
     spark = df.sparkSession
     if fmt is not None:
-        writer = df.write.format(fmt).options(**options).option("dbtable", name)
-        writer.mode(mode).save()
-        return
-    if mode == "append" and spark.catalog.tableExists(name):
-        df = align_to_table(df, spark.read.table(name), name)
-    df.write.mode(mode).format("parquet").partitionBy(*partition_by).saveAsTable(name)
-
-
-def align_to_table(df: DataFrame, table: DataFrame, name: str) -> DataFrame:
-    """The frame in the table's columns, by name and regardless of case."""
-    have = {c.lower(): c for c in df.columns}
-    foreign = [c for c in df.columns if c.lower() not in {t.lower() for t in table.columns}]
-    if foreign:
-        raise ValueError(f"{name} has no column {', '.join(foreign)}")
-    return df.select(
-        *[
-            F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name)
-            if f.name.lower() in have
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in table.schema
-        ]
-    )
-
-
-def replace_partitions(df: DataFrame, name: str) -> None:
-    """Replace the partitions of a catalog table that the frame has rows for; keep the others."""
-    spark = df.sparkSession
-    aligned = align_to_table(df, spark.read.table(name), name)
-    setting = "spark.sql.sources.partitionOverwriteMode"  # inserts know no such option
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        aligned.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+        if table_exists(spark, name, fmt, **options):
+            df = align_to_table(df, read_table(spark, name, (), fmt, **options), name)
+        df.write.format(fmt).options(**options).option("dbtable", name).mode(mode).save()
+    elif mode == "overwrite":
+        Versions(spark, name).replace(df)
+    else:
+        if spark.catalog.tableExists(name):
+            df = align_to_table(df, spark.read.table(name), name)
+        df.write.mode(mode).format("parquet").saveAsTable(name)
 
 
 def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
     """Write only a frame that has rows; tells whether it wrote.
 
     The test reads one row, but it starts the plan a second time: hand in a
-    scan or a materialised frame, not a plan with a shuffle under it.
+    scan or a step of a workspace, not a plan with a shuffle under it.
     """
     if df.isEmpty():
         return False
