@@ -6,16 +6,18 @@ given tables, or on batch and stream, and returns the stored result.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom import operators as op
 from tallyroom import schemas as S
-from tallyroom.plans import activity, marts, star
+from tallyroom.plans import activity, jobs, marts, star
 from tallyroom.plans.layers import raw_layer, staging_layer
-from tallyroom.sources import union_aligned
+from tallyroom.sources import Workspace, union_aligned
 
 Query = Callable[[SparkSession, str], DataFrame]
 ENTITIES = ("community", "live", "video")
@@ -103,6 +105,52 @@ def user_activity_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.replace_days(stored, fresh)
 
 
+@contextmanager
+def _warehouse(spark: SparkSession, label: str) -> Iterator[tuple[jobs.Warehouse, Workspace]]:
+    """Star tables of a query's own, gone with its steps."""
+    with Workspace(spark, label) as space:
+        name = f"tallyroom_{uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{space.base}/steps/warehouse'")
+        try:
+            yield jobs.Warehouse(spark, name), space
+        finally:
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _upsert(warehouse: jobs.Warehouse, fact: DataFrame, entity: str) -> None:
+    dated = fact.withColumn(star.STAMP_DAY, star.stamp_day(F.col(S.STAMP)))
+    warehouse.upsert(dated, star.STAR_FACTS[entity].table, "InteractionID", S.STAMP)
+
+
+def _fact_upsert(entity: str) -> Query:
+    """Earlier facts, then a delivery of rows from the first days of all months with a new measure."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fact, measure = _fact(spark, sf_dir, entity), CHANGED[entity][0]
+        earlier = F.col(S.STAMP) < F.lit(LOADED_BEFORE[entity]).cast("timestamp")
+        again = (F.dayofmonth(S.STAMP) <= 10) & (F.col(measure) % 2 == 0)
+        with _warehouse(spark, f"upsert-{entity}") as (warehouse, space):
+            _upsert(warehouse, fact.where(earlier), entity)
+            _upsert(warehouse, fact.where(again).withColumn(measure, (F.col(measure) + 1).cast("float")), entity)
+            return space.keep(warehouse.read(star.STAR_FACTS[entity].table))
+
+    return query
+
+
+def user_activity_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored activity after a load without some recent rows, and after these arrived late."""
+    facts = {e: _fact(spark, sf_dir, e) for e in ENTITIES}
+    with _warehouse(spark, "activity-ledger") as (warehouse, space):
+        for late in (False, True):
+            for entity, fact in facts.items():
+                recent = F.col(S.STAMP) >= F.lit(LOADED_BEFORE[entity]).cast("timestamp")
+                comes_late = recent & (F.crc32(F.col("InteractionID")) % 5 == 0)
+                _upsert(warehouse, fact.where(comes_late if late else ~comes_late), entity)
+            jobs.load_activity(warehouse)
+        stored = warehouse.read(jobs.FACT_USER_ACTIVITY)
+        return space.keep(stored.drop(S.STAMP, "LoadTimestamp"))
+
+
 def _with_streamed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     community, live, video = (_fact(spark, sf_dir, e) for e in ENTITIES)
     return [community, live, star.all_video(video, _streamed_fact(spark, sf_dir))]
@@ -138,6 +186,10 @@ LOAD_QUERIES: dict[str, Query] = {
     "dim_user_refreshed": dim_user_refreshed,
     "dim_video_merged": dim_video_merged,
     "fact_live_batch_after_stream": fact_live_batch_after_stream,
+    "fact_community_upsert": _fact_upsert("community"),
+    "fact_live_upsert": _fact_upsert("live"),
+    "fact_video_upsert": _fact_upsert("video"),
+    "user_activity_ledger": user_activity_ledger,
     "user_activity_late_rows": user_activity_late_rows,
     "activity_with_streamed_video": activity_with_streamed_video,
     "mart_engagement_streamed": mart_engagement_streamed,

@@ -626,6 +626,13 @@ def _changed_sql(entity: str) -> str:
 SELECT * FROM again r WHERE NOT EXISTS (SELECT 1 FROM raw e WHERE {same} AND e.{_earlier(entity)})"""
 
 
+def _upsert_sql(entity: str) -> str:
+    measure = CHANGED[entity][0]
+    again = f"(day(IngestionTimestamp) <= 10 AND {measure} % 2 = 0)"
+    return _star_select(entity, f"""SELECT * REPLACE (CAST(CASE WHEN {again} THEN {measure} + 1 ELSE {measure} END AS FLOAT) AS {measure})
+FROM fact WHERE {_earlier(entity)} OR {again}""")
+
+
 _ALL_PROFILES = ("community", "live", "video", "live_stream", "video_stream")
 
 
@@ -695,6 +702,10 @@ FROM s FULL JOIN b USING (VideoID)""",
 {_fact_chain('live_stream', 's_')}
 SELECT * FROM b_fact UNION ALL
 SELECT * FROM s_fact WHERE InteractionID NOT IN (SELECT InteractionID FROM b_fact)""",
+        "fact_community_upsert": _upsert_sql("community"),
+        "fact_live_upsert": _upsert_sql("live"),
+        "fact_video_upsert": _upsert_sql("video"),
+        "user_activity_ledger": _all_facts(_activity(_unified())),
         "user_activity_late_rows": _all_facts(_activity(_unified())),
         "activity_with_streamed_video": _with_streamed(
             _activity(f"{_unified()}\nUNION ALL {_STREAMED_VIDEO}")
@@ -804,7 +815,7 @@ FROM ({_both('community video', 'Age')}) r GROUP BY 1, 2""",
         "dim_platform_incremental": _select(
             "live",
             f"SELECT * FROM ({_star('live', 'staged')['platform']}) n WHERE Platform NOT IN "
-            f"(SELECT Platform FROM {before})",
+            f"(SELECT Platform FROM {before} WHERE Platform < 'i')",
         ),
         "dim_event_refresh": _select(
             "live",

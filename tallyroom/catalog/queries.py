@@ -312,12 +312,12 @@ def _dim_query(profile: str, dim: star.Dim) -> Query:
     return lambda spark, sf_dir: _dim(spark, sf_dir, profile, dim)
 
 
-def _dim_incremental(entity: str, dim: star.Dim) -> Query:
-    """Members of the whole staging frame that an earlier load did not have."""
+def _dim_incremental(entity: str, dim: star.Dim, part: str = "true") -> Query:
+    """Members of the whole staging frame that an earlier load, perhaps of a part only, did not have."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         staged = staging_layer(spark, sf_dir, entity)
-        existing = star.build_dim(_loaded(staged, entity), dim)
+        existing = star.build_dim(_loaded(staged, entity).where(part), dim)
         return star.new_members(staged, dim, existing)
 
     return query
@@ -413,7 +413,7 @@ STAR_QUERIES: dict[str, Query] = {
     "dim_watch_reason": _dim_query("video", star.DIM_WATCH_REASON),
     "dim_time": _dim_query("live", star.DIM_TIME),
     "dim_user_incremental": _dim_incremental("community", star.DIM_USER_COMMUNITY),
-    "dim_platform_incremental": _dim_incremental("live", star.DIM_PLATFORM),
+    "dim_platform_incremental": _dim_incremental("live", star.DIM_PLATFORM, "Platform < 'i'"),
     "dim_event_refresh": _dim_refresh("live", star.DIM_EVENT),
     "fact_video_stream": fact_video_stream,
     "fact_live_incremental": fact_live_incremental,
