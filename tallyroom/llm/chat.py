@@ -35,7 +35,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -98,23 +98,37 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """Finished rows (conv_id, turn, role, text) as a log: an opening event and one delta each."""
+    """Finished rows (conv_id, turn, role, text) as the log of a session that ends with them.
+
+    Other roles' texts arrive in three pieces.  A masked role's message first streams an
+    answer that is given up and regenerated, then streams a middle piece and a first one,
+    and an edit puts these right before the last piece arrives.  Events are not in order.
+    """
     order = W.partitionBy("conv_id", "turn").orderBy("role", "text")
     rows = conversations.select("conv_id", "turn", "role", "text").withColumn(
         "copy", F.row_number().over(order).cast("long")
     )
-    event = F.explode(
-        F.array(
-            F.struct(
-                F.lit(0).cast("long").alias("seq"), F.lit("message").alias("kind"),
-                F.col("role").alias("role"), F.lit("").alias("text"),
-            ),
+    text, n = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    one, two = F.floor(n / 3).cast("int"), F.floor(2 * n / 3).cast("int")
+    first, middle = F.substr(text, F.lit(1), one), F.substr(text, one + 1, two - one)
+    last = F.substr(text, two + 1)
+
+    def events(*steps: tuple[str, Column]) -> Column:
+        made = [
             F.struct(
-                F.lit(1).cast("long").alias("seq"), F.lit("delta").alias("kind"),
-                F.lit(None).cast("string").alias("role"), F.col("text").alias("text"),
-            ),
-        )
+                F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"),
+                F.when(F.lit(kind == "message"), F.col("role")).alias("role"), part.alias("text"),
+            )
+            for seq, (kind, part) in enumerate(steps)
+        ]
+        return F.array(*made[::2], *made[1::2][::-1])
+
+    masked = events(
+        ("message", F.lit("")), ("delta", last), ("regenerate", F.lit(None).cast("string")),
+        ("delta", middle), ("delta", first), ("edit", F.concat(first, middle)), ("delta", last),
     )
+    plain = events(("message", first), ("delta", middle), ("delta", last))
+    event = F.explode(F.when(F.col("role") == MASKED_ROLE, masked).otherwise(plain))
     return rows.select(*_KEY, event.alias("e")).select(*_KEY, "e.*")
 
 

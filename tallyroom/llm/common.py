@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyroom.sources.writers import Workspace
 
 __all__ = [
-    "Workspace", "ascii_lower", "fold", "map_batches", "map_parts", "parts_of", "sampled", "scores_frame", "shard", "table", "values",
+    "Workspace", "ascii_lower", "fold", "map_batches", "map_parts", "one_each", "parts_of", "sampled", "scores_frame", "shard", "table", "values",
 ]
 
 #: Resolution of hash-threshold samples.
@@ -33,10 +34,10 @@ def ascii_lower(text: Column) -> Column:
 
 
 def sampled(rows: DataFrame, key: str, bound: int, total: int | None = None) -> DataFrame:
-    """About ``bound`` rows at most, picked by a hash of the key alone.
+    """Rows of about ``bound`` keys at most, picked by a hash of the key alone.
 
     The same rows are picked whatever the partitioning.  Rows without a key
-    are never picked.
+    are never picked.  Where keys repeat, ``one_each`` bounds the rows as well.
     """
     total = rows.count() if total is None else total
     rows = rows.where(F.col(key).isNotNull())
@@ -46,6 +47,13 @@ def sampled(rows: DataFrame, key: str, bound: int, total: int | None = None) ->
     return rows.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(_SLICES)) < limit)
 
 
+def one_each(rows: DataFrame, key: str) -> DataFrame:
+    """One row of each key, the first by all its columns; each task sends one at most."""
+    order = [F.col(c).asc_nulls_first() for c in rows.columns if c != key]
+    rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
 def shard(key: str, shards: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("shard"), key), F.lit(shards)).cast("int")
 

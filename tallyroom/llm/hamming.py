@@ -1,7 +1,7 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code has one bit per dimension: is the value above zero.  Codes are
-cut into m segments somewhat narrower than log2(number of codes) bits, so a segment
+A vector's code has one bit per dimension: is the value above zero; a code of more
+than 64 bits is several numbers.  Codes are cut into m segments somewhat narrower than log2(number of codes) bits, so a segment
 value has a few codes.  Round r looks up, for every segment of every open query code,
 the values that differ in exactly r bits; a candidate's whole distance is taken
 at once.  Two codes within distance d agree up to d // m bits in some segment, so
@@ -16,15 +16,17 @@ shared by a third of all rows is one entry and one query.
 
 Defined results: neighbours are ordered by distance, then id; a query is not its
 own neighbour; a query gets fewer than k neighbours only if there are fewer.  NULL
-vectors and NULL ids are left out; missing, NULL and NaN values give a zero bit,
-values beyond ``bits`` are ignored; rows that repeat an id count once, with the
+vectors and NULL ids are left out; missing, NULL and NaN values give a zero bit;
+a vector longer than the codes is an error, none is cut; rows that repeat an id count once, with the
 smallest of their codes.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -38,12 +40,16 @@ SPARE_BITS = 2.5
 
 
 def codes_of(rows: DataFrame, vector: str, bits: int) -> DataFrame:
-    """id and code; one row per id."""
+    """id and code, one row per id; a code is a number of 64 bits or a struct of them."""
     bit = f"get({vector}, i)"
-    code = F.expr(
-        f"aggregate(sequence(0, {bits - 1}), 0L, (a, i) -> a | "
-        f"if(coalesce({bit} > 0 AND NOT isnan({bit}), false), shiftleft(1L, i), 0L))"
-    )
+    words = [
+        F.expr(
+            f"aggregate(sequence({first}, {min(first + 64, bits) - 1}), 0L, (a, i) -> a | "
+            f"if(coalesce({bit} > 0 AND NOT isnan({bit}), false), shiftleft(1L, i - {first}), 0L))"
+        )
+        for first in range(0, bits, 64)
+    ]
+    code = words[0] if len(words) == 1 else F.struct(*[w.alias(f"w{i}") for i, w in enumerate(words)])
     return (
         rows.where(F.col(vector).isNotNull() & F.col("id").isNotNull())
         .select("id", code.alias("code"))
@@ -53,15 +59,28 @@ def codes_of(rows: DataFrame, vector: str, bits: int) -> DataFrame:
 
 
 def segments_for(bits: int, n_codes: int) -> list[tuple[int, int]]:
-    """(offset, width) of segments somewhat narrower than log2(n_codes) bits, at most 24."""
+    """(offset, width) of segments somewhat narrower than log2(n_codes) bits, at most 24.
+
+    None crosses from one number of a code into the next.
+    """
     width = min(24.0, max(4.0, math.log2(max(2, n_codes)) - SPARE_BITS))
-    m = max(1, round(bits / width))
-    edges = [i * bits // m for i in range(m + 1)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+    found = []
+    for first in range(0, bits, 64):
+        here = min(64, bits - first)
+        m = max(1, round(here / width))
+        edges = [first + i * here // m for i in range(m + 1)]
+        found += [(a, b - a) for a, b in zip(edges, edges[1:])]
+    return found
+
+
+def _words(code: str, bits: int) -> list[Column]:
+    if bits <= 64:
+        return [F.col(code)]
+    return [F.col(f"{code}.w{i}") for i in range(-(-bits // 64))]
 
 
-def _segment(code: Column, offset: int, width: int) -> Column:
-    return F.shiftrightunsigned(code, offset).bitwiseAND(F.lit((1 << width) - 1))
+def _segment(words: list[Column], offset: int, width: int) -> Column:
+    return F.shiftrightunsigned(words[offset // 64], offset % 64).bitwiseAND(F.lit((1 << width) - 1))
 
 
 def _masks(width: int, radius: int) -> Column:
@@ -70,12 +89,12 @@ def _masks(width: int, radius: int) -> Column:
     return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
 
 
-def _pieces(codes: DataFrame, segments: list[tuple[int, int]], radius: int = 0) -> DataFrame:
+def _pieces(codes: DataFrame, bits: int, segments: list[tuple[int, int]], radius: int = 0) -> DataFrame:
     """Codes with each segment's number and the values at ``radius`` from its own."""
     parts = []
     for number, (offset, width) in enumerate(segments):
         if radius <= width:
-            value = _segment(F.col("code"), offset, width).bitwiseXOR(F.col("mask"))
+            value = _segment(_words("code", bits), offset, width).bitwiseXOR(F.col("mask"))
             parts.append(
                 codes.select("code", F.explode(_masks(width, radius)).alias("mask")).select(
                     "code", F.lit(number).alias("segment"), value.alias("value")
@@ -87,7 +106,7 @@ def _pieces(codes: DataFrame, segments: list[tuple[int, int]], radius: int = 0)
     return made
 
 
-def _first_least(xor: Column, segments: list[tuple[int, int]], radius: int) -> Column:
+def _first_least(xor: list[Column], segments: list[tuple[int, int]], radius: int) -> Column:
     """Whether the matched segment is the first of those that differ in fewest bits."""
     kept = F.lit(True)
     for number, (offset, width) in enumerate(segments):
@@ -109,14 +128,17 @@ def search(
     space: Workspace,
     id: str = "vec_id",
     vector: str = "embedding",
-    bits: int = 64,
+    bits: int | None = None,
 ) -> DataFrame:
     """query_id, rank, neighbour_id and distance of the k nearest rows of each query row.
 
-    ``queries`` is a condition on ``id``.
+    ``queries`` is a condition on ``id``.  Codes have as many bits as the longest
+    vector has values, or ``bits``, if that is no fewer.
     """
-    if not 1 <= bits <= 64:
-        raise ValueError("codes have 1 to 64 bits")
+    longest = rows.agg(F.coalesce(F.max(F.size(vector)), F.lit(1))).first()[0]
+    bits = max(1, longest) if bits is None else bits
+    if bits < longest:
+        raise ValueError(f"vectors have up to {longest} values, codes {bits} bits")
     codes = space.step(codes_of(rows.select(F.col(id).cast("long").alias("id"), vector), vector, bits))
     members = space.step(
         _top(codes, ["code"], ["id"], k + 1)
@@ -126,20 +148,21 @@ def search(
     asked = codes.select(F.col("id").alias(id), "code").where(queries)
     n_codes = members.count()
     segments = segments_for(bits, n_codes)
-    index = space.step(_pieces(members.select("code"), segments))
+    index = space.step(_pieces(members.select("code"), bits, segments))
     open_codes = space.step(asked.select("code").distinct())
     best: DataFrame | None = None
     done: list[DataFrame] = []
     for radius in range(max(w for _, w in segments) + 1):
-        probes = _pieces(open_codes, segments, radius)
-        xor = F.col("asked").bitwiseXOR(F.col("code"))
+        probes = _pieces(open_codes, bits, segments, radius)
+        xor = [a.bitwiseXOR(c) for a, c in zip(_words("asked", bits), _words("code", bits))]
+        distance = reduce(add, [F.bit_count(x) for x in xor])
         # Few stored codes make many probes: Spark must not take them for a small side.
         found = (
             probes.withColumnRenamed("code", "asked")
             .hint("merge")
             .join(index, ["segment", "value"])
             .where(_first_least(xor, segments, radius))
-            .select("asked", "code", F.bit_count(xor).cast("long").alias("distance"))
+            .select("asked", "code", distance.cast("long").alias("distance"))
         )
         # With a distance, codes by their smallest id: k + 1 codes hold k + 1 nearest ids.
         found = found.hint("merge").join(

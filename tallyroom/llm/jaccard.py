@@ -391,25 +391,29 @@ def representatives(docs: DataFrame, space: Workspace) -> DataFrame:
     ids = space.step(
         rows.join(labels, "node").groupBy("id").agg(F.min("label").alias("label"), F.count("*").alias("rows"))
     )
-    name = "id"
-    while name in docs.columns:
-        name += "_"
+    taken = {c.lower() for c in docs.columns}
+    name, other, rank_name = (_unused(n, taken) for n in ("id", "other", "rank"))
     keyed = docs.withColumn(name, _id())
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
     def of(part: DataFrame, how: str, rows: DataFrame) -> DataFrame:
-        part = part.select(F.col("id").alias("other"))
-        return rows.join(part, (F.col(name) == F.col("other")) & worded, how)
+        part = part.select(F.col("id").alias(other))
+        return rows.join(part, (F.col(name) == F.col(other)) & worded, how)
 
     kept = of(ids.where("id <> label"), "left_anti", keyed)
     several = space.step(ids.where("id = label AND rows > 1"))
     if not several.isEmpty():
         rank = F.row_number().over(W.partitionBy(name).orderBy("text"))
-        one = of(several, "left_semi", kept).withColumn("rank_" + name, rank)
-        kept = of(several, "left_anti", kept).unionByName(
-            one.where(F.col("rank_" + name) == 1).drop("rank_" + name)
-        )
-    return kept.select(*docs.columns)
+        one = of(several, "left_semi", kept).withColumn(rank_name, rank)
+        kept = of(several, "left_anti", kept).unionByName(one.where(F.col(rank_name) == 1).drop(rank_name))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _unused(name: str, taken: set[str]) -> str:
+    """A column name that differs from the taken ones, whatever their case."""
+    while name in taken:
+        name += "_"
+    return name
 
 
 def _heavy(counts: DataFrame, space: Workspace) -> np.ndarray:
@@ -433,13 +437,9 @@ def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFra
         .groupBy("sig", "rep", "shared")
         .agg(F.max("large").alias("large"))
     )
-    # How many of a text's signatures are shared at all, and how many widely.
-    per_text = (
-        rows.groupBy("rep", "shared")
-        .agg(F.count("*").alias("all"), F.sum(F.col("large").cast("long")).alias("large"))
-        .where(F.col("all") >= F.col("shared"))
-        .select("rep", F.col("large").alias("widely"))
-    )
+    # How many of a text's signatures are shared widely.
+    # A partner may promise fewer than the text itself, so no number of them rules a text out.
+    per_text = rows.groupBy("rep").agg(F.sum(F.col("large").cast("long")).alias("widely"))
     rows = space.step(rows.join(per_text, "rep"))
     # Small signatures: pairs, at most BUCKET of them a row, with the number they share.
     small = (

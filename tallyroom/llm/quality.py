@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.common import map_batches, sampled, scores_frame, shard, values
+from tallyroom.llm.common import map_batches, one_each, sampled, scores_frame, shard, values
 
 BITS = 18
 FIT_ROWS = 24_000
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndar
 
     ``docs`` has doc_id and text, ``labels`` doc_id and label.  At most about
     ``fit_rows`` labelled rows are used.  Of several labels of a document the
-    largest counts.
+    largest counts, and of several rows of one id one.
     """
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(
         F.max("label").alias("label")
@@ -108,11 +108,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndar
         model[-1] = 0.0 if not total else 10.0 if ones else -10.0
         return model
     shards = max(1, min(total, fit_rows) // SHARD_ROWS)
-    rows = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(sampled(known, "doc_id", fit_rows, total), "doc_id")
-        .withColumn("shard", shard("doc_id", shards))
+    labelled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        sampled(known, "doc_id", fit_rows, total), "doc_id"
     )
+    rows = one_each(labelled, "doc_id").withColumn("shard", shard("doc_id", shards))
     made = rows.groupBy("shard").applyInPandas(
         lambda pdf: _fit_shard(pdf), "n long, weights binary"
     ).collect()  # one array of fixed size per shard, FIT_ROWS / SHARD_ROWS of them

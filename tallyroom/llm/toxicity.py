@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.common import map_batches, map_parts, sampled, scores_frame, shard, values
+from tallyroom.llm.common import map_batches, map_parts, one_each, sampled, scores_frame, shard, values
 
 BITS = 18
 FIT_TOXIC = 3_000
@@ -158,6 +158,7 @@ def fit(
 
     ``docs`` has doc_id and text, ``labels`` doc_id and label (1: toxic).  Labels
     name the members of P and give the prior; U is drawn from all of ``docs``.
+    Of several rows of one id one is used.
     """
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(
         F.max("label").alias("label")
@@ -170,8 +171,9 @@ def fit(
     shards = max(1, min(ones, fit_toxic) // SHARD_TOXIC)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     confirmed = sampled(known.where("label = 1").select("doc_id"), "doc_id", fit_toxic, ones)
-    rows = texts.join(confirmed, "doc_id").withColumn("toxic", F.lit(1)).unionByName(
-        sampled(texts, "doc_id", fit_unlabelled).withColumn("toxic", F.lit(0))
+    drawn = sampled(texts, "doc_id", fit_unlabelled)
+    rows = one_each(texts.join(confirmed, "doc_id"), "doc_id").withColumn("toxic", F.lit(1)).unionByName(
+        one_each(drawn, "doc_id").withColumn("toxic", F.lit(0))
     )
     spread = rows.select("doc_id", "toxic", "text").repartition(FIT_TASKS, "doc_id")
     ready = map_batches(spread, _featurise, "doc_id long, toxic int, ids binary")

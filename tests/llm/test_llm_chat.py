@@ -83,3 +83,25 @@ def test_read_back(spark):
         r = found[conv]
         assert (r["n_turns"], r["turns_sha256"], r["formatted_chars"]) == (len(turns), digest, size)
         assert (r["loss_chars"], r["loss_sha256"]) == (len(masked), hashlib.sha256(masked.encode()).hexdigest())
+
+
+def test_a_log_that_is_not_folded_gives_other_texts(spark):
+    texts = [None, "", "a", "ab", "abc", "<|im_end|>é" * 5, "word " * 50_000]
+    rows = [(c, t, r, x) for c in (1, None) for t, x in enumerate(texts) for r in ("user", "assistant", None)]
+    log = chat.events_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    events = [tuple(r) for r in log.collect()]
+    expected = sorted(((c, t, r or "", x or "") for c, t, r, x in rows), key=str)
+    made = chat.fold(log.repartition(4)).collect()
+    assert sorted(((m.conv_id, m.turn, m.role, m.text) for m in made), key=str) == expected
+    by_message = {}
+    for e in events:
+        by_message.setdefault(e[:3], []).append(e)
+    assert any([e[3] for e in es] != sorted(e[3] for e in es) for es in by_message.values())
+    kinds = {e[4] for e in events}
+    assert kinds == set(chat.EVENT_KINDS)
+    # Neither the last event nor all texts in the order of the log is the message.
+    for m in made:
+        if m.role == "assistant" and len(m.text) > 2:
+            es = by_message[m.conv_id, m.turn, m.copy]
+            assert m.text not in (es[-1][6], "".join(e[6] or "" for e in es))
+            assert m.text != "".join(e[6] or "" for e in sorted(es, key=lambda e: e[3]))

@@ -16,12 +16,15 @@ def brute(rows, asked, k, bits):
         if i is None or v is None:
             continue
         code = sum(1 << j for j, x in enumerate(v[:bits]) if x is not None and not math.isnan(x) and x > 0)
-        code -= (code >> 63) << 64
-        codes[i] = min(code, codes.get(i, code))
+        # Of an id's codes the smallest counts, as signed numbers of 64 bits.
+        words = [code >> first & (1 << 64) - 1 for first in range(0, bits, 64)]
+        signed = [w - ((w >> 63) << 64) for w in words]
+        codes[i] = min((signed, code), codes.get(i, (signed, code)))
+    codes = {i: code for i, (_, code) in codes.items()}
     out = set()
     for q in codes:
         if asked(q):
-            near = sorted((bin((codes[q] ^ codes[n]) & (1 << 64) - 1).count("1"), n) for n in codes if n != q)[:k]
+            near = sorted(((codes[q] ^ codes[n]).bit_count(), n) for n in codes if n != q)[:k]
             out |= {(q, rank + 1, n, d) for rank, (d, n) in enumerate(near)}
     return out
 
@@ -45,5 +48,16 @@ def test_ties_copies_and_odd_vectors(spark):
     hot = [1.0] * 6 + [-1.0] * 6
     rows = [(i, hot) for i in range(40)] + [(50, [1.0] * 12), (51, None), (None, hot), (55, [float("nan"), 1.0])]
     rows += [(60, hot), (60, hot), (60, [1.0]), (65, []), (66, [None, 2.0, -0.0, 0.0]), (70, [1.0] * 30)]
-    found, count = search(spark, rows, 3, 12)
-    assert found == brute(rows, lambda i: i % 5 == 0, 3, 12) and count == len(found)
+    # The longest vector, of 30 values, gives the width of all codes.
+    found, count = search(spark, rows, 3, None)
+    assert found == brute(rows, lambda i: i % 5 == 0, 3, 30) and count == len(found)
+
+
+def test_values_beyond_64_count(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [1.0] * 64 + rng.normal(size=66).tolist()) for i in range(70)]
+    found, count = search(spark, rows, 4, None)
+    assert found == brute(rows, lambda i: i % 5 == 0, 4, 130) and count == len(found)
+    assert {d for *_, d in found} != {0}
+    with pytest.raises(ValueError, match="130 values"):
+        search(spark, rows, 4, 64)

@@ -85,3 +85,33 @@ def test_the_toxicity_stage_learns_from_labels_of_its_documents(spark, monkeypat
     expected = {r["doc_id"] for r in labels.collect() if r["doc_id"] % 3 == 0}
     assert kept == docs.count() and 0 < len(expected) < labels.count()
     assert {r["doc_id"] for r in seen[0].collect()} == expected
+
+
+def test_near_duplicates_with_columns_of_any_name(spark):
+    text = "one two three four five six seven eight"
+    rows = [(5, text, 1, 2, 3, 4), (5, text + " nine", 1, 2, 3, 5), (9, text, 1, 2, 3, 6), (None, None, 1, 2, 3, 7), (2, "", 1, 2, 3, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other int, ID int, rank int, label int")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert {r["label"] for r in kept.collect()} == {4, 7, 8}
+    assert {r["ID"] for r in kept.collect()} == {2} and {r["other"] for r in kept.collect()} == {1}
+
+
+ODD = [
+    (None, None), (None, "no id"), (1, ""), (2, "word"), (2, "word"), (3, "long words " * 60_000), (4, "\x00 \u2028 <P>"),
+]
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_every_stage_takes_odd_rows(spark, tmp_path, at):
+    """NULLs, empty and very long texts, repeated rows, and columns with names of the stages' own."""
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 7, 8, "x") for i, t in ODD], (
+        "doc_id long, text string, lang string, source string, n_chars long, score int, SHARD int, ids string"
+    ))
+    made = corpus_pipeline.STAGES[at][1](spark, docs, SF_DIR)
+    made.write.parquet(f"{tmp_path}/out")
+    found = spark.read.parquet(f"{tmp_path}/out")
+    assert found.columns == (docs.columns if at < 4 else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    assert 0 < found.count() <= len(ODD)
+    if at == 2:  # one of the two equal rows
+        assert found.count() == len(ODD) - 1
