@@ -433,13 +433,26 @@ def _heavy(counts: DataFrame, space: Workspace) -> np.ndarray:
 def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFrame:
     """Links (u, v) between representatives that lead from any text to all it may be linked to."""
     rows = space.step(
-        shared.join(reps.select("id", "rep", "shared"), "id")
+        shared.join(reps.select("id", "rep", "shared", "odd"), "id")
         .groupBy("sig", "rep", "shared")
-        .agg(F.max("large").alias("large"))
+        .agg(F.max("large").alias("large"), F.max("odd").alias("odd"))
+    )
+    # How many of a text's signatures are shared at all, and how many widely.
+    # What a pair shares at least is the smaller promise: that of a partner a quarter smaller,
+    # or one of an odd text, whose partners are few and told by their signatures.
+    partners = F.when(F.col("shared") <= 3, 1).otherwise(F.floor(F.col("shared") * 0.7))
+    by_odd = (
+        rows.join(rows.where("odd").select("sig").distinct(), "sig")
+        .select("rep", F.lit(True).alias("by_odd"))
+        .distinct()
+    )
+    per_text = (
+        rows.groupBy("rep", "shared")
+        .agg(F.count("*").alias("all"), F.sum(F.col("large").cast("long")).alias("widely"))
+        .join(by_odd, "rep", "left")
+        .where((F.col("all") >= partners) | F.col("by_odd"))
+        .select("rep", "widely", F.coalesce("by_odd", F.lit(False)).alias("by_odd"))
     )
-    # How many of a text's signatures are shared widely.
-    # A partner may promise fewer than the text itself, so no number of them rules a text out.
-    per_text = rows.groupBy("rep").agg(F.sum(F.col("large").cast("long")).alias("widely"))
     rows = space.step(rows.join(per_text, "rep"))
     # Small signatures: pairs, at most BUCKET of them a row, with the number they share.
     small = (
@@ -457,11 +470,9 @@ def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFra
         .where(F.col("times") >= F.col("least"))
         .select("u", "v")
     )
-    # Large ones: only texts with so many that large ones alone could link them.  The
-    # spare signatures of a partner may be fewer by its size, a quarter smaller at most.
+    # Large ones: only texts with so many that large ones alone could link them.
     wide = space.step(
-        rows.where(F.col("large") & (F.col("widely") >= F.when(F.col("shared") <= 3, 1).otherwise(F.floor(F.col("shared") * 0.7))))
-        .select("sig", "rep")
+        rows.where(F.col("large") & ((F.col("widely") >= partners) | F.col("by_odd"))).select("sig", "rep")
     )
     first = space.step(wide.groupBy("sig").agg(F.min("rep").alias("v")))
     stars = wide.join(first, "sig").where("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
@@ -506,10 +517,15 @@ def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
     heavy = _heavy(counts, space)
     worded = rows.where("n > 0")
     owners = space.step(
-        worded.groupBy("node").agg(F.min("id").alias("rep"), F.min("shared").alias("shared"))
+        worded.groupBy("node").agg(
+            F.min("id").alias("rep"),
+            F.min("shared").alias("shared"),
+            # A promise below that of its size: its shingles fell into too few segments.
+            (F.min("shared") < F.when(F.max("n") <= _WHOLE_MAX, 1).otherwise(F.floor(F.max("n") / 10))).alias("odd"),
+        )
     )
     reps = space.step(
-        worded.select("id", "node").distinct().join(owners, "node").select("id", "node", "rep", "shared")
+        worded.select("id", "node").distinct().join(owners, "node").select("id", "node", "rep", "shared", "odd")
     )
 
     # Signatures that several texts share.
