@@ -430,28 +430,39 @@ def _heavy(counts: DataFrame, space: Workspace) -> np.ndarray:
     return np.sort(np.array([r["sig"] for r in kept], np.int64).view(np.uint64))
 
 
+def _least_partner(n: Column) -> Column:
+    """What the smallest set that n shingles can be linked with promises, unless it is odd."""
+    smallest = F.ceil(n * PERCENT / 100)
+    return F.when(smallest <= _WHOLE_MAX, 1).otherwise(F.greatest(F.lit(1), F.floor(smallest / 10)))
+
+
 def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFrame:
     """Links (u, v) between representatives that lead from any text to all it may be linked to."""
     rows = space.step(
-        shared.join(reps.select("id", "rep", "shared", "odd"), "id")
-        .groupBy("sig", "rep", "shared")
-        .agg(F.max("large").alias("large"), F.max("odd").alias("odd"))
+        shared.join(reps.select("id", "rep", "shared", "partners"), "id")
+        .groupBy("sig", "rep", "shared", "partners")
+        .agg(F.max("large").alias("large"))
     )
     # How many of a text's signatures are shared at all, and how many widely.
-    # What a pair shares at least is the smaller promise: that of a partner a quarter smaller,
-    # or one of an odd text, whose partners are few and told by their signatures.
-    partners = F.when(F.col("shared") <= 3, 1).otherwise(F.floor(F.col("shared") * 0.7))
-    by_odd = (
-        rows.join(rows.where("odd").select("sig").distinct(), "sig")
-        .select("rep", F.lit(True).alias("by_odd"))
-        .distinct()
-    )
+    # A pair shares the smaller promise of its two at least, so a text needs as many as its
+    # smallest partner may promise.
+    odd = reps.where("shared < partners").select("rep").distinct()
+    if not odd.isEmpty():
+        # Texts whose shingles fell into too few segments promise less than their size does;
+        # their partners, told by a signature, need no more than them.
+        beside = rows.join(odd, "rep", "left_semi").select("sig").distinct()
+        beside = space.step(rows.join(beside, "sig", "left_semi").select("rep").distinct())
+        fewer = beside.select("rep", F.lit(1).alias("fewer"))
+        rows = space.step(
+            rows.join(fewer, "rep", "left")
+            .withColumn("partners", F.coalesce("fewer", "partners"))
+            .drop("fewer")
+        )
     per_text = (
-        rows.groupBy("rep", "shared")
+        rows.groupBy("rep", "partners")
         .agg(F.count("*").alias("all"), F.sum(F.col("large").cast("long")).alias("widely"))
-        .join(by_odd, "rep", "left")
-        .where((F.col("all") >= partners) | F.col("by_odd"))
-        .select("rep", "widely", F.coalesce("by_odd", F.lit(False)).alias("by_odd"))
+        .where(F.col("all") >= F.col("partners"))
+        .select("rep", "widely")
     )
     rows = space.step(rows.join(per_text, "rep"))
     # Small signatures: pairs, at most BUCKET of them a row, with the number they share.
@@ -472,7 +483,7 @@ def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFra
     )
     # Large ones: only texts with so many that large ones alone could link them.
     wide = space.step(
-        rows.where(F.col("large") & ((F.col("widely") >= partners) | F.col("by_odd"))).select("sig", "rep")
+        rows.where(F.col("large") & (F.col("widely") >= F.col("partners"))).select("sig", "rep")
     )
     first = space.step(wide.groupBy("sig").agg(F.min("rep").alias("v")))
     stars = wide.join(first, "sig").where("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
@@ -520,12 +531,11 @@ def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
         worded.groupBy("node").agg(
             F.min("id").alias("rep"),
             F.min("shared").alias("shared"),
-            # A promise below that of its size: its shingles fell into too few segments.
-            (F.min("shared") < F.when(F.max("n") <= _WHOLE_MAX, 1).otherwise(F.floor(F.max("n") / 10))).alias("odd"),
+            _least_partner(F.max("n")).cast("int").alias("partners"),
         )
     )
     reps = space.step(
-        worded.select("id", "node").distinct().join(owners, "node").select("id", "node", "rep", "shared", "odd")
+        worded.select("id", "node").distinct().join(owners, "node").select("id", "node", "rep", "shared", "partners")
     )
 
     # Signatures that several texts share.
