@@ -681,6 +681,9 @@ def _load_sql() -> dict[str, str]:
         "ingest_changed_rows": _changed_sql("live"),
         "ingest_changed_rows_community": _changed_sql("community"),
         "ingest_changed_rows_video": _changed_sql("video"),
+        "ingest_indexed_rows": _changed_sql("live"),
+        "ingest_indexed_rows_community": _changed_sql("community"),
+        "ingest_indexed_rows_video": _changed_sql("video"),
         "dim_platform_all": _staged_all(
             _ALL_PROFILES, "Platform", _dim_plain("every", "Platform", "PlatformID") + " WHERE Platform IS NOT NULL"
         ),

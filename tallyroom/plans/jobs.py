@@ -19,6 +19,7 @@ from tallyroom.plans import activity, marts, star
 from tallyroom.plans.clean import Cleaning
 from tallyroom.schemas import STAMP, message_schema
 from tallyroom.sources import (
+    ContentIndex,
     Versions,
     Workspace,
     align_for_union,
@@ -167,19 +168,21 @@ def ingest(
 ) -> DataFrame:
     """Union source frames, stamp them, and append the rows not ingested before.
 
-    A row is known if its whole content is stored; a row with new values for a
-    known business key is kept, and cleaning takes the newest.  Returns the null
+    A row is known if its whole content is stored, which the digest index beside
+    the raw layer tells without reading it; a row with new values for a known
+    business key is kept, and cleaning takes the newest.  Returns the null
     profile of the stored raw layer, of no rows if nothing is stored.
     """
     schema = message_schema(rules.ddl)
     union = conform_schema(union_aligned([align_for_union(f, schema, rename) for f in files]), schema)
     spark = union.sparkSession
-    existing = stored_files(spark, raw_path)
-    if existing is not None:
-        union = op.anti_content(union, existing, schema.names)
+    index = ContentIndex(spark, raw_path, schema)
+    index.catch_up()
     with Workspace(spark, "ingest") as space:
-        # Written as a step, so the comparison above runs once and the test reads one row.
-        write_if_any(space.step(stamp(union)), lambda df: write_entity(df, raw_path, "append"))
+        # Written as a step, so the comparison runs once and the test for rows reads one.
+        fresh = space.step(stamp(index.unknown(union)))
+        if write_if_any(fresh, lambda df: write_entity(df, raw_path, "append")):
+            index.catch_up()
     stored = stored_files(spark, raw_path)
     return op.null_profile(stamp(union).limit(0) if stored is None else stored)
 

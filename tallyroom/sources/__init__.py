@@ -1,5 +1,6 @@
 """Readers, writers and the adapters that shape the given tables as entities."""
 
+from tallyroom.sources.index import ContentIndex
 from tallyroom.sources.readers import (
     align_for_union,
     conform_schema,
@@ -23,7 +24,7 @@ from tallyroom.sources.writers import (
 )
 
 __all__ = [
-    "Versions", "Workspace", "align_for_union", "conform_schema", "materialise", "read_entity",
+    "ContentIndex", "Versions", "Workspace", "align_for_union", "conform_schema", "materialise", "read_entity",
     "read_staged_stream", "read_stream", "read_table", "remove_path",
     "stamp", "stored_files", "table_exists", "union_aligned", "write_entity", "write_if_any", "write_table",
 ]

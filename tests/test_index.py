@@ -1,0 +1,88 @@
+"""The digest index beside raw rows: same rows as comparing contents, no wide column read."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from test_loads import live_messages
+
+from tallyroom import operators as op
+from tallyroom import rules as R
+from tallyroom import schemas as S
+from tallyroom.plans import jobs
+from tallyroom.sources import ContentIndex, read_entity
+
+DDL = "a bigint, b string, c double, d boolean"
+SCHEMA = T.StructType(
+    [T.StructField(n, t) for n, t in zip("abcd", (T.LongType(), T.StringType(), T.DoubleType(), T.BooleanType()))]
+)
+
+
+def stored(spark, path, rows):
+    spark.createDataFrame(rows, DDL).write.mode("append").parquet(path)
+
+
+def test_only_unknown_contents(spark, tmp_path):
+    path = f"{tmp_path}/raw"
+    index = ContentIndex(spark, path, SCHEMA)
+    new = [(1, "x", 0.5, True), (2, None, None, None), (None, "x", 0.5, True), (1, "x", 0.25, True), (9, "", 1.0, False)]
+    frame = spark.createDataFrame([*new, new[0]], DDL).withColumn("Key", F.lit("beside"))
+    assert index.catch_up() == 0 and index.unknown(frame).count() == 6
+    # Neighbours in content: shifted NULLs, pieces that join to the same text.
+    stored(spark, path, [(1, "x", 0.5, True), (None, "2", None, None), (2, None, None, None), (9, None, 1.0, False)])
+    assert index.catch_up() > 0 and index.catch_up() == 0
+    found = index.unknown(frame)
+    assert found.columns == frame.columns
+    left = [(None, "x", 0.5, True), (1, "x", 0.25, True), (9, "", 1.0, False)]
+    assert sorted(map(str, (tuple(r)[:4] for r in found.collect()))) == sorted(map(str, left))
+    content = op.anti_content(frame, read_entity(spark, path), SCHEMA.names)
+    assert sorted(map(str, content.collect())) == sorted(map(str, found.collect()))
+
+
+def test_digest_tells_contents_apart(spark):
+    from tallyroom.sources.index import content_digest
+
+    rows = [("ab", "c"), ("a", "bc"), (None, "abc"), ("abc", None), ("", "abc"), ("2:ab", "c"), ("~", None), (None, "~")]
+    frame = spark.createDataFrame(rows, "a string, b string")
+    assert frame.select(content_digest(["a", "b"]).alias("x")).distinct().count() == len(rows)
+
+
+def test_the_plan_reads_no_stored_row(spark, tmp_path):
+    path = f"{tmp_path}/raw"
+    stored(spark, path, [(n, "x", None, None) for n in range(50)])
+    index = ContentIndex(spark, path, SCHEMA)
+    index.catch_up()
+    plan = index.unknown(spark.createDataFrame([(1, "x", None, None)], DDL))
+    files = {f.split(str(tmp_path))[1].split("/")[1] for f in plan.inputFiles()}
+    assert files == {"raw__index"}
+    scans = [line for line in plan._jdf.queryExecution().toString().split("\n") if "FileScan parquet" in line]
+    assert scans and all("PartitionFilters: [isnotnull(Bucket" in line for line in scans)  # the touched ones
+
+
+def test_a_load_that_died_before_indexing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+    jobs.ingest([live_messages(spark, [(1, 7, 5)])], path, R.LIVE)
+    with monkeypatch.context() as patch:
+        calls = []
+
+        def dies(self):
+            calls.append(1)
+            if len(calls) > 1:
+                raise RuntimeError("lost")
+            return 0
+
+        patch.setattr(ContentIndex, "catch_up", dies)
+        with pytest.raises(RuntimeError):
+            jobs.ingest([live_messages(spark, [(2, 7, 5)])], path, R.LIVE)
+    jobs.ingest([live_messages(spark, [(1, 7, 5), (2, 7, 5), (3, 7, 5)])], path, R.LIVE)
+    assert sorted(r.EventID for r in read_entity(spark, path).collect()) == [1, 2, 3]
+
+
+def test_rows_stored_before_there_was_an_index(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    old = live_messages(spark, [(1, 7, 5), (2, 7, 6)]).withColumn(S.STAMP, F.current_timestamp())
+    old.write.parquet(path)
+    jobs.ingest([live_messages(spark, [(1, 7, 5), (2, 7, 8)])], path, R.LIVE)
+    assert read_entity(spark, path).count() == 3
+    assert os.path.exists(f"{path}__index/digests")
