@@ -438,8 +438,11 @@ def _least_partner(n: Column) -> Column:
 
 def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFrame:
     """Links (u, v) between representatives that lead from any text to all it may be linked to."""
-    rows = space.step(
+    # Dealt by text once: the rows, their numbers by text and the join of both need no more.
+    rows = (
         shared.join(reps.select("id", "rep", "shared", "partners"), "id")
+        .select("sig", "rep", "shared", "partners", "large")
+        .repartition("rep")
         .groupBy("sig", "rep", "shared", "partners")
         .agg(F.max("large").alias("large"))
     )
