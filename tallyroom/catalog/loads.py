@@ -191,6 +191,31 @@ def mart_demographics_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.demographics(_fact(spark, sf_dir, "video"), dim_user_merged(spark, sf_dir))
 
 
+def _mart_by_days(mart: Callable[..., DataFrame], *dims: tuple[str, star.Dim]) -> Query:
+    """A mart over stored sums by day, of which the days of late rows were computed again."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        entities = ENTITIES if mart is marts.engagement_overview else (dims[0][0],)
+        parts = []
+        for entity in entities:
+            fact = _fact(spark, sf_dir, entity)
+            late = (F.col(S.STAMP) >= F.lit(LOADED_BEFORE[entity]).cast("timestamp")) & (
+                F.crc32(F.col("InteractionID")) % 5 == 0
+            )
+            dated = fact.withColumn(star.STAMP_DAY, star.stamp_day(F.col(S.STAMP)))
+            days = dated.where(late).select(star.STAMP_DAY).distinct()
+            touched = dated.join(days, star.STAMP_DAY, "left_semi")
+            stored, fresh = marts.day_parts(fact.where(~late), entity), marts.day_parts(touched, entity)
+            parts.append(activity.replace_days(stored, fresh, star.STAMP_DAY))
+        members = [star.build_dim(staging_layer(spark, sf_dir, e), d) for e, d in dims]
+        if mart is marts.engagement_overview:
+            platforms = [staging_layer(spark, sf_dir, e).select("Platform") for e in ENTITIES]
+            members = [star.build_dim(union_aligned(platforms), star.DIM_PLATFORM)]
+        return mart(*parts, *members)
+
+    return query
+
+
 def _stamp_census(profile: str) -> Query:
     return lambda spark, sf_dir: op.stamp_census(staging_layer(spark, sf_dir, profile))
 
@@ -217,6 +242,14 @@ LOAD_QUERIES: dict[str, Query] = {
     "activity_with_streamed_video": activity_with_streamed_video,
     "mart_engagement_streamed": mart_engagement_streamed,
     "mart_demographics_merged": mart_demographics_merged,
+    "mart_engagement_by_days": _mart_by_days(marts.engagement_overview),
+    "mart_community_by_days": _mart_by_days(marts.community_trends, ("community", star.DIM_COMMUNITY)),
+    "mart_live_by_days": _mart_by_days(
+        marts.live_streaming, ("live", star.DIM_EVENT), ("live", star.DIM_DEVICE_TYPE)
+    ),
+    "mart_video_by_days": _mart_by_days(marts.video_interactions, ("video", star.DIM_WATCH_REASON)),
+    "mart_time_by_days": _mart_by_days(marts.time_trends, ("video", star.DIM_TIME)),
+    "mart_demographics_by_days": _mart_by_days(marts.demographics, ("video", star.DIM_USER_VIDEO)),
     "stream_stamp_census": _stamp_census("live_stream"),
     "stream_stamp_census_video": _stamp_census("video_stream"),
 }

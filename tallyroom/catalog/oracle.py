@@ -863,4 +863,9 @@ FROM fact JOIN dim_time USING (TimeID) GROUP BY 1"""),
   sum(CAST(Engagement AS DOUBLE)) AS Engagement, avg(CAST(ProductivityLoss AS DOUBLE)) AS ProductivityLoss
 FROM fact JOIN dim_user ON UserID_Surrogate = User_S_ID GROUP BY 1, 2"""),
     }
+    by_days = {
+        "engagement": "engagement_overview", "community": "community_trends", "live": "live_streaming",
+        "video": "video_interactions", "time": "time_trends", "demographics": "demographics",
+    }
+    sql |= {f"mart_{short}_by_days": sql[f"mart_{name}"] for short, name in by_days.items()}
     return sql | _load_sql()

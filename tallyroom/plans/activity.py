@@ -61,8 +61,8 @@ def user_activity(unified: DataFrame) -> DataFrame:
     return grouped.select(interaction_id(*parts).alias("InteractionID"), *grouped.columns)
 
 
-def replace_days(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Stored activity in which the days of ``fresh`` are replaced."""
-    days = fresh.select("ActivityDate").distinct()
-    kept = stored.join(days, "ActivityDate", "left_anti").select(*fresh.columns)
+def replace_days(stored: DataFrame, fresh: DataFrame, day: str = "ActivityDate") -> DataFrame:
+    """Stored rows in which the days of ``fresh`` are replaced."""
+    days = fresh.select(day).distinct()
+    kept = stored.join(days, day, "left_anti").select(*fresh.columns)
     return kept.unionByName(fresh)

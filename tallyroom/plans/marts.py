@@ -3,6 +3,10 @@
 Each fact is first summed by its own foreign key; only those sums meet the
 dimension.  The join input is then at most one row per member, so neither a
 hot member nor a large fact reaches the join.
+
+A mart takes a fact, or the fact's sums and counts by day and foreign keys
+(``day_parts``), which add up to the same.  So stored parts of which only the days
+with new rows are computed again serve all marts.
 """
 
 from __future__ import annotations
@@ -10,12 +14,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroom.plans.star import STAMP_DAY, stamp_day
+from tallyroom.schemas import STAMP
 from tallyroom.sources import union_aligned
 
 
+# Of each fact, the foreign keys that marts group by and the measures they add up.
+PARTS = {
+    "community": (("PlatformID", "CommunityID_Surrogate"), ("CommunityEngagement", "TotalTimeSpent")),
+    "live": (("PlatformID", "EventID_Surrogate", "DeviceTypeID"), ("LiveEngagement", "ViewerCount")),
+    "video": (
+        ("PlatformID", "WatchReasonID", "TimeID", "UserID_Surrogate"),
+        ("Engagement", "ProductivityLoss", "Satisfaction", "TotalTimeSpent", "NumberOfSessions"),
+    ),
+}
+
+
+def day_parts(fact: DataFrame, entity: str) -> DataFrame:
+    """Sums, non-NULL counts and rows of a fact by the day of its stamp and its foreign keys."""
+    keys, measures = PARTS[entity]
+    return (
+        fact.withColumn(STAMP_DAY, stamp_day(F.col(STAMP)))
+        .groupBy(STAMP_DAY, *keys)
+        .agg(
+            *[F.sum(m).alias(m) for m in measures],
+            *[F.count(m).alias(f"_n_{m}") for m in measures],
+            F.count(F.lit(1)).alias("_rows"),
+        )
+    )
+
+
+def _row_count(fact: DataFrame) -> Column:
+    return F.sum("_rows") if "_rows" in fact.columns else F.count(F.lit(1))
+
+
+def _value_count(fact: DataFrame, measure: str) -> Column:
+    return F.sum(f"_n_{measure}") if f"_n_{measure}" in fact.columns else F.count(measure)
+
+
 def _sums(fact: DataFrame, by: list[str], *measures: str) -> DataFrame:
     sums = [F.sum(m).alias(m) for m in measures]
-    return fact.groupBy(*by).agg(*sums, F.count(F.lit(1)).alias("_rows"))
+    return fact.groupBy(*by).agg(*sums, _row_count(fact).alias("_rows"))
 
 
 def _attributes(df: DataFrame, dim: DataFrame, key: str, surrogate: str, *columns: str) -> DataFrame:
@@ -34,7 +73,7 @@ def _parts(fact: DataFrame, by: str, total: str, *means: str) -> DataFrame:
     return fact.groupBy(by).agg(
         F.sum(total).alias(total),
         *[F.sum(m).alias(m) for m in means],
-        *[F.count(m).alias(f"_n_{m}") for m in means],
+        *[_value_count(fact, m).alias(f"_n_{m}") for m in means],
     )
 
 

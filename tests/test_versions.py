@@ -228,6 +228,42 @@ def test_rows_without_a_stamp_have_one_day(spark):
     assert per_day(wh) == {0: 1, 1: 2}
 
 
+def mart_tables(wh):
+    names = ("ENGAGEMENT_OVERVIEW", "LIVE_STREAMING", "VIDEO_INTERACTIONS", "TIME_TRENDS", "DEMOGRAPHICS", "COMMUNITY_TRENDS")
+    return {n: rows(wh.spark, f"{wh.schema}.MART_{n}") for n in names}
+
+
+def test_marts_after_three_loads_are_a_full_rebuild(spark, monkeypatch):
+    wh = loaded(spark, "mart_days", [(1, 7, 1, 1), (2, 8, 1, 2), (2, 7, 3, 9)])
+    empty = star.build_dim(spark.createDataFrame(
+        [], "CommunityID long, CommunityName string, IngestionTimestamp timestamp"), star.DIM_COMMUNITY)
+    empty.write.saveAsTable("mart_days.DIM_COMMUNITY")
+    jobs.load_marts(wh)
+    parts = "PART_LIVE_BY_DAY"
+    untouched = {f for f in wh.read(parts).inputFiles() if "01-09" in f}
+    jobs.load_star(wh, live_rows(spark, [(2, 8, 1, 2), (4, 9, 1, 2)]), "live")
+    streamed = video_rows(spark, [(7, 6, 2)], Engagement=100).withColumn("EngagementScore", F.lit(100))
+    jobs.load_star(wh, streamed, "video_stream", incremental=True)
+    asked = []
+    real = jobs.Warehouse.by_day
+
+    def seen(self, table, stamped, days, since=None):
+        asked.append(days)
+        return real(self, table, stamped, days, since)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs.Warehouse, "by_day", seen)
+        jobs.load_marts(wh)
+    assert asked and all(d == [dt.date(2024, 1, 2)] for d in asked)  # no other day of a fact is read
+    assert untouched and untouched <= set(wh.read(parts).inputFiles())
+    found = mart_tables(wh)
+    facts = jobs._activity_facts(wh)
+    jobs._write_marts(wh, *facts)
+    assert mart_tables(wh) == found and found["LIVE_STREAMING"] and found["VIDEO_INTERACTIONS"]
+    jobs.load_marts(wh)  # nothing is pending
+    assert mart_tables(wh) == found
+
+
 def test_a_member_stored_twice_does_not_double_sums(spark):
     fact = spark.sql("SELECT 'p' AS WatchReasonID, 1.0D AS Engagement, 1.0D AS ProductivityLoss, 1.0D AS Satisfaction")
     dim = spark.sql("SELECT 'p' AS WatchReasonID, 'habit' AS WatchReason").crossJoin(spark.range(2)).drop("id")
