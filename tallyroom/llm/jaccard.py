@@ -439,12 +439,21 @@ def _least_partner(n: Column) -> Column:
 def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFrame:
     """Links (u, v) between representatives that lead from any text to all it may be linked to."""
     # Dealt by text once: the rows, their numbers by text and the join of both need no more.
+    # What is known of a text is one number in a row, with whether the signature is large last;
+    # the plan is the same whatever the number of texts.
+    known = (F.shiftleft(F.col("shared"), 32) + F.col("partners") * 2).alias("known")
     rows = (
-        shared.join(reps.select("id", "rep", "shared", "partners"), "id")
-        .select("sig", "rep", "shared", "partners", "large")
+        shared.hint("merge")
+        .join(reps.select("id", "rep", known), "id")
+        .select("sig", "rep", (F.col("known") + F.col("large").cast("int")).alias("known"))
         .repartition("rep")
-        .groupBy("sig", "rep", "shared", "partners")
-        .agg(F.max("large").alias("large"))
+        .groupBy("sig", "rep")
+        .agg(F.max("known").alias("known"))
+        .select(
+            "sig", "rep", F.shiftright("known", 32).alias("shared"),
+            F.shiftright(F.col("known").bitwiseAND(F.lit((1 << 32) - 1)), 1).alias("partners"),
+            (F.col("known") % 2 == 1).alias("large"),
+        )
     )
     # How many of a text's signatures are shared at all, and how many widely.
     # A pair shares the smaller promise of its two at least, so a text needs as many as its
