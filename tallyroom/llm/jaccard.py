@@ -213,35 +213,38 @@ def _list_signatures(heavy: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Words(), set()
         for batch in batches:
-            sigs, ids, sizes = [np.empty(0, np.uint64)], [], []
-            for row_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            sigs, nodes, sizes = [np.empty(0, np.uint64)], [], []
+            for text in batch.column(0).to_pylist():
                 s = shingles(text, words)
                 node = _node(s)
                 if len(s) and node not in seen:
                     seen.add(node)
                     sigs.append(signatures(s, heavy))
-                    ids.append(row_id)
+                    nodes.append(node)
                     sizes.append(len(sigs[-1]))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(sigs).view(np.int64)),
-                    pa.array(np.repeat(np.array(ids, np.int64), sizes), pa.int64()),
+                    pa.array(np.repeat(np.array(nodes, np.int64), sizes), pa.int64()),
                 ],
-                names=["sig", "id"],
+                names=["sig", "node"],
             )
 
     return run
 
 
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by sig and id, those whose sig has several ids, and whether it is large."""
-    rest_sig, rest_id = np.empty(0, np.int64), np.empty(0, np.int64)
+    """Of rows sorted by sig and node, those whose sig has several nodes, and whether it is large.
+
+    A row of a large signature that copies list in several tasks may come twice.
+    """
+    rest_sig, rest_node = np.empty(0, np.int64), np.empty(0, np.int64)
     large_sig: int | None = None
 
-    def emit(sig: np.ndarray, ids: np.ndarray, known_large: int | None):
+    def emit(sig: np.ndarray, nodes: np.ndarray, known_large: int | None):
         fresh = np.ones(len(sig), bool)
-        fresh[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
-        sig, ids = sig[fresh], ids[fresh]
+        fresh[1:] = (sig[1:] != sig[:-1]) | (nodes[1:] != nodes[:-1])
+        sig, nodes = sig[fresh], nodes[fresh]
         if not len(sig):
             return None
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
@@ -252,27 +255,27 @@ def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, large = np.repeat(size, size), np.repeat(large, size)
         keep = (size > 1) | large
         return pa.RecordBatch.from_arrays(
-            [pa.array(sig[keep]), pa.array(ids[keep]), pa.array(large[keep])], names=["sig", "id", "large"]
+            [pa.array(sig[keep]), pa.array(nodes[keep]), pa.array(large[keep])], names=["sig", "node", "large"]
         )
 
     for batch in batches:
         sig = np.concatenate([rest_sig, batch.column(0).to_numpy(zero_copy_only=False)])
-        ids = np.concatenate([rest_id, batch.column(1).to_numpy(zero_copy_only=False)])
+        nodes = np.concatenate([rest_node, batch.column(1).to_numpy(zero_copy_only=False)])
         if not len(sig):
             continue
         # The last signature may go on in the next batch; a large one need not wait.
         cut = int(np.searchsorted(sig, sig[-1], "left"))
-        tail = len(np.unique(ids[cut:]))
+        tail = len(np.unique(nodes[cut:]))
         if tail > BUCKET or (large_sig is not None and sig[-1] == large_sig):
-            done, cut = emit(sig, ids, large_sig), len(sig)
+            done, cut = emit(sig, nodes, large_sig), len(sig)
             large_sig = int(sig[-1])
         else:
-            done = emit(sig[:cut], ids[:cut], large_sig)
+            done = emit(sig[:cut], nodes[:cut], large_sig)
             large_sig = None
-        rest_sig, rest_id = sig[cut:], ids[cut:]
+        rest_sig, rest_node = sig[cut:], nodes[cut:]
         if done is not None and done.num_rows:
             yield done
-    done = emit(rest_sig, rest_id, large_sig)
+    done = emit(rest_sig, rest_node, large_sig)
     if done is not None and done.num_rows:
         yield done
 
@@ -436,83 +439,69 @@ def _least_partner(n: Column) -> Column:
     return F.when(smallest <= _WHOLE_MAX, 1).otherwise(F.greatest(F.lit(1), F.floor(smallest / 10)))
 
 
-def _candidates(shared: DataFrame, reps: DataFrame, space: Workspace) -> DataFrame:
-    """Links (u, v) between representatives that lead from any text to all it may be linked to."""
-    # Dealt by text once: the rows, their numbers by text and the join of both need no more.
-    # What is known of a text is one number in a row, with whether the signature is large last;
-    # the plan is the same whatever the number of texts.
-    known = (F.shiftleft(F.col("shared"), 32) + F.col("partners") * 2).alias("known")
-    rows = (
-        shared.hint("merge")
-        .join(reps.select("id", "rep", known), "id")
-        .select("sig", "rep", (F.col("known") + F.col("large").cast("int")).alias("known"))
-        .repartition("rep")
-        .groupBy("sig", "rep")
-        .agg(F.max("known").alias("known"))
-        .select(
-            "sig", "rep", F.shiftright("known", 32).alias("shared"),
-            F.shiftright(F.col("known").bitwiseAND(F.lit((1 << 32) - 1)), 1).alias("partners"),
-            (F.col("known") % 2 == 1).alias("large"),
-        )
-    )
-    # How many of a text's signatures are shared at all, and how many widely.
-    # A pair shares the smaller promise of its two at least, so a text needs as many as its
+def _candidates(shared: DataFrame, owners: DataFrame, space: Workspace) -> DataFrame:
+    """Links (u, v) between nodes that lead from any set to all it may be linked to."""
+    # Dealt by set once: what is known of a set, the numbers by set and the join of both
+    # need no more; the plan is the same whatever the number of sets.
+    rows = shared.hint("merge").join(owners.select("node", "shared", "partners"), "node")
+    # How many of a set's signatures are shared at all, and how many widely.
+    # A pair shares the smaller promise of its two at least, so a set needs as many as its
     # smallest partner may promise.
-    odd = reps.where("shared < partners").select("rep").distinct()
+    odd = owners.where("shared < partners").select("node")
     if not odd.isEmpty():
         # Texts whose shingles fell into too few segments promise less than their size does;
         # their partners, told by a signature, need no more than them.
-        beside = rows.join(odd, "rep", "left_semi").select("sig").distinct()
-        beside = space.step(rows.join(beside, "sig", "left_semi").select("rep").distinct())
-        fewer = beside.select("rep", F.lit(1).alias("fewer"))
+        beside = rows.join(odd, "node", "left_semi").select("sig").distinct()
+        beside = space.step(rows.join(beside, "sig", "left_semi").select("node").distinct())
+        fewer = beside.select("node", F.lit(1).alias("fewer"))
         rows = space.step(
-            rows.join(fewer, "rep", "left")
+            rows.join(fewer, "node", "left")
             .withColumn("partners", F.coalesce("fewer", "partners"))
             .drop("fewer")
         )
-    per_text = (
-        rows.groupBy("rep", "partners")
+    per_set = (
+        rows.groupBy("node", "partners")
         .agg(F.count("*").alias("all"), F.sum(F.col("large").cast("long")).alias("widely"))
         .where(F.col("all") >= F.col("partners"))
-        .select("rep", "widely")
+        .select("node", "widely")
     )
-    rows = space.step(rows.join(per_text, "rep"))
+    rows = space.step(rows.join(per_set, "node"))
     # Small signatures: pairs, at most BUCKET of them a row, with the number they share.
     small = (
         rows.where(~F.col("large"))
         .groupBy("sig")
-        .agg(F.sort_array(F.collect_list(F.struct("rep", "shared", "widely"))).alias("members"))
+        .agg(F.sort_array(F.collect_list(F.struct("node", "shared", "widely"))).alias("members"))
         .where(F.size("members") > 1)
         .select("members", F.posexplode("members").alias("at", "a"))
         .select("a", F.explode(F.slice("members", F.col("at") + 2, F.size("members"))).alias("b"))
     )
     least = F.least("a.shared", "b.shared") - F.least("a.widely", "b.widely")
     pairs = (
-        small.groupBy(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
+        small.groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
         .agg(F.count("*").alias("times"), F.max(least).alias("least"))
         .where(F.col("times") >= F.col("least"))
         .select("u", "v")
     )
-    # Large ones: only texts with so many that large ones alone could link them.
+    # Large ones: only sets with so many that large ones alone could link them.
     wide = space.step(
-        rows.where(F.col("large") & (F.col("widely") >= F.col("partners"))).select("sig", "rep")
+        rows.where(F.col("large") & (F.col("widely") >= F.col("partners"))).select("sig", "node")
     )
-    first = space.step(wide.groupBy("sig").agg(F.min("rep").alias("v")))
-    stars = wide.join(first, "sig").where("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
+    first = space.step(wide.groupBy("sig").agg(F.min("node").alias("v")))
+    stars = wide.join(first, "sig").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
     return pairs.unionAll(stars)
 
 
-def _verified(texts: DataFrame, groups: DataFrame, space: Workspace) -> DataFrame:
+def _verified(texts: DataFrame, groups: DataFrame, owners: DataFrame, space: Workspace) -> DataFrame:
     """Links (u, v) between representatives that hold exactly, enough to connect each class."""
-    members = space.step(
-        groups.unionAll(groups.select(F.col("label").alias("node"), "label").distinct())
-    )
+    members = groups.unionAll(groups.select(F.col("label").alias("node"), "label").distinct())
+    # A row that repeats an id with another text may represent two sets of a group.
+    members = space.step(members.join(owners.select("node", "rep"), "node").select("rep", "label").distinct())
     sizes = members.groupBy("label").agg((F.floor((F.count("*") - 1) / BLOCK) + 1).alias("blocks"))
     sizes = space.step(sizes)
     placed = space.step(
         members.join(sizes, "label").select(
-            F.col("node").alias("id"), "label", "blocks",
-            F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
+            F.col("rep").alias("id"), "label", "blocks",
+            F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"),
         )
     )
     wanted = texts.select("id", "text").join(placed, "id")
@@ -547,23 +536,23 @@ def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
         )
     )
     reps = space.step(
-        worded.select("id", "node").distinct().join(owners, "node").select("id", "node", "rep", "shared", "partners")
+        worded.select("id", "node").distinct().join(owners, "node").select("id", "node", "rep")
     )
 
-    # Signatures that several texts share.
+    # Signatures that several sets share; copies are one set and meet only themselves.
     sent = docs.sparkSession.sparkContext.broadcast(heavy)  # MAX_HEAVY entries at most
     listed = map_parts(
-        texts.select("id", "text"),
+        texts.select("text"),
         lambda batches: _list_signatures(sent.value)(batches),
-        "sig long, id long",
+        "sig long, node long",
     )
     shared = space.step(
         listed.repartition("sig")
-        .sortWithinPartitions("sig", "id")
-        .mapInArrow(_shared_rows, "sig long, id long, large boolean")
+        .sortWithinPartitions("sig", "node")
+        .mapInArrow(_shared_rows, "sig long, node long, large boolean")
     )
-    links = space.step(_candidates(shared, reps, space))
-    found = _verified(texts, components(links, space), space)
+    links = space.step(_candidates(shared, owners, space))
+    found = _verified(texts, components(links, space), owners, space)
 
     # An id that occurs with several texts holds their classes together.
     several = reps.groupBy("id").count().where("count > 1").select("id")
