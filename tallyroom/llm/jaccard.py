@@ -15,14 +15,14 @@ only, list the whole set and its one-deletion neighbourhood instead, and sets of
 6 or more the segments too.  A set with too few occupied segments also lists its
 single shingles.
 
-Signatures meet by one shuffle, sorted, and stream past.  A signature of up to
-``BUCKET`` texts names pairs; pairs that share fewer signatures than k allows are
-dropped.  Larger ones are left out for a text unless it has so many that it could
-link through them alone.  What remains connects candidate groups.  A group is cut
-into blocks; a task takes two blocks of texts, counts the overlaps of their sets
-exactly, and gives the links that connect them.  Links of all tasks form the
-classes.  Equal sets are one representative from the start, so copies are never
-paired with each other, and no task holds more than two blocks.
+Signatures meet by one shuffle, sorted, and stream past; only sets of sizes that can
+link meet.  A signature of up to ``BUCKET`` sets names pairs; pairs that share fewer
+signatures than k allows are dropped.  Larger ones are left out for a set unless it
+has so many that it could link through them alone.  What remains connects candidate
+groups.  A group is cut into blocks; a task takes two blocks of texts, counts the
+overlaps of their sets exactly, and gives the links that connect them.  Links of all
+tasks form the classes.  Equal sets are one node, the hash of the set, from the start,
+so copies are never paired with each other, and no task holds more than two blocks.
 
 Defined results: without words (NULL, empty) a text has no shingles and links
 with nothing; with fewer than ``WORDS`` words all of them form one shingle.
@@ -213,7 +213,7 @@ def _list_signatures(heavy: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Words(), set()
         for batch in batches:
-            sigs, nodes, sizes = [np.empty(0, np.uint64)], [], []
+            sigs, nodes, ns, sizes = [np.empty(0, np.uint64)], [], [], []
             for text in batch.column(0).to_pylist():
                 s = shingles(text, words)
                 node = _node(s)
@@ -221,30 +221,33 @@ def _list_signatures(heavy: np.ndarray):
                     seen.add(node)
                     sigs.append(signatures(s, heavy))
                     nodes.append(node)
+                    ns.append(len(s))
                     sizes.append(len(sigs[-1]))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(sigs).view(np.int64)),
                     pa.array(np.repeat(np.array(nodes, np.int64), sizes), pa.int64()),
+                    pa.array(np.repeat(np.array(ns, np.int32), sizes), pa.int32()),
                 ],
-                names=["sig", "node"],
+                names=["sig", "node", "n"],
             )
 
     return run
 
 
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by sig and node, those whose sig has several nodes, and whether it is large.
+    """Of rows sorted by sig, n and node, those that meet a set of a size they can link with.
 
-    A row of a large signature that copies list in several tasks may come twice.
+    ``large`` tells whether the signature has more than BUCKET nodes; all rows of such a one
+    stay, and one that copies list in several tasks may come twice.
     """
-    rest_sig, rest_node = np.empty(0, np.int64), np.empty(0, np.int64)
+    rest = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32))
     large_sig: int | None = None
 
-    def emit(sig: np.ndarray, nodes: np.ndarray, known_large: int | None):
+    def emit(sig: np.ndarray, nodes: np.ndarray, ns: np.ndarray, known_large: int | None):
         fresh = np.ones(len(sig), bool)
         fresh[1:] = (sig[1:] != sig[:-1]) | (nodes[1:] != nodes[:-1])
-        sig, nodes = sig[fresh], nodes[fresh]
+        sig, nodes, ns = sig[fresh], nodes[fresh], ns[fresh]
         if not len(sig):
             return None
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
@@ -252,30 +255,36 @@ def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         large = size > BUCKET
         if known_large is not None:
             large |= sig[first] == known_large
-        size, large = np.repeat(size, size), np.repeat(large, size)
-        keep = (size > 1) | large
+        keep = np.repeat(large, size)
+        large = keep.copy()
+        # In order of size the nearest sizes are the neighbours.
+        wide = ns.astype(np.int64)
+        meets = (sig[1:] == sig[:-1]) & (100 * wide[:-1] >= PERCENT * wide[1:])
+        keep[1:] |= meets
+        keep[:-1] |= meets
         return pa.RecordBatch.from_arrays(
-            [pa.array(sig[keep]), pa.array(nodes[keep]), pa.array(large[keep])], names=["sig", "node", "large"]
+            [pa.array(c[keep]) for c in (sig, nodes, ns, large)], names=["sig", "node", "n", "large"]
         )
 
     for batch in batches:
-        sig = np.concatenate([rest_sig, batch.column(0).to_numpy(zero_copy_only=False)])
-        nodes = np.concatenate([rest_node, batch.column(1).to_numpy(zero_copy_only=False)])
+        sig, nodes, ns = (
+            np.concatenate([old, new.to_numpy(zero_copy_only=False)]) for old, new in zip(rest, batch.columns)
+        )
         if not len(sig):
             continue
         # The last signature may go on in the next batch; a large one need not wait.
         cut = int(np.searchsorted(sig, sig[-1], "left"))
         tail = len(np.unique(nodes[cut:]))
         if tail > BUCKET or (large_sig is not None and sig[-1] == large_sig):
-            done, cut = emit(sig, nodes, large_sig), len(sig)
+            done, cut = emit(sig, nodes, ns, large_sig), len(sig)
             large_sig = int(sig[-1])
         else:
-            done = emit(sig[:cut], nodes[:cut], large_sig)
+            done = emit(sig[:cut], nodes[:cut], ns[:cut], large_sig)
             large_sig = None
-        rest_sig, rest_node = sig[cut:], nodes[cut:]
+        rest = (sig[cut:], nodes[cut:], ns[cut:])
         if done is not None and done.num_rows:
             yield done
-    done = emit(rest_sig, rest_node, large_sig)
+    done = emit(*rest, large_sig)
     if done is not None and done.num_rows:
         yield done
 
@@ -466,14 +475,15 @@ def _candidates(shared: DataFrame, owners: DataFrame, space: Workspace) -> DataF
         .select("node", "widely")
     )
     rows = space.step(rows.join(per_set, "node"))
-    # Small signatures: pairs, at most BUCKET of them a row, with the number they share.
+    # Small signatures: pairs of sizes that can link, with the number they share.
     small = (
         rows.where(~F.col("large"))
         .groupBy("sig")
-        .agg(F.sort_array(F.collect_list(F.struct("node", "shared", "widely"))).alias("members"))
+        .agg(F.sort_array(F.collect_list(F.struct("node", "n", "shared", "widely"))).alias("members"))
         .where(F.size("members") > 1)
         .select("members", F.posexplode("members").alias("at", "a"))
         .select("a", F.explode(F.slice("members", F.col("at") + 2, F.size("members"))).alias("b"))
+        .where(100 * F.least("a.n", "b.n") >= PERCENT * F.greatest("a.n", "b.n"))
     )
     least = F.least("a.shared", "b.shared") - F.least("a.widely", "b.widely")
     pairs = (
@@ -544,12 +554,12 @@ def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
     listed = map_parts(
         texts.select("text"),
         lambda batches: _list_signatures(sent.value)(batches),
-        "sig long, node long",
+        "sig long, node long, n int",
     )
     shared = space.step(
         listed.repartition("sig")
-        .sortWithinPartitions("sig", "node")
-        .mapInArrow(_shared_rows, "sig long, node long, large boolean")
+        .sortWithinPartitions("sig", "n", "node")
+        .mapInArrow(_shared_rows, "sig long, node long, n int, large boolean")
     )
     links = space.step(_candidates(shared, owners, space))
     found = _verified(texts, components(links, space), owners, space)

@@ -1,6 +1,7 @@
 """Classes by brute force over all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyroom.llm import jaccard
@@ -127,3 +128,34 @@ def test_components(spark):
     with Workspace(spark, "test-components") as space:
         found = {tuple(r) for r in components(spark.createDataFrame(links, "u long, v long"), space).collect()}
     assert found == {(i, 100) for i in range(101, 141)} | {(9, 5), (200, 5), (301, 300), (302, 300)}
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_shared_rows(step):
+    """Rows that stay, whatever the batches: those that meet a set of a size they can link with."""
+    rng = np.random.default_rng(step)
+    rows = sorted({(int(s), int(n), int(k)) for s, n, k in rng.integers(1, [25, 60, 3], (400, 3))})
+    rows += [(30, 10 + i % 40, 100 + i) for i in range(60)]  # a large signature
+    rows = sorted((s, n, 1000 * n + k) for s, n, k in rows)
+
+    def batches():
+        for at in range(0, len(rows), step):
+            sig, n, node = zip(*rows[at : at + step])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sig, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int32())],
+                names=["sig", "node", "n"],
+            )
+
+    got = {tuple(r.values()) for b in jaccard._shared_rows(batches()) for r in b.to_pylist()}
+    of: dict[int, set] = {}
+    for sig, n, node in rows:
+        of.setdefault(sig, set()).add((n, node))
+    wanted = {
+        (sig, node, n, len(sets) > jaccard.BUCKET)
+        for sig, sets in of.items()
+        for n, node in sets
+        if len(sets) > jaccard.BUCKET
+        or any(4 * min(n, m) >= 3 * max(n, m) for m, other in sets if other != node)
+    }
+    assert got == wanted
+    assert any(large for *_, large in got) and len(got) < len(rows)
