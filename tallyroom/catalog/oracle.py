@@ -737,6 +737,50 @@ FROM f_fact JOIN merged ON UserID_Surrogate = User_S_ID GROUP BY 1, 2""",
     }
 
 
+# --- streams on event time --------------------------------------------------
+
+_WINDOW = "epoch_us(IngestionTimestamp) // 600000000"
+
+
+def _event_rows(profile: str) -> str:
+    """Cleaned messages with their delivery, their window, and whether they came late."""
+    entity = _entity(profile)
+    age = f", {_AGE_GROUP} AS AgeGroup" if entity != "live" else ""
+    return f"""WITH {_chain(profile)},
+finished AS (SELECT {_replace(FORMAT[profile])}{age} FROM standard),
+dealt AS (SELECT *, {_WINDOW} AS w, CAST(CASE WHEN UserID % 5 = 0 THEN 2
+  WHEN {_earlier(entity)} THEN 0 ELSE 1 END AS BIGINT) AS BatchID FROM finished),
+reach AS (SELECT BatchID, max(IngestionTimestamp) AS reached FROM dealt GROUP BY 1),
+marks AS (SELECT BatchID, max(reached) OVER (ORDER BY BatchID) AS HighWater, max(reached) OVER (
+  ORDER BY BatchID ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM reach),
+held AS (SELECT d.*, coalesce(IngestionTimestamp < mark - INTERVAL 10 MINUTES, FALSE) AS is_late
+  FROM dealt d JOIN marks m ON d.BatchID = m.BatchID)"""
+
+
+def _event_sql() -> dict[str, str]:
+    sql: dict[str, str] = {}
+    for profile in ("live_stream", "video_stream"):
+        entity, rows = _entity(profile), _event_rows(profile)
+        keys = ", ".join(KEYS[entity])
+        order = _order(profile, KEYS[entity]).replace("IngestionTimestamp DESC NULLS LAST", "IngestionTimestamp")
+        first = f"""{rows}
+SELECT * EXCLUDE (w, BatchID, is_late, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY {keys}, w ORDER BY {order}) AS rn FROM held WHERE {{}}) r WHERE rn = 1"""
+        sql[f"{profile}_settled"] = first.format("IngestionTimestamp IS NOT NULL")
+        sql[f"{profile}_closed"] = first.format(
+            "NOT is_late AND w < (SELECT max(epoch_us(HighWater)) // 600000000 - 1 FROM marks)"
+        )
+        sql[f"{profile}_late"] = f"{rows}\nSELECT * EXCLUDE (w, is_late) FROM held WHERE is_late"
+        sql[f"{profile}_batches"] = f"""{rows}
+SELECT h.BatchID, any_value(m.HighWater) AS HighWater, count(*) AS TotalRows,
+  count(*) FILTER (WHERE is_late) AS LateRows,
+  count(*) FILTER (WHERE IngestionTimestamp IS NULL) AS UntimedRows,
+  count(DISTINCT ({keys}, w)) FILTER (WHERE NOT is_late) AS StagedRows
+FROM held h JOIN marks m ON h.BatchID = m.BatchID GROUP BY h.BatchID"""
+    del sql["video_stream_closed"], sql["video_stream_late"]  # the same code as for live
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     for entity in ("community", "live", "video"):
@@ -868,4 +912,4 @@ FROM fact JOIN dim_user ON UserID_Surrogate = User_S_ID GROUP BY 1, 2"""),
         "video": "video_interactions", "time": "time_trends", "demographics": "demographics",
     }
     sql |= {f"mart_{short}_by_days": sql[f"mart_{name}"] for short, name in by_days.items()}
-    return sql | _load_sql()
+    return sql | _load_sql() | _event_sql()

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tallyroom import operators as op
 from tallyroom import rules as R
 from tallyroom import schemas as S
+from tallyroom.catalog.events import EVENT_QUERIES
 from tallyroom.catalog.loads import LOAD_QUERIES
 from tallyroom.functions import (
     age_group,
@@ -441,5 +442,5 @@ def queries() -> dict[str, Query]:
     registered: dict[str, Query] = {}
     for entity in ENTITIES:
         registered |= _entity_queries(entity)
-    registered |= STANDARD_QUERIES | INGEST_QUERIES | STREAM_QUERIES | STAR_QUERIES | LOAD_QUERIES
+    registered |= STANDARD_QUERIES | INGEST_QUERIES | STREAM_QUERIES | EVENT_QUERIES | STAR_QUERIES | LOAD_QUERIES
     return {name: _tuned(query) for name, query in registered.items()}

@@ -177,5 +177,11 @@ def as_messages(rows: DataFrame, ddl: str) -> DataFrame:
     return rows.select(F.to_json(fields).cast("binary").alias("value"))
 
 
+def as_timed_messages(rows: DataFrame, ddl: str) -> DataFrame:
+    """The same with the time that each message carries beside its payload."""
+    fields = F.struct(*message_schema(ddl).names)
+    return rows.select(F.to_json(fields).cast("binary").alias("value"), F.col(STAMP).alias("timestamp"))
+
+
 RAW = {"community": community_raw, "live": live_raw, "video": video_raw}
 MESSAGES = {"live_stream": live_messages, "video_stream": video_messages}
