@@ -19,6 +19,8 @@ from tallyroom.plans.clean import staging
 from tallyroom.session import tune
 from tallyroom.sources import conform_schema, read_entity, read_stream
 from tallyroom.streaming import (
+    EventStream,
+    load_closed,
     load_micro_batch,
     load_streamed,
     run_entity_stream,
@@ -81,9 +83,13 @@ def _marts(spark: SparkSession, args: argparse.Namespace) -> None:
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = read_stream(spark, args.format, path=args.path, **dict(args.option))
     trigger = None if args.once else args.trigger
-    query = run_entity_stream(
-        messages, R.PROFILES[args.profile], args.staging, args.checkpoint, trigger=trigger
-    )
+    rules = R.PROFILES[args.profile]
+    if args.event_time:
+        query = EventStream(spark, args.staging, rules).start(messages, args.event_time, trigger=trigger)
+    elif args.checkpoint:
+        query = run_entity_stream(messages, rules, args.staging, args.checkpoint, trigger=trigger)
+    else:
+        raise SystemExit("stream: give --checkpoint, or --event-time, which keeps its own")
     run_until_stopped(query)
 
 
@@ -102,7 +108,8 @@ def _stream_load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _stream_star(spark: SparkSession, args: argparse.Namespace) -> None:
     rules = R.PROFILES[args.profile]
-    load_streamed(spark, args.staging, _warehouse(spark, args), rules, args.since)
+    load = load_closed if args.closed else load_streamed
+    load(spark, args.staging, _warehouse(spark, args), rules, args.since)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -155,7 +162,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--format", default="kafka")
     sub.add_argument("--path")
     sub.add_argument("--staging", required=True)
-    sub.add_argument("--checkpoint", required=True)
+    sub.add_argument("--checkpoint")
+    sub.add_argument("--event-time", metavar="COLUMN", help="the messages' own time, as timestamp of a Kafka source")
     sub.add_argument("--trigger", default="10 seconds")
     sub.add_argument("--once", action="store_true", help="drain what is available and stop")
 
@@ -171,6 +179,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("profile", choices=STREAM)
     sub.add_argument("--staging", required=True)
     sub.add_argument("--since", help="first ingestion day to load")
+    sub.add_argument("--closed", action="store_true", help="closed windows of a stream on event time")
     add_warehouse(sub)
     return root
 

@@ -36,7 +36,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyroom import rules as R
 from tallyroom.schemas import STAMP, entity_schema, message_schema
 from tallyroom.sources import Workspace
-from tallyroom.sources.readers import INGESTION_DATE
 from tallyroom.sources.versions import Store
 from tallyroom.streaming.clean import clean_stream, observe_nulls
 from tallyroom.streaming.decode import decode_json
@@ -116,18 +115,16 @@ class EventStream:
         with Workspace(self.spark, f"{self.rules.name}-batch") as space:
             rows = space.step(batch)  # the source is read once
             staged = first_by_window(rows.where(~late), self.rules.keys, self.delay)
-            staged.withColumn(INGESTION_DATE, F.to_date(STAMP)).write.mode("overwrite").option(
-                "compression", "snappy"
-            ).partitionBy(INGESTION_DATE).parquet(self._folder("staged", batch_id))
+            staged.write.mode("overwrite").parquet(self._folder("staged", batch_id))
             rows.where(late).write.mode("overwrite").parquet(self._folder("late", batch_id))
-            kept = self._part("staged", f"/{BATCH}={batch_id}").agg(F.count(F.lit(1)).alias("StagedRows"))
+            kept = self.spark.read.schema(staged.schema).parquet(self._folder("staged", batch_id))
             census = rows.agg(
                 F.greatest(F.max(time), F.lit(before).cast("bigint")).alias(HIGH_WATER),
                 F.count(F.lit(1)).alias("TotalRows"),
                 F.count_if(passed).alias("LateRows"),
                 F.count_if(time.isNull()).alias("UntimedRows"),
             )
-            row = {**census.first().asDict(), **kept.first().asDict()}
+            row = {**census.first().asDict(), "StagedRows": kept.count()}
         ledger = self.spark.range(1).select(
             *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA]
         )
@@ -152,21 +149,15 @@ class EventStream:
 
     def late(self) -> DataFrame:
         """Committed rows that came after the watermark had passed them, or without a time."""
-        return self._committed_rows("late").select(BATCH, *self._schema().names)
+        return self._committed_rows("late")
 
     def staged(self, since: str | None = None) -> DataFrame:
         """Committed rows on time; a key and window has one row of each batch that saw it."""
-        rows = self._committed_rows("staged")
-        if since is not None:
-            rows = rows.where(F.col(INGESTION_DATE) >= F.lit(since).cast("date"))
-        return rows.select(BATCH, *self._schema().names)
+        return _from(self._committed_rows("staged"), since)
 
     def settled(self, since: str | None = None) -> DataFrame:
         """The earliest row of every key and window, late rows included."""
-        late = self.late()
-        if since is not None:
-            late = late.where(F.to_date(STAMP) >= F.lit(since).cast("date"))
-        rows = self.staged(since).unionByName(late).drop(BATCH)
+        rows = self.staged(since).unionByName(_from(self.late(), since)).drop(BATCH)
         return first_by_window(rows, self.rules.keys, self.delay)
 
     def closed(self, since: str | None = None) -> DataFrame:
@@ -187,12 +178,12 @@ class EventStream:
         schema = entity_schema(self.rules.ddl)
         return schema.add("AgeGroup", "string", True) if self.rules.age_group else schema
 
-    def _part(self, kind: str, folder: str = "") -> DataFrame:
-        extra = [T.StructField(INGESTION_DATE, T.DateType())] if kind == "staged" else []
-        if not folder:
-            extra.append(T.StructField(BATCH, T.LongType()))
-        schema = T.StructType([*self._schema(), *extra])
-        return self.spark.read.schema(schema).parquet(f"{self.base}/{kind}{folder}")
-
     def _committed_rows(self, kind: str) -> DataFrame:
-        return self._part(kind).join(self.ledger().select(BATCH), BATCH, "left_semi")
+        schema = self._schema().add(BATCH, T.LongType())
+        rows = self.spark.read.schema(schema).parquet(f"{self.base}/{kind}")
+        return rows.join(self.ledger().select(BATCH), BATCH, "left_semi")
+
+
+def _from(rows: DataFrame, since: str | None) -> DataFrame:
+    """Rows from a day on, which the statistics of the files can tell apart."""
+    return rows if since is None else rows.where(F.col(STAMP) >= F.lit(since).cast("timestamp"))

@@ -136,6 +136,25 @@ def test_a_batch_without_ledger_row_does_not_exist_and_is_written_again(spark, t
     assert [r.EventID for r in stream.late().collect()] == [3]
 
 
+def test_commands_stream_and_load_closed_windows(spark, tmp_path):
+    from tallyroom.__main__ import main
+
+    folder, base = tmp_path / "in", str(tmp_path / "base")
+    sent = [(message(1, 7), 0), (message(1, 7), 5), (message(2, 8), 9000)]
+    typed = [(value, START + dt.timedelta(seconds=s)) for value, s in sent]
+    spark.createDataFrame(typed, "value string, timestamp timestamp").write.parquet(str(folder))
+    spark.sql("DROP DATABASE IF EXISTS closed_windows CASCADE")
+    spark.sql("CREATE DATABASE closed_windows")
+    spark.conf.set("spark.sql.streaming.schemaInference", "true")
+    main(["stream", "live_stream", "--format", "parquet", "--path", str(folder), "--staging", base,
+          "--event-time", "timestamp", "--once"], spark)
+    spark.conf.unset("spark.sql.streaming.schemaInference")
+    for _ in range(2):
+        main(["stream-star", "live_stream", "--staging", base, "--closed", "--schema", "closed_windows"], spark)
+    stored = spark.read.table("closed_windows.FACT_LIVE_STREAMING_INTERACTIONS")
+    assert [str(r[STAMP]) for r in stored.collect()] == ["2024-01-01 12:00:00"]
+
+
 def test_empty_batch_and_no_time_at_all(spark, tmp_path):
     folder, base = tmp_path / "in", tmp_path / "base"
     deliver(folder, [("not json", 0)], 0)
