@@ -131,12 +131,19 @@ def community_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shape_video(
     lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame
 ) -> DataFrame:
-    """Video interactions; ``lineitem`` may be a stream, the others are tables."""
-    people = customer.join(nation, F.expr("c_nationkey = n_nationkey"))
+    """Video interactions; ``lineitem`` may be a stream, the others are tables.
+
+    The tables meet each other first, since orders are fewer than line items and a line
+    item that crosses a shuffle has few columns then.  The few nations come after the
+    customers: Spark takes a join for as large as the product of its sides, and would
+    no longer see that the customers are small.
+    """
+    ordered = orders.join(customer, F.expr("o_custkey = c_custkey")).join(
+        nation, F.expr("c_nationkey = n_nationkey")
+    )
     joined = (
-        lineitem.join(orders, F.expr("l_orderkey = o_orderkey"))
-        .join(people, F.expr("o_custkey = c_custkey"))
-        .join(part, F.expr("l_partkey = p_partkey"))
+        lineitem.join(part, F.expr("l_partkey = p_partkey"))
+        .join(ordered, F.expr("l_orderkey = o_orderkey"))
         .withColumn("r", F.expr("l_orderkey * 7 + l_linenumber"))
     )
     return _shape(joined, VIDEO_DDL, _VIDEO)

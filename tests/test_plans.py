@@ -12,6 +12,7 @@ from tallyroom.catalog import queries
 from tallyroom.plans import activity, star
 from tallyroom.plans.clean import Cleaning
 from tallyroom.plans.layers import cleaning, staging_layer
+from tallyroom.sources import adapters
 
 
 def plan(df):
@@ -49,6 +50,19 @@ def test_cleaning_shuffles_once_and_ranks_before_it(spark, sf_dir, entity):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
+def test_line_items_do_not_meet_customers_one_by_one(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(adapters.video_raw(spark, sf_dir)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(o_custkey" in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    below = lines[at + 1 :]
+    ends = next((i for i, li in enumerate(below) if len(li) - len(li.lstrip(" :+-")) <= depth), len(below))
+    assert "l_orderkey" not in "".join(below[:ends]).replace("o_orderkey", "")
+
+
 @pytest.mark.parametrize("entity", ENTITIES)
 def test_key_rules_reach_the_scan(spark, sf_dir, entity):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
