@@ -156,6 +156,20 @@ def test_hot_key_with_many_copies(spark):
     assert rows(kept.unionByName(lost.drop("Reason"))) == rows(df)
 
 
+def test_content_is_compared_by_digest(spark):
+    schema = "k int, a string, b string, f double"
+    old = spark.createDataFrame([(1, "x", None, 0.0), (2, None, "y", float("nan")), (2, None, "y", float("nan"))], schema)
+    new = spark.createDataFrame(
+        [(1, "x", None, -0.0), (1, None, "x", 0.0), (2, None, "y", float("nan")), (3, "x", "", None), (3, "x", "", None)],
+        schema,
+    )
+    fresh = op.anti_content(new, old, ["k", "a", "b", "f"])
+    assert fresh.columns == new.columns
+    assert rows(fresh) == Counter({(1, None, "x", 0.0): 1, (3, "x", "", None): 2})
+    text = fresh.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[_hash" in text and "_content" not in text
+
+
 def test_duplicate_census(spark):
     df = spark.createDataFrame(VERSIONS, SCHEMA)
     keys = ["k1", "k2"]
