@@ -1,10 +1,13 @@
 """Rule-driven DataFrame operators."""
 
 from tallyroom.operators.dedupe import (
+    MAX_REPEATED,
     dedup_exact,
     duplicate_census,
     duplicate_keys,
     latest_by_key,
+    latest_by_key_apart,
+    repeated_keys,
     stamp_census,
     superseded,
     top_duplicates,
@@ -34,11 +37,11 @@ from tallyroom.operators.text import audit_changes, conform_text, format_text, s
 from tallyroom.operators.validity import filter_valid, is_valid, reject_reason, rejects
 
 __all__ = [
-    "add_typed_nulls", "anti_append", "anti_content", "anti_ingest", "any_null", "audit_changes",
+    "MAX_REPEATED", "add_typed_nulls", "anti_append", "anti_content", "anti_ingest", "any_null", "audit_changes",
     "audit_fill", "coalesce_default", "conform_text", "critical_nulls",
     "dedup_exact", "drop_null_critical", "duplicate_census", "duplicate_keys",
     "fill", "fill_median", "filter_valid", "format_text", "is_valid",
-    "latest_by_key", "lookup", "medians", "missing_members", "null_profile",
-    "quality_gate", "reject_reason", "rejects", "stamp_census", "standardise", "superseded",
+    "latest_by_key", "latest_by_key_apart", "lookup", "medians", "missing_members", "null_profile",
+    "quality_gate", "reject_reason", "rejects", "repeated_keys", "stamp_census", "standardise", "superseded",
     "top_duplicates", "within_range",
 ]

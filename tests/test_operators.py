@@ -156,6 +156,15 @@ def test_hot_key_with_many_copies(spark):
     assert rows(kept.unionByName(lost.drop("Reason"))) == rows(df)
 
 
+def test_latest_ranks_only_keys_with_several_rows(spark):
+    df = spark.createDataFrame([*VERSIONS, (3, 1, "e", None), (None, 3, "f", None), (3, None, "g", None)], SCHEMA)
+    keys = ["k1", "k2"]
+    repeated = op.repeated_keys(df, keys).localCheckpoint()
+    assert repeated.count() == 3  # (NULL, 3) and (3, NULL) share a hash, which only costs a rank
+    kept = op.latest_by_key_apart(df, keys, repeated)
+    assert rows(kept) == rows(op.latest_by_key(df, keys)) and kept.count() == 5
+
+
 def test_content_is_compared_by_digest(spark):
     schema = "k int, a string, b string, f double"
     old = spark.createDataFrame([(1, "x", None, 0.0), (2, None, "y", float("nan")), (2, None, "y", float("nan"))], schema)

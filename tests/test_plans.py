@@ -50,6 +50,18 @@ def test_cleaning_shuffles_once_and_ranks_before_it(spark, sf_dir, entity):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("entity", ENTITIES)
+def test_rows_of_single_keys_are_not_shuffled(spark, sf_dir, entity, monkeypatch):
+    stages = without_medians(cleaning(spark, sf_dir, entity))
+    apart = stages.clean
+    alone = plan(apart).split("WindowGroupLimit")[0]
+    assert "LeftAnti" in alone and "LeftSemi" in plan(apart)
+    monkeypatch.setattr(op, "MAX_REPEATED", 0)
+    ranked = without_medians(stages).clean
+    assert "LeftAnti" not in plan(ranked)
+    assert apart.exceptAll(ranked).isEmpty() and ranked.exceptAll(apart).isEmpty()
+
+
 def test_line_items_do_not_meet_customers_one_by_one(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
