@@ -376,10 +376,11 @@ def user_activity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_activity_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity rows beyond those an earlier load of the live fact stored."""
     facts = {e: _fact(spark, sf_dir, e) for e in ENTITIES}
-    whole = activity.user_activity(activity.unify_activity(*facts.values()))
+    whole = activity.activity_sums(activity.unify_activity(*facts.values()))
     earlier = [_loaded(facts[e], e) for e in ENTITIES]
-    stored = activity.user_activity(activity.unify_activity(*earlier))
-    return op.anti_append(whole, stored)
+    stored = activity.activity_sums(activity.unify_activity(*earlier))
+    # Rows of the same group have the same row id; the groups are where the sums left them.
+    return activity.with_row_ids(op.anti_append(whole, stored, activity.GROUPED))
 
 
 def mart_engagement_overview(spark: SparkSession, sf_dir: str) -> DataFrame:

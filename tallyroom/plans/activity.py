@@ -11,6 +11,7 @@ from tallyroom.sources import union_aligned
 
 UNKNOWN = "UNKNOWN"
 GROUP = ("UserID_Surrogate", "PlatformID", "TimeID", "ActivityDate")
+GROUPED = "_group"
 
 
 def _unified(
@@ -39,16 +40,16 @@ def unify_activity(community: DataFrame, live: DataFrame, video: DataFrame) -> D
     ])
 
 
-def user_activity(unified: DataFrame) -> DataFrame:
-    """Activity per user, platform, time slot and day.
+def activity_sums(unified: DataFrame) -> DataFrame:
+    """Sums per user, platform, time slot and day, which are one column (``GROUPED``).
 
     A missing time slot is a group of its own.  Rows are summed before the
-    shuffle, so a hot user costs one row per map task.  The row id is built
-    from the group keys, so a repeated load finds its own rows.
+    shuffle, so a hot user costs one row per map task.  As one column the group
+    can be joined on, missing time slots included, without another shuffle.
     """
-    grouped = (
+    return (
         unified.withColumn("ActivityDate", activity_date(F.col(STAMP)))
-        .groupBy(*GROUP)
+        .groupBy(F.struct(*GROUP).alias(GROUPED))
         .agg(
             F.sum("Engagement").cast("float").alias("TotalEngagement"),
             F.sum("TotalTimeSpent").cast("float").alias("TotalTimeSpent"),
@@ -56,11 +57,22 @@ def user_activity(unified: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("InteractionCount"),
         )
     )
+
+
+def with_row_ids(sums: DataFrame) -> DataFrame:
+    """``activity_sums`` as stored: the group's columns, and a row id built from them,
+    so a repeated load finds its own rows."""
+    grouped = sums.select(f"{GROUPED}.*", *[c for c in sums.columns if c != GROUPED])
     parts = [F.col(c) for c in GROUP]
     parts[2] = F.coalesce(parts[2], F.lit(""))
     return grouped.select(interaction_id(*parts).alias("InteractionID"), *grouped.columns)
 
 
+def user_activity(unified: DataFrame) -> DataFrame:
+    """Activity per user, platform, time slot and day."""
+    return with_row_ids(activity_sums(unified))
+
+
 def replace_days(stored: DataFrame, fresh: DataFrame, day: str = "ActivityDate") -> DataFrame:
     """Stored rows in which the days of ``fresh`` are replaced."""
     days = fresh.select(day).distinct()
