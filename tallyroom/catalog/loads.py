@@ -204,9 +204,9 @@ def _mart_by_days(mart: Callable[..., DataFrame], *dims: tuple[str, star.Dim]) -
             )
             dated = fact.withColumn(star.STAMP_DAY, star.stamp_day(F.col(S.STAMP)))
             days = dated.where(late).select(star.STAMP_DAY).distinct()
-            touched = dated.join(days, star.STAMP_DAY, "left_semi")
+            touched = dated.join(F.broadcast(days), star.STAMP_DAY, "left_semi")  # as many as the calendar has
             stored, fresh = marts.day_parts(fact.where(~late), entity), marts.day_parts(touched, entity)
-            parts.append(activity.replace_days(stored, fresh, star.STAMP_DAY))
+            parts.append(activity.replace_days(stored, fresh, star.STAMP_DAY, days))
         members = [star.build_dim(staging_layer(spark, sf_dir, e), d) for e, d in dims]
         if mart is marts.engagement_overview:
             platforms = [staging_layer(spark, sf_dir, e).select("Platform") for e in ENTITIES]

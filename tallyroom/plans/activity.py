@@ -73,8 +73,15 @@ def user_activity(unified: DataFrame) -> DataFrame:
     return with_row_ids(activity_sums(unified))
 
 
-def replace_days(stored: DataFrame, fresh: DataFrame, day: str = "ActivityDate") -> DataFrame:
-    """Stored rows in which the days of ``fresh`` are replaced."""
-    days = fresh.select(day).distinct()
-    kept = stored.join(days, day, "left_anti").select(*fresh.columns)
+def replace_days(
+    stored: DataFrame, fresh: DataFrame, day: str = "ActivityDate", days: DataFrame | None = None
+) -> DataFrame:
+    """Stored rows in which the days of ``fresh`` are replaced.
+
+    ``days`` has these days, distinct, where they are known without computing
+    ``fresh``.  They are as many as the calendar has, so they are sent to all tasks
+    and no stored row is shuffled for them.
+    """
+    days = fresh.select(day).distinct() if days is None else days
+    kept = stored.join(F.broadcast(days), day, "left_anti").select(*fresh.columns)
     return kept.unionByName(fresh)

@@ -42,3 +42,21 @@ def test_new_activity_knows_missing_time_slots(spark, nothing_small):
     assert [(r.TimeID, r.InteractionCount) for r in fresh.collect()] == [("t", 1)]
     named = activity.user_activity(frame)
     assert fresh.columns == named.columns and sorted(r.InteractionCount for r in named.collect()) == [1, 1, 2]
+
+
+def test_stored_days_are_replaced_where_they_are(spark, tmp_path, nothing_small):
+    spark.sql("SELECT id AS v, date_add(DATE '2024-01-01', CAST(id % 3 AS INT)) AS d FROM range(9)").write.parquet(
+        str(tmp_path / "stored")
+    )
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    fresh = spark.sql("SELECT 99L AS v, DATE '2024-01-02' AS d")
+    for days in (None, fresh.select("d").distinct()):
+        after = activity.replace_days(stored, fresh, "d", days)
+        assert sorted(r.v for r in after.collect()) == [0, 2, 3, 5, 6, 8, 99]
+        assert "SortMergeJoin" not in after._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_mart_by_days_joins_no_facts_by_shuffle(spark, sf_dir, nothing_small):
+    """The one sorted join is that of the sums by user with the users."""
+    plan = queries()["mart_demographics_by_days"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("SortMergeJoin") == 1
