@@ -249,7 +249,7 @@ def ingest_align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingest_anti(entity: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = raw_layer(spark, sf_dir, entity)
-        return op.anti_ingest(raw, _loaded(raw, entity), R.PROFILES[entity].keys)
+        return op.anti_ingest_stored(raw, _loaded(raw, entity), R.PROFILES[entity].keys)
 
     return query
 

@@ -16,6 +16,7 @@ from tallyroom.operators.joins import (
     anti_append,
     anti_content,
     anti_ingest,
+    anti_ingest_stored,
     lookup,
     missing_members,
     within_range,
@@ -37,7 +38,7 @@ from tallyroom.operators.text import audit_changes, conform_text, format_text, s
 from tallyroom.operators.validity import filter_valid, is_valid, reject_reason, rejects
 
 __all__ = [
-    "MAX_REPEATED", "add_typed_nulls", "anti_append", "anti_content", "anti_ingest", "any_null", "audit_changes",
+    "MAX_REPEATED", "add_typed_nulls", "anti_append", "anti_content", "anti_ingest", "anti_ingest_stored", "any_null", "audit_changes",
     "audit_fill", "coalesce_default", "conform_text", "critical_nulls",
     "dedup_exact", "drop_null_critical", "duplicate_census", "duplicate_keys",
     "fill", "fill_median", "filter_valid", "format_text", "is_valid",

@@ -60,3 +60,29 @@ def test_a_mart_by_days_joins_no_facts_by_shuffle(spark, sf_dir, nothing_small):
     """The one sorted join is that of the sums by user with the users."""
     plan = queries()["mart_demographics_by_days"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count("SortMergeJoin") == 1
+
+
+def stored_rows(spark, tmp_path):
+    """Two files of more rows than an entry of marks stands for, with NULL and repeated keys."""
+    frame = spark.range(0, 150_000, numPartitions=2).selectExpr(
+        "CAST(id AS STRING) AS payload", "CASE WHEN id % 1000 = 0 THEN NULL ELSE id % 70000 END AS a", "id % 2 AS b"
+    )
+    frame.write.parquet(str(tmp_path / "rows"))
+    return spark.read.parquet(str(tmp_path / "rows"))
+
+
+def test_stored_rows_are_told_apart_by_marks(spark, tmp_path, nothing_small, monkeypatch):
+    new = stored_rows(spark, tmp_path)
+    known = new.where("a % 3 = 0 OR a IS NULL").select("a", "b")
+    expected = op.anti_ingest(new, known, ["b", "a"])
+    found = op.anti_ingest_stored(new, known, ["b", "a"])
+    assert found.columns == expected.columns == ["b", "a", "payload"]
+    assert rows(found) == rows(expected) and found.where("a IS NULL").count() == 150
+    assert exchanges(found) == 0  # of whole rows
+    assert op.anti_ingest_stored(new, new, ["b", "a"]).where("a IS NOT NULL").isEmpty()
+    monkeypatch.setattr("tallyroom.operators.joins.MAX_MARKS", 1)
+    assert rows(op.anti_ingest_stored(new, known, ["b", "a"])) == rows(expected)
+
+
+def test_ingest_query_shuffles_no_whole_row(spark, sf_dir, nothing_small):
+    assert exchanges(queries()["ingest_anti_video"](spark, sf_dir)) == 0
