@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyroom import operators as op
 from tallyroom import rules as R
 from tallyroom.schemas import STAMP, entity_schema, message_schema
-from tallyroom.sources import Workspace
+from tallyroom.sources import Workspace, materialise
 from tallyroom.sources.versions import Store
 from tallyroom.streaming.clean import clean_stream, observe_nulls
 from tallyroom.streaming.decode import decode_json
@@ -74,6 +75,23 @@ def first_by_window(rows: DataFrame, keys: Iterable[str], seconds: int = DELAY_S
     )
 
 
+def first_by_window_stored(rows: DataFrame, keys: Iterable[str], seconds: int = DELAY_SECONDS) -> DataFrame:
+    """``first_by_window`` of stored rows, of which only those of keys and windows with several are ranked.
+
+    Which these are is told by a pass over the keys, run once; all other rows stay
+    where they are.  With more than ``MAX_REPEATED`` of them all rows are ranked.
+    """
+    keys = list(keys)
+    timed = rows.where(F.col(STAMP).isNotNull()).withColumn("_window", window_of(F.col(STAMP), seconds))
+    repeated = materialise(op.repeated_keys(timed, [*keys, "_window"]), "repeated-window")
+    if repeated.count() > op.MAX_REPEATED:
+        return first_by_window(rows, keys, seconds)
+    hashed = timed.withColumn("_hash", F.xxhash64(*keys, "_window"))
+    alone = hashed.join(repeated, "_hash", "left_anti").select(*rows.columns)
+    several = hashed.join(repeated, "_hash", "left_semi").select(*rows.columns)
+    return alone.unionByName(first_by_window(several, keys, seconds))
+
+
 @dataclass(frozen=True)
 class EventStream:
     """Where a stream on event time keeps its rows, its ledger and its checkpoint.
@@ -114,7 +132,7 @@ class EventStream:
         late = time.isNull() | passed
         with Workspace(self.spark, f"{self.rules.name}-batch") as space:
             rows = space.step(batch)  # the source is read once
-            staged = first_by_window(rows.where(~late), self.rules.keys, self.delay)
+            staged = first_by_window_stored(rows.where(~late), self.rules.keys, self.delay)
             staged.write.mode("overwrite").parquet(self._folder("staged", batch_id))
             rows.where(late).write.mode("overwrite").parquet(self._folder("late", batch_id))
             kept = self.spark.read.schema(staged.schema).parquet(self._folder("staged", batch_id))
@@ -158,7 +176,7 @@ class EventStream:
     def settled(self, since: str | None = None) -> DataFrame:
         """The earliest row of every key and window, late rows included."""
         rows = self.staged(since).unionByName(_from(self.late(), since)).drop(BATCH)
-        return first_by_window(rows, self.rules.keys, self.delay)
+        return first_by_window_stored(rows, self.rules.keys, self.delay)
 
     def closed(self, since: str | None = None) -> DataFrame:
         """Rows on time of windows that only late rows can still reach.
@@ -172,7 +190,7 @@ class EventStream:
             return rows.limit(0)
         open_from = limit // 1_000_000 // self.delay - 1  # ends after the watermark
         window = window_of(F.col(STAMP), self.delay)
-        return first_by_window(rows.where(window < F.lit(open_from)), self.rules.keys, self.delay)
+        return first_by_window_stored(rows.where(window < F.lit(open_from)), self.rules.keys, self.delay)
 
     def _schema(self) -> T.StructType:
         schema = entity_schema(self.rules.ddl)

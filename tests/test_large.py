@@ -86,3 +86,21 @@ def test_stored_rows_are_told_apart_by_marks(spark, tmp_path, nothing_small, mon
 
 def test_ingest_query_shuffles_no_whole_row(spark, sf_dir, nothing_small):
     assert exchanges(queries()["ingest_anti_video"](spark, sf_dir)) == 0
+
+
+def test_only_repeated_windows_are_ranked(spark, tmp_path, monkeypatch):
+    from tallyroom.sources import materialise
+    from tallyroom.streaming import events
+
+    frame = spark.range(2000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL ELSE id % 1900 END AS a", "id AS payload",
+        f"CASE WHEN id % 70 = 0 THEN NULL ELSE timestamp_seconds(id % 300 * 5) END AS {STAMP}",
+    )
+    stored = materialise(frame, "windows")
+    expected = rows(events.first_by_window(stored, ["a"]))
+    found = events.first_by_window_stored(stored, ["a"])
+    assert found.columns == stored.columns and rows(found) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    monkeypatch.setattr(op, "MAX_REPEATED", 0)
+    assert rows(events.first_by_window_stored(stored, ["a"])) == expected
