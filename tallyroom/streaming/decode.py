@@ -16,6 +16,8 @@ def decode_json(
     NULLs, which the critical-column rule removes and reports; a field of the
     wrong type is NULL and the rest of its row is kept.
     """
-    parsed = F.from_json(F.col(payload).cast("string"), schema).alias("data")
+    # Out of an array of one, the parsed row is no expression that later filters on its
+    # fields are moved below; they would parse the payload again, each for itself.
+    parsed = F.explode(F.array(F.from_json(F.col(payload).cast("string"), schema))).alias("data")
     rows = df.select(*keep, parsed).filter(F.col("data").isNotNull())
     return rows.select(*keep, "data.*")

@@ -104,3 +104,16 @@ def test_only_repeated_windows_are_ranked(spark, tmp_path, monkeypatch):
     assert "LeftAnti" in plan and "LeftSemi" in plan
     monkeypatch.setattr(op, "MAX_REPEATED", 0)
     assert rows(events.first_by_window_stored(stored, ["a"])) == expected
+
+
+def test_a_message_is_parsed_once(spark):
+    from tallyroom import rules as R
+    from tallyroom.schemas import message_schema
+    from tallyroom.streaming.clean import clean_stream
+    from tallyroom.streaming.decode import decode_json
+
+    sent = spark.createDataFrame([('{"UserID": 1}',), ("no json",), ("",), (None,)], "value string")
+    decoded = decode_json(sent, "value", message_schema(R.VIDEO_STREAM.ddl))
+    assert Counter(r.UserID for r in decoded.collect()) == Counter([1, None])
+    clean = clean_stream(decoded.withColumn(STAMP, F.lit(None).cast("timestamp")), R.VIDEO_STREAM)
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
