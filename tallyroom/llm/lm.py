@@ -36,9 +36,11 @@ other columns of any name are not read and do not come back.
 from __future__ import annotations
 
 import gc
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import ExitStack
 from dataclasses import dataclass
+from itertools import count
 from uuid import uuid4
 from zlib import crc32
 
@@ -132,7 +134,8 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trains = np.repeat(~np.concatenate(held), np.concatenate(sizes))
         counts = np.bincount(flat[trains], minlength=len(vocab))
         # No word has a blank.
-        listed = zstandard.compress(b" ".join(vocab.cast(pa.binary()).to_pylist()), 1)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(vocab)], pa.int32()), vocab), " ")
+        listed = zstandard.compress(joined[0].as_buffer(), 1)
         row = (
             (task << 32) + number, [i for d in doc_ids for i in d], np.concatenate(held), np.concatenate(sizes),
             _pack(flat), len(vocab), listed, _pack(counts),
@@ -170,12 +173,13 @@ def _deal(buckets: int):
                 words, counts = _listed(vocab), _unpack(counts)
                 to = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(buckets)
                 by = np.argsort(to, kind="stable")
+                words = [words[i] for i in by.tolist()]
                 edge = np.flatnonzero(np.diff(to[by].astype(np.int64), prepend=-1, append=-1))
                 yield _rows(
                     [
                         (
                             int(to[by[a]]), block, _pack(by[a:b]),
-                            zstandard.compress(b" ".join([words[i] for i in by[a:b]]), 1), _pack(counts[by[a:b]]),
+                            zstandard.compress(b" ".join(words[a:b]), 1), _pack(counts[by[a:b]]),
                         )
                         for a, b in zip(edge, edge[1:])
                     ],
@@ -195,9 +199,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked = []
     for batch in batches:
         for bucket, block, places, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            index = known.setdefault(bucket, {})
-            add = index.setdefault
-            at = np.array([add(w, len(index)) for w in _listed(words)])
+            if bucket not in known:
+                known[bucket] = defaultdict(count().__next__)  # a new word gets the next number
+            index, words = known[bucket], _listed(words)
+            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
             sums = totals.get(bucket, np.zeros(0, np.int64))
             if len(sums) < len(index):
                 sums = np.concatenate([sums, np.zeros(len(index) + len(sums) // 2, np.int64)])
@@ -211,7 +216,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sorted(index)
         ranks[bucket] = np.empty(len(words), np.int32)
         ranks[bucket][[index[w] for w in words]] = np.arange(len(words))
-        classes[bucket] = np.fromiter((crc32(w[:STEM]) % CLASSES for w in index), np.int32, len(words))
+        stems = [w[:STEM] for w in index]
+        classes[bucket] = (np.fromiter(map(crc32, stems), np.uint32, len(words)) % np.uint32(CLASSES)).astype(np.int32)
         c = totals[bucket] = totals[bucket][: len(words)]
         tokens += np.bincount(classes[bucket], c, CLASSES).astype(np.int64)
         types += np.bincount(classes[bucket][c > 0], minlength=CLASSES)
@@ -277,9 +283,11 @@ def forward(model: Model, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarra
     step, one = model.step.astype(np.float32), np.ones(len(model.start), np.float32)
     total = np.zeros(len(sizes))
     state = np.broadcast_to(model.start.astype(np.float32), (len(sizes), len(model.start)))
+    ahead, now, seen = (np.empty(state.shape, np.float32) for _ in range(3))
     for t, n in enumerate(running.tolist()):
-        state = state[:n] @ step if t else state[:n]
-        state = state * model.emit.take(flat.take(starts[:n] + t), axis=0)
+        state = np.matmul(state[:n], step, out=ahead[:n]) if t else state[:n]
+        there = model.emit.take(flat.take(starts[:n] + t), axis=0, out=seen[:n], mode="clip")
+        state = np.multiply(state, there, out=now[:n])
         scale = state @ one
         state *= (1 / scale)[:, None]
         total[:n] += np.log10(scale, dtype=np.float64)
@@ -325,47 +333,51 @@ def expectations(
     running = np.searchsorted(-pieces.size, -np.arange(int(pieces.size[0])), "left").tolist()
     step, one = model.step.astype(np.float32), np.ones(states, np.float32)
     # By time: the classes seen, and the state probabilities, first of the past, then of all.
-    edge = np.concatenate([[0], np.cumsum(running)])
-    classes = np.empty(edge[-1], flat.dtype)
+    edge = np.concatenate([[0], np.cumsum(running)]).tolist()
+    classes = np.empty(edge[-1], np.intp)
     gamma = np.empty((edge[-1], states), np.float32)
-    scales = np.empty(edge[-1], np.float32)
+    scales = np.empty((edge[-1], 1), np.float32)
+    # Steps write where an earlier one did, so no memory is asked for and touched anew.
+    ahead, other, seen = (np.empty((running[0], states), np.float32) for _ in range(3))
     state = np.where(opens[:, None], model.start, model.again).astype(np.float32)
     for t, n in enumerate(running):
         now = slice(edge[t], edge[t + 1])
         classes[now] = flat.take(pieces.start[:n] + t)
-        state = state[:n] @ step if t else state[:n]
-        state = state * model.emit.take(classes[now], axis=0)
-        scales[now] = 1 / (state @ one)
-        state *= scales[now][:, None]
-        gamma[now] = state
+        state = np.matmul(state[:n], step, out=ahead[:n]) if t else state[:n]
+        there = model.emit.take(classes[now], axis=0, out=seen[:n], mode="clip")
+        state = np.multiply(state, there, out=gamma[now])
+        np.divide(1, state @ one, out=scales[now, 0])
+        state *= scales[now]
     moves, later = np.zeros((states, states)), np.zeros(states)
     beta = np.empty((0, states), np.float32)
     outside = np.empty(0, np.int64)
     for t in range(len(running) - 1, -1, -1):
         n, m = running[t], len(beta)
         now = gamma[edge[t] : edge[t] + n]
+        here = (ahead, other)[t % 2][:n]
+        here[m:] = 1
         if m:
             after = slice(edge[t + 1], edge[t + 1] + m)
-            beta *= model.emit.take(classes[after], axis=0)
-            beta *= scales[after][:, None]
+            beta *= model.emit.take(classes[after], axis=0, out=seen[:m], mode="clip")
+            beta *= scales[after]
             # A transition counts with the token that it leads to.
             moves += now[:m].T @ beta
-            moves -= now[outside].T @ beta[outside]
-            gamma[after][outside] = 0
-            here = np.ones((n, states), np.float32)
+            if len(outside):
+                moves -= now[outside].T @ beta[outside]
+                gamma[after][outside] = 0
             np.matmul(beta, step.T, out=here[:m])
             now *= here
-            beta = here
-        else:
-            beta = np.ones((n, states), np.float32)
+        beta = here
         outside = np.flatnonzero((pieces.begin[:n] > t) | (pieces.end[:n] <= t))
         if t:
             later += now[pieces.begin[:n] == t].sum(axis=0)
     opened = gamma[: edge[1]][opens].sum(axis=0)
     gamma[outside] = 0
     moves *= model.step
-    columns = np.ascontiguousarray(gamma.T)
-    emitted = np.stack([np.bincount(classes, c, len(model.emit)) for c in columns], axis=1)
+    emitted, weights = np.empty((len(model.emit), states)), np.empty(len(classes))
+    for k in range(states):
+        weights[:] = gamma[:, k]
+        emitted[:, k] = np.bincount(classes, weights, len(emitted))
     return emitted, moves, opened, later
 
 
@@ -403,9 +415,9 @@ class Block:
         share = ((c + 1) / (n + t)).astype(np.float32)[:, None]
         if self.counts is not None:
             # A class that is never in a state says nothing of its words there.
-            sums, spare = model.sums[kinds], (t / (n + t)).astype(np.float32)[:, None]
-            own = self.counts / np.maximum(sums, 1).astype(np.float32)
-            share = np.where(sums > 0, (1 - spare) * own + spare * share, share)
+            spare = (t / (n + t)).astype(np.float32)[:, None]
+            own = self.counts / np.maximum(model.sums, 1).astype(np.float32).take(kinds, axis=0)
+            share = np.where((model.sums > 0).take(kinds, axis=0), (1 - spare) * own + spare * share, share)
         elif model.sums is None:
             share = share * _noise(self.buckets, self.ranks, len(model.start))
         emit[self.known] *= share.astype(np.float32)

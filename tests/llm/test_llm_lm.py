@@ -1,5 +1,6 @@
 """The language model against direct counts and sums over all state paths."""
 
+import tracemalloc
 from collections import Counter
 from itertools import product
 from math import log10
@@ -112,6 +113,19 @@ def test_expectations_are_path_averages():
     assert np.allclose(opened, firsts[0], atol=1e-4) and np.allclose(later, firsts[1], atol=1e-4)
 
 
+def test_expectations_hold_the_states_once():
+    """No second copy of the state probabilities: asking for and touching memory cost most."""
+    model, flat = small_model(8, 50), np.random.default_rng(3).integers(0, 50, 200_000).astype(np.int32)
+    pieces = lm.Pieces.of(np.array([0]), np.array([len(flat)]))
+    held = int(pieces.size.sum()) * 8 * 4
+    tracemalloc.start()
+    try:
+        lm.expectations(model, flat, pieces)
+        assert tracemalloc.get_traced_memory()[1] < 1.9 * held
+    finally:
+        tracemalloc.stop()
+
+
 def test_pieces_count_every_token_once():
     starts, sizes = np.array([0, 700, 703]), np.array([700, 3, 1100])
     pieces = lm.Pieces.of(starts, sizes, 256, 32)
