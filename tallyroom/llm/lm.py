@@ -71,6 +71,8 @@ MIN_BUCKETS = 8
 #: Blocks that a part of the stored blocks has, about; and parts at most.
 PART_BLOCKS, MAX_PARTS = 4, 50_000
 _SLICE = 4096
+#: Tokens whose states are summed at a time.
+_STRETCH = 8192
 _SALTS = 16
 
 #: Classes of the end and of unknown words; those of words follow.
@@ -374,10 +376,12 @@ def expectations(
     opened = gamma[: edge[1]][opens].sum(axis=0)
     gamma[outside] = 0
     moves *= model.step
-    emitted, weights = np.empty((len(model.emit), states)), np.empty(len(classes))
-    for k in range(states):
-        weights[:] = gamma[:, k]
-        emitted[:, k] = np.bincount(classes, weights, len(emitted))
+    # Row by row in stretches: a class's states are side by side, and so are a token's.
+    emitted, every = np.zeros(len(model.emit) * states), np.arange(states)
+    for i in range(0, len(classes), _STRETCH):
+        at = (classes[i : i + _STRETCH, None] * states + every).ravel()
+        np.add.at(emitted, at, gamma[i : i + _STRETCH].ravel().astype(np.float64))
+    emitted = emitted.reshape(-1, states)
     return emitted, moves, opened, later
 
 
@@ -409,18 +413,21 @@ class Block:
 
     def model(self, model: Model) -> Model:
         """The model with a row for each place; the first round's words differ by noise."""
-        emit = model.emit[self.kinds]
+        emit = model.emit.take(self.kinds, axis=0)
         kinds, c = self.kinds[self.known], self.c[self.known]
         n, t = model.tokens[kinds], model.types[kinds]
         share = ((c + 1) / (n + t)).astype(np.float32)[:, None]
         if self.counts is not None:
             # A class that is never in a state says nothing of its words there.
             spare = (t / (n + t)).astype(np.float32)[:, None]
-            own = self.counts / np.maximum(model.sums, 1).astype(np.float32).take(kinds, axis=0)
-            share = np.where((model.sums > 0).take(kinds, axis=0), (1 - spare) * own + spare * share, share)
+            own = np.maximum(model.sums, 1).astype(np.float32).take(kinds, axis=0)
+            np.divide(self.counts, own, out=own)
+            own *= 1 - spare
+            own += spare * share
+            share = np.where((model.sums > 0).take(kinds, axis=0), own, share)
         elif model.sums is None:
             share = share * _noise(self.buckets, self.ranks, len(model.start))
-        emit[self.known] *= share.astype(np.float32)
+        emit[self.known] *= share.astype(np.float32, copy=False)
         return Model(model.start, model.again, model.step, emit)
 
 
@@ -532,7 +539,9 @@ def _round(
                     emitted[:, k] += np.bincount(block.kinds, here[:, k], len(emitted)).astype(np.int64)
                 rest += np.concatenate([moves, [opened], [later]])
             # Blocks without training rows ask for the counts of their words, too.
-            words = here[block.known]
+            words = here.take(block.known, axis=0)
+            if words.max(initial=0) <= np.iinfo(np.int32).max:
+                words = words.astype(np.int32)
             edge = np.flatnonzero(np.diff(block.buckets, prepend=-1, append=-1))
             yield _rows(
                 [
