@@ -56,6 +56,8 @@ BUCKET = 32
 #: Texts of a block, about, and words a task remembers.
 BLOCK = 512
 CACHE = 300_000
+#: Bits of the marks for each id that is looked for, about, and in all (16 MB).
+MARKS, MAX_MARKS = 16, 1 << 27
 _CHUNK = 2_000_000
 _LOCAL = 6
 _WHOLE_MAX, _SEGMENT_MIN = 7, 6
@@ -450,8 +452,8 @@ def _least_partner(n: Column) -> Column:
 
 def _candidates(shared: DataFrame, owners: DataFrame, space: Workspace) -> DataFrame:
     """Links (u, v) between nodes that lead from any set to all it may be linked to."""
-    # Dealt by set once: what is known of a set, the numbers by set and the join of both
-    # need no more; the plan is the same whatever the number of sets.
+    # Dealt by set once: what is known of a set and the numbers by set need no more; the
+    # plan is the same whatever the number of sets.
     rows = shared.hint("merge").join(owners.select("node", "shared", "partners"), "node")
     # How many of a set's signatures are shared at all, and how many widely.
     # A pair shares the smaller promise of its two at least, so a set needs as many as its
@@ -468,16 +470,17 @@ def _candidates(shared: DataFrame, owners: DataFrame, space: Workspace) -> DataF
             .withColumn("partners", F.coalesce("fewer", "partners"))
             .drop("fewer")
         )
-    per_set = (
-        rows.groupBy("node", "partners")
-        .agg(F.count("*").alias("all"), F.sum(F.col("large").cast("long")).alias("widely"))
+    own = W.partitionBy("node")
+    rows = space.step(
+        rows.withColumn("all", F.count("*").over(own))
+        .withColumn("widely", F.sum(F.col("large").cast("long")).over(own))
         .where(F.col("all") >= F.col("partners"))
-        .select("node", "widely")
+        .drop("all")
     )
-    rows = space.step(rows.join(per_set, "node"))
     # Small signatures: pairs of sizes that can link, with the number they share.
     small = (
         rows.where(~F.col("large"))
+        .repartition("sig")  # as rows, of which those of a set are side by side; few meet before
         .groupBy("sig")
         .agg(F.sort_array(F.collect_list(F.struct("node", "n", "shared", "widely"))).alias("members"))
         .where(F.size("members") > 1)
@@ -501,6 +504,31 @@ def _candidates(shared: DataFrame, owners: DataFrame, space: Workspace) -> DataF
     return pairs.unionAll(stars)
 
 
+def _marked(rows: DataFrame, ids: DataFrame, space: Workspace) -> DataFrame:
+    """Rows whose id may be one of ``ids``: all that are, and a few others.
+
+    The ids are a bit each, ``MARKS`` bits an id and ``MAX_MARKS`` in all at most, which
+    are sent to all tasks.
+    """
+    bits = min(MAX_MARKS, 1 << max(15, (MARKS * ids.count()).bit_length()))
+
+    def at(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("_at", F.pmod(F.xxhash64("id"), F.lit(bits)))
+
+    marks = space.step(
+        at(ids).groupBy(F.bitmap_bucket_number("_at").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits"))
+    )
+    place = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = (
+        at(rows).withColumn("_bucket", F.bitmap_bucket_number("_at"))
+        .join(F.broadcast(marks), "_bucket")
+        .where(byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0)
+    )
+    return found.select(*rows.columns)
+
+
 def _verified(texts: DataFrame, groups: DataFrame, owners: DataFrame, space: Workspace) -> DataFrame:
     """Links (u, v) between representatives that hold exactly, enough to connect each class."""
     members = groups.unionAll(groups.select(F.col("label").alias("node"), "label").distinct())
@@ -514,7 +542,8 @@ def _verified(texts: DataFrame, groups: DataFrame, owners: DataFrame, space: Wor
             F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"),
         )
     )
-    wanted = texts.select("id", "text").join(placed, "id")
+    # Most texts are in no group and stay where they are.
+    wanted = _marked(texts.select("id", "text"), placed.select("id"), space).join(placed, "id")
     tile = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = (
         wanted.select("id", "text", "label", "block", tile)

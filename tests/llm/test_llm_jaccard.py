@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyroom.llm import jaccard
 from tallyroom.llm.common import Workspace
@@ -159,3 +160,35 @@ def test_shared_rows(step):
     }
     assert got == wanted
     assert any(large for *_, large in got) and len(got) < len(rows)
+
+
+def test_texts_of_no_group_are_left_out_where_they_are(spark):
+    rows = spark.range(20_000).select((F.col("id") * 7919 - 9000).alias("id"), F.lit("some text").alias("text"))
+    wanted = [i * 7919 - 9000 for i in range(0, 20_000, 100)]
+    with Workspace(spark, "test-marks") as space:
+        kept = jaccard._marked(rows, spark.createDataFrame([(i,) for i in wanted], "id long"), space)
+        assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+        found = {r.id for r in kept.collect()}
+    assert found >= set(wanted) and len(found) < 4_000
+
+
+def test_sets_are_dealt_once(spark):
+    """What is known of a set and its numbers of signatures come from one shuffle of the signatures."""
+    ddl = "sig long, node long, n int, large boolean"
+    shared = spark.createDataFrame([(s, n, 40, s % 5 == 0) for s in range(40) for n in (1, 2, s + 9)], ddl)
+    owners = spark.createDataFrame([(n, n, 4, 4) for n in range(50)], "node long, rep long, shared long, partners int")
+    stored = []
+
+    class Watched(Workspace):
+        def step(self, df):
+            stored.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().step(df)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with Watched(spark, "test-dealt") as space:
+            links = jaccard._candidates(shared, owners, space).collect()
+            assert {(min(r), max(r)) for r in links} == {(1, 2)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert stored[0].count("Exchange hashpartitioning(node") == 2  # signatures and owners
