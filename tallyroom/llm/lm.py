@@ -40,7 +40,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import ExitStack
 from dataclasses import dataclass
-from itertools import count
 from uuid import uuid4
 from zlib import crc32
 
@@ -71,8 +70,8 @@ MIN_BUCKETS = 8
 #: Blocks that a part of the stored blocks has, about; and parts at most.
 PART_BLOCKS, MAX_PARTS = 4, 50_000
 _SLICE = 4096
-#: Tokens whose states are summed at a time.
-_STRETCH = 8192
+#: Tokens whose states are summed, and whose scales are kept, at a time.
+_STRETCH, _SCALES = 8192, 1 << 17
 _SALTS = 16
 
 #: Classes of the end and of unknown words; those of words follow.
@@ -89,12 +88,16 @@ def _pack(numbers: np.ndarray) -> bytes:
     low, high = (int(numbers.min()), int(numbers.max())) if numbers.size else (0, 0)
     kind = next(k for k in _KINDS if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
     planes = np.ascontiguousarray(numbers, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)
-    return bytes([np.dtype(kind).itemsize]) + zstandard.compress(planes.T.tobytes(), 1)
+    return bytes([np.dtype(kind).itemsize]) + zstandard.compress(np.ascontiguousarray(planes.T), 1)
 
 
 def _unpack(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
-    return np.ascontiguousarray(planes.T).view(_KINDS[data[0].bit_length() - 1]).ravel()
+    numbers = np.empty(planes.shape[1], _KINDS[data[0].bit_length() - 1])
+    there = numbers.view(np.uint8).reshape(-1, data[0])
+    for i, plane in enumerate(planes):  # numpy copies a column faster than it transposes
+        there[:, i] = plane
+    return numbers
 
 
 def _rows(made: list[tuple], ddl: str) -> pa.RecordBatch:
@@ -163,6 +166,14 @@ def _listed(vocab: bytes) -> list[bytes]:
     return zstandard.decompress(vocab).split()
 
 
+def _as_array(words: bytes) -> pa.LargeBinaryArray:
+    """The packed words, none of which is empty or has a blank, without an object for each."""
+    data = zstandard.decompress(words)
+    ends = pa.py_buffer(np.array([0, len(data)], np.int64))
+    whole = pa.LargeStringArray.from_buffers(1, ends, pa.py_buffer(data))
+    return pc.ascii_split_whitespace(whole).flatten().cast(pa.large_binary())
+
+
 _DEALT_DDL = "bucket int, block long, places binary, words binary, counts binary"
 
 
@@ -196,43 +207,36 @@ _COUNTED_DDL = "block long, bucket int, places binary, ranks binary, c binary, c
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts the words of each bucket over all blocks; what each block asked for, and sums by class."""
-    known: dict[int, dict[bytes, int]] = {}
-    totals: dict[int, np.ndarray] = {}
-    asked = []
+    read, asked = defaultdict(list), defaultdict(list)
     for batch in batches:
         for bucket, block, places, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            if bucket not in known:
-                known[bucket] = defaultdict(count().__next__)  # a new word gets the next number
-            index, words = known[bucket], _listed(words)
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-            sums = totals.get(bucket, np.zeros(0, np.int64))
-            if len(sums) < len(index):
-                sums = np.concatenate([sums, np.zeros(len(index) + len(sums) // 2, np.int64)])
-            sums[at] += _unpack(counts)
-            totals[bucket] = sums
-            asked.append((bucket, block, places, _pack(at)))
+            read[bucket].append(_as_array(words))
+            asked[bucket].append((block, places, counts))
     tokens, types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    ranks, classes = {}, {}
-    for bucket, index in known.items():
+    for bucket in list(read):
+        coded = pa.chunked_array(read.pop(bucket)).dictionary_encode()
+        words, at = coded.chunk(0).dictionary, [c.indices.to_numpy() for c in coded.chunks]
+        total = np.zeros(len(words), np.int64)
+        for here, (_, _, counts) in zip(at, asked[bucket]):
+            total[here] += _unpack(counts)
         # Ranks in the order of the words, so a task that runs again gives the same ones.
-        words = sorted(index)
-        ranks[bucket] = np.empty(len(words), np.int32)
-        ranks[bucket][[index[w] for w in words]] = np.arange(len(words))
-        stems = [w[:STEM] for w in index]
-        classes[bucket] = (np.fromiter(map(crc32, stems), np.uint32, len(words)) % np.uint32(CLASSES)).astype(np.int32)
-        c = totals[bucket] = totals[bucket][: len(words)]
-        tokens += np.bincount(classes[bucket], c, CLASSES).astype(np.int64)
-        types += np.bincount(classes[bucket][c > 0], minlength=CLASSES)
-        index.clear()
-    known.clear()
-    for i in range(0, len(asked), 64):
-        made = []
-        for bucket, block, places, at in asked[i : i + 64]:
-            at = _unpack(at)
-            c = totals[bucket][at]
-            kinds = np.where(c > 0, classes[bucket][at] + _FIRST, _UNKNOWN)
-            made.append((block, bucket, places, _pack(ranks[bucket][at]), _pack(c), _pack(kinds), None, None))
-        yield _rows(made, _COUNTED_DDL)
+        ranks = np.empty(len(words), np.int32)
+        ranks[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+        stems = pc.binary_slice(words, 0, STEM).dictionary_encode()
+        hashes = np.fromiter(map(crc32, stems.dictionary.to_pylist()), np.uint32, len(stems.dictionary))
+        classes = (hashes % np.uint32(CLASSES)).astype(np.int32)[stems.indices.to_numpy()]
+        tokens += np.bincount(classes, total, CLASSES).astype(np.int64)
+        types += np.bincount(classes[total > 0], minlength=CLASSES)
+        kinds = np.where(total > 0, classes + _FIRST, _UNKNOWN).astype(np.int32)
+        rows = list(zip(at, asked.pop(bucket)))
+        for i in range(0, len(rows), 64):
+            yield _rows(
+                [
+                    (block, bucket, places, _pack(ranks[here]), _pack(total[here]), _pack(kinds[here]), None, None)
+                    for here, (block, places, _) in rows[i : i + 64]
+                ],
+                _COUNTED_DDL,
+            )
     if types.any():
         yield _rows([(None, None, None, None, None, None, tokens.tolist(), types.tolist())], _COUNTED_DDL)
 
@@ -284,15 +288,32 @@ def forward(model: Model, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarra
     running = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), "left")
     step, one = model.step.astype(np.float32), np.ones(len(model.start), np.float32)
     total = np.zeros(len(sizes))
+    scales, held = np.empty(max(_SCALES, len(sizes)), np.float32), []
+
+    def add_up() -> None:
+        edge = np.cumsum(held)
+        logs = np.log10(scales[: edge[-1]], dtype=np.float64)
+        # In the order of the steps for each sequence; those of a later step are the first ones.
+        at = np.arange(edge[-1]) - np.repeat(edge - held, held)
+        np.add.at(total, at, logs)
+        held.clear()
+
+    end = 0
     state = np.broadcast_to(model.start.astype(np.float32), (len(sizes), len(model.start)))
     ahead, now, seen = (np.empty(state.shape, np.float32) for _ in range(3))
     for t, n in enumerate(running.tolist()):
         state = np.matmul(state[:n], step, out=ahead[:n]) if t else state[:n]
         there = model.emit.take(flat.take(starts[:n] + t), axis=0, out=seen[:n], mode="clip")
         state = np.multiply(state, there, out=now[:n])
-        scale = state @ one
+        if end + n > len(scales):
+            add_up()
+            end = 0
+        scale = np.matmul(state, one, out=scales[end : end + n])
+        held.append(n)
+        end += n
         state *= (1 / scale)[:, None]
-        total[:n] += np.log10(scale, dtype=np.float64)
+    if held:
+        add_up()
     out = np.empty(len(sizes))
     out[by] = total
     return out
@@ -334,6 +355,7 @@ def expectations(
     opens = pieces.begin == 0
     running = np.searchsorted(-pieces.size, -np.arange(int(pieces.size[0])), "left").tolist()
     step, one = model.step.astype(np.float32), np.ones(states, np.float32)
+    back = np.ascontiguousarray(step.T)
     # By time: the classes seen, and the state probabilities, first of the past, then of all.
     edge = np.concatenate([[0], np.cumsum(running)]).tolist()
     classes = np.empty(edge[-1], np.intp)
@@ -352,7 +374,10 @@ def expectations(
         state *= scales[now]
     moves, later = np.zeros((states, states)), np.zeros(states)
     beta = np.empty((0, states), np.float32)
-    outside = np.empty(0, np.int64)
+    # Steps between these have no token that does not count.
+    early, late = pieces.begin.max(), pieces.end[pieces.end < pieces.size].min(initial=len(running))
+    later_at = set(pieces.begin.tolist()) - {0}
+    outside = none = np.empty(0, np.int64)
     for t in range(len(running) - 1, -1, -1):
         n, m = running[t], len(beta)
         now = gamma[edge[t] : edge[t] + n]
@@ -367,22 +392,33 @@ def expectations(
             if len(outside):
                 moves -= now[outside].T @ beta[outside]
                 gamma[after][outside] = 0
-            np.matmul(beta, step.T, out=here[:m])
+            np.matmul(beta, back, out=here[:m])
             now *= here
         beta = here
-        outside = np.flatnonzero((pieces.begin[:n] > t) | (pieces.end[:n] <= t))
-        if t:
+        outside = none
+        if t < early or t >= late:
+            outside = np.flatnonzero((pieces.begin[:n] > t) | (pieces.end[:n] <= t))
+        if t in later_at:
             later += now[pieces.begin[:n] == t].sum(axis=0)
     opened = gamma[: edge[1]][opens].sum(axis=0)
     gamma[outside] = 0
     moves *= model.step
-    # Row by row in stretches: a class's states are side by side, and so are a token's.
-    emitted, every = np.zeros(len(model.emit) * states), np.arange(states)
+    return _by_class(classes, gamma, len(model.emit)), moves, opened, later
+
+
+def _by_class(classes: np.ndarray, gamma: np.ndarray, n: int) -> np.ndarray:
+    """Sums the rows of each class, in stretches: a class's states are side by side, and so are a token's.
+
+    Two states are added at once, as the parts of a complex number, where their number is even.
+    """
+    states = gamma.shape[1]
+    one, sums = (np.complex64, np.complex128) if states % 2 == 0 else (np.float32, np.float64)
+    rows = gamma.view(one)
+    emitted, every = np.zeros(n * rows.shape[1], sums), np.arange(rows.shape[1])
     for i in range(0, len(classes), _STRETCH):
-        at = (classes[i : i + _STRETCH, None] * states + every).ravel()
-        np.add.at(emitted, at, gamma[i : i + _STRETCH].ravel().astype(np.float64))
-    emitted = emitted.reshape(-1, states)
-    return emitted, moves, opened, later
+        at = (classes[i : i + _STRETCH, None] * rows.shape[1] + every).ravel()
+        np.add.at(emitted, at, rows[i : i + _STRETCH].ravel().astype(sums))
+    return emitted.view(np.float64).reshape(-1, states)
 
 
 def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,7 +463,9 @@ class Block:
             share = np.where((model.sums > 0).take(kinds, axis=0), own, share)
         elif model.sums is None:
             share = share * _noise(self.buckets, self.ranks, len(model.start))
-        emit[self.known] *= share.astype(np.float32, copy=False)
+        own = model.emit.take(kinds, axis=0)
+        own *= share.astype(np.float32, copy=False)
+        emit[self.known] = own
         return Model(model.start, model.again, model.step, emit)
 
 

@@ -4,6 +4,7 @@ import tracemalloc
 from collections import Counter
 from itertools import product
 from math import log10
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -302,3 +303,39 @@ def test_words():
     expected = [t.encode().lower().split() for t in texts]
     assert n.tolist() == [len(e) for e in expected]
     assert [w.encode() for w in words.to_pylist()] == [w for e in expected for w in e]
+
+
+def test_counting_keeps_words_in_arrays(monkeypatch):
+    """Words are counted, ranked and given classes without a call for each."""
+    hashed = []
+    monkeypatch.setattr(lm, "crc32", lambda data: hashed.append(data) or crc32(data))
+    blocks = [[b"stem%d" % i for i in range(a, b)] + ["été".encode(), b"a"] for a, b in ((0, 900), (500, 1500))]
+    rows = [
+        (3, block, lm._pack(np.arange(len(words))), lm.zstandard.compress(b" ".join(words)), lm._pack(np.full(len(words), 2)))
+        for block, words in enumerate(blocks)
+    ]
+    made = [r for b in lm._count(iter([lm._rows([row], lm._DEALT_DDL) for row in rows])) for r in b.to_pylist()]
+    assert len(hashed) == 3  # as many as beginnings of words
+    order = sorted({w for words in blocks for w in words})
+    total = Counter(w for words in blocks for w in words)
+    for row, words in zip(made, blocks):
+        assert lm._unpack(row["ranks"]).tolist() == [order.index(w) for w in words]
+        assert lm._unpack(row["c"]).tolist() == [2 * total[w] for w in words]
+        assert lm._unpack(row["classes"]).tolist() == [crc32(w[: lm.STEM]) % lm.CLASSES + lm._FIRST for w in words]
+    assert sum(made[-1]["tokens"]) == 2 * sum(total.values()) and sum(made[-1]["types"]) == len(total)
+
+
+@pytest.mark.parametrize("states", [1, 3, 8])
+def test_sums_by_class(states):
+    rng = np.random.default_rng(2)
+    classes, gamma = rng.integers(0, 50, 20_000), rng.random((20_000, states), np.float32)
+    direct = np.stack([np.bincount(classes, gamma[:, k], 50) for k in range(states)], axis=1)
+    assert np.array_equal(lm._by_class(classes.astype(np.intp), gamma, 50), direct)
+
+
+def test_scales_are_added_up_in_stretches(monkeypatch):
+    model, rng = small_model(), np.random.default_rng(3)
+    flat, sizes = rng.integers(0, 4, 90), np.array([40, 1, 30, 19])
+    whole = lm.forward(model, flat, np.cumsum(sizes) - sizes, sizes)
+    monkeypatch.setattr(lm, "_SCALES", 5)
+    assert np.array_equal(lm.forward(model, flat, np.cumsum(sizes) - sizes, sizes), whole)
