@@ -18,6 +18,8 @@ RUNTIME = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Folders of days are listed in this many tasks at most, not in one task a folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # Row ids, days and stamps as text are defined in UTC, whatever the caller's zone.
     "spark.sql.session.timeZone": "UTC",
 }

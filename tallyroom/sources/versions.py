@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ from tallyroom.sources.readers import align_to_table
 
 LEDGER = "LOAD_LEDGER"
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+#: Days that are moved in the catalog at a time.
+MOVES = 8
 
 
 class Store:
@@ -51,6 +54,10 @@ class Store:
             return []
         return sorted(s.getPath().toString() for s in files.listStatus(target) if s.isDirectory())
 
+    def has_folders(self, path: str) -> bool:
+        files, target = self._at(path)
+        return files.exists(target) and any(s.isDirectory() for s in files.listStatus(target))
+
     def exists(self, path: str) -> bool:
         files, target = self._at(path)
         return files.exists(target)
@@ -155,7 +162,7 @@ class Versions:
         # Folders all of whose days have been replaced.
         here = self._location() if self.exists() else ""
         for path in self._folders():
-            if not self.store.folders(path) and not here.endswith(path.rpartition("/")[2]):
+            if not self.store.has_folders(path) and not here.endswith(path.rpartition("/")[2]):
                 self.store.remove(path)
 
     def _folders(self) -> list[str]:
@@ -220,10 +227,14 @@ class Versions:
         new = [f"PARTITION ({_spec(column, d)}) LOCATION '{path}/{column}={d}'" for d in days if d not in stored]
         for i in range(0, len(new), 500):
             self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {' '.join(new[i : i + 500])}")
-        for d in days:
-            if d in stored:
-                where = f"{path}/{column}={d}"
-                self.spark.sql(f"ALTER TABLE {self.name} PARTITION ({_spec(column, d)}) SET LOCATION '{where}'")
+
+        def move(d: str) -> None:
+            where = f"{path}/{column}={d}"
+            self.spark.sql(f"ALTER TABLE {self.name} PARTITION ({_spec(column, d)}) SET LOCATION '{where}'")
+
+        # Each is a command of its own that mostly waits, so several are under way; any error is raised.
+        with ThreadPoolExecutor(MOVES) as pool:
+            list(pool.map(move, [d for d in days if d in stored]))
 
     def _note(self, load: str, days: list[str]) -> None:
         """Adds a load's days to the ledger; twice the same is once."""

@@ -1,6 +1,8 @@
 """Overwrites that are all or nothing, days of facts, the ledger, and tables behind a connector."""
 
 import datetime as dt
+import threading
+from types import SimpleNamespace
 
 import fake_connector
 import pytest
@@ -312,3 +314,36 @@ def test_star_and_activity_behind_a_connector(spark, behind):
     assert counts() == expected
     jobs.load_activity(behind, since="2024-01-02 23:00:00")
     assert counts() == expected
+
+
+def test_days_are_moved_side_by_side():
+    """Moving a day waits for the catalog, so days do not wait for each other; each is moved once."""
+    days, asked, together = [f"2024-01-{d:02d}" for d in range(1, 9)], [], threading.Barrier(2, timeout=20)
+
+    class Catalog:
+        def sql(self, text):
+            if text.startswith("SHOW"):
+                return SimpleNamespace(collect=lambda: [(f"Day={d}",) for d in days])
+            together.wait()
+            asked.append(text)
+
+    versions = object.__new__(Versions)
+    versions.spark, versions.name = Catalog(), "s.t"
+    versions._point("Day", days, "/new")
+    assert sorted(asked) == [
+        f"ALTER TABLE s.t PARTITION (`Day` = DATE '{d}') SET LOCATION '/new/Day={d}'" for d in days
+    ]
+
+
+def test_a_day_that_cannot_be_moved_is_an_error():
+    class Catalog:
+        def sql(self, text):
+            if text.startswith("SHOW"):
+                return SimpleNamespace(collect=lambda: [("Day=2024-01-01",), ("Day=2024-01-02",)])
+            if "2024-01-02" in text:
+                raise OSError("no catalog")
+
+    versions = object.__new__(Versions)
+    versions.spark, versions.name = Catalog(), "s.t"
+    with pytest.raises(OSError, match="no catalog"):
+        versions._point("Day", ["2024-01-01", "2024-01-02"], "/new")
