@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -72,6 +73,13 @@ _FACTORS = [
     )
 ]
 _U32 = np.uint64(32)
+# bytes.lower and bytes.split know A-Z and the six blanks 0x20, 0x09-0x0D only.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Words of up to this many bytes are hashed side by side, eight bytes at a time.
+_SHORT = 64
+#: What is kept of eight bytes of which so many are the word's.
+_KEPT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -87,21 +95,70 @@ class _Words(dict):
         return value
 
 
-def shingles(text: str | None, words: dict[bytes, int]) -> np.ndarray:
+def word_hashes(texts: pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in order, and the places where each text's begin and end."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    if not len(texts):
+        return np.empty(0, np.uint64), np.zeros(1, np.int64)
+    _, places, data = texts.buffers()
+    edge = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)[edge[0] : edge[-1]]
+    edge, n = edge - edge[0], len(raw)
+    held = np.zeros(n + 8, np.uint8)  # eight bytes can be read at any place
+    held[:n] = _LOWER[raw]
+    inside = np.zeros(n + 2, bool)  # at i + 1: whether byte i is in a word
+    inside[1:-1] = ~_BLANK[raw]
+    before, after = inside[:-1].copy(), inside[1:].copy()
+    before[edge] = after[edge] = False  # a word ends with its text
+    start = np.flatnonzero(inside[1:-1] & ~before[:-1])
+    end = np.flatnonzero(inside[1:-1] & ~after[1:]) + 1
+
+    size = end - start
+    h = size.astype(np.uint64)
+    eight = np.ndarray(n + 1, "<u8", held, strides=(1,))
+    rows, at = np.flatnonzero(size <= _SHORT), 0
+    while len(rows):
+        left = size[rows] - at
+        part = eight[start[rows] + at] & _KEPT[np.minimum(left, 8)]
+        h[rows] = _mix((h[rows] ^ part) * _FACTORS[0])
+        rows, at = rows[left > 8], at + 8
+    for i in np.flatnonzero(size > _SHORT).tolist():
+        h[i] = words[held[start[i] : end[i]].tobytes()]
+    return h, np.searchsorted(start, edge)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted; for the many short arrays of a task this is faster than np.unique."""
+    values = np.sort(values)
+    fresh = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    return values if fresh.all() else values[fresh]
+
+
+def shingle_sets(texts: pa.Array, words: _Words) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; the words of all are worked on side by side."""
+    h, edge = word_hashes(texts, words)
+    # Runs of words from any place on; those that reach into the next text are not looked at.
+    runs = np.zeros(max(0, len(h) - WORDS + 1), np.uint64)
+    for i in range(WORDS):
+        runs += h[i : len(runs) + i] * _FACTORS[i]
+    runs = _mix(runs)
+    sets = []
+    for begin, end in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        width = end - begin
+        if width >= WORDS:
+            sets.append(_distinct(runs[begin : end - WORDS + 1]))
+        elif width:  # a sequence of another length is another shingle
+            parts = (h[begin:end] + np.uint64(width)) * np.array(_FACTORS[:width])
+            sets.append(_mix(parts.sum(dtype=np.uint64, keepdims=True)))
+        else:
+            sets.append(np.empty(0, np.uint64))
+    return sets
+
+
+def shingles(text: str | None, words: _Words) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
-    # bytes.lower and bytes.split know A-Z and the six blanks 0x20, 0x09-0x0D only.
-    parts = (text or "").encode("utf-8", "replace").lower().split()
-    if not parts:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, parts), np.uint64, len(parts))
-    width = min(WORDS, len(h))
-    if width < WORDS:  # a sequence of another length is another shingle
-        h = h + np.uint64(width)
-    n = len(h) - width + 1
-    total = np.zeros(n, np.uint64)
-    for i in range(width):
-        total += h[i : n + i] * _FACTORS[i]
-    return np.unique(_mix(total))
+    return shingle_sets(pa.array([(text or "").encode("utf-8", "replace")], pa.binary()), words)[0]
 
 
 def needed(size: int) -> tuple[int, int]:
@@ -192,8 +249,8 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for batch in batches:
         rows = []
-        for row_id, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-            s = shingles(text, words)
+        sets = shingle_sets(batch.column(2), words)
+        for row_id, doc_id, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sets):
             node = _node(s)
             found = _segments(s) if len(s) >= _SEGMENT_MIN else []
             rows.append((row_id, doc_id, len(s), node, promise(len(s), found)))
@@ -216,8 +273,7 @@ def _list_signatures(heavy: np.ndarray):
         words, seen = _Words(), set()
         for batch in batches:
             sigs, nodes, ns, sizes = [np.empty(0, np.uint64)], [], [], []
-            for text in batch.column(0).to_pylist():
-                s = shingles(text, words)
+            for s in shingle_sets(batch.column(0), words):
                 node = _node(s)
                 if len(s) and node not in seen:
                     seen.add(node)
@@ -238,15 +294,23 @@ def _list_signatures(heavy: np.ndarray):
 
 
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by sig, n and node, those that meet a set of a size they can link with.
+    """Of rows sorted by sig, those that meet a set of a size they can link with.
 
     ``large`` tells whether the signature has more than BUCKET nodes; all rows of such a one
-    stay, and one that copies list in several tasks may come twice.
+    stay, and one that copies list in several tasks may come several times.
     """
     rest = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32))
     large_sig: int | None = None
 
     def emit(sig: np.ndarray, nodes: np.ndarray, ns: np.ndarray, known_large: int | None):
+        # Most signatures have one row, and only the others are put in order.
+        again = sig[1:] == sig[:-1]
+        several = np.zeros(len(sig), bool) if known_large is None else sig == known_large
+        several[1:] |= again
+        several[:-1] |= again
+        sig, nodes, ns = sig[several], nodes[several], ns[several]
+        order = np.lexsort((nodes, ns, sig))
+        sig, nodes, ns = sig[order], nodes[order], ns[order]
         fresh = np.ones(len(sig), bool)
         fresh[1:] = (sig[1:] != sig[:-1]) | (nodes[1:] != nodes[:-1])
         sig, nodes, ns = sig[fresh], nodes[fresh], ns[fresh]
@@ -355,7 +419,8 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     for batch in batches:
-        for label, low, high, block, row_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+        found = shingle_sets(batch.column(5), words)
+        for label, low, high, block, row_id, text, s in zip(*(c.to_pylist() for c in batch.columns), found):
             if (label, low, high) != key:
                 close()
                 key, ids, left, sets, last = (label, low, high), [], [], [], None
@@ -364,7 +429,7 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = (row_id, text)
             ids.append(row_id)
             left.append(block == low)
-            sets.append(shingles(text, words))
+            sets.append(s)
         if len(out) > 10_000:
             yield batch_of(out)
             out.clear()
@@ -587,7 +652,7 @@ def _labelled(docs: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
     )
     shared = space.step(
         listed.repartition("sig")
-        .sortWithinPartitions("sig", "n", "node")
+        .sortWithinPartitions("sig")  # one number, by radix; the few that meet are put in order later
         .mapInArrow(_shared_rows, "sig long, node long, n int, large boolean")
     )
     links = space.step(_candidates(shared, owners, space))

@@ -192,3 +192,70 @@ def test_sets_are_dealt_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert stored[0].count("Exchange hashpartitioning(node") == 2  # signatures and owners
+
+
+def test_words_are_hashed_side_by_side():
+    """As many different hashes as different words, whatever the texts' edges; only long words are asked for singly."""
+    asked = []
+
+    class Asked(jaccard._Words):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    long = "x" * jaccard._SHORT
+    texts = [
+        "left out", "ab", "cd ab", None, "", " \t\n\x0b\x0c\r ", "AB ab\x00 abcdefgh abcdefghi ABCDEFGHIJKLMNOPQ", "É é ab cd 漢字",
+        long, f" {long}y {long}z {long}Y ", " ".join(f"w{i}" for i in range(3000)), "cd",
+    ]
+    wanted = [(t or "").encode().lower().split() for t in texts[1:]]
+    for kind in (pa.string(), pa.large_string()):
+        h, edge = jaccard.word_hashes(pa.array(texts, kind).slice(1), Asked())
+        assert np.diff(edge).tolist() == [len(w) for w in wanted]
+        hashes: dict[bytes, set] = {}
+        for word, value in zip((w for text in wanted for w in text), h.tolist()):
+            hashes.setdefault(word, set()).add(value)
+        assert all(len(values) == 1 for values in hashes.values())
+        assert len(set(h.tolist())) == len(hashes)
+    assert {len(w) for w in asked} == {jaccard._SHORT + 1}
+    h, edge = jaccard.word_hashes(pa.array([], pa.string()), Asked())
+    assert not len(h) and edge.tolist() == [0]
+    assert [len(s) for s in jaccard.shingle_sets(pa.array(["", None]), Asked())] == [0, 0]
+
+
+def test_sets_of_texts_side_by_side():
+    """Sets overlap as those of word sequences do: nothing runs from one text into the next."""
+    texts = [t for _, t in make(4)] + ["a b c d e", "a b c d", "e a b c d e", "a b c d e a b c d e", None, "A  b c\nd"]
+    sets = jaccard.shingle_sets(pa.array(texts, pa.string()), jaccard._Words())
+    plain = [shingles(t) for t in texts]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    for i in range(0, len(texts), 7):
+        for j in range(len(texts)):
+            assert len(np.intersect1d(sets[i], sets[j])) == len(plain[i] & plain[j])
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_shared_rows_of_one_signature_in_any_order(step):
+    """Rows come sorted by signature alone."""
+    rng = np.random.default_rng(step)
+    rows = [(s, 10 + n, 1000 * s + n) for s in range(40) for n in range(0, 30, 1 + s % 9)]
+    rows += [(40, 100 + i, i) for i in range(90)] + rows[::3]
+    rng.shuffle(rows)
+    rows.sort(key=lambda r: r[0])
+
+    def batches():
+        for at in range(0, len(rows), step):
+            sig, n, node = (np.array(c) for c in zip(*rows[at : at + step]))
+            columns = [pa.array(sig, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["sig", "node", "n"])
+
+    got = {tuple(r.values()) for b in jaccard._shared_rows(batches()) for r in b.to_pylist()}
+    of: dict[int, set] = {}
+    for sig, n, node in rows:
+        of.setdefault(int(sig), set()).add((int(n), int(node)))
+    assert got == {
+        (sig, node, n, len(sets) > jaccard.BUCKET)
+        for sig, sets in of.items()
+        for n, node in sets
+        if len(sets) > jaccard.BUCKET or any(4 * min(n, m) >= 3 * max(n, m) for m, other in sets if other != node)
+    }
