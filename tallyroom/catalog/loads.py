@@ -72,7 +72,7 @@ def _ingest_indexed(entity: str) -> Query:
             write_entity(raw.filter(before), path)
             index = ContentIndex(spark, path, schema)
             index.catch_up()
-            return space.keep(index.unknown(raw.withColumn(measure, changed)))
+            return space.keep(index.unknown_stored(raw.withColumn(measure, changed)))
 
     return query
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.sources.index import digest_of
-from tallyroom.sources.writers import materialise
+from tallyroom.sources.marks import MAX_MARKS, PLACE, marked, marks_of, with_places
 
 
 def lookup(
@@ -56,10 +56,6 @@ def anti_ingest(new: DataFrame, existing: DataFrame, keys: Iterable[str]) -> Dat
     return new.join(known, keys, "left_anti")
 
 
-#: Rows that one entry of marks stands for, and the entries that are sent to all tasks: 64 MB.
-MARKED_ROWS, MAX_MARKS = 1 << 15, 1 << 14
-
-
 def anti_ingest_stored(new: DataFrame, existing: DataFrame, keys: Iterable[str]) -> DataFrame:
     """``anti_ingest`` where ``new`` is a scan of stored files, whose rows stay where they are.
 
@@ -69,18 +65,11 @@ def anti_ingest_stored(new: DataFrame, existing: DataFrame, keys: Iterable[str])
     marks the whole rows meet the stored keys.
     """
     keys = list(keys)
-    row = F.col("_metadata.row_index")
-    place = {"_file": F.col("_metadata.file_path"), "_block": F.floor(row / MARKED_ROWS), "_bit": row % MARKED_ROWS}
-    kept = anti_ingest(new.withColumns(place).select(*keys, *place), existing, keys)
-    marks = materialise(kept.groupBy("_file", "_block").agg(F.bitmap_construct_agg("_bit").alias("_marks")), "marks")
-    if marks.count() > MAX_MARKS:
+    placed = with_places(new)
+    marks = marks_of(anti_ingest(placed.select(*keys, *PLACE), existing, keys).select(*PLACE), MAX_MARKS)
+    if marks is None:
         return anti_ingest(new, existing, keys)
-    octet = F.substring("_marks", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))
-    marked = F.getbit(F.conv(F.hex(octet), 16, 10).cast("int"), (F.col("_bit") % 8).cast("int")) == 1
-    placed = new.withColumns(place)
-    same = (placed["_file"] == marks["_file"]) & (placed["_block"] == marks["_block"]) & marked
-    picked = placed.join(F.broadcast(marks), same, "left_semi")
-    return picked.select(*keys, *[c for c in new.columns if c not in keys])
+    return marked(placed, marks).select(*keys, *[c for c in new.columns if c not in keys])
 
 
 def anti_content(new: DataFrame, existing: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -20,6 +20,8 @@ RUNTIME = {
     ),
     # Folders of days are listed in this many tasks at most, not in one task a folder.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    # What an action shuffled goes when it ends, not when the driver next collects garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Row ids, days and stamps as text are defined in UTC, whatever the caller's zone.
     "spark.sql.session.timeZone": "UTC",
 }

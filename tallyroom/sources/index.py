@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyroom.sources.marks import PLACE, marked, marks_of, with_places
 from tallyroom.sources.readers import stored_files
 
 BUCKETS = 64
@@ -85,18 +86,44 @@ class ContentIndex:
 
     def unknown(self, rows: DataFrame) -> DataFrame:
         """The rows, all columns, whose content is not stored; what repeats among them stays."""
-        schema = T.StructType.fromDDL(_DIGEST_DDL)
-        stored = stored_files(self.spark, f"{self.base}/digests", schema)
-        if stored is None:
+        known = self._known(rows)
+        if known is None:
             return rows
-        names = self.schema.names
-        key = content_key(names)
-        bucket = F.pmod(key, F.lit(BUCKETS)).cast("int")
+        return self._without(self._keyed(rows), known).drop("_key", "_digest")
+
+    def unknown_stored(self, rows: DataFrame) -> DataFrame:
+        """The same where ``rows`` are a scan of stored files, perhaps with changed values.
+
+        Keys, digests and places (see ``marks``) meet the index; the rows stay where they are.
+        """
+        known = self._known(rows)
+        if known is None:
+            return rows
+        placed = with_places(rows)
+        narrow = self._keyed(placed).select("_key", "_digest", *PLACE)
+        marks = marks_of(self._without(narrow, known).select(*PLACE))
+        return self.unknown(rows) if marks is None else marked(placed, marks).select(*rows.columns)
+
+    def _known(self, rows: DataFrame) -> DataFrame | None:
+        """The index of the buckets that the rows touch.
+
+        A file's digests are distinct, and one that several files have leaves out a row no
+        other than one: they go to the join as they are stored.
+        """
+        stored = stored_files(self.spark, f"{self.base}/digests", T.StructType.fromDDL(_DIGEST_DDL))
+        if stored is None:
+            return None
+        bucket = F.pmod(content_key(self.schema.names), F.lit(BUCKETS)).cast("int")
         touched = [r[0] for r in rows.select(bucket.alias("b")).distinct().collect()]  # BUCKETS at most
-        known = stored.where(F.col("Bucket").isin(touched)).distinct()
-        keyed = rows.withColumns({"_key": key, "_digest": content_digest(names)})
+        return stored.where(F.col("Bucket").isin(touched))
+
+    def _keyed(self, rows: DataFrame) -> DataFrame:
+        names = self.schema.names
+        return rows.withColumns({"_key": content_key(names), "_digest": content_digest(names)})
+
+    def _without(self, keyed: DataFrame, known: DataFrame) -> DataFrame:
         same = (keyed["_key"] == known["Key"]) & (keyed["_digest"] == known["Digest"])
-        return keyed.join(known, same, "left_anti").drop("_key", "_digest")
+        return keyed.join(known, same, "left_anti")
 
 
 def _name(file: str) -> str:

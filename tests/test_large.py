@@ -117,3 +117,54 @@ def test_a_message_is_parsed_once(spark):
     assert Counter(r.UserID for r in decoded.collect()) == Counter([1, None])
     clean = clean_stream(decoded.withColumn(STAMP, F.lit(None).cast("timestamp")), R.VIDEO_STREAM)
     assert clean._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_unknown_contents_of_stored_rows_are_told_by_places(spark, tmp_path, nothing_small, monkeypatch):
+    from tallyroom.sources import ContentIndex, index as index_module
+
+    spark.range(0, 80_000, numPartitions=2).selectExpr(
+        "CASE WHEN id % 100 = 0 THEN NULL ELSE CAST(id % 30000 AS STRING) END AS a", "id % 7 AS b"
+    ).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    raw.where("b < 4").write.parquet(str(tmp_path / "stored"))
+    index = ContentIndex(spark, str(tmp_path / "stored"), raw.schema)
+    assert index.unknown_stored(raw) is raw
+    index.catch_up()
+    raw.where("b = 1").write.mode("append").parquet(str(tmp_path / "stored"))
+    index.catch_up()  # what is indexed twice is still known
+    changed = raw.withColumn("b", F.when(F.col("b") == 2, 9).otherwise(F.col("b"))).withColumn("beside", F.lit(1))
+    found, expected = index.unknown_stored(changed), index.unknown(changed)
+    assert exchanges(found) == 0 and found.columns == expected.columns
+    assert rows(found) == rows(expected)
+    assert {r.b for r in found.select("b").distinct().collect()} == {4, 5, 6, 9}
+    monkeypatch.setattr(index_module, "marks_of", lambda places: None)
+    assert rows(index.unknown_stored(changed)) == rows(expected)
+
+
+def test_indexed_query_shuffles_no_whole_row(spark, sf_dir, nothing_small, monkeypatch):
+    from tallyroom.sources import Workspace
+
+    kept = []
+    real = Workspace.keep
+    monkeypatch.setattr(Workspace, "keep", lambda self, df: kept.append(exchanges(df)) or real(self, df))
+    queries()["ingest_indexed_rows_video"](spark, sf_dir)
+    assert kept == [0]
+
+
+def test_shuffled_files_go_with_their_action(spark, sf_dir):
+    """Registered queries leave no shuffle behind, and a frame can still be asked twice."""
+    import glob
+    import time
+
+    queries()["json_decode"](spark, sf_dir)  # tunes the session
+    where = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    before = {f for d in where for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    summed = spark.range(10_000).groupBy((F.col("id") % 10).alias("k")).count()
+    first = rows(summed)
+    for _ in range(50):
+        after = {f for d in where for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+        if after <= before:
+            break
+        time.sleep(0.1)
+    assert after <= before
+    assert rows(summed) == first
