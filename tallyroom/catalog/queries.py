@@ -102,7 +102,7 @@ def _fact_lookup(entity: str) -> Query:
             d.table: materialise(star.build_dim(earlier, d), d.table.lower())
             for d in star.STAR_DIMS[entity]
         }
-        return star.build_fact(staged, star.STAR_FACTS[entity], dims)
+        return star.build_fact_stored(staged, star.STAR_FACTS[entity], dims)
 
     return query
 

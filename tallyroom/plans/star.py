@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_, or_
 
@@ -14,6 +14,7 @@ from tallyroom import operators as op
 from tallyroom.functions import hour_of, interaction_id, surrogate, time_spent_category
 from tallyroom.rules import MIDNIGHT
 from tallyroom.schemas import NO_STAMP, STAMP
+from tallyroom.sources.marks import PLACE, marked, marks_of, with_places
 
 # Tables of the star, their columns and types.
 USER_ATTRIBUTES = {
@@ -259,6 +260,12 @@ def build_fact(staged: DataFrame, fact: Fact, dims: Mapping[str, DataFrame]) ->
     ``staged`` holds one row per id (see ``plans.clean.staging``) and a lookup
     never multiplies rows, so the result needs no further deduplication.
     """
+    return _finish_fact(_linked(staged, fact, dims), fact)
+
+
+def _linked(staged: DataFrame, fact: Fact, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Staging rows with the surrogates of the fact's dimensions; those without a member go."""
+
     def link(df: DataFrame, spec: tuple[Dim, str]) -> DataFrame:
         dim, out = spec
         df = df.withColumn("_key", natural_key(dim))
@@ -267,7 +274,36 @@ def build_fact(staged: DataFrame, fact: Fact, dims: Mapping[str, DataFrame]) ->
     linked = reduce(link, fact.links, staged)
     for _, out in fact.links:
         linked = linked.withColumnRenamed(f"_{out}", out)
-    return _finish_fact(linked, fact)
+    return linked
+
+
+#: Members from which on a dimension's keys are looked up apart from the rows.
+MANY_MEMBERS = 10_000
+
+
+def build_fact_stored(staged: DataFrame, fact: Fact, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """``build_fact`` where ``staged`` is a scan of stored files, whose rows stay where they are.
+
+    A large dimension meets the rows' keys and places alone (see ``sources.marks``): if all its
+    surrogates are the md5 of their keys, which is looked at first, a member tells a row no more
+    than that it is there.  Any other dimension is looked up as in ``build_fact``.
+    """
+    placed, apart = with_places(staged), {}
+    for dim, out in fact.links:
+        members, key = dims[dim.table], natural_key(dim).cast("string")
+        odd = ~F.col(dim.surrogate).eqNullSafe(surrogate(F.col(dim.key)))
+        known = members.agg(F.count(F.lit(1)).alias("all"), F.count_if(odd).alias("odd")).first()
+        if known["odd"] or known["all"] < MANY_MEMBERS:
+            continue
+        keyed = placed.select(key.alias("_key"), *PLACE)
+        named = members.select(F.col(dim.key).cast("string").alias("_key"))
+        marks = marks_of(keyed.join(named, "_key", "left_semi").select(*PLACE))
+        if marks is not None:
+            placed, apart[out] = marked(placed, marks), surrogate(key)
+
+    rest = replace(fact, links=tuple(link for link in fact.links if link[1] not in apart))
+    linked = _linked(placed.select(*staged.columns), rest, dims)
+    return _finish_fact(linked.withColumns(apart), fact)
 
 
 def build_fact_complete(staged: DataFrame, fact: Fact) -> DataFrame:

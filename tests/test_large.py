@@ -151,6 +151,29 @@ def test_indexed_query_shuffles_no_whole_row(spark, sf_dir, nothing_small, monke
     assert kept == [0]
 
 
+def test_members_of_large_dimensions_are_told_by_places(spark, sf_dir, nothing_small, monkeypatch):
+    from tallyroom.plans import star
+    from tallyroom.plans.layers import staging_layer
+
+    staged, spec = staging_layer(spark, sf_dir, "video"), star.FACT_VIDEO
+    earlier = staged.where(F.col("VideoID") % 5 > 0).where("UserID % 7 > 0 AND DeviceType <> 'Tablet'")
+    dims = {d.table: star.build_dim(earlier, d) for d in star.STAR_DIMS["video"]}
+    dims["DIM_USER"] = dims["DIM_USER"].unionByName(dims["DIM_USER"].limit(3))  # members stored twice
+    expected = star.build_fact(staged, spec, dims)
+    monkeypatch.setattr(star, "MANY_MEMBERS", 0)
+    found = star.build_fact_stored(staged, spec, dims)
+    assert found.schema == expected.schema
+    assert exchanges(found) == 0 < exchanges(expected)
+    assert rows(found) == rows(expected) and 0 < found.count() < staged.count()
+    # A surrogate of another making is looked up and not computed.
+    dims["DIM_VIDEO"] = dims["DIM_VIDEO"].withColumn("Video_S_ID", F.concat(F.lit("v"), "VideoID"))
+    found = star.build_fact_stored(staged, spec, dims)
+    assert rows(found) == rows(star.build_fact(staged, spec, dims))
+    assert found.where("VideoID_Surrogate LIKE 'v%'").count() == found.count() > 0
+    monkeypatch.setattr(star, "marks_of", lambda places: None)
+    assert rows(star.build_fact_stored(staged, spec, dims)) == rows(found)
+
+
 def test_shuffled_files_go_with_their_action(spark, sf_dir):
     """Registered queries leave no shuffle behind, and a frame can still be asked twice."""
     import glob
