@@ -13,7 +13,7 @@ from tallyroom.plans import star
 from tallyroom.plans.clean import Cleaning
 from tallyroom.plans.jobs import Warehouse
 from tallyroom.plans.layers import raw_layer
-from tallyroom.sources import read_entity, read_staged_stream, read_stream
+from tallyroom.sources import adapters, read_entity, read_staged_stream, read_stream
 from tallyroom.streaming import (
     clean_live_stream,
     clean_stream,
@@ -204,3 +204,27 @@ def test_time_is_stamped_per_micro_batch(spark, tmp_path):
     start = dt.datetime.now() - dt.timedelta(minutes=1)
     drain(run_entity_stream(text_stream(spark, folder), R.LIVE_STREAM, out, str(tmp_path / "m"), trigger=None))
     assert read_entity(spark, out).first()[S.STAMP] > start
+
+
+def test_a_batch_takes_files_up_to_its_bytes(spark, sf_dir, tmp_path, monkeypatch):
+    """A table of many bytes is read in more batches, whole all the same."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "events.parquet").glob("*.parquet"))
+
+    def batches() -> list[int]:
+        seen = []
+        stream = adapters.table_stream(spark, str(tmp_path), "events").writeStream
+        stream = stream.foreachBatch(lambda df, _: seen.append(df.count())).trigger(availableNow=True)
+        stream.option("checkpointLocation", str(tmp_path / f"checkpoint-{adapters.BYTES_PER_BATCH}")).start().awaitTermination()
+        assert sum(seen) == events.count()
+        return seen
+
+    assert len(batches()) == 1
+    monkeypatch.setattr(adapters, "BYTES_PER_BATCH", size * 3 // 4)
+    assert len(batches()) == 2
+    monkeypatch.setattr(adapters, "BYTES_PER_BATCH", 1)
+    assert len(batches()) == 4
+    whole = adapters.table_stream(spark, sf_dir, "events").writeStream.format("memory").queryName("one_file")
+    whole.trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("one_file").count() == events.count()
