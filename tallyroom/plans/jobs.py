@@ -96,7 +96,7 @@ class Warehouse:
             versions.replace(df.hint("rebalance", day), day, load)
         elif versions.partitioned_by(day):
             stored = self.by_day(table, stamped, _days_of(df, day))
-            kept = stored.join(df.select(day, row_id), [day, row_id], "left_anti").select(*stored.columns)
+            kept = op.anti_ingest_stored(stored, df, [day, row_id]).select(*stored.columns)
             versions.replace_days(kept.unionByName(df).hint("rebalance", day), day, load=load)
         else:  # stored before facts had days
             stored = self.spark.read.table(name)

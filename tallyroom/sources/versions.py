@@ -175,7 +175,7 @@ class Versions:
 
     def _write(self, df: DataFrame, day: str | None) -> str:
         path = f"{self.base}/{uuid.uuid4().hex}"
-        writer = df.write.option("compression", "snappy")
+        writer = df.write.option("compression", "zstd")  # ids of hexadecimal digits take half the room
         (writer if day is None else writer.partitionBy(day)).parquet(path)
         return path
 

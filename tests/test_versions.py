@@ -347,3 +347,35 @@ def test_a_day_that_cannot_be_moved_is_an_error():
     versions.spark, versions.name = Catalog(), "s.t"
     with pytest.raises(OSError, match="no catalog"):
         versions._point("Day", ["2024-01-01", "2024-01-02"], "/new")
+
+
+def test_an_upsert_shuffles_stored_ids_and_no_stored_row(spark, monkeypatch):
+    wh = warehouse(spark, "upsert_narrow")
+    jobs.load_star(wh, live_rows(spark, [(1, 7, 100, 1), (2, 8, 200, 1), (3, 9, 300, 2)]), "live")
+    name, plans = star.FACT_LIVE.table, []
+    day, spec = star.STAMP_DAY, wh._name(star.FACT_LIVE.table)
+    monkeypatch.setattr(
+        Versions, "replace_days",
+        lambda self, df, *a, real=Versions.replace_days, **b: plans.append(
+            df._jdf.queryExecution().executedPlan().toString()
+        ) or real(self, df, *a, **b),
+    )
+    stored = spark.read.table(spec)
+    again = stored.where(F.col(day) == stored.agg(F.min(day)).first()[0]).limit(1)
+    again = spark.createDataFrame(again.withColumn("LiveEngagement", F.lit(99.0).cast("float")).collect(), stored.schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh.upsert(again, name, "InteractionID", "IngestionTimestamp")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The one shuffle is that which deals rows out to their days.
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plans[0]
+    after = rows(spark, spec)
+    assert len(after) == 3 and sum(99.0 in r for r in after) == 1
+
+
+def test_versions_are_packed(spark):
+    warehouse(spark, "packed")
+    versions = Versions(spark, "packed.T")
+    versions.replace(frame(spark, (1, 1)), "d")
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.table("packed.T").inputFiles())
